@@ -39,7 +39,7 @@ def hours_to_event(
     """
     hours = hours_between("eruption_start_utc", "t_end")
     if clamp_after_event:
-        hours = F.greatest(hours, F.lit(0.0))
+        hours = F.when(hours < 0, F.lit(0.0)).otherwise(hours)
     timed = ends.withColumn("hours", hours)
     return timed.where((F.col("hours") >= 0) & (F.col("hours") <= max_horizon_hours))
 
