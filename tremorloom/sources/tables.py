@@ -47,7 +47,8 @@ def read_minutes(spark: SparkSession, paths: str | Sequence[str], format: str =
     """
     use_utc(spark)
     if format == "parquet":
-        return spark.read.schema(MINUTES).parquet(*([paths] if isinstance(paths, str) else paths))
+        found = spark.read.schema(MINUTES).parquet(*([paths] if isinstance(paths, str) else paths))
+        return found.select(*MINUTE_COLUMNS)
     if format != "csv":
         raise ValueError("format must be 'csv' or 'parquet'")
     found = spark.read.csv(paths if isinstance(paths, str) else list(paths), header=True)
@@ -59,19 +60,18 @@ def read_minutes(spark: SparkSession, paths: str | Sequence[str], format: str =
 
 
 def write_minutes(minutes: DataFrame, path: str, mode: str = "overwrite", files_per_period: int = 1) -> None:
-    """Parquet by period, each file sorted by station, channel, time.
+    """Parquet in a folder per period (``eruption_id``), each file sorted by station, channel, time.
 
     ``files_per_period`` spreads a large period over several tasks and files.
     """
-    target = minutes.withColumn("period_id", F.col("eruption_id"))
-    spread = [F.col("period_id")]
+    spread = [F.col("eruption_id")]
     if files_per_period > 1:
         spread.append(F.pmod(F.xxhash64("station", "channel", F.to_date("time_min")), F.lit(files_per_period)))
     (
-        target.repartition(*spread)
-        .sortWithinPartitions("period_id", "station", "channel", "time_min")
+        minutes.repartition(*spread)
+        .sortWithinPartitions("eruption_id", "station", "channel", "time_min")
         .write.mode(mode)
-        .partitionBy("period_id")
+        .partitionBy("eruption_id")
         .parquet(path)
     )
 
