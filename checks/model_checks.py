@@ -170,10 +170,17 @@ def _(spark, sf):
 # --- drift: open order lines against fulfilled ones --------------------------------------------------
 
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-LONG_SQL = "long AS (" + " UNION ALL ".join(
-    f"SELECT CASE l_linestatus WHEN 'F' THEN 'reference' ELSE 'candidate' END AS dataset, '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM lineitem"
-    for c in LINE_FEATURES
-) + ")"
+
+def _long_sql(kind: str) -> str:
+    return "long AS (" + " UNION ALL ".join(
+        f"SELECT CASE l_linestatus WHEN 'F' THEN 'reference' ELSE 'candidate' END AS dataset, '{c}' AS feature, CAST(CAST({c} AS {kind}) AS DOUBLE) AS v FROM lineitem"
+        for c in LINE_FEATURES
+    ) + ")"
+
+
+LONG_SQL = _long_sql("DOUBLE")
+# distribution distances compare float32 values
+FLOAT_SQL = _long_sql("FLOAT")
 
 
 def lines(spark, sf):
@@ -205,7 +212,7 @@ def _(spark, sf):
 @check(
     "ks_distance",
     "feature:s ks:d",
-    f"WITH {LONG_SQL}, c AS (SELECT feature, v, count(*) FILTER (dataset = 'reference') AS r, count(*) FILTER (dataset = 'candidate') AS c FROM long GROUP BY 1, 2), "
+    f"WITH {FLOAT_SQL}, c AS (SELECT feature, v, count(*) FILTER (dataset = 'reference') AS r, count(*) FILTER (dataset = 'candidate') AS c FROM long GROUP BY 1, 2), "
     "k AS (SELECT feature, sum(r) OVER w / sum(r) OVER (PARTITION BY feature) - sum(c) OVER w / sum(c) OVER (PARTITION BY feature) AS gap FROM c WINDOW w AS (PARTITION BY feature ORDER BY v)) "
     "SELECT feature, max(abs(gap)) AS ks FROM k GROUP BY 1",
 )
@@ -214,7 +221,7 @@ def _(spark, sf):
 
 
 PSI_SQL = (
-    f"{LONG_SQL}, cuts AS (SELECT feature, quantile_cont(v, [0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS q FROM long WHERE dataset = 'reference' GROUP BY 1), "
+    f"{FLOAT_SQL}, cuts AS (SELECT feature, quantile_cont(v, [0.1, 0.2, 0.30000000000000004, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS q FROM long WHERE dataset = 'reference' GROUP BY 1), "
     "placed AS (SELECT l.feature, dataset, len(list_filter(q, lambda c: c < v)) AS bin FROM long l JOIN cuts USING (feature)), "
     "n AS (SELECT feature, count(*) FILTER (dataset = 'reference') AS rn, count(*) FILTER (dataset = 'candidate') AS cn FROM long GROUP BY 1), "
     "b AS (SELECT feature, bin, count(*) FILTER (dataset = 'reference') AS r, count(*) FILTER (dataset = 'candidate') AS c FROM placed GROUP BY 1, 2), "
@@ -225,7 +232,7 @@ PSI_SQL = (
 
 @check("population_stability", "feature:s psi:d", f"WITH {PSI_SQL} SELECT * FROM psi")
 def _(spark, sf):
-    return drift.population_stability(lines(spark, sf))
+    return drift.population_stability(lines(spark, sf), n_features=len(LINE_FEATURES))
 
 
 @check(
@@ -236,7 +243,7 @@ def _(spark, sf):
     "ks AS (SELECT feature, max(abs(gap)) AS ks FROM k GROUP BY 1) SELECT feature, psi, ks > 0.003 OR psi > 0.2 AS drifted FROM psi JOIN ks USING (feature)",
 )
 def _(spark, sf):
-    return drift.distribution_drift(lines(spark, sf), max_ks=0.003)
+    return drift.distribution_drift(lines(spark, sf), max_ks=0.003, n_features=len(LINE_FEATURES))
 
 
 @check(

@@ -14,13 +14,6 @@ def micros(ts: ColumnLike) -> Column:
     return F.unix_micros(as_column(ts).cast("timestamp"))
 
 
-def floor_seconds(ts: ColumnLike, step_seconds: int) -> Column:
-    """Start of the ``step_seconds`` cell that holds ``ts``; cells are counted from the epoch."""
-    us = micros(ts)
-    step = F.lit(int(step_seconds) * 1_000_000)
-    return F.timestamp_micros(us - F.pmod(us, step))
-
-
 def floor_minutes(ts: ColumnLike, step_minutes: int) -> Column:
     """Start of the ``step_minutes`` bucket; buckets restart at every UTC midnight."""
     if not isinstance(step_minutes, int) or step_minutes <= 0:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremorloom.functions.numeric import finite, order_bucket
-from tremorloom.operators.ranking import exact_quantiles
+from tremorloom.operators.ranking import bounded_broadcast, exact_quantiles
 
 REFERENCE, CANDIDATE = "reference", "candidate"
 
@@ -242,17 +242,18 @@ def limit_rows_even(indexed: DataFrame, n: int, max_rows: int, index: str = "row
 def sample_sequences(sequences: DataFrame, max_rows: int, seed: int, index: str = "seq_id") -> DataFrame:
     """Per split, ``max_rows`` sequences drawn without replacement by a seeded hash (a sampling operator).
 
-    Same rows for the same seed whatever the partitioning. Splits are few; a top-k per split keeps at most
-    ``max_rows`` rows per task.
+    Same rows for the same seed whatever the partitioning. Only ids are ranked (a top-k per split); the rows
+    with their matrices are then fetched by a join with at most ``3 * max_rows`` ids.
     """
     if max_rows <= 0:
         return sequences
+    ids = sequences.select("split", index)
     picked = None
     for split in ("train", "val", "test"):
-        part = sequences.where(F.col("split") == split)
+        part = ids.where(F.col("split") == split)
         part = part.orderBy(F.xxhash64(F.col(index), F.lit(seed)), index).limit(max_rows)
         picked = part if picked is None else picked.unionByName(part)
-    return picked
+    return sequences.join(bounded_broadcast(picked, 3 * max_rows), ["split", index], "left_semi")
 
 
 # --- distribution distances -----------------------------------------------------------------------
@@ -261,11 +262,12 @@ def sample_sequences(sequences: DataFrame, max_rows: int, seed: int, index: str
 def ks_distance(long: DataFrame) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov distance per feature: rows ``(feature, ks)``.
 
-    Equal values are merged first. Cumulative counts are a running sum over bucket totals plus a running sum
-    inside each bucket, so a feature is spread over as many tasks as it has buckets.
+    Values are compared as float32, the precision of feature data. Equal values are merged first. Cumulative
+    counts are a running sum over bucket totals plus a running sum inside each bucket, so a feature is spread
+    over as many tasks as it has buckets, and a bucket has a fixed upper limit of distinct values.
     """
     is_ref = F.col("dataset") == REFERENCE
-    v = finite("v").cast("double")
+    v = finite("v").cast("float").cast("double")
     merged = (
         long.select("feature", v.alias("v"), is_ref.alias("ref"))
         .where(F.col("v").isNotNull())
@@ -292,39 +294,55 @@ def ks_distance(long: DataFrame) -> DataFrame:
     return at.where((F.col("_rn") > 0) & (F.col("_cn") > 0)).groupBy("feature").agg(F.max(gap).alias("ks"))
 
 
-def population_stability(long: DataFrame, bins: int = 10, floor: float = 1e-4) -> DataFrame:
+def population_stability(
+    long: DataFrame, bins: int = 10, floor: float = 1e-4, n_features: int | None = None
+) -> DataFrame:
     """Population stability index per feature over reference quantile bins: rows ``(feature, psi)``.
 
-    Shares below ``floor`` are raised to it. The broadcast table has one row per feature.
+    Shares below ``floor`` are raised to it. Counts above each cut are plain conditional sums. Pass
+    ``n_features`` when the number of features is known, so that the cut table (one row each) may be broadcast.
     """
-    cuts_at = [i / bins for i in range(1, bins)]
-    clean = long.select("dataset", "feature", finite("v").cast("double").alias("v")).where(F.col("v").isNotNull())
-    quantiles = exact_quantiles(clean.where(F.col("dataset") == REFERENCE), "feature", "v", cuts_at)
-    cuts = quantiles.groupBy("feature").agg(F.array_sort(F.collect_list("quantile")).alias("cuts"))
-    placed = clean.join(F.broadcast(cuts), "feature").withColumn(
-        "bin", F.size(F.filter("cuts", lambda cut: cut < F.col("v")))
+    at = [i / bins for i in range(1, bins)]
+    clean = long.select(
+        "feature", (F.col("dataset") == REFERENCE).alias("_ref"), finite("v").cast("float").cast("double").alias("v")
+    ).where(F.col("v").isNotNull())
+    quantiles = exact_quantiles(clean.where("_ref"), "feature", "v", at, n_keys=n_features)
+    cuts = quantiles.groupBy("feature").agg(
+        *[F.max(F.when(F.col("probability") == F.lit(q), F.col("quantile"))).alias(f"_q{i}") for i, q in enumerate(at)]
     )
-    counts = placed.groupBy("feature", "bin").agg(
-        F.count_if(F.col("dataset") == REFERENCE).alias("r"), F.count_if(F.col("dataset") == CANDIDATE).alias("c")
+    above = lambda side, i: F.count_if(side & (F.col("v") > F.col(f"_q{i}")))
+    ref, cand = F.col("_ref"), ~F.col("_ref")
+    counts = (
+        clean.join(bounded_broadcast(cuts, n_features), "feature")
+        .groupBy("feature")
+        .agg(
+            F.count_if(ref).alias("_rn"),
+            F.count_if(cand).alias("_cn"),
+            *[above(ref, i).alias(f"_r{i}") for i in range(bins - 1)],
+            *[above(cand, i).alias(f"_c{i}") for i in range(bins - 1)],
+        )
+        .where((F.col("_rn") > 0) & (F.col("_cn") > 0))
     )
-    per_feature = counts.groupBy("feature").agg(
-        F.sum("r").alias("rn"), F.sum("c").alias("cn"), F.collect_list(F.struct("bin", "r", "c")).alias("rows")
-    ).where((F.col("rn") > 0) & (F.col("cn") > 0))
-    by_bin = F.map_from_entries(F.transform("rows", lambda s: F.struct(s["bin"].alias("k"), s.alias("v"))))
-    share = lambda b, side, n: F.greatest(F.coalesce(F.try_element_at(F.col("_m"), b)[side], F.lit(0)) / F.col(n), F.lit(floor))
 
-    def term(acc: Column, b: Column) -> Column:
-        r, c = share(b, "r", "rn"), share(b, "c", "cn")
-        return acc + (c - r) * F.ln(c / r)
+    def share(side: str, k: int) -> Column:
+        upper = F.col(f"_{side}{k}") if k < bins - 1 else F.lit(0)
+        lower = F.col(f"_{side}{k - 1}") if k else F.col(f"_{side}n")
+        return F.greatest((lower - upper) / F.col(f"_{side}n"), F.lit(floor))
 
-    every_bin = F.sequence(F.lit(0), F.lit(bins - 1))
-    return per_feature.withColumn("_m", by_bin).select("feature", F.aggregate(every_bin, F.lit(0.0), term).alias("psi"))
+    shares = counts.select(
+        "feature", *[share(side, k).alias(f"_s{side}{k}") for side in "rc" for k in range(bins)]
+    )
+    terms = [
+        (F.col(f"_sc{k}") - F.col(f"_sr{k}")) * F.ln(F.col(f"_sc{k}") / F.col(f"_sr{k}")) for k in range(bins)
+    ]
+    return shares.select("feature", sum(terms[1:], terms[0]).alias("psi"))
 
 
 def distribution_drift(
-    long: DataFrame, max_ks: float = 0.1, max_psi: float = 0.2, bins: int = 10
+    long: DataFrame, max_ks: float = 0.1, max_psi: float = 0.2, bins: int = 10, n_features: int | None = None
 ) -> DataFrame:
     """KS distance and PSI per feature; a feature drifts when either exceeds its limit."""
-    return ks_distance(long).join(population_stability(long, bins), "feature").withColumn(
+    stability = population_stability(long, bins, n_features=n_features)
+    return ks_distance(long).join(stability, "feature").withColumn(
         "drifted", (F.col("ks") > max_ks) | (F.col("psi") > max_psi)
     )

@@ -6,13 +6,14 @@ frame holds enough non-missing values.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremorloom.functions.numeric import finite
-from tremorloom.operators.ranking import CHUNK, OWN, ROW, chunk_window, global_rank, own_rows, with_halo
+from tremorloom.operators.ranking import ROW, chunk_window, global_rank, own_rows, with_halo
 from tremorloom.schemas import (
     CORE_FEATURES,
     MINUTE_NUMERIC,
@@ -92,32 +93,52 @@ def _sorted_median(values: Column) -> Column:
     return (low + high) / 2
 
 
-def entropy_of(values: Column, low: Column, high: Column, bins: int) -> Column:
-    """Shannon entropy (bits) of an equal-width histogram between ``low`` and ``high`` of the values.
+def with_entropy(df: DataFrame, window_rows: int, bins: int) -> DataFrame:
+    """Shannon entropy (bits) of an equal-width histogram of each frame; 0 for a constant frame.
 
-    A value that rounding puts next to its bin is moved by comparing it with the bin edges, the last bin
-    being closed on both sides. A constant window has entropy 0.
-    """
-    edge = lambda i: F.when(i == bins, high).otherwise(low + i * ((high - low) / bins))
-
-    def bin_of(v: Column) -> Column:
-        first = F.least(F.floor((v - low) / (high - low) * bins).cast("int"), F.lit(bins - 1))
-        return (
-            F.when(v < edge(first), first - 1)
-            .when((v >= edge(first + 1)) & (first != bins - 1), first + 1)
-            .otherwise(first)
-        )
-
-    def spread(placed: Column) -> Column:
-        def minus_plogp(acc: Column, b: Column) -> Column:
-            p = F.size(F.filter(placed, lambda other: other == b)) / F.size(placed)
-            return acc - p * F.log2(p)
-
-        return F.aggregate(F.array_distinct(placed), F.lit(0.0), minus_plogp)
+    Expects the frame's values and extremes in ``_vals, _lo, _hi``, which are dropped. A value that rounding
+    puts next to its bin is moved by comparing it with the bin edges, the last bin being closed on both sides.
 
-    # the one-element array binds the bins once, instead of once per distinct bin
-    bound = F.get(F.transform(F.array(F.transform(values, bin_of)), spread), F.lit(0))
-    return F.when(high == low, F.lit(0.0)).otherwise(bound)
+    Lambdas are interpreted, so little is done per value: the bin, its correction, and one addition to small
+    counters packed into 64-bit integers. Counts are then read by shift and mask in compiled code, with
+    ``c * log2(c)`` from a table.
+    """
+    bits = window_rows.bit_length()
+    per_word = 62 // bits
+    words = -(-bins // per_word)
+    low, step, zero = F.col("_lo"), F.col("_step"), F.lit(0).cast("bigint")
+
+    def corrected(b: Column, i: Column) -> Column:
+        v = F.get("_vals", i)
+        below = F.when(v < low + b * step, F.lit(1)).otherwise(F.lit(0))
+        above = F.when((v >= low + (b + 1) * step) & (b < bins - 1), F.lit(1)).otherwise(F.lit(0))
+        return b - below + above
+
+    first = F.transform("_vals", lambda v: F.least(F.floor((v - low) / F.col("_width") * bins).cast("int"), F.lit(bins - 1)))
+
+    def packed(j: int) -> Column:
+        def add(acc: Column, b: Column) -> Column:
+            at = b - j * per_word
+            one = F.call_function("shiftleft", F.lit(1).cast("bigint"), at * bits)
+            return acc + (one if words == 1 else F.when(at.between(0, per_word - 1), one).otherwise(zero))
+
+        return F.aggregate("_bins", zero, add)
+
+    table = F.lit([0.0] + [c * math.log2(c) for c in range(1, window_rows + 1)])
+    mask = F.lit((1 << bits) - 1)
+    counts = [F.shiftright(f"_w{k // per_word}", bits * (k % per_word)).bitwiseAND(mask) for k in range(bins)]
+    terms = [F.get(table, c.cast("int")) for c in counts]
+    n = F.size("_vals")
+    spread = F.log2(n.cast("double")) - sum(terms[1:], terms[0]) / F.nullif(n, F.lit(0))
+    value = F.when(F.col("_hi") == low, F.lit(0.0)).otherwise(spread)
+    width = F.nullif(F.col("_hi") - low, F.lit(0.0))
+    return (
+        df.withColumns({"_width": width, "_step": width / bins})
+        .withColumn("_bins", F.transform(first, corrected))
+        .withColumns({f"_w{j}": packed(j) for j in range(words)})
+        .withColumn("shannon_entropy", F.when(n >= _minimum(window_rows), value))
+        .drop("_vals", "_lo", "_hi", "_width", "_step", "_bins", *[f"_w{j}" for j in range(words)])
+    )
 
 
 def _frame_stats(w, window_rows: int, base: Sequence[str]) -> dict[str, Column]:
@@ -136,7 +157,7 @@ def _frame_stats(w, window_rows: int, base: Sequence[str]) -> dict[str, Column]:
 def _corrected_kurtosis(c: str, w, window_rows: int) -> Column:
     n = F.count(c).over(w).cast("double")
     excess = F.kurtosis(c).over(w)
-    corrected = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * excess + 6)
+    corrected = (n - 1) / F.nullif((n - 2) * (n - 3), F.lit(0.0)) * ((n + 1) * excess + 6)
     flat = F.min(c).over(w) == F.max(c).over(w)
     return F.when(n >= _minimum(window_rows, 4), F.when(flat, F.lit(0.0)).otherwise(corrected))
 
@@ -146,9 +167,15 @@ def _slope(c: str, w, window_rows: int) -> Column:
     return F.when(F.count(c).over(w) >= _minimum(window_rows), F.regr_slope(c, ROW).over(w))
 
 
-def _entropy(c: str, w, window_rows: int, bins: int) -> Column:
-    spread = entropy_of(F.collect_list(c).over(w), F.min(c).over(w), F.max(c).over(w), bins)
-    return F.when(F.count(c).over(w) >= _minimum(window_rows), spread)
+def _shape_columns(w, window_rows: int) -> dict[str, Column]:
+    c = "amplitude_mean"
+    return {
+        "kurtosis": _corrected_kurtosis(c, w, window_rows),
+        "amplitude_mean_slope": _slope(c, w, window_rows),
+        "_vals": F.collect_list(c).over(w),
+        "_lo": F.min(c).over(w),
+        "_hi": F.max(c).over(w),
+    }
 
 
 def _frame(keys: Sequence[str], window_rows: int):
@@ -167,13 +194,7 @@ def rolling_shape(
 ) -> DataFrame:
     """Rolling entropy, bias-corrected excess kurtosis and slope of the mean amplitude."""
     w = _frame(keys, window_rows)
-    return frames.withColumns(
-        {
-            "shannon_entropy": _entropy("amplitude_mean", w, window_rows, bins),
-            "kurtosis": _corrected_kurtosis("amplitude_mean", w, window_rows),
-            "amplitude_mean_slope": _slope("amplitude_mean", w, window_rows),
-        }
-    )
+    return with_entropy(frames.withColumns(_shape_columns(w, window_rows)), window_rows, bins)
 
 
 def envelopes(frames: DataFrame, window_rows: int, keys: Sequence[str] = SENSOR_KEYS) -> DataFrame:
@@ -208,14 +229,8 @@ def sensor_features(
     reach = (window_rows - 1) + (max(3, window_rows) - 1)
     frames = sensor_frames(direct_features(minutes), keys, reach, chunk_rows, bucket)
     w = _frame(keys, window_rows)
-    first_level = frames.withColumns(
-        {
-            **_frame_stats(w, window_rows, ROLLING_BASE),
-            "shannon_entropy": _entropy("amplitude_mean", w, window_rows, bins),
-            "kurtosis": _corrected_kurtosis("amplitude_mean", w, window_rows),
-            "amplitude_mean_slope": _slope("amplitude_mean", w, window_rows),
-        }
-    )
+    rolled = frames.withColumns({**_frame_stats(w, window_rows, ROLLING_BASE), **_shape_columns(w, window_rows)})
+    first_level = with_entropy(rolled, window_rows, bins)
     return own_rows(envelopes(first_level, window_rows, keys)).drop(ROW)
 
 
@@ -238,7 +253,9 @@ def network_stats(features: DataFrame, kind: str = "full", period: str = "erupti
         stats = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     else:
         raise ValueError("kind must be 'full' or 'core'")
-    merged = merge_repeated(features, list(dict.fromkeys(sources.values())), period)
+    # rows of a minute meet in one shuffle, which serves both the averaging of repeats and the statistics
+    together = features.repartition(period, "time_min")
+    merged = merge_repeated(together, list(dict.fromkeys(sources.values())), period)
     return merged.groupBy(period, "time_min").agg(
         *[fn(c).alias(f"{prefix}_{stat}") for prefix, c in sources.items() for stat, fn in stats.items()]
     )

@@ -140,10 +140,11 @@ def _element_type(df: DataFrame, column: str) -> str:
 def sequence_profile(sequences: DataFrame, index: str = "seq_id") -> DataFrame:
     """One row per sequence: counts and moments of its values (population standard deviation)."""
     v = finite(F.col("v").cast("double"))
-    dims = sequences.select(
-        index, F.size("x").alias("seq_len"), F.size(F.get("x", F.lit(0))).alias("n_features")
+    sized = sequences.select(
+        index, F.size("x").alias("seq_len"), F.size(F.get("x", F.lit(0))).alias("n_features"), "x"
     )
-    stats = _cells(sequences, [index]).groupBy(index).agg(
+    shape = [index, "seq_len", "n_features"]
+    stats = _cells(sized, shape).groupBy(*shape).agg(
         F.count_if(_is_nan("v")).alias("nan_count"),
         F.count_if(_is_inf("v")).alias("inf_count"),
         F.count(v).alias("finite_count"),
@@ -156,15 +157,23 @@ def sequence_profile(sequences: DataFrame, index: str = "seq_id") -> DataFrame:
         (F.count_if(v == 0) / F.count(F.lit(1))).alias("zero_ratio"),
         F.max(F.abs(v)).alias("abs_max"),
     )
-    profile = dims.join(stats, index).withColumnRenamed(index, "sequence_index")
+    profile = stats.withColumnRenamed(index, "sequence_index")
     return profile.withColumn("dtype", F.lit(_element_type(sequences, "x"))).select(*SEQUENCE_PROFILE_COLUMNS)
 
 
 def split_profile(sequences: DataFrame) -> DataFrame:
-    """One row per split with the 24 profile columns."""
+    """One row per split with the 24 profile columns.
+
+    Matrices are read once; everything about labels comes from counts per (split, label), which read no matrix.
+    """
     v = finite(F.col("v").cast("double"))
     y = finite(F.col("y").cast("double"))
-    per_cell = _cells(sequences, ["split"]).groupBy("split").agg(
+    sized = sequences.select(
+        "split", F.size("x").alias("_len"), F.size(F.get("x", F.lit(0))).alias("_width"), "x"
+    )
+    per_cell = _cells(sized, ["split", "_len", "_width"]).groupBy("split").agg(
+        F.max("_len").alias("seq_len"),
+        F.max("_width").alias("n_features"),
         F.count_if(_is_nan("v")).alias("x_nan_count"),
         F.count_if(_is_inf("v")).alias("x_inf_count"),
         F.count(v).alias("x_finite_count"),
@@ -176,20 +185,20 @@ def split_profile(sequences: DataFrame) -> DataFrame:
         F.stddev_pop(v).alias("x_std_value"),
         F.max(F.abs(v)).alias("x_abs_max"),
     )
-    per_sequence = sequences.groupBy("split").agg(
-        F.count(F.lit(1)).alias("n_sequences"),
-        F.max(F.size("x")).alias("seq_len"),
-        F.max(F.size(F.get("x", F.lit(0)))).alias("n_features"),
-        F.count_if(_is_nan("y")).alias("y_nan_count"),
-        F.count_if(_is_inf("y")).alias("y_inf_count"),
-        F.count(y).alias("y_finite_count"),
-        F.count(F.lit(1)).alias("y_total_values"),
-        (F.count(y) / F.count(F.lit(1))).alias("y_finite_ratio"),
+    labels = sequences.groupBy("split", "y").agg(F.count(F.lit(1)).alias("_n"))
+    counted = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0))
+    per_label = labels.groupBy("split").agg(
+        F.sum("_n").alias("n_sequences"),
+        counted(_is_nan("y")).alias("y_nan_count"),
+        counted(_is_inf("y")).alias("y_inf_count"),
+        counted(y.isNotNull()).alias("y_finite_count"),
+        F.sum("_n").alias("y_total_values"),
+        (counted(y.isNotNull()) / F.sum("_n")).alias("y_finite_ratio"),
         F.min(y).cast("int").alias("label_min"),
         F.max(y).cast("int").alias("label_max"),
-        F.count_distinct("y").alias("n_unique_labels"),
+        F.count("y").alias("n_unique_labels"),
     )
-    profile = per_sequence.join(per_cell, "split").withColumnRenamed("split", "split_name")
+    profile = per_label.join(per_cell, "split").withColumnRenamed("split", "split_name")
     return profile.withColumns(
         {"x_dtype": F.lit(_element_type(sequences, "x")), "y_dtype": F.lit(_element_type(sequences, "y"))}
     ).select(*SPLIT_PROFILE_COLUMNS)

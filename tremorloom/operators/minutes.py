@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremorloom.functions.numeric import finite, frequency_index
-from tremorloom.functions.times import floor_seconds
 from tremorloom.schemas import FILTER_COLUMNS, FREQUENCY_INDEX_EPS, MINUTE_COLUMNS
 
 _SENSOR_KEYS = ["period_id", "network", "station", "channel"]
@@ -21,10 +20,10 @@ def minute_aggregate(
 
     ``samples`` holds ``period_id, network, station, channel, ts, sampling_rate`` and the three filtered
     signals ``amplitude, low, high``. A plain grouped aggregate: partial sums are built before the shuffle,
-    so the size of one sensor does not matter.
+    so the size of one sensor does not matter. Works on a stream as well (see ``streaming``).
     """
-    cell = floor_seconds("ts", step_seconds)
-    grouped = samples.groupBy(*_SENSOR_KEYS, cell.alias("time_min")).agg(
+    cell = F.window("ts", f"{step_seconds} seconds")
+    grouped = samples.groupBy(*_SENSOR_KEYS, cell.alias("_cell")).agg(
         F.avg("amplitude").alias("amplitude_mean"),
         F.stddev_samp("amplitude").alias("amplitude_std"),
         F.max("amplitude").alias("amplitude_max"),
@@ -36,6 +35,7 @@ def minute_aggregate(
     )
     complete = grouped.withColumnRenamed("period_id", "eruption_id").withColumns(
         {
+            "time_min": F.col("_cell.start"),
             "frequency_index": frequency_index("energy_low_1_5_5", "energy_high_6_16", eps),
             **{name: F.lit(value) for name, value in FILTER_COLUMNS.items()},
         }

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremorloom.functions.numeric import finite, order_bucket
+from tremorloom.session import cut_lineage
 
 ROW = "_rn"
 CHUNK = "_chunk"
@@ -73,12 +74,31 @@ def own_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col(OWN)).drop(CHUNK, OWN)
 
 
+# Largest small side that is broadcast on the strength of a known row count.
+BROADCAST_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
+    """Broadcast hint when the caller knows that ``df`` has at most ``max_rows`` rows and that is few.
+
+    Otherwise no hint: Spark then decides by measured size.
+    """
+    return F.broadcast(df) if max_rows is not None and max_rows <= BROADCAST_ROWS else df
+
+
+def measured_broadcast(df: DataFrame) -> DataFrame:
+    """A table that should be small: checkpointed, counted, and broadcast only if the count is small."""
+    small = cut_lineage(df)
+    return bounded_broadcast(small, small.count())
+
+
 def exact_quantiles(
     df: DataFrame,
     key: str,
     value: str,
     probabilities: Sequence[float],
     weight: str | None = None,
+    n_keys: int | None = None,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles per key: rows ``(key, probability, quantile)``.
 
@@ -86,8 +106,8 @@ def exact_quantiles(
     rank, then only those buckets are sorted. Equal values are merged before any sort. Meant for values
     that came from float32, where a bucket has a hard upper limit of distinct values.
 
-    The broadcast table has at most two buckets per (key, probability); keys are feature positions, whose
-    number is fixed by the feature contract.
+    With ``n_keys`` (an upper limit of the number of keys, such as the contract length) the table of wanted
+    buckets, at most two per key and probability, is broadcast if that is few rows.
     """
     w = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
     clean = (
@@ -119,9 +139,10 @@ def exact_quantiles(
     buckets = targets.groupBy(key, "_b").agg(
         F.first("_before").alias("_before"), F.collect_list("_t").alias("_ts")
     )
+    most = None if n_keys is None else 2 * n_keys * len(probabilities)
     inside = Window.partitionBy(key, "_b").orderBy("_v")
     candidates = (
-        clean.join(F.broadcast(buckets.select(key, "_b")), [key, "_b"], "left_semi")
+        clean.join(bounded_broadcast(buckets.select(key, "_b"), most), [key, "_b"], "left_semi")
         .groupBy(key, "_b", "_v")
         .agg(F.sum("_w").alias("_n"))
         .withColumn("_upto", F.sum("_n").over(inside))

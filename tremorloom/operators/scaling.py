@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tremorloom.functions.numeric import finite, is_finite
 from tremorloom.operators.contract import contract_table
 from tremorloom.operators.periods import ContractViolation
-from tremorloom.operators.ranking import exact_quantiles
+from tremorloom.operators.ranking import bounded_broadcast, exact_quantiles
 
 
 def explode_vectors(vectors: DataFrame, weight: str | None = "weight") -> DataFrame:
@@ -28,21 +28,21 @@ def explode_vectors(vectors: DataFrame, weight: str | None = "weight") -> DataFr
     )
 
 
-def fit_imputer(long: DataFrame) -> DataFrame:
+def fit_imputer(long: DataFrame, n_features: int | None = None) -> DataFrame:
     """``(idx, median)`` over finite values; a feature without any has no row (its median is 0)."""
-    return exact_quantiles(long, "idx", "v", [0.5], weight="w").select(
+    return exact_quantiles(long, "idx", "v", [0.5], weight="w", n_keys=n_features).select(
         "idx", F.col("quantile").cast("float").alias("median")
     )
 
 
-def fit_scaler(long: DataFrame, medians: DataFrame) -> DataFrame:
+def fit_scaler(long: DataFrame, medians: DataFrame, n_features: int | None = None) -> DataFrame:
     """``(idx, median, mean, scale)`` after imputation: population standard deviation, 0 replaced by 1.
 
     Sums are taken around the median, which imputed cells equal exactly; one pass, no loss of digits for
     features far from zero. ``medians`` has one row per contract feature.
     """
     shifted = (
-        long.join(F.broadcast(medians), "idx", "left")
+        long.join(bounded_broadcast(medians, n_features), "idx", "left")
         .withColumn("median", F.coalesce("median", F.lit(0.0).cast("float")))
         .withColumn("d", F.coalesce(F.col("v").cast("double") - F.col("median"), F.lit(0.0)))
     )
@@ -65,7 +65,7 @@ def fit_scaler(long: DataFrame, medians: DataFrame) -> DataFrame:
 def fit_params(train_rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """Parameter table ``(idx, name, median, mean, scale)`` from vectors with a ``weight`` column."""
     long = explode_vectors(train_rows)
-    fitted = fit_scaler(long, fit_imputer(long))
+    fitted = fit_scaler(long, fit_imputer(long, len(names)), len(names))
     named = contract_table(train_rows.sparkSession, names)
     zero, one = F.lit(0.0).cast("float"), F.lit(1.0).cast("float")
     return named.join(fitted, "idx", "left").select(

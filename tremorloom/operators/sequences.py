@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from tremorloom.functions.labels import horizon_label
 from tremorloom.functions.times import hours_between
 from tremorloom.operators.periods import ContractViolation, require_none
-from tremorloom.operators.ranking import CHUNK, OWN, ROW, chunk_window, global_rank, own_rows, with_halo
+from tremorloom.operators.ranking import (
+    CHUNK,
+    ROW,
+    bounded_broadcast,
+    chunk_window,
+    global_rank,
+    own_rows,
+    with_halo,
+)
 from tremorloom.schemas import SPLITS
 
 
@@ -194,13 +202,18 @@ def build_sequences(
 
 
 def latest_batch(sequences: DataFrame, k: int) -> DataFrame:
-    """The last ``k`` sequences in dataset order: period order first, then time."""
+    """The last ``k`` sequences in dataset order: period order first, then time.
+
+    Only the two order columns are ranked (a top-k); the matrices are fetched for the chosen ones.
+    """
     if k < 1:
         raise ValueError("k must be >= 1")
-    available = sequences.select(F.lit(1)).limit(k).count()
+    order = [F.col("period_ord").desc(), F.col("t_end").desc()]
+    newest = sequences.select("period_ord", "t_end").orderBy(*order).limit(k)
+    available = newest.count()
     if k > available:
         raise ContractViolation(f"batch of {k} exceeds the {available} available sequences")
-    return sequences.orderBy(F.col("period_ord").desc(), F.col("t_end").desc()).limit(k)
+    return sequences.join(bounded_broadcast(newest, k), ["period_ord", "t_end"], "left_semi").orderBy(*order).limit(k)
 
 
 def merge_datasets(reference: DataFrame, *ready: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from tremorloom.schemas import BAND_FULL, BAND_HIGH, BAND_LOW, NYQUIST_MINIMUM_H
 
 TRACE_KEYS = ["period_id", "network", "station", "channel"]
 
-# A gap is filled in blocks of this many samples, so that one long gap is never one huge array.
+# A gap is filled in blocks of this many samples: one long gap is never one huge array.
 _FILL_BLOCK = 4096
 
 
@@ -35,30 +35,41 @@ def interpolate_gaps(
     samples: DataFrame,
     keys: Sequence[str] = TRACE_KEYS,
     bucket_seconds: int = 3600,
+    segment: str | None = None,
 ) -> DataFrame:
-    """Add the missing samples of each trace by linear interpolation (column ``filled`` marks them).
+    """Merge overlapping segments and add the missing samples of each trace by linear interpolation.
 
-    Expects one value per instant (``merge_segments``); NULL and non-finite values count as missing. Each
-    sample looks up its successor inside a time bucket; the last one of a bucket gets the first sample of the
-    next non-empty bucket from a table with one row per bucket. Only gaps produce rows.
+    Column ``filled`` marks added samples. NULL and non-finite values count as missing. Samples are shuffled
+    once, by trace and time bucket; merging and the look at the next sample happen there. The last sample of
+    a bucket gets the first one of the next non-empty bucket from a table with one row per bucket, which is
+    aggregated before its shuffle. Only gaps produce rows.
     """
     keys = list(keys)
-    us = micros("ts")
     valid = (
         samples.where(is_finite("amplitude"))
-        .withColumn("_us", us)
+        .withColumn("_us", micros("ts"))
         .withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_seconds * 1_000_000)).cast("bigint"))
     )
+    winner = F.col("amplitude") if segment is None else F.col(segment)
     by_bucket = Window.partitionBy(*keys).orderBy("_b")
     heads = (
         valid.groupBy(*keys, "_b")
-        .agg(F.min(F.struct("_us", "amplitude")).alias("_head"))
+        .agg(F.min_by(F.struct("_us", "amplitude"), F.struct(F.col("_us"), -winner)).alias("_head"))
         .withColumn("_after", F.lead("_head").over(by_bucket))
         .select(*keys, "_b", "_after")
     )
+    merged = (
+        valid.repartition(*keys, "_b")
+        .groupBy(*keys, "_b", "_us")
+        .agg(
+            F.max_by("amplitude", winner).alias("amplitude"),
+            F.max("ts").alias("ts"),
+            F.max("sampling_rate").alias("sampling_rate"),
+        )
+    )
     inside = Window.partitionBy(*keys, "_b").orderBy("_us")
     linked = (
-        valid.withColumn("_next", F.lead(F.struct("_us", "amplitude")).over(inside))
+        merged.withColumn("_next", F.lead(F.struct("_us", "amplitude")).over(inside))
         .join(heads, [*keys, "_b"])
         .withColumn("_next", F.coalesce("_next", "_after"))
         .withColumn("_dt", F.lit(1e6) / F.col("sampling_rate"))
@@ -69,26 +80,28 @@ def interpolate_gaps(
             ),
         )
     )
-    kept = linked.select(*keys, "ts", "amplitude", "sampling_rate", F.lit(False).alias("filled"))
-    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_missing") - 1) / _FILL_BLOCK).cast("bigint"))
+    last_block = F.when(F.col("_missing") > 0, F.floor((F.col("_missing") - 1) / _FILL_BLOCK)).otherwise(F.lit(0))
+    # position 0 is the sample itself; further positions are the missing ones after it
+    first = F.when(F.col("_block") == 0, F.lit(0)).otherwise(F.col("_block") * _FILL_BLOCK + 1)
     steps = F.sequence(
-        F.col("_block") * _FILL_BLOCK + 1,
-        F.least((F.col("_block") + 1) * _FILL_BLOCK, F.col("_missing")),
+        first.cast("bigint"),
+        F.least((F.col("_block") + 1) * _FILL_BLOCK, F.greatest(F.col("_missing"), F.lit(0))).cast("bigint"),
     )
+    own = F.col("_i") == 0
     share = F.col("_i") / (F.col("_missing") + 1)
-    added = (
-        linked.where(F.col("_missing") > 0)
-        .withColumn("_block", F.explode(blocks))
+    line = F.col("amplitude") + (F.col("_next.amplitude") - F.col("amplitude")) * share
+    instant = F.timestamp_micros((F.col("_us") + F.round(F.col("_i") * F.col("_dt"))).cast("bigint"))
+    return (
+        linked.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block.cast("bigint"))))
         .withColumn("_i", F.explode(steps))
         .select(
             *keys,
-            F.timestamp_micros((F.col("_us") + F.round(F.col("_i") * F.col("_dt"))).cast("bigint")).alias("ts"),
-            (F.col("amplitude") + (F.col("_next.amplitude") - F.col("amplitude")) * share).alias("amplitude"),
+            F.when(own, F.col("ts")).otherwise(instant).alias("ts"),
+            F.when(own, F.col("amplitude")).otherwise(line).alias("amplitude"),
             "sampling_rate",
-            F.lit(True).alias("filled"),
+            (~own).alias("filled"),
         )
     )
-    return kept.unionByName(added)
 
 
 def demean(samples: DataFrame, keys: Sequence[str] = TRACE_KEYS) -> DataFrame:
@@ -99,25 +112,63 @@ def demean(samples: DataFrame, keys: Sequence[str] = TRACE_KEYS) -> DataFrame:
     )
 
 
-def detrend_linear(samples: DataFrame, keys: Sequence[str] = TRACE_KEYS) -> DataFrame:
-    """Subtract the least-squares line of each trace (time in seconds from the trace start).
+_DAY_US = 86_400_000_000
 
-    The fitted line absorbs the mean, so a separate ``demean`` before it does not change the result.
+
+def trace_lines(samples: DataFrame, keys: Sequence[str] = TRACE_KEYS) -> DataFrame:
+    """Least-squares line of each trace: ``(*keys, _day0, _slope, _centre, _mean)``.
+
+    Moments are taken per day, relative to the day's start, and combined per trace on the small table of days.
+    That is one pass over the samples, and no digits are lost to large epoch seconds.
     """
-    starts = samples.groupBy(*keys).agg(F.min(micros("ts")).alias("_t0"))
-    seconds = (micros("ts") - F.col("_t0")) / F.lit(1e6)
-    timed = samples.join(starts, list(keys)).withColumn("_x", seconds)
-    lines = timed.groupBy(*keys).agg(
-        F.regr_slope("amplitude", "_x").alias("_slope"),
-        F.regr_intercept("amplitude", "_x").alias("_icept"),
-        F.avg("amplitude").alias("_mean"),
+    keys = list(keys)
+    us = micros("ts")
+    day = F.floor(us / F.lit(_DAY_US)).cast("bigint")
+    timed = samples.where(F.col("amplitude").isNotNull()).select(
+        *keys, day.alias("_day"), (F.pmod(us, F.lit(_DAY_US)) / F.lit(1e6)).alias("_x"), F.col("amplitude").alias("_y")
+    )
+    days = timed.groupBy(*keys, "_day").agg(
+        F.count("_y").alias("n"),
+        F.avg("_x").alias("x"),
+        F.avg("_y").alias("y"),
+        F.var_pop("_x").alias("vx"),
+        F.covar_pop("_x", "_y").alias("vxy"),
     )
+    trace = Window.partitionBy(*keys)
+    total = F.sum("n").over(trace)
+    placed = days.withColumn("_day0", F.min("_day").over(trace)).withColumn(
+        "x", F.col("x") + (F.col("_day") - F.col("_day0")) * F.lit(86_400.0)
+    )
+    centred = placed.withColumn("_centre", F.sum(F.col("n") * F.col("x")).over(trace) / total).withColumn(
+        "_mean", F.sum(F.col("n") * F.col("y")).over(trace) / total
+    )
+    dx, dy = F.col("x") - F.col("_centre"), F.col("y") - F.col("_mean")
+    slope = F.sum(F.col("n") * (F.col("vxy") + dx * dy)) / F.nullif(
+        F.sum(F.col("n") * (F.col("vx") + dx * dx)), F.lit(0.0)
+    )
+    return centred.groupBy(*keys).agg(
+        F.first("_day0").alias("_day0"),
+        slope.alias("_slope"),
+        F.first("_centre").alias("_centre"),
+        F.first("_mean").alias("_mean"),
+    )
+
+
+def detrend_linear(
+    samples: DataFrame, keys: Sequence[str] = TRACE_KEYS, lines: DataFrame | None = None
+) -> DataFrame:
+    """Subtract the least-squares line of each trace; the table of lines (one row per trace) is joined back.
+
+    The line absorbs the mean, so a ``demean`` before it does not change the result. Pass ``lines`` (from
+    ``trace_lines``, measured and broadcast) to keep a very long trace from being shuffled by its key.
+    """
+    seconds = (micros("ts") - F.col("_day0") * F.lit(_DAY_US)) / F.lit(1e6)
     # a single instant has no slope: only its mean is removed
-    line = F.coalesce(F.col("_icept") + F.col("_slope") * F.col("_x"), F.col("_mean"))
+    line = F.col("_mean") + F.coalesce(F.col("_slope") * (seconds - F.col("_centre")), F.lit(0.0))
     return (
-        timed.join(lines, list(keys))
+        samples.join(trace_lines(samples, keys) if lines is None else lines, list(keys))
         .withColumn("amplitude", F.col("amplitude") - line)
-        .drop("_t0", "_x", "_slope", "_icept", "_mean")
+        .drop("_day0", "_slope", "_centre", "_mean")
     )
 
 

@@ -8,22 +8,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tremorloom.operators import contract, features, minutes, periods, scaling, scoring, sequences, signal
+from tremorloom.operators.ranking import measured_broadcast
 from tremorloom.schemas import ALERT_MIN_CLASS, ALERT_THRESHOLD, N_CLASSES
 from tremorloom.session import cut_lineage
 
 
-def extract_minutes(samples: DataFrame, period_table: DataFrame, step_seconds: int = 60) -> DataFrame:
+def extract_minutes(
+    samples: DataFrame, period_table: DataFrame, step_seconds: int = 60, segment: str | None = None
+) -> DataFrame:
     """Raw samples to minute aggregates, all periods and traces at once.
 
     ``samples`` is a table of ``network, station, channel, ts, amplitude, sampling_rate``; ``period_table`` is
-    tidy or typed period metadata.
+    tidy or typed period metadata. Raw samples are shuffled twice: by time bucket to fill gaps, by chunk to
+    filter. The filled samples are read by the line fit and by the filter, hence checkpointed in between.
     """
     broken = periods.validate_periods(period_table)
     periods.require_none(broken, "period table not usable")
     assigned = periods.assign_periods(samples, periods.typed_periods(period_table))
-    filled = signal.interpolate_gaps(signal.merge_segments(signal.usable_traces(assigned)))
+    filled = cut_lineage(signal.interpolate_gaps(signal.usable_traces(assigned), segment=segment).drop("filled"))
     # the least-squares line absorbs the mean, one detrend covers both steps
-    flat = signal.detrend_linear(filled)
+    flat = signal.detrend_linear(filled, lines=measured_broadcast(signal.trace_lines(filled)))
     return minutes.minute_aggregate(signal.bandpass(flat), step_seconds)
 
 
@@ -55,7 +59,8 @@ def training_dataset(
 ) -> tuple[DataFrame, DataFrame]:
     """``(sequences, params)``: labelled, split, imputed and standardised sequences and the fit parameters.
 
-    The indexed vectors are checkpointed once: labels, fit and assembly all read them.
+    Checkpointed once each: the indexed vectors (read by ends, weights and assembly), the kept ends (read by
+    the split and the weights) and the weighted train rows (read by the passes of the fit).
     """
     manual = split == "manual"
     usable = periods.select_periods(period_table, "training", manual, drop_inference)
@@ -69,7 +74,7 @@ def training_dataset(
         placed = sequences.split_chronological(kept, train_ratio, val_ratio)
     else:
         raise ValueError("split must be 'manual' or 'chronological'")
-    train = sequences.sequence_weights(indexed, placed.where(F.col("split") == "train"), length)
+    train = cut_lineage(sequences.sequence_weights(indexed, placed.where(F.col("split") == "train"), length))
     params = cut_lineage(scaling.fit_params(train, chosen))
     scaled = scaling.apply_params(indexed, params, len(chosen))
     return sequences.build_sequences(scaled, placed, length).drop("end_rn"), params

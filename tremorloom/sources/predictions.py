@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremorloom.functions.times import format_utc, format_utc_compact
 from tremorloom.operators.scoring import class_key_map
+from tremorloom.session import cut_lineage
 
 
 def history_key(created: Column, prefix: str = "predictions/history/", filename: str = "prediction.json") -> Column:
@@ -103,11 +105,22 @@ def latest_predictions(predictions: DataFrame, keys: Sequence[str], tie: str) ->
 def publish_predictions(
     predictions: DataFrame, history_path: str, latest_path: str, keys: Sequence[str], tie: str, generated_at: Column
 ) -> None:
-    """Append to the immutable history (a folder per instant) and replace the latest table, same payload."""
-    ready = prediction_payload(predictions, generated_at).select(
-        *dict.fromkeys([*keys, "created_at", tie]), F.to_json("payload").alias("payload")
-    )
-    ready.withColumn("at", format_utc_compact("created_at")).write.mode("append").partitionBy("at").parquet(history_path)
+    """Append to the immutable history (a folder per instant) and update the latest table, same payload.
+
+    The latest table is merged from its previous state and the new rows; the growing history is read only when
+    there is no latest table yet (first run, or one lost between delete and write).
+    """
     spark = predictions.sparkSession
-    history = spark.read.parquet(history_path).drop("at")
-    latest_predictions(history, keys, tie).write.mode("overwrite").parquet(latest_path)
+    ready = cut_lineage(
+        prediction_payload(predictions, generated_at).select(
+            *dict.fromkeys([*keys, "created_at", tie]), F.to_json("payload").alias("payload")
+        )
+    )
+    stamped = ready.withColumn("at", format_utc_compact("created_at"))
+    stamped.write.mode("append").partitionBy("at").parquet(history_path)
+    try:
+        before = spark.read.schema(ready.schema).parquet(latest_path)
+    except AnalysisException:
+        before = spark.read.schema(ready.schema).parquet(history_path).select(*ready.columns)
+    newest = cut_lineage(latest_predictions(before.unionByName(ready), keys, tie))
+    newest.write.mode("overwrite").parquet(latest_path)

@@ -82,7 +82,7 @@ def write_sequences(sequences: DataFrame, path: str, mode: str = "overwrite") ->
 
 
 def read_sequences(spark: SparkSession, path: str, required: Sequence[str] = SPLITS) -> DataFrame:
-    """Sequences of all splits; fails when a required split has no row (partition listing only)."""
+    """Sequences of all splits; fails when a required split has no row (only the partition column is read)."""
     use_utc(spark)
     sequences = spark.read.parquet(path)
     present = {r["split"] for r in sequences.select("split").distinct().collect()}
@@ -114,5 +114,5 @@ def read_contract(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_contract(spark: SparkSession, names: Sequence[str], path: str) -> None:
-    """Feature names as a text folder is not portable; they are kept as a parquet table."""
+    """Ordered feature names as a small table (``read_contract`` takes it back)."""
     spark.createDataFrame(list(enumerate(names)), "idx int, name string").coalesce(1).write.mode("overwrite").parquet(path)

@@ -1,0 +1,36 @@
+"""The minute aggregate on arriving samples: the batch operator behind a watermark."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from tremorloom.operators.minutes import minute_aggregate
+from tremorloom.session import use_utc
+
+
+def read_sample_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
+    """New sample files as a stream; the source remembers in its checkpoint which files it has read."""
+    use_utc(spark)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+
+
+def stream_minutes(samples: DataFrame, step_seconds: int = 60, lateness: str = "10 minutes") -> DataFrame:
+    """Minute rows, final once the watermark has passed the cell; later samples of a closed cell are dropped.
+
+    State is one set of partial sums per open (sensor, cell).
+    """
+    return minute_aggregate(samples.withWatermark("ts", lateness), step_seconds)
+
+
+def write_minutes_stream(minutes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Run over everything that is available, appending to the minute table, then stop."""
+    return (
+        minutes.writeStream.format("parquet")
+        .outputMode("append")
+        .partitionBy("eruption_id")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(path)
+    )
