@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import functions as F
 
 from checks import standins as st
 from checks.standins import HOURS_SQL, ROLLED_SQL
 from checks.support import check, table
 from tremorloom.functions.labels import horizon_label
-from tremorloom.operators import contract, gates, scaling, sequences
+from tremorloom.operators import contract, gates, minutes, periods, scaling, sequences
 from tremorloom.operators.ranking import exact_quantiles, global_rank
+from tremorloom.plans import jobs
 from tremorloom.session import cut_lineage
+from tremorloom.sources import tables
 
 LENGTH, STRIDE = 12, 5
 
@@ -527,3 +531,76 @@ def _(spark, sf):
 def _(spark, sf):
     li = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("split"), (F.col("l_quantity") - 3).alias("y"))
     return gates.target_range(li, 40.0)
+
+
+# --- the jobs, end to end ---------------------------------------------------------------------------
+
+JOB_NAMES = ["amplitude_mean__click__C0", "network_entropy_mean", "network_amplitude_std"]
+_JOB_VECS = (
+    "vecs AS (SELECT eruption_id AS period_id, time_min, CAST(avg(amplitude_mean) FILTER (sensor = 'click__C0') AS FLOAT) AS f0, "
+    "CAST(avg(shannon_entropy) AS FLOAT) AS f1, CAST(stddev_samp(amplitude_mean_roll_mean) AS FLOAT) AS f2 FROM features GROUP BY 1, 2), idx AS ("
+)
+
+
+def _for_job(sql: str) -> str:
+    """The dataset statements over contract vectors instead of the narrow stand-in vectors."""
+    start, end = sql.index("vecs AS ("), sql.index("idx AS (") + len("idx AS (")
+    return (sql[:start] + _JOB_VECS + sql[end:]).replace(HOURS_SQL, ROLLED_SQL)
+
+
+TRAINING_SQL = _for_job(LONG_SQL)
+
+
+@check(
+    "training_dataset",
+    "period_id:s t_end:t split:s y:i step:i idx:i v:d",
+    f"WITH {TRAINING_SQL}, cells AS (SELECT period_id, rn, unnest(range(3)) AS idx, unnest([f0, f1, f2]) AS v FROM idx) "
+    f"SELECT p.period_id, p.t_end, p.split, p.y, c.rn - p.end_rn + {LENGTH - 1} AS step, c.idx, CAST((coalesce(c.v, m.median) - m.mean) / m.scale AS FLOAT) AS v "
+    f"FROM placed p JOIN cells c ON c.period_id = p.period_id AND c.rn BETWEEN p.end_rn - {LENGTH - 1} AND p.end_rn JOIN params m ON m.idx = c.idx",
+)
+def _(spark, sf):
+    """Minutes to labelled, split, imputed and standardised sequences."""
+    minute_rows = minutes.minute_aggregate(st.assigned(spark, sf), st.HOUR)
+    built, _params = jobs.training_dataset(
+        minute_rows, periods.tidy_periods(st.period_rows(spark)), JOB_NAMES, LENGTH, STRIDE, drop_inference=True
+    )
+    steps = built.select("period_id", "t_end", "split", "y", F.posexplode("x").alias("step", "row"))
+    return steps.select("period_id", "t_end", "split", "y", "step", F.posexplode("row").alias("idx", "v"))
+
+
+@check(
+    "inference_sequences",
+    "period_id:s t_end:t step:i idx:i v:d",
+    f"WITH {_for_job(ENDS_SQL)}, cells AS (SELECT period_id, rn, unnest(range(3)) AS idx, unnest([f0, f1, f2]) AS v FROM idx) "
+    f"SELECT e.period_id, e.t_end, c.rn - e.end_rn + {LENGTH - 1} AS step, c.idx, CAST((coalesce(c.v, CAST(c.idx AS FLOAT)) - CAST(2 AS FLOAT)) / CAST(4 AS FLOAT) AS FLOAT) AS v "
+    f"FROM ends e JOIN cells c ON c.period_id = e.period_id AND c.rn BETWEEN e.end_rn - {LENGTH - 1} AND e.end_rn",
+)
+def _(spark, sf):
+    """Sequences of all periods with given contract and parameters; nothing is fitted."""
+    minute_rows = minutes.minute_aggregate(st.assigned(spark, sf), st.HOUR)
+    params = contract.contract_table(spark, JOB_NAMES).select(
+        "idx", "name", F.col("idx").cast("float").alias("median"), F.lit(2.0).cast("float").alias("mean"), F.lit(4.0).cast("float").alias("scale")
+    )
+    built = jobs.inference_sequences(minute_rows, periods.tidy_periods(st.period_rows(spark)), JOB_NAMES, params, LENGTH, STRIDE)
+    steps = built.select("period_id", "t_end", F.posexplode("x").alias("step", "row"))
+    return steps.select("period_id", "t_end", "step", F.posexplode("row").alias("idx", "v"))
+
+
+@check(
+    "write_sequences",
+    "seq_id:i split:s y:i first:d last:d",
+    f"WITH {MATRIX_SQL} SELECT vec_id AS seq_id, split, y, embedding[1] AS first, embedding[64] AS last FROM seqs",
+)
+def _(spark, sf):
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    tables.write_sequences(matrices(spark, sf), root)
+    last = F.get(F.get("x", F.lit(7)), F.lit(7))
+    return tables.read_sequences(spark, root).select("seq_id", "split", "y", F.get(F.get("x", F.lit(0)), F.lit(0)).alias("first"), last.alias("last"))
+
+
+@check("write_params", "idx:i name:s median:d mean:d scale:d", f"WITH {LONG_SQL} SELECT idx, 'f' || idx AS name, median, mean, scale FROM params")
+def _(spark, sf):
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    tables.write_params(scaling.fit_params(weights(spark, sf), ["f0", "f1", "f2"]), root)
+    names = tables.read_contract(spark, root)
+    return contract.contract_table(spark, names).join(tables.read_params(spark, root).drop("idx"), "name")

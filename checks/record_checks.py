@@ -607,3 +607,46 @@ def _(spark, sf):
         }
     )
     return decision.audit_rows(o, "o_orderkey", ["price"], ["rich"], ["note"], ["o_orderpriority"])
+
+
+@check(
+    "select_runs",
+    "o_orderkey:i",
+    "SELECT o_orderkey FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED' UNION ALL SELECT -1 - o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'",
+)
+def _(spark, sf):
+    o = table(spark, sf, "orders")
+    by_text = decision.select_runs(o, "NOT SPECIFIED").select("o_orderkey")
+    named = o.withColumns(
+        {
+            "model_family": F.when(F.col("o_orderstatus") == "F", "cnn_transformer").otherwise("cnn_bilstm"),
+            "class_weighting": F.when(F.col("o_orderpriority") == "2-HIGH", "alert_priority").otherwise("none"),
+        }
+    )
+    by_name = decision.select_runs(named, "cnn_transformer_alert_priority").select((-1 - F.col("o_orderkey")).alias("o_orderkey"))
+    return by_text.unionByName(by_name)
+
+
+@check(
+    "read_periods_csv",
+    "o_orderkey:i period_id:s period_type:s split:s stations:s start:s",
+    f"SELECT o_orderkey, o_custkey::VARCHAR AS period_id, trim({KIND_SQL}) AS period_type, CASE o_orderstatus WHEN 'F' THEN 'train' WHEN 'O' THEN 'val' ELSE 'extra' END AS split, "
+    "'a,b' AS stations, CASE WHEN o_orderstatus = 'P' THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS start FROM orders",
+)
+def _(spark, sf):
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    order_periods(spark, sf).coalesce(1).write.csv(f"{root}/periods", header=True, sep=";")
+    return tables.read_periods_csv(spark, f"{root}/periods").withColumnRenamed("period_start_utc", "start")
+
+
+@check(
+    "read_minutes_csv",
+    "eruption_id:s sensor:s time_min:t amplitude_mean:d amplitude_std:d amplitude_count:i",
+    f"WITH {st.HOURS_SQL} SELECT * FROM hours",
+)
+def _(spark, sf):
+    from tremorloom.operators import features, minutes
+
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    minutes.minute_aggregate(st.assigned(spark, sf), st.HOUR).write.csv(f"{root}/minutes", header=True)
+    return features.prepare_minutes(tables.read_minutes(spark, f"{root}/minutes"))

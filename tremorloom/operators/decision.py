@@ -75,6 +75,22 @@ class Policy:
     max_class_5_f1_drop: float = 0.05
 
 
+# fixed values: selection names that stand for a model family and a class weighting
+RUN_SELECTIONS = {
+    "cnn_transformer_alert_priority": ("cnn_transformer", "alert_priority"),
+    "cnn_transformer_none": ("cnn_transformer", "none"),
+}
+
+
+def select_runs(runs: DataFrame, selection: str) -> DataFrame:
+    """Runs that a selection name stands for, or else those with the name in any of their columns."""
+    if selection in RUN_SELECTIONS:
+        family, weighting = RUN_SELECTIONS[selection]
+        return runs.where((F.col("model_family") == family) & (F.col("class_weighting") == weighting))
+    row_text = F.concat_ws(" ", *[F.col(c).cast("string") for c in runs.columns])
+    return runs.where(F.contains(row_text, F.lit(selection)))
+
+
 def best_runs(runs: DataFrame, selection: str, scores: Sequence[str], tie: str) -> DataFrame:
     """Best row per selection by the first score column that exists, highest first, missing last.
 
