@@ -16,6 +16,7 @@ from checks import QUERIES  # noqa: E402
 from checks.support import table  # noqa: E402
 from tremorloom import build_session  # noqa: E402
 from tremorloom.operators import features, minutes  # noqa: E402
+from tremorloom.session import cut_lineage  # noqa: E402
 
 # what a full run goes through, from samples to decisions
 HEADLINE = [
@@ -56,7 +57,8 @@ def supplier_features(spark, sf_dir):
         F.col("l_discount").alias("high"),
         F.lit(100.0).alias("sampling_rate"),
     )
-    daily = features.prepare_minutes(minutes.minute_aggregate(samples, 86_400))
+    # the features of a job read a stored minute table
+    daily = cut_lineage(features.prepare_minutes(minutes.minute_aggregate(samples, 86_400)))
     return features.sensor_features(daily, bucket="year")
 
 

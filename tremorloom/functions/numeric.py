@@ -44,12 +44,8 @@ def order_bucket(c: ColumnLike) -> Column:
     """
     v = as_column(c).cast("double")
     magnitude = F.floor(F.log2(F.abs(v)) * BUCKETS_PER_OCTAVE) + F.lit(_BUCKET_SHIFT)
-    return (
-        F.when(v == 0, F.lit(0))
-        .when(v > 0, magnitude)
-        .otherwise(-magnitude)
-        .cast("bigint")
-    )
+    # log2 is NULL for 0, which is the bucket in the middle; never NULL, so joins on it need no extra filter
+    return F.coalesce(F.signum(v).cast("bigint") * magnitude.cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def ratio(numerator: ColumnLike, denominator: ColumnLike) -> Column:

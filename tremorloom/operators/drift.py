@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorloom.functions.numeric import finite, order_bucket
+from tremorloom.functions.numeric import finite, is_finite, order_bucket
 from tremorloom.operators.ranking import bounded_broadcast, exact_quantiles
 
 REFERENCE, CANDIDATE = "reference", "candidate"
@@ -267,10 +267,9 @@ def ks_distance(long: DataFrame) -> DataFrame:
     over as many tasks as it has buckets, and a bucket has a fixed upper limit of distinct values.
     """
     is_ref = F.col("dataset") == REFERENCE
-    v = finite("v").cast("float").cast("double")
     merged = (
-        long.select("feature", v.alias("v"), is_ref.alias("ref"))
-        .where(F.col("v").isNotNull())
+        long.where(is_finite("v"))
+        .select("feature", F.col("v").cast("float").cast("double").alias("v"), is_ref.alias("ref"))
         .withColumn("_b", order_bucket("v"))
         .groupBy("feature", "_b", "v")
         .agg(F.count_if("ref").alias("r"), F.count_if(~F.col("ref")).alias("c"))
@@ -299,35 +298,38 @@ def population_stability(
 ) -> DataFrame:
     """Population stability index per feature over reference quantile bins: rows ``(feature, psi)``.
 
-    Shares below ``floor`` are raised to it. Counts above each cut are plain conditional sums. Pass
-    ``n_features`` when the number of features is known, so that the cut table (one row each) may be broadcast.
+    Shares below ``floor`` are raised to it. Pass ``n_features`` when the number of features is known, so that the cut table (one row each) may be broadcast.
     """
     at = [i / bins for i in range(1, bins)]
-    clean = long.select(
-        "feature", (F.col("dataset") == REFERENCE).alias("_ref"), finite("v").cast("float").cast("double").alias("v")
-    ).where(F.col("v").isNotNull())
+    clean = long.where(is_finite("v")).select(
+        "feature", (F.col("dataset") == REFERENCE).alias("_ref"), F.col("v").cast("float").cast("double").alias("v")
+    )
     quantiles = exact_quantiles(clean.where("_ref"), "feature", "v", at, n_keys=n_features)
     cuts = quantiles.groupBy("feature").agg(
         *[F.max(F.when(F.col("probability") == F.lit(q), F.col("quantile"))).alias(f"_q{i}") for i, q in enumerate(at)]
     )
-    above = lambda side, i: F.count_if(side & (F.col("v") > F.col(f"_q{i}")))
-    ref, cand = F.col("_ref"), ~F.col("_ref")
-    counts = (
+    # few counters per row: one large aggregate over all bins would outgrow what the JVM compiles
+    bin_of = F.lit(bins - 1)
+    for i in reversed(range(bins - 1)):
+        bin_of = F.when(F.col("v") <= F.col(f"_q{i}"), F.lit(i)).otherwise(bin_of)
+    per_bin = (
         clean.join(bounded_broadcast(cuts, n_features), "feature")
-        .groupBy("feature")
+        .groupBy("feature", bin_of.alias("_bin"))
+        .agg(F.count_if("_ref").alias("r"), F.count_if(~F.col("_ref")).alias("c"))
+    )
+    held = lambda side, k: F.sum(F.when(F.col("_bin") == k, F.col(side)).otherwise(F.lit(0)))
+    counts = (
+        per_bin.groupBy("feature")
         .agg(
-            F.count_if(ref).alias("_rn"),
-            F.count_if(cand).alias("_cn"),
-            *[above(ref, i).alias(f"_r{i}") for i in range(bins - 1)],
-            *[above(cand, i).alias(f"_c{i}") for i in range(bins - 1)],
+            F.sum("r").alias("_rn"),
+            F.sum("c").alias("_cn"),
+            *[held(side, k).alias(f"_{side}{k}") for side in "rc" for k in range(bins)],
         )
         .where((F.col("_rn") > 0) & (F.col("_cn") > 0))
     )
 
     def share(side: str, k: int) -> Column:
-        upper = F.col(f"_{side}{k}") if k < bins - 1 else F.lit(0)
-        lower = F.col(f"_{side}{k - 1}") if k else F.col(f"_{side}n")
-        return F.greatest((lower - upper) / F.col(f"_{side}n"), F.lit(floor))
+        return F.greatest(F.col(f"_{side}{k}") / F.col(f"_{side}n"), F.lit(floor))
 
     shares = counts.select(
         "feature", *[share(side, k).alias(f"_s{side}{k}") for side in "rc" for k in range(bins)]

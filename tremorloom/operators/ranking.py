@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorloom.functions.numeric import finite, order_bucket
+from tremorloom.functions.numeric import is_finite, order_bucket
 from tremorloom.session import cut_lineage
 
 ROW = "_rn"
@@ -110,9 +110,10 @@ def exact_quantiles(
     buckets, at most two per key and probability, is broadcast if that is few rows.
     """
     w = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+    # filter on the plain column first: a conditional value would be repeated in every expression built on it
     clean = (
-        df.select(F.col(key), finite(value).cast("double").alias("_v"), w.alias("_w"))
-        .where(F.col("_v").isNotNull() & (F.col("_w") > 0))
+        df.where(is_finite(value) & (w > 0))
+        .select(F.col(key), F.col(value).cast("double").alias("_v"), w.alias("_w"))
         .withColumn("_b", order_bucket("_v"))
     )
     running = Window.partitionBy(key).orderBy("_b")
