@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tremorloom.functions.arrays import bind, constant_array
 from tremorloom.functions.numeric import finite
 from tremorloom.schemas import NETWORK_FULL, SENSOR_FEATURES
 
@@ -94,7 +95,7 @@ def contract_vectors(
             return slot[sensor] + position[feature]
         return -1
 
-    permutation = F.lit([place(n) for n in names])
+    permutation = constant_array([place(n) for n in names], "int")
     merged = (
         features.repartition(period, "time_min")
         .groupBy(period, "time_min", "sensor")
@@ -111,16 +112,14 @@ def contract_vectors(
         ],
     )
     empty = F.array_repeat(F.lit(None).cast("float"), len(columns))
-    side_by_side = F.flatten(
-        F.transform(
-            F.lit(sensors) if sensors else F.array().cast("array<string>"),
-            lambda s: F.coalesce(F.try_element_at(F.col("_blocks"), s), empty),
-        )
+    sensor_list = F.lit(sensors) if sensors else F.array().cast("array<string>")
+    side_by_side = bind(
+        F.col("_blocks"),
+        lambda blocks: F.flatten(F.transform(sensor_list, lambda s: F.coalesce(F.try_element_at(blocks, s), empty))),
     )
     tail = F.array(*[F.col(f"_{n}").cast("float") for n in network]) if network else F.array().cast("array<float>")
-    laid_out = per_minute.select(period, "time_min", F.concat(side_by_side, tail).alias("_all"))
-    return laid_out.select(
-        period,
-        "time_min",
-        F.transform(permutation, lambda i: F.when(i >= 0, F.get(F.col("_all"), i))).alias("x"),
+    ordered = bind(
+        F.concat(side_by_side, tail),
+        lambda cells: F.transform(permutation, lambda i: F.when(i >= 0, F.get(cells, i))),
     )
+    return per_minute.select(period, "time_min", ordered.alias("x"))

@@ -7,11 +7,13 @@ expanded for fitting, and scaling is applied to rows before sequences are assemb
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tremorloom.functions.arrays import constant_array
 from tremorloom.functions.numeric import finite, is_finite
 from tremorloom.operators.contract import contract_table
 from tremorloom.operators.periods import ContractViolation
@@ -91,10 +93,8 @@ def apply_params(vectors: DataFrame, params: DataFrame, n_features: int) -> Data
     The three parameter arrays (one value per contract feature) become constants of the plan.
     """
     medians, means, scales = params_arrays(params, n_features)
-    floats = lambda values: F.lit([float(v) for v in values]).cast("array<float>")
-    med, mean, scale = floats(medians), floats(means), F.transform(
-        floats(scales), lambda s: F.when(is_finite(s) & (s != 0), s).otherwise(F.lit(1.0).cast("float"))
-    )
+    usable = [s if s is not None and math.isfinite(s) and s != 0 else 1.0 for s in scales]
+    med, mean, scale = (constant_array([float(v) for v in part], "float") for part in (medians, means, usable))
     fits = F.size("x") == n_features
     message = F.concat(F.lit(f"vector width is not {n_features}: "), F.size("x").cast("string"))
     scaled = F.transform(
