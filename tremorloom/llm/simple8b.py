@@ -28,7 +28,7 @@ from tremorloom.llm.token_counts import pretokens, vocabulary_path, worker_cache
 
 MAGIC = b"S8B1"
 BLOCK = 512
-RECORD_IDS = 1 << 17
+RECORD_IDS = 1 << 18
 # Bits of a value by selector, 15 down to 2; a word holds 60 // bits of them
 WIDTHS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 _BITS = np.array([60, 0, *WIDTHS[::-1]], np.int64)
@@ -38,12 +38,21 @@ _LOW60 = np.uint64((1 << 60) - 1)
 SCHEMA = "shard int, record long, first_id long, n_ids long, doc_ids array<long>, doc_lens array<long>, payload binary"
 
 
-def _selectors(values: np.ndarray) -> np.ndarray:
-    """The narrowest selector that holds each value."""
+def _narrowest(values: np.ndarray) -> np.ndarray:
     limits = np.array([1 << w for w in WIDTHS[:0:-1]], np.uint64)
     return (2 + np.searchsorted(limits, values, side="right")).astype(np.uint8)
 
 
+_OF_16_BITS = _narrowest(np.arange(1 << 16, dtype=np.uint64))
+
+
+def _selectors(values: np.ndarray) -> np.ndarray:
+    """The narrowest selector that holds each value."""
+    if len(values) and values.max() < len(_OF_16_BITS):
+        return _OF_16_BITS[values.astype(np.uint16)]
+    return _narrowest(values)
+
+
 def _fullest(selectors: np.ndarray) -> np.ndarray:
     """At each position the selector that packs most of the values from there; zeros stand behind the end."""
     n = len(selectors)
@@ -96,23 +105,22 @@ def _pack(values, starts, ends, marks, n, block) -> bytes:
         for selector in range(2, 15):
             best[(best == selector) & (room < _COUNT[selector])] = selector + 1
         best[marks] = 0
-    at, lane, placed = starts.copy(), np.arange(len(starts)), []
+    is_word = np.zeros(len(values), bool)
+    at, stop = starts.copy(), ends
     while len(at):
-        placed.append((at, lane))
+        is_word[at] = True
         at = at + _COUNT[best[at]]
-        going = at < ends[lane]
-        at, lane = at[going], lane[going]
-    where = np.concatenate([p for p, _ in placed]) if placed else np.zeros(0, np.int64)
-    lanes = np.concatenate([x for _, x in placed]) if placed else np.zeros(0, np.int64)
-    order = np.argsort(where, kind="stable")
-    where, lanes = where[order], lanes[order]
+        going = at < stop
+        at, stop = at[going], stop[going]
+    where = np.flatnonzero(is_word)
+    lanes = np.searchsorted(starts, where, side="right") - 1
     chosen = best[where] if len(where) else best
     counts = _COUNT[chosen]
     first = np.cumsum(counts) - counts
     slot = np.arange(int(counts.sum())) - np.repeat(first, counts)
-    pos = np.repeat(where, counts) + slot
-    held = np.concatenate([values, np.zeros(int(_COUNT[2]), np.uint64)])[pos]
-    held[pos >= np.repeat(ends[lanes], counts)] = 0  # behind the end of a block
+    held = np.concatenate([values, np.zeros(int(_COUNT[2]), np.uint64)])[slot + np.repeat(where, counts)]
+    for i in np.flatnonzero(where + counts > ends[lanes]):  # the last word of a block, at most one each
+        held[first[i] + ends[lanes[i]] - where[i] : first[i] + counts[i]] = 0
     held <<= (slot * np.repeat(_BITS[chosen], counts)).astype(np.uint64)
     words = np.bitwise_or.reduceat(held, first) if len(where) else held
     words |= chosen.astype(np.uint64) << np.uint64(60)

@@ -13,8 +13,9 @@ the same ids (no special strings, no combining accents).
 
 from __future__ import annotations
 
+import re
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import public_tokenizers
@@ -27,9 +28,10 @@ VOCABULARY = "word_bpe_49k.json"
 TABLE_SIZE = 32_768
 TASK_TOP = 8_192
 MAX_PRETOKEN = 64
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000
 SUMMARY_ENTRIES = 400_000
 _TAIL = b".,;:!?*#$%&|)"
+_LATIN = re.compile("[a-zß-öø-ÿ]+")
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 
 _encoders: dict[str, object] = {}
@@ -64,28 +66,76 @@ def _parts(word: bytes) -> list[bytes]:
     return [word]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which a byte-level vocabulary writes bytes: printable ones as they are, others from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(others)}}
+
+
+_AS_LETTERS = _byte_letters()
+
+
 class PretokenCache:
-    """Pre-token -> value (a count, or ids as bytes) in front of the tokenizer; bounded by ``entries``."""
+    """Pre-token -> value (a count, or ids as bytes) in front of the tokenizer.
+
+    Two generations of ``entries`` each at most bound the memory: when the young one is full it becomes the old one, and what is
+    met again there returns.
+    """
 
     def __init__(self, path: str, value: Callable[[list[int]], object], frequent: dict | None = None, entries: int = CACHE_ENTRIES):
         self.path, self.value, self.frequent, self.entries = path, value, frequent or {}, entries
-        self.known = dict(self.frequent)
-
-    def lookup(self, words: Iterable[list[bytes]]) -> dict:
+        self.known, self.old = dict(self.frequent), {}
+
+    def encoded(self, words: list[bytes]) -> list:
+        """Values from the library. A lower-case Latin word is one pre-token that normalisation leaves alone, so
+        the library's merge step gets it directly; all others take the whole way."""
+        out, rest = [None] * len(words), []
+        merge, value = encoder(self.path).model.tokenize, self.value
+        for i, word in enumerate(words):
+            if word.isalpha():  # ASCII letters, in lower case where pretokens() did that
+                if word.islower():
+                    out[i] = value([t.id for t in merge(word.decode())])
+                    continue
+            elif _LATIN.fullmatch(word.decode("utf-8", "replace")):
+                out[i] = value([t.id for t in merge("".join([_AS_LETTERS[b] for b in word]))])
+                continue
+            rest.append(i)
+        if rest:
+            found = encoder(self.path).encode_batch([words[i].decode("utf-8", "replace") for i in rest], add_special_tokens=False)
+            for i, e in zip(rest, found):
+                out[i] = value(e.ids)
+        return out
+
+    def lookup(self, lists: list[list[bytes]]) -> dict:
         """A table that has every word of the given lists."""
-        known = self.known
-        missing = {w for ws in words for w in ws if w not in known}
-        if missing:
-            if len(known) + len(missing) > self.entries:
-                self.known = known = dict(self.frequent)
-                missing = {w for ws in words for w in ws if w not in known}
-            cut = {w: _parts(w) for w in missing}
-            new = [p for p in {p for ps in cut.values() for p in ps} if p not in known]
-            found = encoder(self.path).encode_batch([p.decode("utf-8", "replace") for p in new], add_special_tokens=False)
-            known.update(zip(new, [self.value(e.ids) for e in found]))
-            for word, ps in cut.items():
-                if len(ps) > 1:
-                    known[word] = known[ps[0]] + known[ps[1]]
+        known, old = self.known, self.old
+        missing = {w for words in lists for w in words if w not in known}
+        if not missing:
+            return known
+        if len(known) + len(missing) > self.entries + len(self.frequent):
+            self.old = old = known
+            self.known = known = dict(self.frequent)
+            missing = {w for words in lists for w in words if w not in known}
+        new, cut = [], {}
+        for word in missing:
+            if word in old:
+                known[word] = old[word]
+                continue
+            parts = _parts(word)
+            if len(parts) > 1:
+                cut[word] = parts
+            else:
+                new.append(word)
+        pieces = {p for parts in cut.values() for p in parts}.difference(known, new)
+        for piece in pieces:
+            if piece in old:
+                known[piece] = old[piece]
+            else:
+                new.append(piece)
+        known.update(zip(new, self.encoded(new)))
+        for word, (core, tail) in cut.items():
+            known[word] = known[core] + known[tail]
         return known
 
 
