@@ -309,14 +309,20 @@ def _possible(percent: int):
     """Whether sizes and sketches of ``x`` and ``y`` (structs of n, sketch) leave room for a link."""
     a, b = F.col("x.sketch"), F.col("y.sketch")
     n, m = F.col("x.n"), F.col("y.n")
-    short = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(SKETCH_WORDS)), F.lit(0))
-    differ = F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q)))
-    apart = (
-        F.when(F.size(a) != F.size(b), 0)
-        .when(F.size(a) == SKETCH_WORDS, short)
-        .otherwise(F.aggregate(differ, F.lit(0), lambda total, d: total + d))
+    def words_apart(count: int):
+        return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(count)), F.lit(0))
+
+    def fits(apart):
+        return apart * (100 + percent) <= (100 - percent) * (n + m)
+
+    differ = F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, d: total + d)
+    # half of a longer sketch first: it turns most pairs down without the slower fold over all words
+    room = (
+        F.when(F.size(a) != F.size(b), True)
+        .when(F.size(a) == SKETCH_WORDS, fits(words_apart(SKETCH_WORDS)))
+        .otherwise(F.when(fits(words_apart(2 * SKETCH_WORDS)), fits(differ)).otherwise(False))
     )
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (apart * (100 + percent) <= (100 - percent) * (n + m))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & room
 
 
 def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -350,10 +356,22 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     placed = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("sign").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("sign")
     placed = stash(placed.join(mixed, "sign", "left_semi").join(about, "id"), "mixed-members")
-    x = placed.select("sign", F.col("id").alias("a"), F.col("component").alias("from"), F.col("about").alias("x"))
-    y = placed.select(F.col("sign").alias("same"), F.col("id").alias("b"), F.col("component").alias("to"), F.col("about").alias("y"))
+    # short sketches travel as plain columns, which are compared at far less cost than nested arrays
+    def side(name: str, sign: str, id_name: str, component: str) -> DataFrame:
+        short = F.size("about.sketch") == SKETCH_WORDS
+        return placed.select(
+            F.col("sign").alias(sign), F.col("id").alias(id_name), F.col("component").alias(component), F.col("about.n").alias(f"n{name}"),
+            short.alias(f"short_{name}"), F.when(~short, F.col("about")).alias(name),
+            *[F.col("about.sketch")[i].alias(f"{name}{i}") for i in range(SKETCH_WORDS)],
+        )
+
     apart = (F.col("sign") == F.col("same")) & (F.col("a") < F.col("b")) & (F.col("from") != F.col("to"))
-    cross = x.join(y, apart & _possible(percent)).select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
+    size_fits = (100 * F.col("nx") >= percent * F.col("ny")) & (100 * F.col("ny") >= percent * F.col("nx"))
+    differ = sum((F.bit_count(F.col(f"x{i}").bitwiseXOR(F.col(f"y{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
+    short_fits = F.col("short_x") & F.col("short_y") & (differ * (100 + percent) <= (100 - percent) * (F.col("nx") + F.col("ny")))
+    long_fits = F.when(F.col("short_x") | F.col("short_y"), F.col("short_x") != F.col("short_y")).otherwise(_possible(percent))
+    pairs = side("x", "sign", "a", "from").join(side("y", "same", "b", "to"), apart & size_fits & (short_fits | long_fits))
+    cross = pairs.select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
     more = _verified(stash(cross, "cross-pairs"), rows, words, percent, "cross")
     if not more.isEmpty():
         labels = connected(links.unionByName(more), "all")
