@@ -14,7 +14,6 @@ from tremorloom.operators import features, minutes, periods, ranking, sequences
 from tremorloom.plans import jobs
 from tremorloom.schemas import MINUTES, MINUTE_COLUMNS
 from tremorloom.sources import tables
-from tremorloom.streaming import minutes as streaming
 
 
 def plan_of(df) -> str:
@@ -59,20 +58,6 @@ def test_broken_period_table_stops_the_extraction(spark):
         jobs.extract_minutes(spark.createDataFrame(trace(np.ones(3)).drop(columns="period_id")), table)
 
 
-def test_minute_stream_equals_batch(spark, tmp_path):
-    t = trace(np.arange(60_000, dtype=float) % 977, rate=50.0).assign(low=1.0, high=2.0)
-    df = spark.createDataFrame(t)
-    for i in range(3):
-        df.where(F.floor(F.minute("ts") / 7) == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = streaming.read_sample_stream(spark, str(tmp_path / "in"), df.schema, files_per_batch=1)
-    query = streaming.write_minutes_stream(streaming.stream_minutes(stream, lateness="1 minute"), str(tmp_path / "out"), str(tmp_path / "state"))
-    query.awaitTermination(120)
-    got = tables.read_minutes(spark, str(tmp_path / "out"), "parquet").orderBy("time_min").toPandas()
-    want = minutes.minute_aggregate(df).orderBy("time_min").toPandas()
-    assert 0 < len(want) - len(got) <= 2  # cells the watermark has not closed yet
-    pd.testing.assert_frame_equal(got, want.head(len(got)), check_dtype=False)
-
-
 @pytest.fixture()
 def minute_table(spark, tmp_path):
     i = np.arange(3000)

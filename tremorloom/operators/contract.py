@@ -18,9 +18,6 @@ from tremorloom.schemas import NETWORK_FULL, SENSOR_FEATURES
 
 NETWORK_COLUMNS = [f"{prefix}_{stat}" for prefix in NETWORK_FULL for stat in ("mean", "std")]
 
-# The contract is configuration that every task needs in full; this bounds what is sent around.
-MAX_CONTRACT = 100_000
-
 
 def feature_names(features: DataFrame, columns: Sequence[str] = SENSOR_FEATURES) -> DataFrame:
     """Names ``feature__sensor`` (and network names) that have at least one value anywhere."""
@@ -46,11 +43,14 @@ def feature_names(features: DataFrame, columns: Sequence[str] = SENSOR_FEATURES)
     return names if network is None else names.unionByName(network)
 
 
-def derive_contract(features: DataFrame, columns: Sequence[str] = SENSOR_FEATURES) -> list[str]:
-    """Sorted union of the names over all periods. The list is configuration, hence returned to the driver."""
-    names = feature_names(features, columns).distinct().limit(MAX_CONTRACT + 1).collect()
-    if len(names) > MAX_CONTRACT:
-        raise ValueError(f"more than {MAX_CONTRACT} feature names")
+def derive_contract(features: DataFrame, columns: Sequence[str] = SENSOR_FEATURES, most: int | None = None) -> list[str]:
+    """Sorted union of the names over all periods: configuration, one name per feature and sensor, hence returned to the driver.
+
+    ``most``: raise if there are more names than the caller expects.
+    """
+    names = feature_names(features, columns).distinct().collect()
+    if most is not None and len(names) > most:
+        raise ValueError(f"{len(names)} feature names, more than {most}")
     if not names:
         raise ValueError("no feature has a value")
     return sorted(row["name"] for row in names)

@@ -101,8 +101,8 @@ def best_runs(runs: DataFrame, selection: str, scores: Sequence[str], tie: str)
         finite(F.col(score).try_cast("double")), F.lit(float("-inf"))
     )
     whole = F.struct(*runs.columns)
-    rank = F.struct(numeric.alias("s"), (-F.col(tie)).alias("t"))
-    return runs.groupBy(F.col(selection).alias("_sel")).agg(F.max_by(whole, rank).alias("_best")).select("_best.*")
+    rank = F.struct((-numeric).alias("s"), F.col(tie).alias("t"))  # the tie may be text
+    return runs.groupBy(F.col(selection).alias("_sel")).agg(F.min_by(whole, rank).alias("_best")).select("_best.*")
 
 
 def candidate_metrics(results: DataFrame, json: str = "result") -> DataFrame:
@@ -212,7 +212,7 @@ def promote(
     current = registry.groupBy(on).agg(F.max_by(F.struct("version", *METRICS), "version").alias("_old"))
     approved = candidates.join(decisions.where("eligible_for_promotion").select(key), key, "left_semi")
     chosen = approved.groupBy(on).agg(
-        F.max_by(F.struct(key, *METRICS), F.struct(F.coalesce("business_score", F.lit(float("-inf"))), -F.col(key))).alias("_new")
+        F.min_by(F.struct(key, *METRICS), F.struct(-F.coalesce("business_score", F.lit(float("-inf"))), F.col(key))).alias("_new")
     )
     return chosen.join(current, on, "left").select(
         on,
@@ -238,20 +238,21 @@ def promotion_action(comparisons: DataFrame) -> DataFrame:
     )
 
 
-def audit_rows(reports: DataFrame, key: str, metrics: Sequence[str], flags: Sequence[str], tags: Sequence[str], params: Sequence[str]) -> DataFrame:
+def audit_rows(reports: DataFrame, key: str, metrics: Sequence[str], flags: Sequence[str], tags: Sequence[str], params: Sequence[str], tag_chars: int | None = None, param_chars: int | None = None) -> DataFrame:
     """Flat ``(key, kind, name, value, text)`` rows of report columns.
 
-    Numbers that are not finite are left out, booleans become 0/1, texts are cut to 500 (tags) or 250 (params)
-    characters, empty tags are left out.
+    Numbers that are not finite are left out, booleans become 0/1, empty tags are left out. Texts are whole unless
+    ``tag_chars`` or ``param_chars`` ask for a cut, as a tracking server may.
     """
+    cut = lambda s, chars: s if chars is None else F.substring(s, 1, chars)
     number = lambda n, c: F.struct(F.lit("metric").alias("kind"), F.lit(n).alias("name"), c.alias("value"), F.lit(None).cast("string").alias("text"))
     text = lambda kind, n, c: F.struct(F.lit(kind).alias("kind"), F.lit(n).alias("name"), F.lit(None).cast("double").alias("value"), c.alias("text"))
     entries = [F.when(finite(m).isNotNull(), number(m, finite(m).cast("double"))) for m in metrics]
     entries += [F.when(F.col(f).isNotNull(), number(f, F.col(f).cast("int").cast("double"))) for f in flags]
     for t in tags:
         s = F.col(t).cast("string")
-        entries.append(F.when(s.isNotNull() & (s != "") & (s != "None"), text("tag", t, F.substring(s, 1, 500))))
+        entries.append(F.when(s.isNotNull() & (s != "") & (s != "None"), text("tag", t, cut(s, tag_chars))))
     for p in params:
         s = F.col(p).cast("string")
-        entries.append(F.when(s.isNotNull(), text("param", p, F.substring(s, 1, 250))))
+        entries.append(F.when(s.isNotNull(), text("param", p, cut(s, param_chars))))
     return reports.select(key, F.explode(F.array_compact(F.array(*entries))).alias("_a")).select(key, "_a.*")

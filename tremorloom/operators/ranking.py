@@ -8,6 +8,7 @@ a copy of their neighbours' edge rows, and quantiles sort only the bucket the wa
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ def global_rank(
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     numbered = cut.withColumn("_in_bucket", F.row_number().over(inside))
     return (
-        numbered.join(offsets, [*keys, "_bucket"])
+        same_keys(numbered, offsets, [*keys, "_bucket"])
         .withColumn(name, F.col("_before") + F.col("_in_bucket"))
         .drop("_bucket", "_before", "_in_bucket")
     )
@@ -74,24 +75,42 @@ def own_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col(OWN)).drop(CHUNK, OWN)
 
 
-# Largest small side that is broadcast on the strength of a known row count.
-BROADCAST_ROWS = 200_000
+# Largest side that is broadcast with a hint, in bytes; keys and short names count with NAME_BYTES each.
+BROADCAST_BYTES = 16 << 20
+NAME_BYTES = 64
+
+
+def _row_bytes(df: DataFrame) -> int | None:
+    """Bytes of a row of numbers, times and names; None for nested columns, whose width isn't known."""
+    kinds = [t for _, t in df.dtypes]
+    if any(t.startswith(("array", "map", "struct", "binary")) for t in kinds):
+        return None
+    return sum(NAME_BYTES if t == "string" else 8 for t in kinds)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast hint when the caller knows that ``df`` has at most ``max_rows`` rows and that is few.
+    """Broadcast hint when ``df`` has at most ``max_rows`` rows of plain columns and these are few bytes.
 
     Otherwise no hint: Spark then decides by measured size.
     """
-    return F.broadcast(df) if max_rows is not None and max_rows <= BROADCAST_ROWS else df
+    width = _row_bytes(df)
+    fits = max_rows is not None and width is not None and max_rows * width <= BROADCAST_BYTES
+    return F.broadcast(df) if fits else df
 
 
 def measured_broadcast(df: DataFrame) -> DataFrame:
-    """A table that should be small: checkpointed, counted, and broadcast only if the count is small."""
+    """A table that should be small: checkpointed, counted, and broadcast only if its bytes are few."""
     small = cut_lineage(df)
     return bounded_broadcast(small, small.count())
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys where NULL equals NULL; the keys of the left side stay."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(other, on, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def exact_quantiles(
     df: DataFrame,
     key: str,

@@ -35,6 +35,7 @@ def score(sequences: DataFrame, predict: Callable, n_classes: int = N_CLASSES, b
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for batch in batches:
             for start in range(0, batch.num_rows, batch_rows):
@@ -43,7 +44,10 @@ def score(sequences: DataFrame, predict: Callable, n_classes: int = N_CLASSES, b
                 steps = x.flatten()
                 values = steps.flatten().to_numpy(zero_copy_only=False).astype(np.float32)
                 n = part.num_rows
-                length = len(steps) // n
+                length, width = len(steps) // n, len(values) // max(1, len(steps))
+                even = pc.all(pc.equal(pc.list_value_length(x), length)).as_py() and pc.all(pc.equal(pc.list_value_length(steps), width)).as_py()
+                if x.null_count or steps.null_count or even is False:
+                    raise ValueError("sequences of one batch differ in length or width, or a matrix is NULL")
                 out = np.asarray(call(values.reshape(n, length, -1)), dtype=float)
                 if out.ndim == 1:
                     out = out.reshape(1, -1)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tremorloom.functions.numeric import is_finite
 from tremorloom.functions.times import micros
+from tremorloom.operators.ranking import same_keys
 from tremorloom.schemas import BAND_FULL, BAND_HIGH, BAND_LOW, NYQUIST_MINIMUM_HZ
 
 TRACE_KEYS = ["period_id", "network", "station", "channel"]
@@ -54,7 +55,7 @@ def interpolate_gaps(
     by_bucket = Window.partitionBy(*keys).orderBy("_b")
     heads = (
         valid.groupBy(*keys, "_b")
-        .agg(F.min_by(F.struct("_us", "amplitude"), F.struct(F.col("_us"), -winner)).alias("_head"))
+        .agg(F.max_by(F.struct("_us", "amplitude"), F.struct(-F.col("_us"), winner)).alias("_head"))
         .withColumn("_after", F.lead("_head").over(by_bucket))
         .select(*keys, "_b", "_after")
     )
@@ -70,7 +71,7 @@ def interpolate_gaps(
     inside = Window.partitionBy(*keys, "_b").orderBy("_us")
     linked = (
         merged.withColumn("_next", F.lead(F.struct("_us", "amplitude")).over(inside))
-        .join(heads, [*keys, "_b"])
+        .transform(lambda left: same_keys(left, heads, [*keys, "_b"]))
         .withColumn("_next", F.coalesce("_next", "_after"))
         .withColumn("_dt", F.lit(1e6) / F.col("sampling_rate"))
         .withColumn(
@@ -108,7 +109,7 @@ def demean(samples: DataFrame, keys: Sequence[str] = TRACE_KEYS) -> DataFrame:
     """Subtract the mean of each trace (aggregate, then join back the small trace table)."""
     means = samples.groupBy(*keys).agg(F.avg("amplitude").alias("_mean"))
     return (
-        samples.join(means, list(keys)).withColumn("amplitude", F.col("amplitude") - F.col("_mean")).drop("_mean")
+        same_keys(samples, means, keys).withColumn("amplitude", F.col("amplitude") - F.col("_mean")).drop("_mean")
     )
 
 
@@ -166,7 +167,7 @@ def detrend_linear(
     # a single instant has no slope: only its mean is removed
     line = F.col("_mean") + F.coalesce(F.col("_slope") * (seconds - F.col("_centre")), F.lit(0.0))
     return (
-        samples.join(trace_lines(samples, keys) if lines is None else lines, list(keys))
+        same_keys(samples, trace_lines(samples, keys) if lines is None else lines, keys)
         .withColumn("amplitude", F.col("amplitude") - line)
         .drop("_day0", "_slope", "_centre", "_mean")
     )

@@ -41,6 +41,11 @@ def feature_vectors(
     return vectors, chosen
 
 
+def of_periods(minute_table: DataFrame, usable: DataFrame) -> DataFrame:
+    """Minutes of the usable periods; with a table partitioned by period only their folders are read."""
+    return minute_table.join(usable.select(F.col("period_id").alias("eruption_id")).distinct(), "eruption_id", "left_semi")
+
+
 def training_dataset(
     minute_table: DataFrame,
     period_table: DataFrame,
@@ -64,7 +69,7 @@ def training_dataset(
     """
     manual = split == "manual"
     usable = periods.select_periods(period_table, "training", manual, drop_inference)
-    vectors, chosen = feature_vectors(minute_table, names, window_rows, bins)
+    vectors, chosen = feature_vectors(of_periods(minute_table, usable), names, window_rows, bins)
     indexed = cut_lineage(sequences.index_rows(vectors))
     ends = sequences.sequence_ends(indexed, length, stride)
     kept = cut_lineage(sequences.label_sequences(ends, usable, max_horizon_hours, clamp_after_event, task))
@@ -92,7 +97,7 @@ def inference_sequences(
 ) -> DataFrame:
     """Sequences with a saved contract and saved parameters; nothing is fitted."""
     usable = periods.select_periods(period_table, "inference")
-    vectors, _ = feature_vectors(minute_table, names, window_rows, bins)
+    vectors, _ = feature_vectors(of_periods(minute_table, usable), names, window_rows, bins)
     indexed = sequences.index_rows(scaling.apply_params(vectors, params, len(names)))
     wanted = [c for c in ("period_id", "period_ord") if c in usable.columns]
     ends = sequences.sequence_ends(indexed, length, stride).join(usable.select(*wanted), "period_id")

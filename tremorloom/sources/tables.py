@@ -42,7 +42,7 @@ def read_periods_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_minutes(spark: SparkSession, paths: str | Sequence[str], format: str = "csv") -> DataFrame:
     """Minute aggregates of any number of periods in one scan, explicit schema.
 
-    CSV columns are matched by header name, not by place; ``eruption_id`` falls back to the file name without
+    CSV columns are taken by header name; files of one call must share a header, others raise; ``eruption_id`` falls back to the file name without
     its fixed suffix. CSV values stay text until ``prepare_minutes`` types them.
     """
     use_utc(spark)
@@ -51,7 +51,10 @@ def read_minutes(spark: SparkSession, paths: str | Sequence[str], format: str =
         return found.select(*MINUTE_COLUMNS)
     if format != "csv":
         raise ValueError("format must be 'csv' or 'parquet'")
-    found = spark.read.csv(paths if isinstance(paths, str) else list(paths), header=True)
+    files = paths if isinstance(paths, str) else list(paths)
+    first = spark.read.csv(files, header=True)
+    # a file whose header differs from the first one's fails instead of giving its values to other columns
+    found = spark.read.schema(first.schema).csv(files, header=True, enforceSchema=False)
     stem = F.regexp_extract(F.input_file_name(), "([^/]+)$", 1)
     from_name = F.regexp_replace(F.url_decode(stem), MINUTE_FILE_SUFFIX.replace(".", "\\.") + "$", "")
     given = F.col("eruption_id") if "eruption_id" in found.columns else F.lit(None).cast("string")
