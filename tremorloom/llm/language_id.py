@@ -3,7 +3,8 @@
 A dictionary is text of the language from a bounded sample of labelled rows (``sample_docs`` texts of at most
 ``sample_chars`` characters per language, the first by a hash of the id). A text is cut into blocks, each block is
 compressed with every dictionary, and the language whose sizes add up to least is chosen. A text of any length is read
-whole. The margin is how much larger the second smallest sum is; where it is narrow the text is rejected.
+whole. The margin is how much larger the second smallest sum is; where it is narrow the text is
+rejected, unless it has fewer than ``LEAST_BYTES`` bytes of distinct words to compare.
 """
 
 from __future__ import annotations
@@ -20,15 +21,16 @@ from tremorloom.llm.common import id_and_bytes, texts_of
 
 UNKNOWN = "und"
 BLOCK = 2048
-LEAST_LETTERS = 32
+LEAST_BYTES = 512
 LEVEL = 3
 _LETTER = re.compile(r"[^\W\d_]")
+_OTHERS = re.compile(r"[\W\d_]+")
 
 _compressors: dict = {}
 
 
 def learn_dictionaries(
-    labelled: DataFrame, sample_docs: int = 64, sample_chars: int = 8192, dictionary_bytes: int = 1 << 16, id_col: str = "doc_id"
+    labelled: DataFrame, sample_docs: int = 96, sample_chars: int = 8192, dictionary_bytes: int = 1 << 17, id_col: str = "doc_id"
 ) -> dict[str, bytes]:
     """Dictionary content by language from rows of ``doc_id, text, lang``; rows without text or language are passed over.
 
@@ -43,9 +45,11 @@ def learn_dictionaries(
     texts: dict[str, list[str]] = {}
     for row in ranked.orderBy("lang", "nth").collect():
         if _LETTER.search(row["text"]):
-            texts.setdefault(row["lang"], []).append(row["text"].lower())
+            texts.setdefault(row["lang"], []).append(plain(row["text"]))
+    # a row per language; the commonest comes first, which decides ties
+    common = [r["lang"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()]
     # the end of a raw dictionary is nearest and cheapest to refer to
-    return {lang: "\n".join(own).encode()[-dictionary_bytes:] for lang, own in sorted(texts.items())}
+    return {lang: " ".join(texts[lang]).encode()[-dictionary_bytes:] for lang in common if lang in texts}
 
 
 def compressors(dictionaries: dict[str, bytes], level: int) -> dict:
@@ -62,15 +66,19 @@ def compressors(dictionaries: dict[str, bytes], level: int) -> dict:
     return _compressors[key]
 
 
-def enough(raw: bytes) -> bool:
-    return len(_LETTER.findall(raw.decode("utf-8", "replace"))) >= LEAST_LETTERS
+def plain(text: str) -> str:
+    """Lower-case words with single spaces; signs and digits say nothing about the language but break up matches."""
+    return _OTHERS.sub(" ", text.lower()).strip()
 
 
-def sizes(text: str, made: dict, block: int = BLOCK) -> list[tuple[int, str]]:
-    """Compressed size of the whole text by language, smallest first; ties by name."""
-    data = text.lower().encode()
-    parts = [data[i : i + block] for i in range(0, len(data), block)]
-    return sorted((sum(len(c.compress(p)) for p in parts), lang) for lang, c in made.items())
+def sizes(text: str, made: dict, block: int = BLOCK) -> tuple[list[tuple[int, str]], int]:
+    """Compressed size of the whole text by language, smallest first, ties in the order of the dictionaries; bytes compared.
+
+    In each block a word counts once, or a text that repeats itself would be its own dictionary.
+    """
+    data = plain(text).encode()
+    parts = [b" ".join(dict.fromkeys(data[i : i + block].split(b" "))) for i in range(0, len(data), block)]
+    return sorted(((sum(len(c.compress(p)) for p in parts), lang) for lang, c in made.items()), key=lambda x: x[0]), sum(map(len, parts))
 
 
 def language_id(
@@ -80,7 +88,7 @@ def language_id(
 
     ``lang_pred`` is ``und`` and ``score`` 0 for NULL, empty and letterless texts, and where nothing was learned. ``score`` is the
     margin: by how much of it the second best sum is above the best one, 0 to 1. ``rejected``: ``und``, or a margin below
-    ``least_margin`` and ``LEAST_LETTERS`` letters or more. Equal sums go to the first name. Rows are judged one by one, so repeated rows and
+    ``least_margin`` on ``LEAST_BYTES`` bytes or more. Equal sums go to the first of ``dictionaries``. Rows are judged one by one, so repeated rows and
     NULL ids don't matter; an empty table gives no rows.
     """
     rows = id_and_bytes(docs, id_col, text_col)
@@ -89,17 +97,18 @@ def language_id(
     def run(batches) -> Iterator[pa.RecordBatch]:
         made = compressors(held.value, level)
         for ids, texts in texts_of(batches):
-            pred, score = [], []
+            pred, score, rejected = [], [], []
             for raw in texts:
                 text = raw.decode("utf-8", "replace")
                 if not made or not _LETTER.search(text):
                     pred.append(UNKNOWN)
                     score.append(0.0)
+                    rejected.append(True)
                     continue
-                ranked = sizes(text, made)
+                ranked, compared = sizes(text, made)
                 pred.append(ranked[0][1])
                 score.append(1.0 - ranked[0][0] / ranked[1][0] if len(ranked) > 1 else 1.0)
-            rejected = [p == UNKNOWN or s < least_margin and enough(t) for p, s, t in zip(pred, score, texts)]
+                rejected.append(score[-1] < least_margin and compared >= LEAST_BYTES)
             yield pa.record_batch(
                 {
                     "doc_id": ids,
