@@ -606,7 +606,7 @@ def _(spark, sf):
             "note": F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(F.repeat(F.lit("ab"), F.lit(400))),
         }
     )
-    return decision.audit_rows(o, "o_orderkey", ["price"], ["rich"], ["note"], ["o_orderpriority"])
+    return decision.audit_rows(o, "o_orderkey", ["price"], ["rich"], ["note"], ["o_orderpriority"], tag_chars=500, param_chars=250)
 
 
 @check(
