@@ -3,10 +3,10 @@
 A text is the set of its distinct word shingles. Sets whose sizes lie in the same band differ in at most ``k`` elements if
 their similarity reaches the threshold. The feature domain (64-bit hashes) is dealt into ``k + 1 + z`` parts, so two such sets
 agree in full on ``z + 1`` parts at least: a signature stands for one part and what the set has there (subsets of size
-one; deeper enumeration is not needed once the parts hold several elements each). Parts with fewer than ``WEAK`` elements
-besides very frequent shingles say little and are left out by a set that has at most ``z`` of them; as both sets agree on
-weak parts, one of the ``z + 1`` is strong, so no pair is lost, whatever shingles are called frequent. A set takes part
-in its own band and, if a partner may be larger, in the next.
+one; deeper enumeration is not needed once the parts hold several elements each). Parts are ordered by what they hold: by
+the number of elements besides very frequent shingles, then by hash. Each set leaves out its ``z`` lowest parts. The highest
+of the ``z + 1`` parts that two sets agree on has ``z`` others below it in both, so both send it: no pair is lost, whatever
+shingles are called frequent. A set takes part in its own band and, if a partner may be larger, in the next.
 
 Signatures travel packed by hash range. A task first looks among its own: of the sets with one signature only the
 least id goes on, so a signature carried by a third of all rows costs each task one row. Sets that share a
@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 
 from tremorloom.llm.common import id_and_bytes, mix, space_words, stash, texts_of
 
-WEAK = 2
-BAND_STEPS = 3
+BAND_STEPS = 2
 FREQUENT_SHARE = 0.001
 FREQUENT_LEAST = 8
 SKETCH_WORDS = 16
+#: the largest set with the shortest sketch; each further sketch is four times as long and serves sets four times as large
+SHORT_SET = 96 * SKETCH_WORDS
 FLUSH_SIGNATURES = 4_000_000
 #: ids of a semi-join that are broadcast (16 MB); more are shuffled
 BROADCAST_IDS = 1_000_000
@@ -52,9 +53,9 @@ def bands(percent: int, largest: int = 1 << 40) -> tuple[list[int], list[int]]:
 
 
 def parts_of(band: int, percent: int) -> tuple[int, int]:
-    """``(parts, z)``: number of parts of a band and the number of weak parts a set may leave out."""
+    """``(parts, z)``: number of parts of a band and how many of its lowest parts a set leaves out."""
     k = (100 - percent) * 2 * bands(percent)[1][band] // (100 + percent)
-    z = 0 if k == 0 else 2 + k // 3
+    z = 0 if k == 0 else 2 + k // 2
     return k + 1 + z, z
 
 
@@ -149,17 +150,16 @@ def signatures(items: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndar
         held = np.bincount(part[rare], minlength=parts)
         sums = low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))
         sign = mix(sums ^ mix(np.arange(parts, dtype=np.uint64) + np.uint64(band + 1) * np.uint64(1 << 32)))
-        strong = held >= WEAK
-        out.append(sign[strong] if parts - int(strong.sum()) <= z else sign)
+        out.append(sign[np.lexsort((sign, held))[z:]])
     return np.concatenate(out)
 
 
 def odd_sketch(items: np.ndarray) -> np.ndarray:
     """Parities of 1024 counters, or 4096, 16384, ... for large sets; two sets differ in as many elements at least as their
-    sketches of equal length in bits."""
-    size = SKETCH_WORDS
-    while 64 * size * 3 < len(items):
-        size *= 4
+    sketches of equal length in bits. The four quarters of a sketch together (exclusive or) are the next shorter one."""
+    size, largest = SKETCH_WORDS, SHORT_SET
+    while largest < len(items):
+        size, largest = 4 * size, 4 * largest
     slot = (mix(items + np.uint64(7)) & np.uint64(64 * size - 1)).astype(np.int64)
     odd = (np.bincount(slot, minlength=64 * size) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
@@ -315,12 +315,23 @@ def _possible(percent: int):
     def fits(apart):
         return apart * (100 + percent) <= (100 - percent) * (n + m)
 
-    differ = F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, d: total + d)
+    def xor(p, q):
+        return F.zip_with(p, q, lambda u, v: u.bitwiseXOR(v))
+
+    def folded(sketch):
+        length = F.floor(F.size(sketch) / 4).cast("int")
+        first, second, third, fourth = (F.slice(sketch, i * length + 1, length) for i in range(4))
+        return xor(xor(first, second), xor(third, fourth))
+
+    def differ(p, q):
+        return F.aggregate(xor(p, q), F.lit(0), lambda total, d: total + F.bit_count(d))
+
     # half of a longer sketch first: it turns most pairs down without the slower fold over all words
     room = (
-        F.when(F.size(a) != F.size(b), True)
+        F.when(F.size(a) > F.size(b), fits(differ(folded(a), b)))
+        .when(F.size(a) < F.size(b), fits(differ(a, folded(b))))
         .when(F.size(a) == SKETCH_WORDS, fits(words_apart(SKETCH_WORDS)))
-        .otherwise(F.when(fits(words_apart(2 * SKETCH_WORDS)), fits(differ)).otherwise(False))
+        .otherwise(F.when(fits(words_apart(2 * SKETCH_WORDS)), fits(differ(a, b))).otherwise(False))
     )
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & room
 
@@ -356,12 +367,13 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     placed = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("sign").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("sign")
     placed = stash(placed.join(mixed, "sign", "left_semi").join(about, "id"), "mixed-members")
-    # short sketches travel as plain columns, which are compared at far less cost than nested arrays
+    # short sketches travel as plain columns, which are compared at far less cost than nested arrays; only sets that may meet
+    # a longer sketch carry theirs as an array too
     def side(name: str, sign: str, id_name: str, component: str) -> DataFrame:
         short = F.size("about.sketch") == SKETCH_WORDS
         return placed.select(
             F.col("sign").alias(sign), F.col("id").alias(id_name), F.col("component").alias(component), F.col("about.n").alias(f"n{name}"),
-            short.alias(f"short_{name}"), F.when(~short, F.col("about")).alias(name),
+            short.alias(f"short_{name}"), F.when(100 * F.col("about.n") >= percent * SHORT_SET, F.col("about")).alias(name),
             *[F.col("about.sketch")[i].alias(f"{name}{i}") for i in range(SKETCH_WORDS)],
         )
 
@@ -369,7 +381,7 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     size_fits = (100 * F.col("nx") >= percent * F.col("ny")) & (100 * F.col("ny") >= percent * F.col("nx"))
     differ = sum((F.bit_count(F.col(f"x{i}").bitwiseXOR(F.col(f"y{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
     short_fits = F.col("short_x") & F.col("short_y") & (differ * (100 + percent) <= (100 - percent) * (F.col("nx") + F.col("ny")))
-    long_fits = F.when(F.col("short_x") | F.col("short_y"), F.col("short_x") != F.col("short_y")).otherwise(_possible(percent))
+    long_fits = ~(F.col("short_x") & F.col("short_y")) & _possible(percent)
     pairs = side("x", "sign", "a", "from").join(side("y", "same", "b", "to"), apart & size_fits & (short_fits | long_fits))
     cross = pairs.select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
     more = _verified(stash(cross, "cross-pairs"), rows, words, percent, "cross")
