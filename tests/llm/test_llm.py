@@ -115,17 +115,36 @@ def test_ngram_join_finds_every_link(docs, rows, empty, words, percent):
     assert ngram_join.ngram_join(empty).count() == 0
 
 
-def test_signatures_of_sets_at_the_limit_meet():
+@pytest.mark.parametrize("percent", [80, 85])
+def test_signatures_of_sets_at_the_limit_meet(percent):
     rng = np.random.default_rng(3)
     for n in (1, 5, 6, 7, 20, 100, 700):
         for _ in range(30):
             a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-            gone = int(rng.integers(0, n * 15 // 100 + 1))
-            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 2**63, int(rng.integers(0, n * 15 // 100 + 1))).astype(np.uint64)]))
+            most = n * (100 - percent) // 100 + 1
+            gone = int(rng.integers(0, most))
+            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 2**63, int(rng.integers(0, most))).astype(np.uint64)]))
             both = len(np.intersect1d(a, b))
-            if 100 * both >= 85 * (len(a) + len(b) - both):
+            if 100 * both >= percent * (len(a) + len(b) - both):
                 frequent = np.sort(rng.choice(a, n // 2, replace=False))
-                assert len(np.intersect1d(ngram_join.signatures(a, 85, frequent), ngram_join.signatures(b, 85, frequent)))
+                assert len(np.intersect1d(ngram_join.signatures(a, percent, frequent), ngram_join.signatures(b, percent, frequent)))
+
+
+def test_sketches_of_unequal_length_compare_by_folding(spark):
+    rng = np.random.default_rng(5)
+    items = np.unique(rng.integers(0, 2**63, ngram_join.SHORT_SET + 100).astype(np.uint64))
+    other = np.unique(rng.integers(0, 2**63, ngram_join.SHORT_SET - 50).astype(np.uint64))
+
+    def about(s):
+        return (len(s), ngram_join.odd_sketch(s).tolist())
+
+    near = items[: ngram_join.SHORT_SET - 50]
+    assert len(about(items)[1]) == 4 * len(about(near)[1])
+    rows = [(0, about(items), about(near)), (1, about(near), about(items)), (2, about(items), about(other)), (3, about(items), about(items))]
+    side = "struct<n:long,sketch:array<long>>"
+    pairs = spark.createDataFrame(rows, f"i int, x {side}, y {side}")
+    found = {r["i"]: r["room"] for r in pairs.select("i", ngram_join._possible(80).alias("room")).collect()}
+    assert found == {0: True, 1: True, 2: False, 3: True}
 
 
 def test_components_of_a_long_chain(spark):
