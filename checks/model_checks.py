@@ -260,16 +260,18 @@ def _(spark, sf):
 
 
 TVD_SQL = (
-    "r AS (SELECT l_linenumber AS y, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber < 7 GROUP BY 1), "
-    "c AS (SELECT l_linenumber AS y, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber > 1 GROUP BY 1), "
+    "r AS (SELECT least(l_linenumber, 6) AS y, count(*) AS n FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1), "
+    "c AS (SELECT greatest(l_linenumber, 2) AS y, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1), "
     "d AS (SELECT 0.5 * sum(abs(coalesce(r.n, 0) / (SELECT sum(n) FROM r) - coalesce(c.n, 0) / (SELECT sum(n) FROM c))) AS distance FROM r FULL JOIN c USING (y))"
 )
 
 
 @check("target_drift", "distance:d target_drift:b", f"WITH {TVD_SQL} SELECT distance, distance > 0.14 AS target_drift FROM d")
 def _(spark, sf):
-    li = table(spark, sf, "lineitem").withColumn("y", F.col("l_linenumber"))
-    return drift.target_drift(li.where("l_returnflag = 'A' AND y < 7"), li.where("l_returnflag = 'R' AND y > 1"), max_distance=0.14)
+    li = table(spark, sf, "lineitem")
+    reference = li.where("l_returnflag <> 'R'").withColumn("y", F.least("l_linenumber", F.lit(6)))
+    candidate = li.where("l_returnflag = 'R'").withColumn("y", F.greatest("l_linenumber", F.lit(2)))
+    return drift.target_drift(reference, candidate, max_distance=0.14)
 
 
 @check(
@@ -515,13 +517,13 @@ BAND_SQL = "CASE WHEN l_quantity <= 6 THEN 5 WHEN l_quantity <= 12 THEN 4 WHEN l
 @check(
     "regression_metrics_by_band",
     "band:i n:i mae:d rmse:d r2:d",
-    f"SELECT band, count(*) AS n, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse, 1 - avg(e * e) / var_pop(l_quantity) AS r2 FROM (SELECT l_quantity, {BAND_SQL} AS band, l_linenumber * 7 - l_quantity AS e FROM lineitem WHERE l_quantity <= 48) GROUP BY 1",
+    f"SELECT band, count(*) AS n, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse, 1 - avg(e * e) / var_pop(l_quantity) AS r2 FROM (SELECT l_quantity, {BAND_SQL} AS band, l_linenumber * 7 - l_quantity AS e FROM (SELECT least(l_quantity, 48) AS l_quantity, l_linenumber FROM lineitem)) GROUP BY 1",
 )
 def _(spark, sf):
     from tremorloom.functions.labels import horizon_label
 
-    li = table(spark, sf, "lineitem").where("l_quantity <= 48")
-    pairs = li.select(F.col("l_quantity").alias("y"), (F.col("l_linenumber") * 7).alias("yhat"))
+    li = table(spark, sf, "lineitem")
+    pairs = li.select(F.least("l_quantity", F.lit(48.0)).alias("y"), (F.col("l_linenumber") * 7).alias("yhat"))
     return evaluation.regression_metrics(pairs.withColumn("band", horizon_label("y")), by=["band"])
 
 

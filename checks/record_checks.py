@@ -53,10 +53,10 @@ def order_periods(spark, sf):
 @check(
     "normalize_period_type",
     "o_orderkey:i period_type:s",
-    f"SELECT o_orderkey, {TYPE_SQL} AS period_type FROM orders WHERE o_orderpriority <> '5-LOW'",
+    f"SELECT o_orderkey, coalesce({TYPE_SQL}, 'inference') AS period_type FROM orders",
 )
 def _(spark, sf):
-    rows = order_periods(spark, sf).where("period_type <> 'bogus'")
+    rows = order_periods(spark, sf).replace("bogus", "Predict", ["period_type"])
     return rows.withColumn("period_type", normalize_period_type("period_type"))
 
 
@@ -106,11 +106,13 @@ def _(spark, sf):
 @check(
     "select_periods",
     "period_id:s period_type:s event:t n_stations:i",
-    f"SELECT o_custkey::VARCHAR AS period_id, {TYPE_SQL} AS period_type, CASE WHEN o_totalprice > 200000 THEN o_orderdate + INTERVAL 2 DAY END AS event, 2 AS n_stations "
-    "FROM orders WHERE o_orderpriority <> '5-LOW' AND o_orderpriority <> '3-MEDIUM' AND (o_orderpriority <> '1-URGENT' OR o_totalprice > 200000)",
+    "SELECT o_custkey::VARCHAR AS period_id, CASE WHEN o_orderpriority = '1-URGENT' AND o_totalprice > 200000 THEN 'eruption' ELSE 'quiet' END AS period_type, CASE WHEN o_totalprice > 200000 THEN o_orderdate + INTERVAL 2 DAY END AS event, 2 AS n_stations "
+    "FROM orders WHERE o_orderpriority <> '3-MEDIUM'",
 )
 def _(spark, sf):
-    sound = order_periods(spark, sf).where("period_type <> 'bogus' AND (period_type <> ' Event ' OR eruption_start_utc <> '')")
+    # unknown kinds and undated events become quiet periods; those of inference are dropped by the operator
+    unusable = "period_type = 'bogus' OR (period_type = ' Event ' AND eruption_start_utc = '')"
+    sound = order_periods(spark, sf).withColumn("period_type", F.when(F.expr(unusable), "quiet").otherwise(F.col("period_type")))
     chosen = periods.select_periods(periods.tidy_periods(sound), "training", drop_inference=True)
     return chosen.select("period_id", "period_type", F.col("eruption_start_utc").alias("event"), F.size("stations").alias("n_stations"))
 

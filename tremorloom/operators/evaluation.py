@@ -39,23 +39,37 @@ def class_weights(train: DataFrame, mode: str, n_classes: int = N_CLASSES, colum
 def confusion_matrix(
     df: DataFrame, n_classes: int = N_CLASSES, y: str = "y", yhat: str = "yhat", by: Sequence[str] = ()
 ) -> DataFrame:
-    """Full grid ``(*by, y, yhat, n)`` with zeros."""
-    counts = df.groupBy(*by, F.col(y).cast("int").alias("y"), F.col(yhat).cast("int").alias("yhat")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    """Full grid ``(*by, y, yhat, n)`` with zeros.
+
+    Every pair counts: a class of ``n_classes`` or more is kept as ``n_classes``, a negative or NULL one as -1. These
+    cells appear only where there are such pairs.
+    """
+
+    def inside(column: str) -> Column:
+        c = F.col(column).cast("int")
+        return F.when(c >= n_classes, F.lit(n_classes)).when(c >= 0, c).otherwise(F.lit(-1))
+
+    counts = df.groupBy(*by, inside(y).alias("y"), inside(yhat).alias("yhat")).agg(F.count(F.lit(1)).alias("n"))
     cells = F.explode(
         F.array(*[F.struct(F.lit(a).alias("y"), F.lit(b).alias("yhat")) for a in range(n_classes) for b in range(n_classes)])
     ).alias("_cell")
     groups = counts.select(*by).distinct() if by else df.sparkSession.range(1)
     grid = groups.select(*by, cells).select(*by, "_cell.*")
-    return grid.join(counts, [*by, "y", "yhat"], "left").fillna(0, ["n"])
+    zeros = grid.withColumn("n", F.lit(0).cast("bigint"))
+    return zeros.unionByName(counts).groupBy(*by, "y", "yhat").agg(F.sum("n").alias("n"))
 
 
 def per_class_metrics(matrix: DataFrame, n_classes: int = N_CLASSES, by: Sequence[str] = ()) -> DataFrame:
     """Precision, recall, F1 and support of every class, 0 where undefined."""
+    return _rated_classes(matrix, n_classes, by).where(F.col("cls").between(0, n_classes - 1))
+
+
+def _rated_classes(matrix: DataFrame, n_classes: int, by: Sequence[str]) -> DataFrame:
+    """As ``per_class_metrics``, with a class for each overflow cell, which is never hit."""
+    hit = (F.col("y") == F.col("yhat")) & F.col("y").between(0, n_classes - 1)
     cells = F.array(
         F.struct(F.col("y").alias("cls"), F.col("n").alias("actual"), F.lit(0).cast("bigint").alias("predicted"), F.lit(0).cast("bigint").alias("hit")),
-        F.struct(F.col("yhat").alias("cls"), F.lit(0).cast("bigint").alias("actual"), F.col("n").alias("predicted"), F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(0).cast("bigint").alias("hit")),
+        F.struct(F.col("yhat").alias("cls"), F.lit(0).cast("bigint").alias("actual"), F.col("n").alias("predicted"), F.when(hit, F.col("n")).otherwise(0).cast("bigint").alias("hit")),
     )
     sums = matrix.select(*by, F.explode(cells).alias("_c")).select(*by, "_c.*").groupBy(*by, "cls").agg(
         F.sum("actual").alias("support"), F.sum("predicted").alias("predicted"), F.sum("hit").alias("hit")
@@ -70,13 +84,13 @@ def per_class_metrics(matrix: DataFrame, n_classes: int = N_CLASSES, by: Sequenc
     return rated.select(*by, "cls", "precision", "recall", "f1", "support", "predicted")
 
 
-def classification_metrics(matrix: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def classification_metrics(matrix: DataFrame, by: Sequence[str] = (), n_classes: int = N_CLASSES) -> DataFrame:
     """Accuracy, balanced accuracy, macro and weighted precision / recall / F1: one row per group.
 
     Macro averages run over classes that occur in targets or predictions, balanced accuracy over classes that
-    occur in targets.
+    occur in targets. Pairs with a class outside the grid count as misses of one more class.
     """
-    classes = per_class_metrics(matrix, by=by)
+    classes = _rated_classes(matrix, n_classes, by)
     occurs = (F.col("support") > 0) | (F.col("predicted") > 0)
     macro = lambda c: F.avg(F.when(occurs, F.col(c)))
     weighted = lambda c: ratio(F.sum(F.col(c) * F.col("support")), F.sum("support"))
@@ -101,7 +115,10 @@ def _binary(tp: Column, fp: Column, fn: Column) -> dict[str, Column]:
 
 
 def alert_metrics(matrix: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Binary metrics of "class at or above the level" for each alert level: rows ``(*by, level, ...)``."""
+    """Binary metrics of "class at or above the level" for each alert level: rows ``(*by, level, ...)``.
+
+    A class above the grid is an alert, a negative or NULL one is none.
+    """
     levels = F.explode(
         F.array(*[F.struct(F.lit(k).alias("level"), F.lit(v).alias("min_class")) for k, v in ALERT_LEVELS.items()])
     )
@@ -120,7 +137,7 @@ def alert_metrics(matrix: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def metric_values(matrix: DataFrame, by: Sequence[str] = (), n_classes: int = N_CLASSES) -> DataFrame:
     """All metrics as rows ``(*by, name, value)``."""
-    overall = classification_metrics(matrix, by)
+    overall = classification_metrics(matrix, by, n_classes)
     names = [c for c in overall.columns if c not in by]
     stacked = lambda df, pairs: df.select(
         *by, F.explode(F.array(*[F.struct(n.alias("name"), v.cast("double").alias("value")) for n, v in pairs])).alias("_m")

@@ -268,16 +268,20 @@ def validate_batch(sequences: DataFrame, batch_size: int, seq_len: int, n_featur
 
 
 def dataset_contract(
-    sequences: DataFrame, seq_len: int, n_features: int, n_classes: int = N_CLASSES
+    sequences: DataFrame, seq_len: int, n_features: int, n_classes: int = N_CLASSES, task: str = "classification"
 ) -> DataFrame:
-    """Hard rules per split: rows ``(split, rule, n_bad)``, including required splits that are absent."""
+    """Hard rules per split: rows ``(split, rule, n_bad)``, including required splits that are absent.
+
+    ``y`` is a class, or hours that are not negative when the task is ``regression``.
+    """
     y = F.col("y").cast("double")
-    rules = [
-        *batch_contract(seq_len, n_features),
-        Rule("label_finite", is_finite("y")),
-        Rule("label_integer", y == F.round(y)),
-        Rule("label_range", (y >= 0) & (y < n_classes)),
-    ]
+    if task not in ("classification", "regression"):
+        raise ValueError("task must be 'classification' or 'regression'")
+    rules = [*batch_contract(seq_len, n_features), Rule("label_finite", is_finite("y"))]
+    if task == "classification":
+        rules += [Rule("label_integer", y == F.round(y)), Rule("label_range", (y >= 0) & (y < n_classes))]
+    else:
+        rules.append(Rule("target_not_negative", y >= 0))
     counted = sequences.groupBy("split").agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.count_if(~F.coalesce(r.holds, F.lit(False))).alias(f"_r{i}") for i, r in enumerate(rules)],
@@ -316,20 +320,28 @@ def target_range(sequences: DataFrame, max_horizon_hours: float) -> DataFrame:
 
 
 def dataset_report(
-    sequences: DataFrame, seq_len: int, n_features: int, n_names: int | None = None, n_classes: int = N_CLASSES
+    sequences: DataFrame,
+    seq_len: int,
+    n_features: int,
+    n_names: int | None = None,
+    n_classes: int = N_CLASSES,
+    task: str = "classification",
+    max_horizon_hours: float = 48.0,
 ) -> DataFrame:
-    """All findings on a dataset: rows ``(severity, split, rule, n_bad)`` with ``n_bad > 0`` only."""
-    broken = dataset_contract(sequences, seq_len, n_features, n_classes).select(
+    """All findings on a dataset: rows ``(severity, split, rule, n_bad)`` with ``n_bad > 0`` only.
+
+    Warnings on labels are absent classes, or with the task ``regression`` hours beyond the horizon.
+    """
+    broken = dataset_contract(sequences, seq_len, n_features, n_classes, task).select(
         F.lit("error").alias("severity"), "split", "rule", "n_bad"
     )
-    absent = (
-        class_counts(sequences, n_classes)
-        .where(F.col("n") == 0)
-        .groupBy("split")
-        .agg(F.count(F.lit(1)).alias("n_bad"))
-        .select(F.lit("warning").alias("severity"), "split", F.lit("absent_classes").alias("rule"), "n_bad")
-    )
-    findings = broken.unionByName(absent)
+    if task == "classification":
+        absent = class_counts(sequences, n_classes).where(F.col("n") == 0).groupBy("split")
+        odd = absent.agg(F.count(F.lit(1)).alias("n_bad")).withColumn("rule", F.lit("absent_classes"))
+    else:
+        beyond = target_range(sequences, max_horizon_hours)
+        odd = beyond.select("split", F.col("n_beyond_horizon").alias("n_bad"), F.lit("beyond_horizon").alias("rule"))
+    findings = broken.unionByName(odd.select(F.lit("warning").alias("severity"), "split", "rule", "n_bad"))
     if n_names is None or n_names != n_features:
         severity, rule = ("warning", "names_missing") if n_names is None else ("error", "names_count")
         extra = sequences.sparkSession.createDataFrame(

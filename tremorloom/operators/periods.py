@@ -144,7 +144,8 @@ def assign_periods(samples: DataFrame, periods: DataFrame) -> DataFrame:
 
     ``periods`` is typed. The range condition is carried by an equality on the day, so a growing period table
     never turns the join into a nested loop; Spark broadcasts the period side while its measured size is
-    below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, splitting skewed days.
+    below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, splitting skewed days. The first
+    start and the last end of all periods (one aggregate row) bound ``ts`` in the scan of the samples.
     """
     last = F.col("period_end_utc") - F.expr("INTERVAL 1 MICROSECOND")
     days = F.sequence(F.to_date("period_start_utc"), F.to_date(last))
@@ -163,6 +164,11 @@ def assign_periods(samples: DataFrame, periods: DataFrame) -> DataFrame:
         if listed in filters:
             listing = F.col(f"_p_{listed}")
             conditions.append(listing.isNull() | F.array_contains(listing, F.col(column)))
+    first, end = spread.agg(
+        F.unix_micros(F.min("period_start_utc")), F.unix_micros(F.max("period_end_utc"))
+    ).first()
+    if first is not None:
+        samples = samples.where((F.col("ts") >= F.timestamp_micros(F.lit(first))) & (F.col("ts") < F.timestamp_micros(F.lit(end))))
     joined = samples.withColumn("_day", F.to_date("ts")).join(spread, "_day")
     dropped = ["_day", "period_start_utc", "period_end_utc", *[f"_p_{c}" for c in filters]]
     return joined.where(reduce(lambda a, b: a & b, conditions)).drop(*dropped)

@@ -7,12 +7,36 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorloom.operators import contract, features, minutes, periods, scaling, scoring, sequences, signal
+from tremorloom.operators import contract, features, gates, minutes, periods, scaling, scoring, sequences, signal
 from tremorloom.operators.ranking import measured_broadcast
 from tremorloom.schemas import ALERT_MIN_CLASS, ALERT_THRESHOLD, N_CLASSES
 from tremorloom.session import cut_lineage
 
 
+def extraction_report(samples: DataFrame, period_table: DataFrame) -> DataFrame:
+    """What is wrong with the input of ``extract_minutes``: rows ``(severity, period_id, rule, detail)``.
+
+    Errors are broken period rows, periods without any sample, and traces without a sound rate or a finite value;
+    warnings are requested stations without a sample. The samples are read once, into one row per trace.
+    """
+    typed = periods.typed_periods(period_table)
+    traces = cut_lineage(signal.trace_quality(periods.assign_periods(samples, typed)))
+    name = F.concat_ws(".", "network", "station", "channel")
+    found = lambda df, severity, rule, detail: df.select(
+        F.lit(severity).alias("severity"), "period_id", rule.alias("rule"), detail.alias("detail")
+    )
+    broken = found(periods.validate_periods(period_table), "error", F.col("rule"), F.col("detail"))
+    empty = typed.select("period_id").distinct().join(traces.select("period_id").distinct(), "period_id", "left_anti")
+    silent = found(empty, "error", F.lit("no_samples"), F.lit(""))
+    bad_rate = found(traces.where("bad_rate"), "error", F.lit("bad_rate"), name)
+    no_value = found(traces.where("no_finite_value"), "error", F.lit("no_finite_value"), name)
+    report = broken.unionByName(silent).unionByName(bad_rate).unionByName(no_value)
+    if "stations" in typed.columns:
+        missing = signal.missing_stations(traces, typed)
+        report = report.unionByName(found(missing, "warning", F.lit("missing_station"), F.col("station")))
+    return report
+
+
 def extract_minutes(
     samples: DataFrame, period_table: DataFrame, step_seconds: int = 60, segment: str | None = None
 ) -> DataFrame:
@@ -111,8 +135,18 @@ def predict_alerts(
     n_classes: int = N_CLASSES,
     min_class: int = ALERT_MIN_CLASS,
     threshold: float = ALERT_THRESHOLD,
+    seq_len: int | None = None,
+    n_features: int | None = None,
 ) -> DataFrame:
-    """Scores, probabilities, predicted class and alert of each sequence (without the matrices)."""
+    """Scores, probabilities, predicted class and alert of each sequence (without the matrices).
+
+    With ``seq_len`` and ``n_features`` the batch must first pass ``batch_contract``; else nothing is scored.
+    """
+    if (seq_len is None) != (n_features is None):
+        raise ValueError("give both seq_len and n_features, or neither")
+    if seq_len is not None:
+        findings = gates.expect(batch, gates.batch_contract(seq_len, n_features))
+        periods.require_none(findings.where(~F.col("success")), "batch not fit for scoring")
     scored = scoring.score(batch, predict, n_classes).drop("x")
     probable = scoring.to_probabilities(scored, is_logits, n_classes)
     return scoring.alert(scoring.predicted_class(probable), n_classes, min_class, threshold)

@@ -9,14 +9,20 @@ from tremorloom.schemas import MINUTE_FILE_SUFFIX
 
 
 def list_files(spark: SparkSession, path: str, recursive: bool = False, pattern: str | None = None) -> DataFrame:
-    """Files under a folder as ``(path, size_bytes, modified)``; contents are not read."""
+    """Files under a folder as ``(path, absolute_path, size_bytes, modified, mtime_ns)``; contents are not read.
+
+    The columns are those that ``update_manifest`` takes; ``path`` is absolute too.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
+    plain = F.regexp_replace("path", "^file:/*", "/")
     return reader.load(path).select(
-        F.regexp_replace("path", "^file:/*", "/").alias("path"),
+        plain.alias("path"),
+        plain.alias("absolute_path"),
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("modified"),
+        (F.unix_micros("modificationTime") * 1000).alias("mtime_ns"),
     )
 
 
