@@ -195,6 +195,40 @@ def test_lm_scoring_against_plain_formulas(spark, docs, rows, empty):
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["score"] == 0 for r in none)
 
 
+def automaton_of(texts):
+    """The automaton of all tokens and of the n-grams seen twice, by plain counts."""
+    base, ends = lm_scoring._BASE, [[*words_of(t), lm_scoring.END] for t in texts]
+    c = Counter(w for t in ends for w in t)
+    bi = Counter(g for t in ends for g in zip(t, t[1:]))
+    tri = Counter(g for t in ends for g in zip(t, t[1:], t[2:]))
+    frequent = sorted(c.items(), key=lambda x: (-x[1], x[0]))
+    ids = {w: i for i, (w, _) in enumerate(frequent, 1)}
+    two = sorted((ids[a] * base + ids[b], n, (a, b)) for (a, b), n in bi.items() if n > 1)
+    at = {g: i for i, (_, _, g) in enumerate(two)}
+    three = sorted((at[g[:2]] * base + ids[g[2]], n) for g, n in tri.items() if n > 1)
+    orders = [(np.array([k for k, *_ in part], np.int64), np.array([n for _, n, *_ in part], np.int64)) for part in (two, three)]
+    total = sum(c.values())
+    made = lm_scoring.build_automaton(frequent, total, len(c), orders)
+    rest = log10(total + len(c) + 1)
+    return lambda text: made.score([ids.get(w, 0) for w in [*words_of(text), lm_scoring.END]]) - rest * sum(w not in ids for w in words_of(text))
+
+
+@pytest.mark.parametrize("share", [lm_scoring.SHARE, 0.01, 1.0])
+def test_lm_scores_are_the_automatons_whatever_is_broadcast(docs, rows, share):
+    score = automaton_of([text for doc, text, *_ in rows if doc is not None and doc % 4])
+    got = by_id(lm_scoring.lm_scoring(docs, F.col("doc_id") % 4 != 0, share=share))
+    for doc, text, *_ in rows:
+        assert all(r["score"] == pytest.approx(score(text)) for r in got[doc])
+
+
+def test_an_ngram_seen_twice_counts_in_a_large_corpus(spark):
+    texts = ["a b c d"] * 2 + ["x y " * 800_000]
+    table = spark.createDataFrame(list(enumerate([*texts, "a b c d", "b a d c"])), "doc_id long, text string")
+    score = automaton_of(texts)
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.lm_scoring(table, F.col("doc_id") < 3).collect()}
+    assert got[3] == pytest.approx(score("a b c d")) and got[4] == pytest.approx(score("b a d c")) and got[3] > got[4] + 5
+
+
 def test_the_automatons_probabilities_sum_to_one():
     text = [1, 2, 1, 2, 3, 1, 2, 3, 1, 1]
     frequent = [(b"a", 5), (b"b", 3), (b"c", 2)]

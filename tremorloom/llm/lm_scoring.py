@@ -1,25 +1,29 @@
-"""LM scoring (operator 4): a weighted backoff automaton of word n-grams.
-
-Counts. Every token of all training texts is counted (partial counts per task, then a grouped sum); the table of counts
-grows with the corpus and stays distributed. Tokens that make up at least ``share`` of the corpus, at most ``1 / share`` of
-them, get an id; n-grams of such tokens that reach the same share, and so again at most ``1 / share`` per order, become arcs
-of the automaton. ``share`` is a relative threshold, so the model's broadcast size is bounded whatever the corpus.
-
-Automaton. The states are the contexts: the root, and every n-gram shorter than ``order`` that has a kept continuation or could
-begin one. An arc carries the discounted probability ``(count - DISCOUNT) / count(context)``; a failure arc leads from a context to
-the context without its first token and carries the backoff weight that makes probabilities sum to one. At the root stands
-the add-one unigram ``(c + 1) / (N + V + 1)``, for tokens without an id as well: their counts are joined in by token, the only
-rows of the scored texts that are shuffled.
+"""LM scoring (operator 4): a weighted backoff model of word n-grams, counted and held as a distributed table.
+
+Counts. Every n-gram of all training texts up to ``order`` is counted; all tokens and every longer n-gram seen ``LEAST`` times are
+kept, whatever the size of the corpus, so the table grows with it. An n-gram is known by a 64-bit hash, linear in the hashes of
+its tokens, so those of the n-grams one token shorter follow from it (two of a billion n-grams share a hash with odds of 3 %). Tasks
+count before they send, and hashes travel packed by range. An n-gram is counted only if a bitmap says that both n-grams
+one token shorter may be kept; the bitmap may say so wrongly, never the reverse.
+
+Model. A kept n-gram has the discounted probability ``(count - DISCOUNT) / count(context)``; a context without the wanted
+continuation backs off to the context without its first token, with the weight that makes probabilities sum to one. Tokens have
+the add-one unigram ``(c + 1) / (N + V + 1)``, unseen ones as well. In an automaton (``build_automaton`` makes it on one
+machine, tests compare) a text's score is the sum of the arcs and failures it passes. Here each kept n-gram gets the difference that
+it makes against the model without it, failures included, so that sum is one over all n-grams of a text in any order.
+
+Scoring. The hot part of the table (entries with at least ``share`` of the tokens, at most ``1 / share`` an order) is broadcast;
+the other n-grams of a text that the bitmap lets through meet the table by hash range, and their sums come back by row.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from math import log10
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,14 +32,21 @@ from tremorloom.llm.common import id_and_bytes, space_words, stash, texts_of
 
 END = b""
 DISCOUNT = 0.5
+#: how often an n-gram of two tokens or more has to occur
+LEAST = 2
+#: share of the tokens from which on an entry is broadcast
 SHARE = 2e-6
-FLUSH_TOKENS = 500_000
-FLUSH_NGRAMS = 4_000_000
-_BASE = 1 << 21  # above the largest token id, 1 / SHARE
+FLUSH_NGRAMS = 2_000_000
+CACHED_TOKENS = 400_000
+#: log2 of the bits of a bitmap, 32 MB
+BITMAP = 28
+_BASE = 1 << 21  # above the largest token id of an automaton
+_STEP = 0x9E3779B97F4A7C15
+_BACK = np.uint64(pow(_STEP, -1, 1 << 64))
 
 
 class Automaton:
-    """``arcs``: (state, token) -> (log10 probability, next state); ``fail``: state -> (next state, log10 weight)."""
+    """The model on one machine. ``arcs``: (state, token) -> (log10 probability, next state); ``fail``: state -> (next state, log10 weight)."""
 
     def __init__(self, ids: dict[bytes, int], arcs: dict[int, tuple[float, int]], fail: list[tuple[int, float]]):
         self.ids, self.arcs, self.fail = ids, arcs, fail
@@ -55,85 +66,188 @@ class Automaton:
         return total
 
 
-def token_counts(train: DataFrame) -> DataFrame:
-    """``token, n`` of all training texts; the end of a text is the empty token."""
+def _settled(df: DataFrame, name: str) -> DataFrame:
+    """``stash``, after which the shuffle files of the job go, as nothing reads them again."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return stash(df, name)
+    finally:
+        conf.set(key, before)
 
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
 
-        def out():
-            return pa.record_batch({"token": pa.array(list(seen), pa.binary()), "n": pa.array(list(seen.values()), pa.int64())})
+class _Hashes:
+    """Hashes of tokens, with those met lately at hand."""
 
-        for _, texts in texts_of(batches):
-            for text in texts:
-                seen.update(space_words(text))
-            seen[END] += len(texts)
-            if len(seen) > FLUSH_TOKENS:
-                yield out()
-                seen = Counter()
-        yield out()
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
 
-    return train.mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all texts' tokens, each text with its end, and the number of tokens by text."""
+        known, out, sizes = self.known, [], []
+        digest = xxhash.xxh3_64_intdigest
+        end = digest(END)
+        for text in texts:
+            words = space_words(text)
+            if len(known) > CACHED_TOKENS:
+                known.clear()
+            for w in words:
+                if w not in known:
+                    known[w] = digest(w)
+            out += [known[w] for w in words]
+            out.append(end)
+            sizes.append(len(words) + 1)
+        return np.array(out, np.uint64), np.array(sizes, np.int64)
 
 
-def _coded(texts: list[bytes], ids: dict[bytes, int]) -> np.ndarray:
-    """Token ids of all texts, one after the other, each with its end; 0 for tokens without id."""
-    get = ids.get
-    out: list[int] = []
-    end = ids.get(END, 0)
-    for text in texts:
-        out += [get(w, 0) for w in space_words(text)]
-        out.append(end)
-    return np.array(out, np.int64)
+def _grams(tokens: np.ndarray, sizes: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For 1 to ``order`` tokens: hashes of the n-grams that begin at each token, and which of them lie within one text."""
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(tokens))  # tokens of the text from here on
+    keys = tokens
+    for n in range(1, order + 1):
+        if n > 1:
+            keys = keys[: max(0, len(tokens) - n + 1)] * np.uint64(_STEP) + tokens[n - 1 :]
+        yield keys, left[: len(keys)] >= n
 
 
-def _lookup(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Positions of keys in a sorted table, -1 where absent."""
-    if not len(table):
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, at, -1)
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted hashes as differences, byte by byte, of which Spark's codec removes the empty ones."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def ngram_counts(train: DataFrame, ids, lower: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Kept n-grams of the next order as ``prefix * _BASE + token`` (prefix: a token id, or position in the order below), and counts.
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
 
-    Only n-grams whose parts are kept can reach ``least``, so only those are counted and shuffled.
-    """
-    held = train.sparkSession.sparkContext.broadcast((ids, lower))
+
+def _spans(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
+    """``bucket, begin, end`` of the hash ranges that sorted hashes have members of."""
+    buckets = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    at = np.flatnonzero(np.diff(buckets, prepend=-1))
+    return zip(buckets[at].tolist(), at.tolist(), [*at[1:].tolist(), len(keys)])
+
+
+def _merged(keys: np.ndarray, times: np.ndarray, first: np.ndarray, last: np.ndarray):
+    """Distinct hashes in order, with their sums and their first and last token."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[at], np.add.reduceat(times[order], at), first[order[at]], last[order[at]]
+
+
+def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys >> np.uint64(64 - BITMAP)
+    return (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+
+
+def bitmap_of(table: DataFrame) -> np.ndarray:
+    """A bit for each of ``2 ** BITMAP`` ranges of ``key``: whether the table has one there. Bounded, whatever the table."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        table, orders = held.value
-        end = table.get(END, 0)
+        found: list[np.ndarray] = []
+        for batch in batches:
+            found.append(np.unique(batch.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP)))
+        if not found:
+            return
+        bits = np.unique(np.concatenate(found))
+        if not len(bits):
+            return
+        words = (bits >> np.uint64(6)).astype(np.int32)
+        at = np.flatnonzero(np.diff(words, prepend=-1))
+        masks = np.bitwise_or.reduceat(np.uint64(1) << (bits & np.uint64(63)), at)
+        yield pa.record_batch({"words": pa.array([words[at].tobytes()], pa.binary()), "masks": pa.array([masks.tobytes()], pa.binary())})
+
+    out = np.zeros(1 << (BITMAP - 6), np.uint64)
+    # the table lies by hash range, so each word comes from about one task
+    for row in table.select("key").mapInArrow(run, "words binary, masks binary").toLocalIterator():
+        words = np.frombuffer(row["words"], np.int32)
+        out[words] |= np.frombuffer(row["masks"], np.uint64)
+    return out
+
+
+def ngram_counts(train: DataFrame, n: int, least: int, bits: int, lower: np.ndarray | None) -> DataFrame:
+    """``key, prefix, suffix, n`` of the n-grams of ``n`` tokens that occur ``least`` times; ``lower``: bitmap of those one shorter."""
+    held = train.sparkSession.sparkContext.broadcast(lower)
+    lead = np.uint64(pow(_STEP, n - 1, 1 << 64))
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        bitmap, hashes = held.value, _Hashes()
         chunks, size = [], 0
 
         def out():
-            keys, n = np.unique(np.concatenate(chunks), return_counts=True)
-            return pa.record_batch({"key": pa.array(keys, pa.int64()), "n": pa.array(n.astype(np.int64), pa.int64())})
+            keys, times, first, last = _merged(*(np.concatenate(c) for c in zip(*chunks)))
+            spans = list(_spans(keys, bits))
+            return pa.record_batch(
+                {
+                    "bucket": pa.array([b for b, _, _ in spans], pa.int64()),
+                    "keys": pa.array([_packed(keys[i:j]) for _, i, j in spans], pa.binary()),
+                    "times": pa.array([times[i:j].tobytes() for _, i, j in spans], pa.binary()),
+                    "first": pa.array([first[i:j].tobytes() if n > 2 else b"" for _, i, j in spans], pa.binary()),
+                    "last": pa.array([last[i:j].tobytes() if n > 1 else b"" for _, i, j in spans], pa.binary()),
+                }
+            )
 
         for _, texts in texts_of(batches):
-            tokens = _coded(texts, table)
-            first = tokens[:-1].copy()
-            first[first == end] = 0  # no n-gram reaches across texts
-            good = (first > 0) & (tokens[1:] > 0)
-            keys = np.where(good, first * _BASE + tokens[1:], -1)
-            for kept in orders:
-                at = _lookup(kept, keys)  # this order's n-grams, by position
-                # the one that begins a token earlier must be kept, and so must the one that ends it
-                keys = np.where((at[:-1] >= 0) & (at[1:] >= 0), at[:-1] * _BASE + tokens[len(tokens) - len(at) + 1 :], -1)
-            keys = keys[keys >= 0]
-            if len(keys):
-                chunks.append(keys)
-                size += len(keys)
+            tokens, sizes = hashes.of(texts)
+            shorter = None
+            for m, (keys, good) in enumerate(_grams(tokens, sizes, n), 1):
+                if m == n - 1:
+                    shorter = keys
+            if bitmap is not None and len(keys):
+                may = _maybe(bitmap, shorter)
+                good = good & may[:-1] & may[1:]
+            at = np.flatnonzero(good)
+            if len(at):
+                chunks.append((keys[at], np.ones(len(at), np.int64), tokens[at], tokens[at + n - 1]))
+                size += len(at)
             if size > FLUSH_NGRAMS:
                 yield out()
                 chunks, size = [], 0
         if chunks:
             yield out()
 
-    counted = train.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    rows = counted.toPandas().sort_values("key")  # at most 1 / share rows
-    return rows["key"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    def total(table: pa.Table) -> pa.Table:
+        column = {c: table.column(c).to_pylist() for c in ("keys", "times", "first", "last")}
+        keys = np.concatenate([_unpacked(x) for x in column["keys"]])
+        times = np.concatenate([np.frombuffer(x, np.int64) for x in column["times"]])
+        last = np.concatenate([np.frombuffer(x, np.uint64) for x in column["last"]]) if n > 1 else keys
+        if n > 2:
+            first = np.concatenate([np.frombuffer(x, np.uint64) for x in column["first"]])
+        else:
+            first = (keys - last) * _BACK
+        keys, times, first, last = _merged(keys, times, first, last)
+        kept = times >= least
+        keys, times, first, last = keys[kept], times[kept], first[kept], last[kept]
+        return pa.table({"key": keys.view(np.int64), "prefix": ((keys - last) * _BACK).view(np.int64), "suffix": (keys - lead * first).view(np.int64), "n": times})
+
+    sent = train.mapInArrow(run, "bucket long, keys binary, times binary, first binary, last binary")
+    return _settled(sent.groupBy("bucket").applyInArrow(total, "key long, prefix long, suffix long, n long"), f"ngrams-{n}")
+
+
+def backoff_values(levels: list[DataFrame], norm: int) -> DataFrame:
+    """``key, n, base, value`` of all kept n-grams from their counts by order.
+
+    ``base``: log10 of count + 1 for tokens, else 0. ``value``: what the n-gram adds to the score wherever it occurs: its log10
+    probability less that of its suffix and the failure weight of its prefix, which it replaces, and its own failure weight,
+    which the next token replaces if it has an arc. Keys that many n-grams share are split by the joins.
+    """
+    made = None
+    below = levels[0].select("key", "n", ((F.col("n") + 1) / F.lit(float(norm))).alias("p"), F.log10(F.col("n") + 1).alias("base"), F.log10(F.col("n") + 1).alias("value"))
+    for level in [*levels[1:], None]:
+        if level is None:
+            return made.unionByName(below.select("key", "n", "base", "value")) if made is not None else below.select("key", "n", "base", "value")
+        contexts = below.where(F.col("n") >= LEAST)
+        with_low = level.join(contexts.select(F.col("key").alias("suffix"), F.col("p").alias("low")), "suffix").select("key", "prefix", "n", "low")
+        with_p = with_low.join(contexts.select(F.col("key").alias("prefix"), F.col("n").alias("c")), "prefix")
+        with_p = _settled(with_p.select("key", "prefix", "n", "low", ((F.col("n") - DISCOUNT) / F.col("c")).alias("p")), "probabilities")
+        left = with_p.groupBy("prefix").agg(F.sum("p").alias("own"), F.sum("low").alias("lower"))
+        weight = F.log10(F.greatest(F.lit(1e-12), 1 - F.col("own")) / F.greatest(F.lit(1e-12), 1 - F.col("lower")))
+        weights = _settled(left.select("prefix", weight.alias("weight")), "weights")
+        own = below.join(weights.withColumnRenamed("prefix", "key"), "key", "left")
+        done = own.select("key", "n", "base", (F.col("value") + F.coalesce("weight", F.lit(0.0))).alias("value"))
+        made = done if made is None else made.unionByName(done)
+        gain = F.log10("p") - F.log10("low") - F.col("weight")
+        below = with_p.join(weights, "prefix").select("key", "n", "p", F.lit(0.0).alias("base"), gain.alias("value"))
 
 
 def build_automaton(frequent: list[tuple[bytes, int]], total: int, distinct: int, orders: list[tuple[np.ndarray, np.ndarray]]) -> Automaton:
@@ -191,76 +305,107 @@ def lm_scoring(
 ) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for every row; ``training``: a condition on the rows of ``docs``.
 
-    NULL and empty texts are the end token alone. Rows where ``training`` is NULL aren't learned from. Repeated rows are learned
-    from and scored as often as they stand there; a NULL id stays NULL. Without training rows, N and V are 0 and every token
-    is unseen. An empty table gives no rows.
+    ``share`` decides what is broadcast, not what is learned. NULL and empty texts are the end token alone. Rows where
+    ``training`` is NULL aren't learned from. Repeated rows are learned from and scored as often as they stand there; a NULL id
+    stays NULL. Without training rows, N and V are 0 and every token is unseen. An empty table gives no rows.
     """
     rows = id_and_bytes(docs, id_col, text_col)
     train = id_and_bytes(docs.where(training), id_col, text_col)
-    counts = stash(token_counts(train), "token-counts")
-    total, distinct = (x or 0 for x in counts.agg(F.sum("n"), F.count("*")).first())
-    least = max(2, -(-int(share * total * 1e9) // 10**9))
-    top = counts.where(F.col("n") >= least).collect()  # at most 1 / share rows
-    frequent = sorted(((bytes(r["token"]), r["n"]) for r in top), key=lambda x: (-x[1], x[0]))
-    if len(frequent) >= _BASE:
-        raise ValueError("share is too small for the automaton's token ids")
-    ids = {w: i for i, (w, _) in enumerate(frequent, 1)}
-    orders: list[tuple[np.ndarray, np.ndarray]] = []
-    for _ in range(order - 1):
-        orders.append(ngram_counts(train, ids, [k for k, _ in orders], least))
+    spark = rows.sparkSession
+    bits = max(6, (4 * rows.rdd.getNumPartitions() - 1).bit_length())  # hash ranges grow with the input
+    levels, lower = [], None
+    for n in range(1, order + 1):
+        levels.append(ngram_counts(train, n, 1 if n == 1 else LEAST, bits, lower))
+        if n < order:
+            lower = bitmap_of(levels[-1].where(F.col("n") >= LEAST))
+    total, distinct = (x or 0 for x in levels[0].agg(F.sum("n"), F.count("*")).first())
     norm = total + distinct + 1
-    model = rows.sparkSession.sparkContext.broadcast((build_automaton(frequent, total, distinct, orders), [0.0] + [log10((n + 1) / norm) for _, n in frequent]))
+    bucket = F.shiftrightunsigned("key", 64 - bits)
+    model = _settled(backoff_values(levels, norm), "model")
+    least = max(2, -(-int(share * total * 1e9) // 10**9))
+    top = model.where(F.col("n") >= least).select("key", "base", "value").toPandas()  # at most 1 / share rows an order
+    keys = top["key"].to_numpy(np.int64).view(np.uint64)
+    by_key = np.argsort(keys)
+    hot = (keys[by_key], top["base"].to_numpy(np.float64)[by_key], top["value"].to_numpy(np.float64)[by_key])
+    cold = model.where(F.col("n") < least).select(bucket.alias("bucket"), "key", "base", "value")
+    held = spark.sparkContext.broadcast((hot, bitmap_of(cold)))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        automaton, base = model.value
-        get, end = automaton.ids.get, automaton.ids.get(END, 0)
-        task, at = TaskContext.get().partitionId() << 40, 0
+        (hot_keys, hot_base, hot_value), bitmap = held.value
+        hashes, task, at = _Hashes(), TaskContext.get().partitionId() << 40, 0
         for ids, texts in texts_of(batches):
-            sizes, sums, scores, rare, times, spans = [], [], [], [], [], [0]
-            for text in texts:
-                words = space_words(text)
-                tokens = [get(w, 0) for w in words]
-                others = Counter([w for w, t in zip(words, tokens) if not t])
-                tokens.append(end)
-                if not end:
-                    others[END] += 1
-                sizes.append((len(tokens), len(tokens) - sum(others.values())))
-                sums.append(sum([base[t] for t in tokens]))
-                scores.append(automaton.score(tokens))
-                rare += others
-                times += others.values()
-                spans.append(len(rare))
-            structs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["token", "times"])
+            tokens, sizes = hashes.of(texts)
+            owner = np.repeat(np.arange(len(texts)), sizes)
+            base, value, known = (np.zeros(len(texts)) for _ in range(3))
+            far_keys, far_rows = [], []
+            for grams, good in _grams(tokens, sizes, order):
+                grams, of = grams[good], owner[: len(good)][good]
+                rest = np.ones(len(grams), bool)
+                if len(hot_keys):
+                    place = np.minimum(np.searchsorted(hot_keys, grams), len(hot_keys) - 1)
+                    rest = hot_keys[place] != grams
+                    place, met = place[~rest], of[~rest]
+                    base += np.bincount(met, hot_base[place], len(texts))
+                    value += np.bincount(met, hot_value[place], len(texts))
+                    known += np.bincount(met, hot_base[place] > 0, len(texts))
+                grams, of = grams[rest], of[rest]
+                may = _maybe(bitmap, grams)
+                far_keys.append(grams[may])
+                far_rows.append(of[may])
+            keys, of = np.concatenate(far_keys), np.concatenate(far_rows)
+            by_key = np.argsort(keys)
+            keys, of = keys[by_key], of[by_key].astype(np.int32)
+            spans = list(_spans(keys, bits))
+            n, m = len(texts), len(spans)
+            void = [None] * m
             yield pa.record_batch(
                 {
-                    "row": pa.array(np.arange(task + at, task + at + len(texts)), pa.int64()),
-                    "doc_id": ids,
-                    "n_tokens": pa.array([n for n, _ in sizes], pa.int64()),
-                    "n_frequent": pa.array([n for _, n in sizes], pa.int64()),
-                    "base": pa.array(sums, pa.float64()),
-                    "score": pa.array(scores, pa.float64()),
-                    "rare": pa.ListArray.from_arrays(pa.array(spans, pa.int32()), structs),
+                    "row": pa.array([*range(task + at, task + at + n), *[task + at] * m], pa.int64()),
+                    "doc_id": pa.array([*ids.to_pylist(), *void], pa.int64()),
+                    "n_tokens": pa.array([*sizes.tolist(), *void], pa.int64()),
+                    "known": pa.array([*known.astype(np.int64).tolist(), *void], pa.int64()),
+                    "base": pa.array([*base.tolist(), *void], pa.float64()),
+                    "value": pa.array([*value.tolist(), *void], pa.float64()),
+                    "bucket": pa.array([*[None] * n, *[b for b, _, _ in spans]], pa.int64()),
+                    "keys": pa.array([*[None] * n, *[_packed(keys[i:j]) for _, i, j in spans]], pa.binary()),
+                    "rows": pa.array([*[None] * n, *[of[i:j].tobytes() for _, i, j in spans]], pa.binary()),
                 }
             )
-            at += len(texts)
-
-    scored = stash(
-        rows.mapInArrow(run, "row long, doc_id long, n_tokens long, n_frequent long, base double, score double, rare array<struct<token:binary,times:long>>"),
-        "scored",
-    )
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.times")
-    counted = rare.join(counts.where(F.col("n") < least), "token", "left")
-    c = F.coalesce("n", F.lit(0))
-    per_row = counted.groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(norm)))).alias("rest"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("n_rare")
-    )
-    joined = scored.drop("rare").join(per_row, "row", "left")
-    rest = F.coalesce("rest", F.lit(0.0))
-    return joined.select(
+            at += n
+
+    def meet(asked: pa.Table, table: pa.Table) -> pa.Table:
+        names = {"row": pa.int64(), "known": pa.int64(), "base": pa.float64(), "value": pa.float64()}
+        if not asked.num_rows or not table.num_rows:
+            return pa.table({k: pa.array([], t) for k, t in names.items()})
+        keys = np.concatenate([_unpacked(x) for x in asked.column("keys").to_pylist()])
+        parts = [np.frombuffer(x, np.int32).astype(np.int64) + r for r, x in zip(asked.column("row").to_pylist(), asked.column("rows").to_pylist())]
+        rows_of = np.concatenate(parts)
+        known = table.column("key").to_numpy().view(np.uint64)
+        by_key = np.argsort(known)
+        known = known[by_key]
+        place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        met = known[place] == keys
+        place, (rows_met, of) = by_key[place[met]], np.unique(rows_of[met], return_inverse=True)
+        base, value = (table.column(c).to_numpy()[place] for c in ("base", "value"))
+        sums = [np.bincount(of, x, len(rows_met)) for x in (base > 0, base, value)]
+        return pa.table({"row": rows_met, "known": sums[0].astype(np.int64), "base": sums[1], "value": sums[2]})
+
+    sent = rows.mapInArrow(run, "row long, doc_id long, n_tokens long, known long, base double, value double, bucket long, keys binary, rows binary")
+    sent = _settled(sent, "scored")
+    asked = sent.where("bucket IS NOT NULL").select("bucket", "row", "keys", "rows")
+    found = asked.groupBy("bucket").cogroup(cold.groupBy("bucket")).applyInArrow(meet, "row long, known long, base double, value double")
+    far = found.groupBy("row").agg(*[F.sum(c).alias(f"far_{c}") for c in ("known", "base", "value")])
+    scored = sent.where("bucket IS NULL").select("row", "doc_id", "n_tokens", "known", "base", "value").join(far, "row", "left")
+
+    def whole(name: str, zero):
+        return F.col(name) + F.coalesce(F.col(f"far_{name}"), F.lit(zero))
+
+    unseen = F.col("n_tokens") * F.lit(-log10(norm))
+    return scored.select(
         "doc_id",
         "n_tokens",
-        (F.col("n_frequent") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
+        whole("known", 0).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + rest).alias("base_score"),
-        (F.col("score") + rest).alias("score"),
+        (unseen + whole("base", 0.0)).alias("base_score"),
+        (unseen + whole("value", 0.0)).alias("score"),
     )
