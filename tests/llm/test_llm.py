@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tremorloom.llm import common, decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_scoring, ngram_join, packing, simple8b
+from tremorloom.llm import common, decontaminate, exact_dedup, language_id, license_scan, line_dedup, lm_scoring, ngram_join, packing, queries, simple8b
 from tremorloom.llm import token_counts as counts
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, key string, n_tokens long"
@@ -306,6 +306,23 @@ def test_optimal_buckets_and_batches(spark, docs, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_packing_is_in_the_tokenizers_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(9)
+    table = [(1, "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789+/", k=12_000))), (2, "don't stop, it's well-known."), (3, None), (None, "x y")]
+    frame = spark.createDataFrame(table, "doc_id long, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    plain = Tokenizer.from_file(counts.vocabulary_path())
+    want = {doc: len(plain.encode(text or "", add_special_tokens=False).ids) for doc, text in table}
+    assert want[1] > 2048
+    for packed in (queries.op7_packing(spark, str(tmp_path)), corpus_pipeline.packing_stage(spark, frame, str(tmp_path))):
+        got = by_id(packed)
+        assert {doc: sum(r["n_tokens"] for r in found) for doc, found in got.items()} == want
+        assert len(got[1]) == -(-want[1] // 2048) and all(r["n_tokens"] <= 2048 for r in got[1])
+        assert all(r["bucket_len"] * (1 + max(p["place"] for found in got.values() for p in found)) <= 65_536 for r in got[1])
+
+
 def test_simple8b_round_trips():
     rng = np.random.default_rng(1)
     for k in range(60):

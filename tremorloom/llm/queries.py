@@ -21,8 +21,6 @@ from tremorloom.llm.packing import pack
 from tremorloom.llm.simple8b import read_token_ids, write_token_ids
 from tremorloom.llm.token_counts import token_counts
 
-WORD = r"[^\x20\x09-\x0D]+"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -63,13 +61,13 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", F.coalesce(remainder(5) == 0, F.lit(False)))
 
 
-def word_lengths(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens``: white-space words of each whole text."""
-    return docs.select("doc_id", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("n_tokens"))
+def token_lengths(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_tokens``: the tokenizer's tokens of each whole text."""
+    return token_counts(docs).select("doc_id", "n_tokens")
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(word_lengths(table(spark, sf_dir, "documents")))
+    return pack(token_lengths(table(spark, sf_dir, "documents")))
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
