@@ -278,6 +278,38 @@ def test_language_id_on_held_out_rows(spark, docs, empty):
     assert {r["lang_pred"] for r in language_id.language_id(docs, language_id.learn_dictionaries(empty)).collect()} == {"und"}
 
 
+def test_language_id_rejects_ties_unlearned_languages_and_mixtures(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+    held = [r for r in table.where(~train).collect() if len((r["text"] or "").split()) >= 60]
+    dictionaries = language_id.learn_dictionaries(table.where(train))
+
+    def rejected(texts, known):
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = language_id.language_id(frame, known, margin_share=language_id.MARGIN_SHARE).collect()
+        assert len(found) == len(texts) > 0
+        return sum(r["rejected"] for r in found) / len(texts)
+
+    start = lambda r, n: " ".join(r["text"].split()[:n])
+    one = next(iter(dictionaries.values()))
+    assert rejected([start(r, n) for r in held for n in (6, 60)], {"a": one, "b": one}) == 1
+    assert rejected([start(r, 12) for r in held], dictionaries) <= 0.2
+    for gone in dictionaries:
+        others = {k: v for k, v in dictionaries.items() if k != gone}
+        own = [r for r in held if r["lang"] == gone]
+        assert rejected([r["text"] for r in own], others) >= 0.9
+        assert rejected([start(r, 12) for r in own], others) >= 0.5
+    pairs = [(a, b) for a, b in itertools.combinations(held, 2) if a["lang"] != b["lang"]]
+    turns = [" ".join(itertools.chain.from_iterable(zip(a["text"].split()[:200], b["text"].split()[:200]))) for a, b in pairs[::5]]
+    assert rejected(turns, dictionaries) >= 3 * rejected([r["text"] for r in held], dictionaries) and rejected(turns, dictionaries) >= 0.2
+
+
+def test_a_long_labelled_text_is_learned_from(spark):
+    long = spark.createDataFrame([(1, "mira " * 4000, "xx"), (2, "", "yy"), (3, None, "zz")], "doc_id long, text string, lang string")
+    learned = language_id.learn_dictionaries(long)
+    assert list(learned) == ["xx"] and 8000 < len(learned["xx"]) <= 8192
+
+
 def test_optimal_buckets_and_batches(spark, docs, empty):
     rng = random.Random(5)
     for _ in range(20):

@@ -1,16 +1,19 @@
 """Language ID (operator 6): compression classification with one zstandard raw-content dictionary per language.
 
-A dictionary is text of the language from a bounded sample of labelled rows (``sample_docs`` texts of at most
-``sample_chars`` characters per language, the first by a hash of the id). A text is cut into blocks, each block is
+A dictionary is text of the language from a bounded sample of labelled rows (the first ``sample_chars`` characters of
+``sample_docs`` texts per language, the first by a hash of the id). A text is cut into blocks, each block is
 compressed with every dictionary, and the language whose sizes add up to least is chosen. A text of any length is read
 whole. The margin is how much larger the second smallest sum is; where it is narrow the text is
-rejected, unless it has fewer than ``LEAST_BYTES`` bytes of distinct words to compare.
+rejected: under ``margin_share`` of the bytes compared plus ``NOISE`` times their square root, as the difference between two
+languages grows with the text and chance with its root. Equal sums are always too narrow. Without ``margin_share`` only long texts
+with next to no margin are rejected.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from math import sqrt
 
 import pyarrow as pa
 import zstandard
@@ -22,6 +25,9 @@ from tremorloom.llm.common import id_and_bytes, texts_of
 UNKNOWN = "und"
 BLOCK = 2048
 LEAST_BYTES = 512
+#: chosen on labelled rows at scale factor 0.01, so that most texts of a language left out are rejected
+MARGIN_SHARE = 0.018
+NOISE = 0.5
 LEVEL = 3
 _LETTER = re.compile(r"[^\W\d_]")
 _OTHERS = re.compile(r"[\W\d_]+")
@@ -36,8 +42,8 @@ def learn_dictionaries(
 
     ``sample_docs`` and ``sample_chars`` bound what reaches the driver per language.
     """
-    usable = labelled.select(F.col(f"`{id_col}`").alias("id"), "text", "lang").where(
-        "lang IS NOT NULL AND text IS NOT NULL AND length(text) BETWEEN 1 AND " + str(sample_chars)
+    usable = labelled.select(F.col(f"`{id_col}`").alias("id"), F.substring("text", 1, sample_chars).alias("text"), "lang").where(
+        "lang IS NOT NULL AND text IS NOT NULL AND text <> ''"
     )
     order = [F.xxhash64(F.col("id")), F.col("id"), F.col("text")]
     # top rows are cut in each task before the shuffle
@@ -82,13 +88,15 @@ def sizes(text: str, made: dict, block: int = BLOCK) -> tuple[list[tuple[int, st
 
 
 def language_id(
-    docs: DataFrame, dictionaries: dict[str, bytes], least_margin: float = 0.001, level: int = LEVEL, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, dictionaries: dict[str, bytes], least_margin: float = 0.001, level: int = LEVEL, id_col: str = "doc_id", text_col: str = "text",
+    margin_share: float | None = None,
 ) -> DataFrame:
     """``doc_id, lang_pred, score, rejected`` for every row.
 
     ``lang_pred`` is ``und`` and ``score`` 0 for NULL, empty and letterless texts, and where nothing was learned. ``score`` is the
-    margin: by how much of it the second best sum is above the best one, 0 to 1. ``rejected``: ``und``, or a margin below
-    ``least_margin`` on ``LEAST_BYTES`` bytes or more. Equal sums go to the first of ``dictionaries``. Rows are judged one by one, so repeated rows and
+    margin: by how much of it the second best sum is above the best one, 0 to 1. ``rejected``: ``und``, or with
+    ``margin_share`` equal sums or too narrow a margin for the bytes compared, without it a margin below ``least_margin`` on ``LEAST_BYTES`` bytes or more.
+    Equal sums go to the first of ``dictionaries``. Rows are judged one by one, so repeated rows and
     NULL ids don't matter; an empty table gives no rows.
     """
     rows = id_and_bytes(docs, id_col, text_col)
@@ -108,7 +116,11 @@ def language_id(
                 ranked, compared = sizes(text, made)
                 pred.append(ranked[0][1])
                 score.append(1.0 - ranked[0][0] / ranked[1][0] if len(ranked) > 1 else 1.0)
-                rejected.append(score[-1] < least_margin and compared >= LEAST_BYTES)
+                if margin_share is None or len(ranked) < 2:
+                    rejected.append(score[-1] < least_margin and compared >= LEAST_BYTES)
+                else:
+                    apart = ranked[1][0] - ranked[0][0]
+                    rejected.append(apart <= 0 or apart < margin_share * compared + NOISE * sqrt(compared))
             yield pa.record_batch(
                 {
                     "doc_id": ids,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tremorloom.llm import common
 from tremorloom.llm.decontaminate import decontaminate
 from tremorloom.llm.exact_dedup import DigestIndex, exact_dedup
-from tremorloom.llm.language_id import language_id, learn_dictionaries
+from tremorloom.llm.language_id import MARGIN_SHARE, language_id, learn_dictionaries
 from tremorloom.llm.license_scan import license_scan
 from tremorloom.llm.line_dedup import line_dedup
 from tremorloom.llm.lm_scoring import lm_scoring
@@ -57,7 +57,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     dictionaries = learn_dictionaries(docs.where(remainder(5) != 0))
-    found = language_id(docs, dictionaries)
+    found = language_id(docs, dictionaries, margin_share=MARGIN_SHARE)
     return found.withColumn("held_out", F.coalesce(remainder(5) == 0, F.lit(False)))
 
 
