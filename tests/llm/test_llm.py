@@ -440,3 +440,35 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark, docs, tmp_path):
     assert held.where("text = 'Only three words' OR text IS NULL").isEmpty()
     packed = corpus_pipeline.STAGES[-1][1](spark, held, str(tmp_path))
     assert packed.select("doc_id").distinct().count() == held.select("doc_id").distinct().count()
+
+
+def test_pipeline_stages_decide_rows_without_or_with_shared_ids(spark, tmp_path):
+    rng = random.Random(4)
+    words = [f"word{i}" for i in range(400)]
+    a, b, c = (" ".join(rng.choices(words, k=60)) for _ in range(3))
+    item = " ".join(rng.choices(words, k=12))
+    spark.createDataFrame([("1", item)], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    frame = lambda table: spark.createDataFrame(table, "doc_id long, text string, lang string")
+
+    def kept(stage, table):
+        return Counter((r["doc_id"], r["text"]) for r in stage(spark, frame([(*r, "en") for r in table]), str(tmp_path)).collect())
+
+    language = [(None, "%%% 12"), (None, a), (5, "123"), (5, b), (6, None)]
+    assert kept(corpus_pipeline.language_stage, language) == Counter([(None, a), (5, b)])
+
+    exact = [(None, a), (None, a), (None, a.upper()), (7, b), (7, b.upper()), (7, b), (3, b), (None, b), (8, c), (8, a[:50]), (9, c)]
+    left = kept(corpus_pipeline.exact_stage, exact)
+    best: dict = {}
+    for doc, text in exact:  # the largest id of each text, NULL least
+        best[text.lower()] = max(best.get(text.lower(), -1), -1 if doc is None else doc)
+    assert Counter((text.lower(), -1 if doc is None else doc) for doc, text in left.elements()) == Counter(best.items())
+    assert set(left) <= set(exact)
+
+    near = [(None, a), (4, a + " more"), (2, a + " other"), (2, b), (None, c), (None, c + " end")]
+    left = kept(corpus_pipeline.near_stage, near)
+    assert {k: left[k] for k in near[:4]} == {near[0]: 0, near[1]: 0, near[2]: 1, near[3]: 1}
+    assert left[near[4]] + left[near[5]] == 1
+
+    hit = f"{a} {item} {b}"
+    dirty = [(None, hit), (None, a), (1, hit), (1, c), (2, b), (2, b)]
+    assert kept(corpus_pipeline.decontamination_stage, dirty) == Counter([(None, a), (1, c), (2, b), (2, b)])

@@ -8,6 +8,7 @@ bucketing. The files carry the bucket in their names, so another session registe
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +18,10 @@ from tremorloom.llm.common import lower_ascii, stash
 BUCKETS = 64
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, digest`` of every row: SHA-256 of the text with A-Z lower-cased; NULL counts as empty."""
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: Sequence[str] = ()) -> DataFrame:
+    """``id, digest`` and the columns ``more`` of every row: SHA-256 of the text with A-Z lower-cased; NULL counts as empty."""
     normal = lower_ascii(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.unhex(F.sha2(normal.cast("binary"), 256)).alias("digest"))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.unhex(F.sha2(normal.cast("binary"), 256)).alias("digest"), *more)
 
 
 class DigestIndex:
