@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremorloom.llm import common
+from tremorloom.llm.collocations import collocations
 from tremorloom.llm.decontaminate import decontaminate
 from tremorloom.llm.exact_dedup import DigestIndex, exact_dedup
 from tremorloom.llm.language_id import MARGIN_SHARE, language_id, learn_dictionaries
@@ -95,11 +96,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_ngram_join, op3_license_scan, op4_lm_scoring, op5_line_dedup,
         op6_language_id, op7_packing, op8_token_output, op9_exact_dedup, op10_decontamination,
+        op13_collocations,
     )
 }
 
@@ -164,4 +170,35 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM w LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
     """,
+    "op13_collocations": f"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+        ), w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+        n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+        u AS (SELECT lang, x AS phrase, 1 AS k, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM w) GROUP BY ALL),
+        g AS (
+            SELECT lang, phrase, k, count(*) AS f FROM (
+                SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+                FROM w, (VALUES (2), (3)) AS ks(k) WHERE len(w) >= k
+            ) GROUP BY ALL HAVING count(*) >= 10
+        ), f AS (SELECT lang, phrase, f FROM u UNION ALL SELECT lang, phrase, f FROM g),
+        s AS (SELECT *, string_split(phrase, ' ') AS w FROM g),
+        c AS (
+            SELECT lang, phrase, f AS a, k, cut, array_to_string(w[1:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM s)
+        ), x AS (
+            SELECT c.lang, c.phrase, c.a, cut, h.f AS l, t.f AS r, ((1000000::HUGEINT * a * a) // (h.f::HUGEINT * t.f))::BIGINT AS score
+            FROM c JOIN f AS h ON h.lang = c.lang AND h.phrase = c.head JOIN f AS t ON t.lang = c.lang AND t.phrase = c.tail
+        ), y AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        i AS (
+            SELECT lang, phrase, max(f) AS f FROM (
+                SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, f FROM s WHERE k = 3
+            ) GROUP BY ALL
+        )
+        SELECT y.lang, row_number() OVER (PARTITION BY y.lang ORDER BY score DESC, a DESC, y.phrase) AS rank, y.phrase, a, l, r, n.n, score
+        FROM y JOIN n ON n.lang = y.lang LEFT JOIN i ON i.lang = y.lang AND i.phrase = y.phrase
+        WHERE NOT coalesce(100 * i.f >= 50 * a, false)
+        QUALIFY rank <= 2000
+    """,
 }
