@@ -21,6 +21,7 @@ from tremorloom.llm.ngram_join import ngram_join
 from tremorloom.llm.packing import pack
 from tremorloom.llm.simple8b import read_token_ids, write_token_ids
 from tremorloom.llm.token_counts import token_counts
+from tremorloom.llm.vector_codes import vector_codes, with_label_error
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +97,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes(table(spark, sf_dir, "embeddings"))
+    return with_label_error(coded.rows).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(coded.digest()).alias("codebooks_sha256")
+    )
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
@@ -105,12 +113,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_token_counts, op2_ngram_join, op3_license_scan, op4_lm_scoring, op5_line_dedup,
         op6_language_id, op7_packing, op8_token_output, op9_exact_dedup, op10_decontamination,
-        op13_collocations,
+        op12_vector_codes, op13_collocations,
     )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _assigned(n: int) -> str:
+    """Parts with the nearest entry of codebook ``b{n}``, and their distance."""
+    return f"""a{n} AS MATERIALIZED (
+            SELECT r, vec_id, label, pos, p, unnest(min(struct_pack(d := d, entry := entry))) FROM (
+                SELECT m.*, entry, list_sum(list_transform(list_zip(m.p, b.p), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+                FROM m JOIN b{n} AS b USING (pos)
+            ) GROUP BY r, vec_id, label, pos, p
+        )"""
+
+
+def _updated(n: int) -> str:
+    """Codebook ``b{n}``: floored means of the parts of each entry, unused entries as before."""
+    return f"""b{n} AS MATERIALIZED (
+            SELECT pos, entry, coalesce(mean, p) AS p FROM b{n - 1} LEFT JOIN (
+                SELECT pos, entry, list(mean ORDER BY i) AS mean FROM (
+                    SELECT pos, entry, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS mean
+                    FROM (SELECT pos, entry, unnest(p) AS x, unnest(range(len(p))) AS i FROM a{n - 1}) GROUP BY pos, entry, i
+                ) GROUP BY pos, entry
+            ) AS means USING (pos, entry)
+        )"""
+
+
 ORACLES: dict[str, str] = {
     "op2_ngram_join": f"""
         WITH RECURSIVE w AS (
@@ -170,10 +200,25 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM w LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
     """,
+    "op12_vector_codes": f"""
+        WITH kept AS (
+            SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), m AS MATERIALIZED (
+            SELECT r, vec_id, label, pos, v[pos * (len(v) // 16) + 1:(pos + 1) * (len(v) // 16)] AS p
+            FROM kept, (SELECT unnest(range(16)) AS pos) AS positions
+        ), b0 AS MATERIALIZED (
+            SELECT pos, entry, p FROM (SELECT pos, p, row_number() OVER (PARTITION BY pos ORDER BY vec_id, r) - 1 AS entry FROM m) WHERE entry < 64
+        ), {_assigned(0)}, {_updated(1)}, {_assigned(1)}, {_updated(2)}, {_assigned(2)},
+        o AS (
+            SELECT r, any_value(vec_id) AS vec_id, any_value(label) AS label, sum(d)::BIGINT AS error,
+                   string_agg(printf('%02x', entry), '' ORDER BY pos) AS code FROM a2 GROUP BY r
+        ), h AS (SELECT sha256(string_agg(array_to_string(p, ','), ',' ORDER BY pos, entry)) AS codebooks_sha256 FROM b2)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM o, h
+    """,
     "op13_collocations": f"""
         WITH p AS (
-            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
         ), w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
         n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
         u AS (SELECT lang, x AS phrase, 1 AS k, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM w) GROUP BY ALL),
