@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremorloom.llm import common
+from tremorloom.llm.bpe import bpe_decode, bpe_encode
 from tremorloom.llm.collocations import collocations
 from tremorloom.llm.decontaminate import decontaminate
 from tremorloom.llm.exact_dedup import DigestIndex, exact_dedup
@@ -97,6 +98,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe_decode(bpe_encode(table(spark, sf_dir, "documents")))
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = vector_codes(table(spark, sf_dir, "embeddings"))
     return with_label_error(coded.rows).select(
@@ -113,7 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_token_counts, op2_ngram_join, op3_license_scan, op4_lm_scoring, op5_line_dedup,
         op6_language_id, op7_packing, op8_token_output, op9_exact_dedup, op10_decontamination,
-        op12_vector_codes, op13_collocations,
+        op11_bpe, op12_vector_codes, op13_collocations,
     )
 }
 
