@@ -338,10 +338,9 @@ class PhraseTrie:
 def count_phrases(texts: DataFrame, candidates: DataFrame, shard_phrases: int = SHARD_PHRASES) -> DataFrame:
     """``lang, phrase, k, f``: exact occurrences of the given distinct phrases, a trie and a pass over the texts a shard."""
     spark = texts.sparkSession
-    total = candidates.count()
-    n_shards = max(1, -(-total // shard_phrases))
-    shard = F.pmod(F.xxhash64("lang", "phrase"), F.lit(n_shards)).cast("int")
-    placed = stash(candidates.withColumn("shard", shard).withColumn("number", F.monotonically_increasing_id()), "candidates")
+    numbered = stash(candidates.withColumn("number", F.monotonically_increasing_id()), "candidates")
+    n_shards = max(1, -(-numbered.count() // shard_phrases))
+    placed = numbered.withColumn("shard", F.pmod(F.xxhash64("lang", "phrase"), F.lit(n_shards)))
     counts = None
     for s in range(n_shards):
         own = placed.where(F.col("shard") == s).select("lang", "phrase", "number").toArrow().combine_chunks()  # about shard_phrases rows
