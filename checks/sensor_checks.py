@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from checks import standins as st
@@ -372,11 +373,79 @@ def _(spark, sf):
     return signal.merge_segments(hourly, "event_id")
 
 
-@check("bandpass", "period_id:s station:s channel:s ts:t amplitude:d low:d high:d")
+BANDS_PER_DAY = {"amplitude": (1.0, 5.5), "low": (1.0, 3.0), "high": (3.0, 5.5)}
+RATE_CHANGE = "2024-01-18 00:00:00"
+
+
+def _section_rows() -> str:
+    """``(per_day, band, g1, a11, a12, g2, ...)``: the filter's sections, from its polynomials."""
+    rows = []
+    for per_day in (24, 12):
+        for name, (low, high) in BANDS_PER_DAY.items():
+            w = 2 * per_day * np.tan(np.pi * np.array([low, high]) / per_day)
+            half = np.exp(1j * np.pi * (2 * np.arange(4) + 5) / 8) * (w[1] - w[0]) / 2
+            poles = np.concatenate([half + np.sqrt(half**2 - w[0] * w[1]), half - np.sqrt(half**2 - w[0] * w[1])])
+            gain = np.real(((w[1] - w[0]) * 2 * per_day) ** 4 / np.prod(2 * per_day - poles))
+            digital = (2 * per_day + poles) / (2 * per_day - poles)
+            one = [gain**0.25 * np.sign(gain)] + [gain**0.25] * 3
+            sections = [(g, -2 * p.real, abs(p) ** 2) for g, p in zip(one, digital[digital.imag > 0])]
+            rows.append(f"({per_day}, '{name}', " + ", ".join(f"{float(v)!r}::DOUBLE" for s in sections for v in s) + ")")
+    return ", ".join(rows)
+
+
+def _pass_sql(name: str, source: str, value: str, nth: str) -> str:
+    """A recursive filter over ``source``: one row of each run and band a step, four sections in direct form."""
+    states = [f"z{k}{j}" for k in range(1, 5) for j in (1, 2)]
+    steps = ", ".join(
+        f"g{k} * u{k - 1} + z{k}1 AS u{k}, z{k}2 - a{k}1 * u{k} AS n{k}1, -g{k} * u{k - 1} - a{k}2 * u{k} AS n{k}2" for k in range(1, 5)
+    )
+    return (
+        f"{name} AS (SELECT DISTINCT rid, bands.band, 0::BIGINT AS i, 0.0::DOUBLE AS y, {', '.join(f'0.0::DOUBLE AS {z}' for z in states)} "
+        f"FROM {source}, (SELECT DISTINCT band AS band FROM sections) AS bands UNION ALL "
+        f"SELECT rid, band, i, u4 AS y, {', '.join(z.replace('z', 'n') for z in states)} FROM (SELECT p.rid, p.band, p.i + 1 AS i, s.{value} AS u0, {steps} "
+        f"FROM {name} AS p JOIN {source} AS s ON s.rid = p.rid AND s.{nth} = p.i + 1{' AND s.band = p.band' if source != 'numbered' else ''} "
+        "JOIN sections AS c ON c.per_day = s.per_day AND c.band = p.band))"
+    )
+
+
+def _bandpass_sql() -> str:
+    same = "PARTITION BY period_id, station, channel ORDER BY ts"
+    late = f"ts >= TIMESTAMP '{RATE_CHANGE}'"
+    columns = ", ".join(f"g{k}, a{k}1, a{k}2" for k in range(1, 5))
+    return (
+        f"WITH RECURSIVE {ASSIGNED_SQL}, sections(per_day, band, {columns}) AS (VALUES {_section_rows()}), "
+        f"binned AS (SELECT period_id, station, channel, CASE WHEN {late} THEN time_bucket(INTERVAL '2 hours', ts) ELSE date_trunc('hour', ts) END AS ts, "
+        f"CASE WHEN {late} THEN 12 ELSE 24 END AS per_day, amplitude FROM assigned), "
+        "series AS (SELECT period_id, station, channel, ts, per_day, CASE WHEN hour(ts) = 4 AND day(ts) % 3 = 0 THEN NULL ELSE max(amplitude) END AS x "
+        "FROM binned GROUP BY period_id, station, channel, ts, per_day), "
+        f"marked AS (SELECT *, CASE WHEN lag(x) OVER ({same}) IS NOT NULL AND lag(per_day) OVER ({same}) = per_day "
+        f"AND epoch_us(ts) - epoch_us(lag(ts) OVER ({same})) = 86400000000 // per_day THEN 0 ELSE 1 END AS head FROM series), "
+        f"islands AS (SELECT *, sum(head) OVER ({same} ROWS UNBOUNDED PRECEDING) AS run FROM marked), "
+        "numbered AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY period_id, station, channel, run) AS rid, "
+        "row_number() OVER (PARTITION BY period_id, station, channel, run ORDER BY ts) AS i, "
+        "row_number() OVER (PARTITION BY period_id, station, channel, run ORDER BY ts DESC) AS j FROM islands WHERE x IS NOT NULL), "
+        f"{_pass_sql('forward', 'numbered', 'x', 'i')}, "
+        "once AS MATERIALIZED (SELECT n.rid, n.j, n.per_day, f.band, f.y FROM forward AS f JOIN numbered AS n USING (rid, i)), "
+        f"{_pass_sql('backward', 'once', 'y', 'j')}, "
+        "done AS (SELECT n.period_id, n.station, n.channel, n.ts, b.band, b.y FROM backward AS b JOIN numbered AS n ON n.rid = b.rid AND n.j = b.i) "
+        "SELECT s.period_id, s.station, s.channel, s.ts, "
+        + ", ".join(f"round(max(y) FILTER (band = '{name}'), 4) AS {name}" for name in BANDS_PER_DAY)
+        + " FROM series AS s LEFT JOIN done AS d USING (period_id, station, channel, ts) GROUP BY 1, 2, 3, 4"
+    )
+
+
+@check("bandpass", "period_id:s station:s channel:s ts:t amplitude:d low:d high:d", _bandpass_sql())
 def _(spark, sf):
-    """Hourly series filtered with bands in cycles per day; no SQL form, see the property tests."""
+    """Hourly and, from a day on, two-hourly series with gaps and NULLs, filtered with bands in cycles per day."""
     day = 86400.0
-    hourly = st.assigned(spark, sf).withColumn("ts", F.date_trunc("hour", "ts")).withColumn("sampling_rate", F.lit(24.0 / day))
-    filled = signal.detrend_linear(signal.interpolate_gaps(signal.merge_segments(hourly)))
-    bands = {"amplitude": (1 / day, 8 / day), "low": (1 / day, 3 / day), "high": (3 / day, 8 / day)}
-    return signal.bandpass(filled, bands, chunk_seconds=7 * 86400, pad_seconds=2 * 86400)
+    late = F.col("ts") >= F.lit(RATE_CHANGE).cast("timestamp")
+    coarse = F.timestamp_seconds((F.floor(F.unix_timestamp("ts") / 7200) * 7200).cast("bigint"))
+    binned = st.assigned(spark, sf).withColumns(
+        {"sampling_rate": F.when(late, 12 / day).otherwise(24 / day), "ts": F.when(late, coarse).otherwise(F.date_trunc("hour", "ts"))}
+    )
+    merged = signal.merge_segments(binned)
+    silent = (F.hour("ts") == 4) & (F.dayofmonth("ts") % 3 == 0)
+    holed = merged.withColumn("amplitude", F.when(~silent, F.col("amplitude")))
+    bands = {name: (low / day, high / day) for name, (low, high) in BANDS_PER_DAY.items()}
+    found = signal.bandpass(holed, bands, chunk_seconds=17 * 3600)
+    return found.withColumns({name: F.round(name, 4) for name in bands})

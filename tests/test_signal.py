@@ -117,3 +117,49 @@ def test_overlap_takes_the_later_segment(spark):
     merged = signal.merge_segments(spark.createDataFrame(pd.concat([a, b], ignore_index=True)), "segment")
     assert [r["amplitude"] for r in merged.orderBy("ts").collect()] == [1.0, 2.0, 2.0]
     assert merged.where(F.col("amplitude") == 2).count() == 2
+
+
+def pieces_both_ways(df: pd.DataFrame, low: float, high: float) -> np.ndarray:
+    """Runs cut by hand, each filtered in one go; NaN where a value is missing."""
+    us = df["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
+    x, rate = df["amplitude"].to_numpy(float), df["sampling_rate"].to_numpy(float)
+    out, start = np.full(len(x), np.nan), 0
+    for i in range(1, len(x) + 1):
+        joined = i < len(x) and rate[i] == rate[i - 1] and abs((us[i] - us[i - 1]) * rate[i] / 1e6 - 1) < 0.5 and np.isfinite(x[i]) and np.isfinite(x[i - 1])
+        if not joined:
+            if np.isfinite(x[start]):
+                out[start:i] = both_ways(x[start:i], low, high, rate[start])
+            start = i
+    return out
+
+
+@pytest.mark.parametrize("chunk_seconds", [1, 7, 1000])
+def test_bandpass_is_exact_for_any_chunk_with_gap_null_and_rate_change(spark, monkeypatch, chunk_seconds):
+    monkeypatch.setattr(signal, "_FAN", 4)  # several levels of composition
+    rng = np.random.default_rng(3)
+    first = trace(rng.normal(size=3000) + 4)
+    first.loc[[0, 700, 1203, 1204, 2999], "amplitude"] = [np.nan, np.nan, np.inf, np.nan, np.nan]
+    first = first.drop(index=range(1500, 1740))
+    second = trace(rng.normal(size=1500), rate=50.0, start="2020-01-01T00:00:30")
+    alone = trace(np.array([3.0]), start="2020-01-01T00:02:00")
+    slow = trace(np.ones(40), rate=20.0, start="2020-01-01T00:03:00")
+    whole = pd.concat([first, second, alone, slow], ignore_index=True)
+    other = whole.assign(station=None, amplitude=-2 * whole["amplitude"])
+    df = spark.createDataFrame(pd.concat([whole, other], ignore_index=True)).repartition(5)
+    out = signal.bandpass(df, chunk_seconds=chunk_seconds).toPandas().sort_values("ts")
+    assert len(out) == 2 * len(whole)
+    assert out.loc[out["sampling_rate"] == 20, ["amplitude", "low", "high"]].isna().all().all()
+    for name, (low, high) in {"amplitude": (1, 16), "low": (1, 5.5), "high": (6, 16)}.items():
+        want = np.where(whole["sampling_rate"] == 20, np.nan, pieces_both_ways(whole, low, high))
+        np.testing.assert_allclose(out.loc[out["station"] == "CSS", name].to_numpy(), want, atol=1e-9, err_msg=name)
+        np.testing.assert_allclose(out.loc[out["station"].isna(), name].to_numpy(), -2 * want, atol=2e-9, err_msg=name)
+
+
+def test_bandpass_filters_stored_chunks_in_one_pass(spark):
+    plan = signal.bandpass(spark.createDataFrame(trace(np.ones(3000))))._jdf.queryExecution().executedPlan().toString()
+    assert "PythonRDD" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_bandpass_of_nothing(spark):
+    empty = spark.createDataFrame(trace(np.ones(3))).where("false")
+    assert signal.bandpass(empty).count() == 0

@@ -2,21 +2,24 @@
 
 A trace is one (period, network, station, channel). A trace may be arbitrarily long, so nothing here sorts or
 collects a whole trace in one task: per-trace figures come from grouped aggregates, neighbours across time
-buckets from small bucket summaries, and filters run on bounded chunks with padding.
+buckets from small bucket summaries, and filters run on bounded chunks whose states are composed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tremorloom.functions.numeric import is_finite
 from tremorloom.functions.times import micros
+from tremorloom.operators import recursive_filter
 from tremorloom.operators.ranking import same_keys
 from tremorloom.schemas import BAND_FULL, BAND_HIGH, BAND_LOW, NYQUIST_MINIMUM_HZ
+from tremorloom.session import found_by_workers, stored
 
 TRACE_KEYS = ["period_id", "network", "station", "channel"]
 
@@ -178,65 +181,149 @@ def usable_traces(samples: DataFrame, minimum_hz: float = NYQUIST_MINIMUM_HZ) ->
     return samples.where(F.col("sampling_rate") / 2 > minimum_hz)
 
 
+_PIECE = (
+    "n long, whole boolean, forward array<double>, backward array<double>, first_us long, first_rate double, "
+    "first_good boolean, last_us long, last_rate double, last_good boolean"
+)
+# chunks whose pieces are composed in one task
+_FAN = 1024
+
+
 def bandpass(
     samples: DataFrame,
     bands: dict[str, tuple[float, float]] | None = None,
     keys: Sequence[str] = TRACE_KEYS,
     corners: int = 4,
     chunk_seconds: int = 600,
-    pad_seconds: int = 60,
+    pad_seconds: int | None = None,
 ) -> DataFrame:
     """Zero-phase Butterworth band-passes of every trace, one output column per band.
 
-    Filtering forward and backward multiplies the spectrum by the squared magnitude response, so each chunk
-    is one FFT per direction and a real gain. Frequencies are warped as in the bilinear design of the digital
-    filter. Chunks overlap by ``pad_seconds`` on both sides and only their middle is returned; a task never
-    holds more than ``chunk_seconds + 2 * pad_seconds`` of one trace.
+    Second-order sections run forward and then backward over each run of samples: usable values of one rate, one sampling
+    interval apart. A gap, a change of the rate, and a value that is NULL or not finite end a run; the filter starts from
+    rest behind them. Unusable samples, and those whose rate doesn't reach twice a band's upper edge, are returned with
+    NULL in all bands. Samples without ``ts`` are left out.
+
+    Samples are shuffled once, into one row per chunk, which is stored. What a chunk does to the filter's state is an
+    affine map of a few numbers (``recursive_filter.Piece``). These are composed over ``_FAN`` chunks each, then over the trace, and
+    handed down again, so every chunk knows the exact state that enters it at either end and is filtered on its own; the
+    result doesn't depend on ``chunk_seconds``. ``pad_seconds`` has no effect: no padding is needed.
 
     Default bands: ``amplitude`` 1-16 Hz, ``low`` 1-5.5 Hz, ``high`` 6-16 Hz.
     """
     chosen = dict(bands or {"amplitude": BAND_FULL, "low": BAND_LOW, "high": BAND_HIGH})
-    keys = list(keys)
-    order = int(corners)
-    edge = F.lit(chunk_seconds * 1_000_000)
-    pad = F.lit(pad_seconds * 1_000_000)
+    edges = [(float(low), float(high)) for low, high in chosen.values()]
+    keys, order, top = list(keys), int(corners), max(high for _, high in edges)
+    found_by_workers(samples.sparkSession)
+    kinds = dict(samples.select(*keys).dtypes)
+    key_schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
     us = micros("ts")
-    first = F.floor((us - pad) / edge).cast("bigint")
-    last = F.floor((us + pad) / edge).cast("bigint")
-    spread = samples.select(
-        *keys, "ts", "amplitude", "sampling_rate", F.floor(us / edge).cast("bigint").alias("_home"),
-        F.explode(F.sequence(first, last)).alias("_chunk"),
+    timed = samples.where(F.col("ts").isNotNull()).select(
+        *keys,
+        F.floor(us / F.lit(chunk_seconds * 1_000_000)).cast("bigint").alias("_chunk"),
+        us.alias("_us"),
+        F.col("amplitude").cast("double").alias("_x"),
+        F.col("sampling_rate").cast("double").alias("_rate"),
+    )
+
+    def chunk_row(group):
+        us, x, rate = (_numbers(group, c) for c in ("_us", "_x", "_rate"))
+        order_of = np.argsort(us, kind="stable")
+        us, x, rate = us[order_of].astype(np.int64), x[order_of], rate[order_of]
+        piece = recursive_filter.summed_up(us, x, _usable(x, rate, top), rate, edges, order)
+        lists = {"_us": pa.array([us]), "_x": pa.array([x]), "_rate": pa.array([rate])}
+        return _with_columns(group.slice(0, 1).select([*keys, "_chunk"]), lists | _piece_columns([piece]))
+
+    chunks = stored(
+        timed.groupBy(*keys, "_chunk").applyInArrow(
+            chunk_row, f"{key_schema}, _chunk long, _us array<long>, _x array<double>, _rate array<double>, {_PIECE}"
+        ),
+        "chunks",
     )
-    kinds = {f.name: f.dataType for f in samples.schema.fields}
-    schema = T.StructType(
-        [T.StructField(k, kinds[k]) for k in keys]
-        + [T.StructField("ts", T.TimestampType()), T.StructField("sampling_rate", T.DoubleType())]
-        + [T.StructField(name, T.DoubleType()) for name in chosen]
+    states = _entering_states(chunks.drop("_us", "_x", "_rate"), keys, key_schema, edges, order)
+
+    def filter_rows(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                us, x, rate = (row.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("_us", "_x", "_rate"))
+                inflow, outflow = (_states(row.column(c), len(edges))[0] for c in ("inflow", "outflow"))
+                out = recursive_filter.filtered(us, x, _usable(x, rate, top), rate, inflow, outflow, edges, order)
+                again = pa.array(np.zeros(len(us), np.int64))
+                found = {k: row.column(k).take(again) for k in keys} | {"_us": pa.array(us), "sampling_rate": pa.array(rate, from_pandas=True)}
+                yield pa.record_batch(found | {name: pa.array(y, from_pandas=True) for name, y in zip(chosen, out)})
+
+    columns = ", ".join(f"`{name}` double" for name in chosen)
+    return (
+        same_keys(chunks.select(*keys, "_chunk", "_us", "_x", "_rate"), states, [*keys, "_chunk"])
+        .mapInArrow(filter_rows, f"{key_schema}, _us long, sampling_rate double, {columns}")
+        .select(*keys, F.timestamp_micros("_us").alias("ts"), "sampling_rate", *chosen)
     )
 
-    def filter_chunk(pdf):
-        import numpy as np
-
-        pdf = pdf.sort_values("ts", kind="stable")
-        own = (pdf["_home"] == pdf["_chunk"]).to_numpy()
-        out = pdf.loc[own, [*keys, "ts", "sampling_rate"]].copy()
-        if not own.any():
-            return out.reindex(columns=[*keys, "ts", "sampling_rate", *chosen])
-        rate = float(pdf["sampling_rate"].iloc[0])
-        signal = pdf["amplitude"].to_numpy(dtype=float)
-        padded = int(round(pad_seconds * rate))
-        size = 1 << int(np.ceil(np.log2(len(signal) + 2 * padded)))
-        spectrum = np.fft.rfft(signal, size)
-        warped = np.tan(np.pi * np.minimum(np.fft.rfftfreq(size, 1.0 / rate), rate / 2 * (1 - 1e-9)) / rate)
-        for name, (low_hz, high_hz) in chosen.items():
-            low_w, high_w = np.tan(np.pi * low_hz / rate), np.tan(np.pi * high_hz / rate)
-            with np.errstate(divide="ignore", over="ignore"):
-                distance = (warped**2 - low_w * high_w) / (warped * (high_w - low_w))
-                gain = 1.0 / (1.0 + distance ** (2 * order))
-            out[name] = np.fft.irfft(spectrum * gain, size)[: len(signal)][own]
-        return out[[*keys, "ts", "sampling_rate", *chosen]]
-
-    return spread.groupBy(*keys, "_chunk").applyInPandas(filter_chunk, schema)
+
+def _entering_states(pieces: DataFrame, keys: list[str], key_schema: str, edges: list, order: int) -> DataFrame:
+    """``(*keys, _chunk, inflow, outflow)``: up over ``_FAN`` chunks, across each trace, and down again."""
+    far = pieces.withColumn("_far", F.floor(F.col("_chunk") / _FAN).cast("bigint"))
+
+    def fold(group):
+        group = group.sort_by("_chunk")
+        whole = recursive_filter.fold(_pieces(group, len(edges)), edges, order)
+        return _with_columns(group.slice(0, 1).select([*keys, "_far"]), _piece_columns([whole]))
+
+    def hand_down(group, by):
+        group = group.sort_by(by)
+        rest = np.zeros((len(edges), 2 * order))
+        inflow = _states(group.column("_inflow"), len(edges))[0] if "_inflow" in group.column_names else rest
+        outflow = _states(group.column("_outflow"), len(edges))[0] if "_outflow" in group.column_names else rest
+        entering, leaving, _ = recursive_filter.resolve(_pieces(group, len(edges)), inflow, outflow, edges, order)
+        lists = {"inflow": pa.array([s.reshape(-1) for s in entering]), "outflow": pa.array([s.reshape(-1) for s in leaving])}
+        return _with_columns(group.select([*keys, by]), lists)
+
+    stretches = far.groupBy(*keys, "_far").applyInArrow(fold, f"{key_schema}, _far long, {_PIECE}")
+    ends = "inflow array<double>, outflow array<double>"
+    outer = stretches.groupBy(*keys).applyInArrow(lambda group: hand_down(group, "_far"), f"{key_schema}, _far long, {ends}")
+    outer = outer.withColumnsRenamed({"inflow": "_inflow", "outflow": "_outflow"})
+    inner = same_keys(far, outer, [*keys, "_far"]).groupBy(*keys, "_far")
+    return inner.applyInArrow(lambda group: hand_down(group, "_chunk"), f"{key_schema}, _chunk long, {ends}")
+
+
+def _numbers(group: pa.Table, column: str) -> np.ndarray:
+    """A column as numbers, NULL as NaN."""
+    return group.column(column).to_pandas().to_numpy()
+
+
+def _usable(x: np.ndarray, rate: np.ndarray, top: float) -> np.ndarray:
+    return np.isfinite(x) & np.isfinite(rate) & (rate > 2 * top)
+
+
+def _with_columns(table: pa.Table, columns: dict) -> pa.Table:
+    for name, values in columns.items():
+        table = table.append_column(name, values)
+    return table
+
+
+def _states(column, n_bands: int) -> list[np.ndarray]:
+    return [np.array(v, float).reshape(n_bands, -1) for v in column.to_pylist()]
+
+
+def _piece_columns(pieces: list) -> dict:
+    ends = {f"{side}_{name}": pa.array([getattr(p, side)[i] for p in pieces]) for side in ("first", "last") for i, name in enumerate(("us", "rate", "good"))}
+    return {
+        "n": pa.array([p.n for p in pieces], pa.int64()),
+        "whole": pa.array([p.whole for p in pieces]),
+        "forward": pa.array([p.forward.reshape(-1) for p in pieces]),
+        "backward": pa.array([p.backward.reshape(-1) for p in pieces]),
+        **ends,
+    }
+
+
+def _pieces(group: pa.Table, n_bands: int) -> list:
+    end = lambda r, side: (r[f"{side}_us"], r[f"{side}_rate"], r[f"{side}_good"])
+    shaped = lambda v: np.array(v, float).reshape(n_bands, -1)
+    rows = group.select(["n", "whole", "forward", "backward", *[f"{s}_{c}" for s in ("first", "last") for c in ("us", "rate", "good")]]).to_pylist()
+    return [
+        recursive_filter.Piece(r["n"], r["whole"], shaped(r["forward"]), shaped(r["backward"]), end(r, "first"), end(r, "last")) for r in rows
+    ]
 
 
 def trace_quality(samples: DataFrame, keys: Sequence[str] = TRACE_KEYS) -> DataFrame:

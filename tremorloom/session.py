@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,13 +33,19 @@ def build_session(app_name: str = "tremorloom", master: str | None = None, **con
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``.
+def found_by_workers(spark: SparkSession) -> None:
+    """On one machine Python workers import this package from where the driver has it (a cluster gets it by --py-files)."""
+    root, known = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is read from the session. Only where none is configured (tests on one machine)
-    a scratch folder is used, because on a cluster it must be storage that all executors share.
+    Only where none is configured (tests on one machine) a scratch folder is used, because on a cluster it must be
+    storage that all executors share.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -45,4 +54,18 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
             configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         context.setCheckpointDir(configured)
+    return context.getCheckpointDir().rstrip("/")
+
+
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written as Parquet to the shared folder and read back: like a checkpoint, but later reads take the columns they need."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
