@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tremorloom.functions.numeric import finite, frequency_index
@@ -43,6 +43,84 @@ def minute_aggregate(
     return complete.select(*MINUTE_COLUMNS)
 
 
+_CELL = ["eruption_id", "network", "station", "channel", "time_min"]
+
+
+def minute_states(samples: DataFrame, step_seconds: int = 60, by: Sequence[str] = ()) -> DataFrame:
+    """Mergeable partial states of ``minute_aggregate``, one row per sensor, time cell and ``by``.
+
+    ``n, mean, m2`` are the count, mean and sum of squared deviations of the amplitude; the energies are counts and sums.
+    """
+    cell = F.window("ts", f"{step_seconds} seconds")
+    squared = lambda c: F.col(c) * F.col(c)
+    grouped = samples.groupBy(*_SENSOR_KEYS, *by, cell.alias("_cell")).agg(
+        F.count("amplitude").alias("n"),
+        F.avg("amplitude").alias("mean"),
+        (F.var_pop("amplitude") * F.count("amplitude")).alias("m2"),
+        F.max("amplitude").alias("high"),
+        F.min("amplitude").alias("low"),
+        *[F.count(squared(c)).alias(f"{c}_n") for c in ("low", "high")],
+        *[F.sum(squared(c)).alias(f"{c}_energy") for c in ("low", "high")],
+        F.max("sampling_rate").alias("rate"),
+    )
+    return grouped.withColumnRenamed("period_id", "eruption_id").withColumn("time_min", F.col("_cell.start")).drop("_cell")
+
+
+def merged_minutes(states: DataFrame, eps: float = FREQUENCY_INDEX_EPS) -> DataFrame:
+    """The minute table from any partial states of its cells; the same as ``minute_aggregate`` of all their samples.
+
+    Deviations are moved to the mean of the cell before they are added, so no digits are lost. A cell has as many states
+    as inputs that reach into it.
+    """
+    cell = Window.partitionBy(*_CELL)
+    mean = F.sum(F.col("n") * F.col("mean")).over(cell) / F.nullif(F.sum("n").over(cell), F.lit(0))
+    away = F.col("mean") - F.col("_mean")
+    n, m2 = F.sum("n"), F.sum(F.col("m2") + F.col("n") * away * away)
+    grouped = states.withColumn("_mean", mean).groupBy(*_CELL).agg(
+        F.first("_mean").alias("amplitude_mean"),
+        F.when(n > 1, F.sqrt(m2 / (n - 1))).alias("amplitude_std"),
+        F.max("high").alias("amplitude_max"),
+        F.min("low").alias("amplitude_min"),
+        n.alias("amplitude_count"),
+        (F.sum("low_energy") / F.nullif(F.sum("low_n"), F.lit(0))).alias("energy_low_1_5_5"),
+        (F.sum("high_energy") / F.nullif(F.sum("high_n"), F.lit(0))).alias("energy_high_6_16"),
+        F.max("rate").alias("sampling_rate_source_hz"),
+    )
+    index = frequency_index("energy_low_1_5_5", "energy_high_6_16", eps)
+    fixed = {name: F.lit(value) for name, value in FILTER_COLUMNS.items()}
+    return grouped.withColumns({"frequency_index": index, **fixed}).select(*MINUTE_COLUMNS)
+
+
+def _row_errors(present: set[str]) -> list[tuple[str, object]]:
+    """Error rules that a single row of a typed minute table can break."""
+    rules = []
+    if "time_min" in present:
+        rules.append(("bad_time", F.col("time_min").isNull()))
+    if "amplitude_count" in present:
+        rules.append(("count_not_positive", F.col("amplitude_count") <= 0))
+    if "amplitude_std" in present:
+        rules.append(("std_negative", finite("amplitude_std") < 0))
+    if {"amplitude_min", "amplitude_mean", "amplitude_max"} <= present:
+        below, above = finite("amplitude_min") > finite("amplitude_mean"), finite("amplitude_mean") > finite("amplitude_max")
+        rules.append(("amplitude_order", below | above))
+    for name in ("energy_low_1_5_5", "energy_high_6_16"):
+        if name in present:
+            rules.append((f"negative_{name}", finite(name) < 0))
+    if "frequency_index" in present:
+        rules.append(("frequency_index_infinite", F.abs(F.col("frequency_index").cast("double")) == F.lit(float("inf"))))
+    return rules
+
+
+def observed(minutes: DataFrame, audit: Observation) -> DataFrame:
+    """The same rows; whoever writes them learns on the way whether there are any and which row rules were broken.
+
+    The metrics are flags and not counts, since a task that runs twice must not change them.
+    """
+    rules = _row_errors(set(minutes.columns))
+    flags = [F.coalesce(F.bool_or(broken), F.lit(False)).alias(name) for name, broken in rules]
+    return minutes.observe(audit, (F.count(F.lit(1)) == 0).alias("empty_table"), *flags)
+
+
 def minute_quality(minutes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Violations of the minute-table rules: rows ``(*by, rule, severity, n_bad)``.
 

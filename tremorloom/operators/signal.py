@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tremorloom.functions.numeric import is_finite
@@ -347,6 +347,21 @@ def trace_quality(samples: DataFrame, keys: Sequence[str] = TRACE_KEYS) -> DataF
     )
 
 
+def observe_traces(samples: DataFrame, seen: Observation, keys: Sequence[str] = TRACE_KEYS) -> DataFrame:
+    """The same samples; whoever reads them learns on the way how many traces and periods there are and how many are sound.
+
+    All metrics are minima and sizes of sets, which a task that runs twice doesn't change. The sets hold a hash per trace.
+    """
+    trace, sound = F.xxhash64(*keys), is_finite("amplitude")
+    return samples.observe(
+        seen,
+        F.coalesce(F.min(F.coalesce(F.col("sampling_rate"), F.lit(0.0))), F.lit(1.0)).alias("least_rate"),
+        F.size(F.collect_set(trace)).alias("traces"),
+        F.size(F.collect_set(F.when(sound, trace))).alias("sound_traces"),
+        F.size(F.collect_set("period_id")).alias("periods"),
+    )
+
+
 def network_warnings(traces: DataFrame, periods: DataFrame) -> DataFrame:
     """Traces whose network is not the one requested for their period."""
     wanted = periods.select("period_id", F.col("network").alias("expected_network"))

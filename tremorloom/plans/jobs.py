@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tremorloom.operators import contract, features, gates, minutes, periods, scaling, scoring, sequences, signal
 from tremorloom.operators.ranking import measured_broadcast
-from tremorloom.schemas import ALERT_MIN_CLASS, ALERT_THRESHOLD, N_CLASSES
-from tremorloom.session import cut_lineage
+from tremorloom.schemas import ALERT_MIN_CLASS, ALERT_THRESHOLD, MINUTES, N_CLASSES
+from tremorloom.session import cut_lineage, stored, told
+from tremorloom.sources import tables
+from tremorloom.sources.snapshots import Snapshots
 
 
 def extraction_report(samples: DataFrame, period_table: DataFrame) -> DataFrame:
@@ -38,23 +40,77 @@ def extraction_report(samples: DataFrame, period_table: DataFrame) -> DataFrame:
 
 
 def extract_minutes(
-    samples: DataFrame, period_table: DataFrame, step_seconds: int = 60, segment: str | None = None
+    samples: DataFrame, period_table: DataFrame, step_seconds: int = 60, segment: str | None = None, gate: bool = True
 ) -> DataFrame:
     """Raw samples to minute aggregates, all periods and traces at once.
 
     ``samples`` is a table of ``network, station, channel, ts, amplitude, sampling_rate``; ``period_table`` is
     tidy or typed period metadata. Raw samples are shuffled twice: by time bucket to fill gaps, by chunk to
-    filter. The filled samples are read by the line fit and by the filter, hence checkpointed in between.
+    filter. The filled samples are read by the line fit and by the filter, hence stored in between.
+
+    The gate: a period without a sample, a trace without a sound rate or without a finite value stop the job with the
+    errors of ``extraction_report``. It is taken while the samples are read to fill gaps; only a failure reads them again,
+    to name the culprits.
     """
     broken = periods.validate_periods(period_table)
     periods.require_none(broken, "period table not usable")
-    assigned = periods.assign_periods(samples, periods.typed_periods(period_table))
-    filled = cut_lineage(signal.interpolate_gaps(signal.usable_traces(assigned), segment=segment).drop("filled"))
+    typed = periods.typed_periods(period_table)
+    assigned, seen = periods.assign_periods(samples, typed), Observation()
+    if gate:
+        assigned = signal.observe_traces(assigned, seen)
+    filled = stored(signal.interpolate_gaps(signal.usable_traces(assigned), segment=segment).drop("filled"), "filled")
+    if gate:
+        found = told(seen)
+        sound = found and found["least_rate"] > 0 and found["traces"] == found["sound_traces"]
+        if not sound or found["periods"] < typed.select("period_id").distinct().count():
+            periods.require_none(extraction_report(samples, period_table).where("severity = 'error'"), "samples not usable")
     # the least-squares line absorbs the mean, one detrend covers both steps
     flat = signal.detrend_linear(filled, lines=measured_broadcast(signal.trace_lines(filled)))
     return minutes.minute_aggregate(signal.bandpass(flat), step_seconds)
 
 
+def publish_minutes(
+    samples: DataFrame,
+    period_table: DataFrame,
+    root: str,
+    batch: str,
+    step_seconds: int = 60,
+    segment: str | None = None,
+    files_per_period: int = 1,
+) -> bool:
+    """Extract, write, audit, publish: minutes become visible only after they passed both gates.
+
+    The rules of the minute table are observed while it is written, without a second scan; when one is broken, the written
+    table is read once more to name periods and rules, and nothing is published. False: the batch was published before.
+    """
+    return publish_audited(
+        lambda: extract_minutes(samples, period_table, step_seconds, segment), samples.sparkSession, root, batch, files_per_period
+    )
+
+
+def publish_audited(make: Callable[[], DataFrame], spark: SparkSession, root: str, batch: str, files_per_period: int = 1) -> bool:
+    """Write-audit-publish of a minute table in contract form."""
+    store = Snapshots(spark, root)
+
+    def write(commit: str) -> None:
+        audit, folder = Observation(), store.folder("minutes", commit)
+        tables.write_minutes(minutes.observed(make(), audit), folder, files_per_period=files_per_period)
+        metrics = told(audit)
+        broken = [rule for rule, found in metrics.items() if found]
+        if not metrics or broken == ["empty_table"]:
+            raise periods.ContractViolation("minutes not fit for publication: no trace gave a minute")
+        if broken:
+            findings = minutes.minute_quality(tables.read_minutes(spark, folder, "parquet"), by=["eruption_id"])
+            periods.require_none(findings.where("severity = 'error' AND n_bad > 0"), "minutes not fit for publication")
+
+    return store.publish(batch, write)
+
+
+def published_minutes(spark: SparkSession, root: str) -> DataFrame:
+    """Minutes of the last publication."""
+    return Snapshots(spark, root).latest("minutes", MINUTES)
+
+
 def feature_vectors(
     minute_table: DataFrame, names: Sequence[str] | None = None, window_rows: int = 10, bins: int = 20
 ) -> tuple[DataFrame, list[str]]:
@@ -140,13 +196,16 @@ def predict_alerts(
 ) -> DataFrame:
     """Scores, probabilities, predicted class and alert of each sequence (without the matrices).
 
-    With ``seq_len`` and ``n_features`` the batch must first pass ``batch_contract``; else nothing is scored.
+    The batch must first pass ``batch_contract``; else nothing is scored. Without ``seq_len`` and ``n_features`` all
+    rows must have the sizes of the first one.
     """
     if (seq_len is None) != (n_features is None):
         raise ValueError("give both seq_len and n_features, or neither")
-    if seq_len is not None:
-        findings = gates.expect(batch, gates.batch_contract(seq_len, n_features))
-        periods.require_none(findings.where(~F.col("success")), "batch not fit for scoring")
+    if seq_len is None:
+        sizes = batch.select(F.size("x").alias("rows"), F.size(F.element_at("x", 1)).alias("features")).first()
+        seq_len, n_features = (sizes["rows"], sizes["features"]) if sizes else (0, 0)
+    findings = gates.expect(batch, gates.batch_contract(seq_len, n_features))
+    periods.require_none(findings.where(~F.col("success")), "batch not fit for scoring")
     scored = scoring.score(batch, predict, n_classes).drop("x")
     probable = scoring.to_probabilities(scored, is_logits, n_classes)
     return scoring.alert(scoring.predicted_class(probable), n_classes, min_class, threshold)

@@ -7,7 +7,8 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -69,3 +70,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def told(observation: Observation) -> dict:
+    """Metrics of an observation whose rows were written; {} where Spark knew that there are no rows and left it out."""
+    try:
+        return observation.get
+    except Py4JJavaError as error:
+        if "toPyRow" not in str(error):
+            raise
+        return {}

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tremorloom.functions.times import format_utc, format_utc_compact
 from tremorloom.operators.scoring import class_key_map
 from tremorloom.session import cut_lineage
+from tremorloom.sources.snapshots import Snapshots
 
 
 def history_key(created: Column, prefix: str = "predictions/history/", filename: str = "prediction.json") -> Column:
@@ -108,7 +110,8 @@ def publish_predictions(
     """Append to the immutable history (a folder per instant) and update the latest table, same payload.
 
     The latest table is merged from its previous state and the new rows; the growing history is read only when
-    there is no latest table yet (first run, or one lost between delete and write).
+    there is no latest table yet (first run, or one lost between delete and write). The two folders are written one
+    after the other and a second call appends again; ``publish_batch`` is repeatable and shows both at once.
     """
     spark = predictions.sparkSession
     ready = cut_lineage(
@@ -120,7 +123,47 @@ def publish_predictions(
     stamped.write.mode("append").partitionBy("at").parquet(history_path)
     try:
         before = spark.read.schema(ready.schema).parquet(latest_path)
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         before = spark.read.schema(ready.schema).parquet(history_path).select(*ready.columns)
     newest = cut_lineage(latest_predictions(before.unionByName(ready), keys, tie))
     newest.write.mode("overwrite").parquet(latest_path)
+
+
+def publish_batch(
+    predictions: DataFrame, root: str, batch: str, keys: Sequence[str], tie: str, generated_at: Column
+) -> bool:
+    """Publish a batch once: its rows join the immutable history and the latest table, which readers see at the same time.
+
+    False, with nothing changed, when the batch was published before. A run that died before its marker leaves no trace
+    for readers and is simply repeated. The latest table is merged from its last version and the new rows; the history
+    isn't read. Predictions are read once, into the history.
+    """
+    spark = predictions.sparkSession
+    store = Snapshots(spark, root)
+    ready = prediction_payload(predictions, generated_at).select(
+        *dict.fromkeys([*keys, "created_at", tie]), F.to_json("payload").alias("payload")
+    )
+
+    def write(commit: str) -> None:
+        ready.write.parquet(store.folder("history", commit))
+        written = spark.read.schema(ready.schema).parquet(store.folder("history", commit))
+        before = store.latest("latest", ready.schema)
+        latest_predictions(before.unionByName(written), keys, tie).write.parquet(store.folder("latest", commit))
+
+    return store.publish(batch, write)
+
+
+def read_latest(spark: SparkSession, root: str, schema: T.StructType | str) -> DataFrame:
+    """Newest prediction per key, as of the last publication."""
+    return Snapshots(spark, root).latest("latest", _struct(schema))
+
+
+def read_history(spark: SparkSession, root: str, schema: T.StructType | str) -> DataFrame:
+    """All published predictions, with the ``commit`` they came with."""
+    return Snapshots(spark, root).all_rows("history", _struct(schema))
+
+
+def _struct(schema: T.StructType | str) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
