@@ -74,14 +74,14 @@ class Words:
         first[begins] = inside[begins]
         start = np.flatnonzero(first)
         data = _LOWER[raw[inside]]
-        ends = np.append((np.cumsum(inside) - 1)[start], len(data)).astype(np.int32)
+        ends = np.append((np.cumsum(inside, dtype=np.int32) - 1)[start], len(data)).astype(np.int32)
         plain = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(data)])
         coded = plain.dictionary_encode()
         self.distinct, self.index = coded.dictionary, coded.indices.to_numpy()
         doc = np.searchsorted(starts_at, start, side="right") - 1
         langs = part.column("lang").dictionary_encode()
         self.langs, self.lang = langs.dictionary, langs.indices.to_numpy()[doc]
-        piece = np.cumsum(kind == 2)[start] + doc
+        piece = np.cumsum(kind == 2, dtype=np.int32)[start] + doc
         self.goes_on = piece[1:] == piece[:-1]  # the next word is in the same piece
 
     def unigrams(self) -> pa.RecordBatch:
