@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import standins as st
 from checks.record_checks import PROBS_SQL, _now, _stamped
 from checks.sensor_checks import MINUTE_SPEC
 from checks.standins import ASSIGNED_SQL, HOURS_SQL
-from checks.support import check
-from tremorloom.operators import minutes, periods
+from checks.support import check, table
+from tremorloom.operators import decision, features, minutes, periods, sequences, signal
 from tremorloom.plans import incremental, jobs
 from tremorloom.session import shared_folder
-from tremorloom.sources import inputs, predictions
+from tremorloom.sources import inputs, predictions, tables
 from tremorloom.sources.snapshots import Snapshots
 
 
@@ -147,3 +148,98 @@ def _dies(publish, really: bool) -> None:
 
 def _stop(*_):
     raise InterruptedError
+
+
+@check(
+    "read_minutes_mixed_csv",
+    "eruption_id:s sensor:s time_min:t amplitude_mean:d amplitude_std:d amplitude_count:i rate:d",
+    f"WITH {HOURS_SQL} SELECT *, CASE WHEN amplitude_count % 3 <> 2 THEN sampling_rate_source_hz END AS rate FROM hours",
+)
+def _(spark, sf):
+    """Three kinds of files: contract order, reversed order, and without one column."""
+    root = scratch(spark)
+    made = minutes.minute_aggregate(st.assigned(spark, sf), st.HOUR)
+    kinds = [made.columns, made.columns[::-1], [c for c in made.columns if c != "sampling_rate_source_hz"]]
+    for i, columns in enumerate(kinds):
+        made.where(F.col("amplitude_count") % 3 == i).select(*columns).write.csv(f"{root}/{i}", header=True)
+    found = tables.read_minutes(spark, [f"{root}/{i}" for i in range(3)], merge_headers=True)
+    prepared = features.prepare_minutes(found)
+    return prepared.withColumn("rate", F.col("sampling_rate_source_hz").cast("double"))
+
+
+@check(
+    "periods_order",
+    "period_id:s period_ord:i",
+    "SELECT o_orderkey::VARCHAR AS period_id, row_number() OVER (ORDER BY o_orderkey) AS period_ord FROM orders",
+)
+def _(spark, sf):
+    """A period file in many parts and splits: rows are numbered as they stand."""
+    folder = f"{scratch(spark)}/periods"
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderkey").cast("string").alias("period_id"), "o_orderstatus")
+    rows.repartitionByRange(7, "key").sortWithinPartitions("key").drop("key").write.csv(folder, header=True, sep=";")
+    return tables.read_periods_csv(spark, folder)
+
+
+@check(
+    "minute_file_order",
+    "eruption_id:s n:i n_unsorted:i n_overlaps:i",
+    f"WITH {HOURS_SQL} SELECT eruption_id, count(*) AS n, 0 AS n_unsorted, 0 AS n_overlaps FROM hours GROUP BY 1",
+)
+def _(spark, sf):
+    """Written minutes: rows of a file ascend, files of a period don't overlap."""
+    folder = f"{scratch(spark)}/minutes"
+    tables.write_minutes(minutes.minute_aggregate(st.assigned(spark, sf), st.HOUR), folder)
+    key = F.struct("station", "channel", "time_min")
+    rows = spark.read.parquet(folder).select(
+        "eruption_id", key.alias("key"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")
+    )
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    by_file = rows.withColumn("late", F.coalesce(before > F.col("key"), F.lit(False))).groupBy("eruption_id", "file").agg(
+        F.count("*").alias("n"), F.count_if("late").alias("n_unsorted"), F.min("key").alias("low"), F.max("key").alias("high")
+    )
+    upto = F.max("high").over(Window.partitionBy("eruption_id").orderBy("low").rowsBetween(Window.unboundedPreceding, -1))
+    overlaps = by_file.withColumn("overlap", F.coalesce(upto >= F.col("low"), F.lit(False)))
+    return overlaps.groupBy("eruption_id").agg(
+        F.sum("n").alias("n"), F.sum("n_unsorted").alias("n_unsorted"), F.count_if("overlap").alias("n_overlaps")
+    )
+
+
+@check(
+    "empty_splits",
+    "split:s",
+    "SELECT split FROM (VALUES ('train'), ('val'), ('test')) AS required(split) WHERE split NOT IN "
+    "(SELECT CASE o_orderstatus WHEN 'F' THEN 'train' WHEN 'O' THEN 'val' ELSE 'extra' END FROM orders)",
+)
+def _(spark, sf):
+    status = F.col("o_orderstatus")
+    split = F.when(status == "F", "train").when(status == "O", "val").otherwise("extra")
+    return sequences.empty_splits(table(spark, sf, "orders").select(split.alias("split")))
+
+
+@check(
+    "linked_trace_lines",
+    "period_id:s station:s channel:s slope:d mean:d",
+    f"WITH {ASSIGNED_SQL}, hourly AS (SELECT period_id, station, channel, date_trunc('hour', ts) AS ts, max(amplitude) AS y FROM assigned GROUP BY ALL), "
+    "linked AS (SELECT *, lead(ts) OVER w AS t2, lead(y) OVER w AS y2 FROM hourly WINDOW w AS (PARTITION BY period_id, station, channel ORDER BY ts)), "
+    "counted AS (SELECT *, coalesce(CAST(round((epoch_us(t2) - epoch_us(ts)) / 3.6e9) AS BIGINT) - 1, 0) AS missing FROM linked), "
+    "filled AS (SELECT period_id, station, channel, epoch(ts) / 3600 + i AS h, y + coalesce((y2 - y) * (i / (missing + 1)), 0) AS y FROM "
+    "(SELECT *, unnest(range(0, missing + 1)) AS i FROM counted)), "
+    "centred AS (SELECT *, h - avg(h) OVER (PARTITION BY period_id, station, channel) AS x FROM filled) "
+    "SELECT period_id, station, channel, round(regr_slope(y, x), 6) AS slope, round(avg(y), 6) AS mean FROM centred GROUP BY ALL",
+)
+def _(spark, sf):
+    """Lines of gap-filled hourly traces, gaps as closed forms."""
+    hourly = st.assigned(spark, sf).withColumns({"ts": F.date_trunc("hour", "ts"), "sampling_rate": F.lit(1 / 3600.0)})
+    lines = signal.linked_trace_lines(signal.link_gaps(hourly, bucket_seconds=6 * 3600))
+    return lines.select("period_id", "station", "channel", F.round(F.col("_slope") * 3600, 6).alias("slope"), F.round("_mean", 6).alias("mean"))
+
+
+@check(
+    "audit_rows_whole",
+    "doc_id:i kind:s name:s value:d text:s",
+    "SELECT doc_id, 'metric' AS kind, 'n_chars' AS name, n_chars::DOUBLE AS value, NULL AS text FROM documents WHERE n_chars IS NOT NULL "
+    "UNION ALL SELECT doc_id, 'tag', 'text', NULL, text FROM documents WHERE text <> '' AND text <> 'None' "
+    "UNION ALL SELECT doc_id, 'param', 'lang', NULL, lang FROM documents WHERE lang IS NOT NULL",
+)
+def _(spark, sf):
+    return decision.audit_rows(table(spark, sf, "documents"), "doc_id", ["n_chars"], [], ["text"], ["lang"])

@@ -637,7 +637,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    order_periods(spark, sf).coalesce(1).write.csv(f"{root}/periods", header=True, sep=";")
+    order_periods(spark, sf).write.csv(f"{root}/periods", header=True, sep=";")
     return tables.read_periods_csv(spark, f"{root}/periods").withColumnRenamed("period_start_utc", "start")
 
 

@@ -116,7 +116,8 @@ def candidate_metrics(results: DataFrame, json: str = "result") -> DataFrame:
     return results.withColumns(
         {
             "status": nested(json, ["status"]),
-            "dry_run": nested(json, ["dry_run"]).try_cast("boolean"),
+            # a JSON boolean; the text "false" isn't one, and an unknown flag fails the rule
+            "dry_run": F.from_json(F.col(json), "dry_run boolean")["dry_run"],
             "epochs": epochs.cast("int"),
             **{m: first_number(json, paths) for m, paths in CANDIDATE_PATHS.items()},
         }

@@ -6,13 +6,16 @@ each measure is a grouped aggregate, so no feature is ever collected into one ta
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremorloom.functions.numeric import finite, is_finite, order_bucket
 from tremorloom.operators.ranking import bounded_broadcast, exact_quantiles
+from tremorloom.session import found_by_workers
 
 REFERENCE, CANDIDATE = "reference", "candidate"
 
@@ -31,57 +34,64 @@ SUMMARY_COLUMNS = [
 ]
 
 
+def _summary_of(x: np.ndarray) -> list[float | None]:
+    """``SUMMARY_COLUMNS`` of one sequence, steps by features; cells that are not finite don't count."""
+    good = np.isfinite(x)
+    v, total = np.where(good, x, 0.0), int(good.sum())
+    if not total:
+        return [None] * len(SUMMARY_COLUMNS)
+
+    def lines(axis: int) -> tuple[np.ndarray, np.ndarray]:
+        """Means and population deviations along an axis, NaN where no cell counts."""
+        n = good.sum(axis)
+        mean = np.divide(v.sum(axis), n, out=np.full(len(n), np.nan), where=n > 0)
+        away = np.where(good, x - np.expand_dims(mean, axis), 0.0)
+        return mean, np.sqrt(np.divide((away * away).sum(axis), n, out=np.full(len(n), np.nan), where=n > 0))
+
+    step_means, step_devs = lines(1)
+    _, feature_devs = lines(0)
+    mean = v.sum() / total
+    away = np.where(good, x - mean, 0.0)
+    found = [
+        mean, np.sqrt((away * away).sum() / total), x[good].min(), x[good].max(), np.abs(v).sum() / total, (v * v).sum() / total,
+        step_means[0], step_means[-1], step_means[-1] - step_means[0], np.nanmean(feature_devs), np.nanmean(step_devs),
+    ]
+    return [None if np.isnan(f) else float(f) for f in found]
+
+
 def sequence_summary(sequences: DataFrame, index: str = "seq_id") -> DataFrame:
     """Eleven summary numbers per sequence (all standard deviations are population ones).
 
-    Cells are grouped twice at once, by step and by feature, through grouping sets. A sequence is one input
-    row, so nearly everything is reduced before the shuffle.
+    Row-local: a sequence's matrix is reduced with numpy on Arrow's flat values where it is read, nothing is shuffled. Steps of
+    different widths are allowed. Sequences without a cell are left out; one without a finite cell has NULLs.
     """
     keep = [c for c in (index, "split", "y") if c in sequences.columns]
-    cells = sequences.select(
-        index, F.size("x").alias("_len"), F.posexplode("x").alias("_t", "_step")
-    ).select(index, "_len", "_t", F.posexplode("_step").alias("_f", "_v")).withColumn("_v", finite(F.col("_v").cast("double")))
-    v = F.col("_v")
-    lines = cells.groupingSets([[F.col(index), F.col("_t"), F.col("_len")], [F.col(index), F.col("_f"), F.col("_len")]], F.col(index), F.col("_t"), F.col("_f"), F.col("_len")).agg(
-        F.grouping("_f").alias("_by_step"),
-        F.count(v).alias("n"),
-        F.sum(v).alias("s"),
-        F.sum(v * v).alias("ss"),
-        F.sum(F.abs(v)).alias("sa"),
-        F.min(v).alias("lo"),
-        F.max(v).alias("hi"),
-        F.avg(v).alias("m"),
-        F.stddev_pop(v).alias("sd"),
-    )
-    step = F.col("_by_step") == 1
-    over_steps = lambda c: F.when(step, F.col(c))
-    total = F.sum(over_steps("n"))
-    first = F.max(F.when(step & (F.col("_t") == 0), F.col("m")))
-    last = F.max(F.when(step & (F.col("_t") == F.col("_len") - 1), F.col("m")))
-    # within-step and between-step parts of the variance, both non-negative
-    mean = F.sum(over_steps("s")) / total
-    summary = lines.groupBy(index).agg(
-        mean.alias("sequence_mean"),
-        F.sum(F.when(step, F.col("n") * F.col("sd") * F.col("sd"))).alias("_within"),
-        F.collect_list(F.when(step, F.struct("n", "m"))).alias("_steps"),
-        total.alias("_n"),
-        F.min(over_steps("lo")).alias("sequence_min"),
-        F.max(over_steps("hi")).alias("sequence_max"),
-        (F.sum(over_steps("sa")) / total).alias("sequence_abs_mean"),
-        (F.sum(over_steps("ss")) / total).alias("sequence_energy_mean"),
-        first.alias("first_timestep_mean"),
-        last.alias("last_timestep_mean"),
-        (last - first).alias("temporal_delta_mean"),
-        F.avg(F.when(~step, F.col("sd"))).alias("feature_std_mean"),
-        F.avg(over_steps("sd")).alias("timestep_std_mean"),
-    )
-    between = F.aggregate(
-        "_steps",
-        F.lit(0.0),
-        lambda acc, s: acc + s["n"] * (s["m"] - F.col("sequence_mean")) * (s["m"] - F.col("sequence_mean")),
-    )
-    done = summary.withColumn("sequence_std", F.sqrt((F.col("_within") + between) / F.col("_n")))
-    return sequences.select(*keep).join(done.select(index, *SUMMARY_COLUMNS), index)
+
+    def summarise(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            steps = batch.column("x").flatten()
+            first = np.concatenate([[0], np.cumsum(batch.column("x").value_lengths().fill_null(0).to_numpy())])
+            width = steps.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            at = np.concatenate([[0], np.cumsum(width)])
+            flat = steps.flatten().to_numpy(zero_copy_only=False).astype(float)
+            rows, found = [], []
+            for i in range(batch.num_rows):
+                own = width[first[i] : first[i + 1]]
+                if not own.sum():
+                    continue
+                cells = flat[at[first[i]] : at[first[i + 1]]]
+                x = np.full((len(own), own.max()), np.nan)
+                x[np.arange(own.max()) < own[:, None]] = cells
+                rows.append(i)
+                found.append(_summary_of(x))
+            columns = [batch.column(c).take(pa.array(rows, pa.int64())) for c in keep]
+            numbers = [pa.array([f[j] for f in found], pa.float64()) for j in range(len(SUMMARY_COLUMNS))]
+            yield pa.record_batch([*columns, *numbers], names=[*keep, *SUMMARY_COLUMNS])
+
+    found_by_workers(sequences.sparkSession)
+    kinds = dict(sequences.dtypes)
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], *[f"{c} double" for c in SUMMARY_COLUMNS]])
+    return sequences.select(*keep, F.col("x").cast("array<array<double>>").alias("x")).mapInArrow(summarise, schema)
 
 
 def long_features(reference: DataFrame, candidate: DataFrame, columns: Sequence[str]) -> DataFrame:

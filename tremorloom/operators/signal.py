@@ -43,10 +43,23 @@ def interpolate_gaps(
 ) -> DataFrame:
     """Merge overlapping segments and add the missing samples of each trace by linear interpolation.
 
-    Column ``filled`` marks added samples. NULL and non-finite values count as missing. Samples are shuffled
-    once, by trace and time bucket; merging and the look at the next sample happen there. The last sample of
-    a bucket gets the first one of the next non-empty bucket from a table with one row per bucket, which is
-    aggregated before its shuffle. Only gaps produce rows.
+    Column ``filled`` marks added samples; NULL and non-finite values count as missing. This is ``link_gaps`` and then
+    ``fill_gaps``; a job that needs the lines of the filled traces stores what is between them.
+    """
+    return fill_gaps(link_gaps(samples, keys, bucket_seconds, segment), keys)
+
+
+def link_gaps(
+    samples: DataFrame,
+    keys: Sequence[str] = TRACE_KEYS,
+    bucket_seconds: int = 3600,
+    segment: str | None = None,
+) -> DataFrame:
+    """Merged samples, each with what fills the gap behind it: ``_us, _next_us, _next_amplitude, _missing`` (how many).
+
+    Samples are shuffled once, by trace and time bucket; merging and the look at the next sample happen there. The last
+    sample of a bucket gets the first one of the next non-empty bucket from a table with one row per bucket, which is
+    aggregated before its shuffle.
     """
     keys = list(keys)
     valid = (
@@ -72,42 +85,46 @@ def interpolate_gaps(
         )
     )
     inside = Window.partitionBy(*keys, "_b").orderBy("_us")
-    linked = (
+    intervals = (F.col("_next._us") - F.col("_us")) / (F.lit(1e6) / F.col("sampling_rate"))
+    return (
         merged.withColumn("_next", F.lead(F.struct("_us", "amplitude")).over(inside))
         .transform(lambda left: same_keys(left, heads, [*keys, "_b"]))
         .withColumn("_next", F.coalesce("_next", "_after"))
-        .withColumn("_dt", F.lit(1e6) / F.col("sampling_rate"))
-        .withColumn(
-            "_missing",
-            F.coalesce(
-                F.round((F.col("_next._us") - F.col("_us")) / F.col("_dt")).cast("bigint") - 1, F.lit(0)
-            ),
-        )
-    )
-    last_block = F.when(F.col("_missing") > 0, F.floor((F.col("_missing") - 1) / _FILL_BLOCK)).otherwise(F.lit(0))
-    # position 0 is the sample itself; further positions are the missing ones after it
-    first = F.when(F.col("_block") == 0, F.lit(0)).otherwise(F.col("_block") * _FILL_BLOCK + 1)
-    steps = F.sequence(
-        first.cast("bigint"),
-        F.least((F.col("_block") + 1) * _FILL_BLOCK, F.greatest(F.col("_missing"), F.lit(0))).cast("bigint"),
-    )
-    own = F.col("_i") == 0
-    share = F.col("_i") / (F.col("_missing") + 1)
-    line = F.col("amplitude") + (F.col("_next.amplitude") - F.col("amplitude")) * share
-    instant = F.timestamp_micros((F.col("_us") + F.round(F.col("_i") * F.col("_dt"))).cast("bigint"))
-    return (
-        linked.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block.cast("bigint"))))
-        .withColumn("_i", F.explode(steps))
         .select(
             *keys,
-            F.when(own, F.col("ts")).otherwise(instant).alias("ts"),
-            F.when(own, F.col("amplitude")).otherwise(line).alias("amplitude"),
+            "ts",
+            "amplitude",
             "sampling_rate",
-            (~own).alias("filled"),
+            "_us",
+            F.col("_next._us").alias("_next_us"),
+            F.col("_next.amplitude").alias("_next_amplitude"),
+            F.greatest(F.coalesce(F.round(intervals).cast("bigint") - 1, F.lit(0)), F.lit(0)).cast("bigint").alias("_missing"),
         )
     )
 
 
+def fill_gaps(linked: DataFrame, keys: Sequence[str] = TRACE_KEYS) -> DataFrame:
+    """Linked samples and the missing ones, marked by ``filled``.
+
+    A gap is cut into blocks, and blocks are dealt out by (trace, gap, block) before their samples are made: however long
+    a gap is, all tasks share it. Samples themselves aren't moved.
+    """
+    keys = list(keys)
+    own = linked.select(*keys, "ts", "amplitude", "sampling_rate", F.lit(False).alias("filled"))
+    last_block = F.floor((F.col("_missing") - 1) / _FILL_BLOCK).cast("bigint")
+    blocks = linked.where(F.col("_missing") > 0).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
+    start = F.col("_block") * _FILL_BLOCK
+    steps = F.sequence((start + 1).cast("bigint"), F.least(start + _FILL_BLOCK, F.col("_missing")).cast("bigint"))
+    line = F.col("amplitude") + (F.col("_next_amplitude") - F.col("amplitude")) * (F.col("_i") / (F.col("_missing") + 1))
+    instant = F.timestamp_micros((F.col("_us") + F.round(F.col("_i") * (F.lit(1e6) / F.col("sampling_rate")))).cast("bigint"))
+    made = (
+        blocks.repartition(*keys, "_us", "_block")
+        .withColumn("_i", F.explode(steps))
+        .select(*keys, instant.alias("ts"), line.alias("amplitude"), "sampling_rate", F.lit(True).alias("filled"))
+    )
+    return own.unionByName(made)
+
+
 def demean(samples: DataFrame, keys: Sequence[str] = TRACE_KEYS) -> DataFrame:
     """Subtract the mean of each trace (aggregate, then join back the small trace table)."""
     means = samples.groupBy(*keys).agg(F.avg("amplitude").alias("_mean"))
@@ -125,19 +142,59 @@ def trace_lines(samples: DataFrame, keys: Sequence[str] = TRACE_KEYS) -> DataFra
     Moments are taken per day, relative to the day's start, and combined per trace on the small table of days.
     That is one pass over the samples, and no digits are lost to large epoch seconds.
     """
+    return _lines_of_days(_day_moments(samples, keys), keys)
+
+
+def linked_trace_lines(linked: DataFrame, keys: Sequence[str] = TRACE_KEYS) -> DataFrame:
+    """``trace_lines`` of the filled traces, from ``link_gaps`` alone: the samples of a gap are never made for it.
+
+    The missing samples of a gap of m are an arithmetic series in time and value, so their means and moments are closed
+    forms: with step d in time and e in value, the variance of time is d*d*(m*m-1)/12 and the covariance d*e*(m*m-1)/12.
+    """
     keys = list(keys)
+    m = F.col("_missing").cast("double")
+    dt = F.lit(1.0) / F.col("sampling_rate")
+    step = (F.col("_next_amplitude") - F.col("amplitude")) / (m + 1)
+    spread = (m * m - 1) / 12
+    gap = linked.where(F.col("_missing") > 0).select(
+        *keys,
+        F.floor(F.col("_us") / F.lit(_DAY_US)).cast("bigint").alias("_day"),
+        m.alias("_m"),
+        (F.pmod(F.col("_us"), F.lit(_DAY_US)) / F.lit(1e6) + dt * (m + 1) / 2).alias("_x"),
+        (F.col("amplitude") + step * (m + 1) / 2).alias("_y"),
+        (dt * dt * spread).alias("_vx"),
+        (dt * step * spread).alias("_vxy"),
+    )
+    total = F.sum("_m")
+    mean = lambda c: F.sum(F.col("_m") * c) / total
+    x, y = F.col("_x"), F.col("_y")
+    gaps = gap.groupBy(*keys, "_day").agg(
+        total.cast("bigint").alias("n"),
+        mean(x).alias("x"),
+        mean(y).alias("y"),
+        (mean(F.col("_vx")) + mean(x * x) - mean(x) * mean(x)).alias("vx"),
+        (mean(F.col("_vxy")) + mean(x * y) - mean(x) * mean(y)).alias("vxy"),
+    )
+    return _lines_of_days(_day_moments(linked, keys).unionByName(gaps), keys)
+
+
+def _day_moments(samples: DataFrame, keys: Sequence[str]) -> DataFrame:
     us = micros("ts")
     day = F.floor(us / F.lit(_DAY_US)).cast("bigint")
     timed = samples.where(F.col("amplitude").isNotNull()).select(
         *keys, day.alias("_day"), (F.pmod(us, F.lit(_DAY_US)) / F.lit(1e6)).alias("_x"), F.col("amplitude").alias("_y")
     )
-    days = timed.groupBy(*keys, "_day").agg(
+    return timed.groupBy(*keys, "_day").agg(
         F.count("_y").alias("n"),
         F.avg("_x").alias("x"),
         F.avg("_y").alias("y"),
         F.var_pop("_x").alias("vx"),
         F.covar_pop("_x", "_y").alias("vxy"),
     )
+
+
+def _lines_of_days(days: DataFrame, keys: Sequence[str]) -> DataFrame:
+    keys = list(keys)
     trace = Window.partitionBy(*keys)
     total = F.sum("n").over(trace)
     placed = days.withColumn("_day0", F.min("_day").over(trace)).withColumn(

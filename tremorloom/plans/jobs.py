@@ -45,8 +45,9 @@ def extract_minutes(
     """Raw samples to minute aggregates, all periods and traces at once.
 
     ``samples`` is a table of ``network, station, channel, ts, amplitude, sampling_rate``; ``period_table`` is
-    tidy or typed period metadata. Raw samples are shuffled twice: by time bucket to fill gaps, by chunk to
-    filter. The filled samples are read by the line fit and by the filter, hence stored in between.
+    tidy or typed period metadata. Raw samples are shuffled twice: by time bucket to find gaps, by chunk to
+    filter. They are stored once in between, with a description of each gap, for the line fit and the filter; the samples
+    that fill gaps are made on the way to the filter and never stored.
 
     The gate: a period without a sample, a trace without a sound rate or without a finite value stop the job with the
     errors of ``extraction_report``. It is taken while the samples are read to fill gaps; only a failure reads them again,
@@ -58,14 +59,15 @@ def extract_minutes(
     assigned, seen = periods.assign_periods(samples, typed), Observation()
     if gate:
         assigned = signal.observe_traces(assigned, seen)
-    filled = stored(signal.interpolate_gaps(signal.usable_traces(assigned), segment=segment).drop("filled"), "filled")
+    linked = stored(signal.link_gaps(signal.usable_traces(assigned), segment=segment), "linked")
     if gate:
         found = told(seen)
         sound = found and found["least_rate"] > 0 and found["traces"] == found["sound_traces"]
         if not sound or found["periods"] < typed.select("period_id").distinct().count():
             periods.require_none(extraction_report(samples, period_table).where("severity = 'error'"), "samples not usable")
     # the least-squares line absorbs the mean, one detrend covers both steps
-    flat = signal.detrend_linear(filled, lines=measured_broadcast(signal.trace_lines(filled)))
+    lines = measured_broadcast(signal.linked_trace_lines(linked))
+    flat = signal.detrend_linear(signal.fill_gaps(linked).drop("filled"), lines=lines)
     return minutes.minute_aggregate(signal.bandpass(flat), step_seconds)
 
 
@@ -76,7 +78,7 @@ def publish_minutes(
     batch: str,
     step_seconds: int = 60,
     segment: str | None = None,
-    files_per_period: int = 1,
+    files_per_period: int | None = None,
 ) -> bool:
     """Extract, write, audit, publish: minutes become visible only after they passed both gates.
 
@@ -88,7 +90,7 @@ def publish_minutes(
     )
 
 
-def publish_audited(make: Callable[[], DataFrame], spark: SparkSession, root: str, batch: str, files_per_period: int = 1) -> bool:
+def publish_audited(make: Callable[[], DataFrame], spark: SparkSession, root: str, batch: str, files_per_period: int | None = None) -> bool:
     """Write-audit-publish of a minute table in contract form."""
     store = Snapshots(spark, root)
 

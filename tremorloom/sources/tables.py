@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tremorloom.operators.periods import ContractViolation
 from tremorloom.schemas import (
@@ -16,14 +18,15 @@ from tremorloom.schemas import (
     PARAMS,
     SPLITS,
 )
-from tremorloom.session import use_utc
+from tremorloom.session import stored, use_utc
 
 
 def read_periods_csv(spark: SparkSession, path: str) -> DataFrame:
     """Period metadata as text, with ``period_ord`` as the order of the file.
 
     The header decides the delimiter (``;`` or ``,``); a byte-order mark is dropped; empty fields are ''.
-    Period files are metadata (a row per period), hence the total order.
+    Rows are numbered without a total order: files are read in splits that keep their lines together, so a row's number is
+    what earlier splits hold plus its place in its own. Only the table of splits, a row each, is looked at as a whole.
     """
     use_utc(spark)
     header = spark.read.text(path).limit(1).collect()
@@ -32,18 +35,32 @@ def read_periods_csv(spark: SparkSession, path: str) -> DataFrame:
     sep = ";" if header[0][0].count(";") > header[0][0].count(",") else ","
     raw = spark.read.csv(path, header=True, sep=sep, encoding="UTF-8", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
     named = raw.toDF(*[c.lstrip("﻿").strip() for c in raw.columns])
-    text = named.select(
-        *[F.coalesce(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) for c in named.columns],
-        F.monotonically_increasing_id().alias("_at"),
+    text = stored(
+        named.select(
+            *[F.coalesce(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) for c in named.columns],
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_at"),
+        ),
+        "periods",
     )
-    return text.withColumn("period_ord", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+    splits = text.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")).collect()
+    numbered, before = [], 0
+    for split in sorted(splits, key=lambda r: (r["_file"], r["_block"])):
+        numbered.append((split["_file"], split["_block"], before - split["_first"]))
+        before += split["_n"]
+    shifts = spark.createDataFrame(numbered, "_file string, _block long, _shift long")
+    shifted = text.join(shifts, ["_file", "_block"]).withColumn("period_ord", (F.col("_at") + F.col("_shift") + 1).cast("int"))
+    return shifted.drop("_file", "_block", "_at", "_shift")
 
 
-def read_minutes(spark: SparkSession, paths: str | Sequence[str], format: str = "csv") -> DataFrame:
+def read_minutes(spark: SparkSession, paths: str | Sequence[str], format: str = "csv", merge_headers: bool = False) -> DataFrame:
     """Minute aggregates of any number of periods in one scan, explicit schema.
 
-    CSV columns are taken by header name; files of one call must share a header, others raise; ``eruption_id`` falls back to the file name without
-    its fixed suffix. CSV values stay text until ``prepare_minutes`` types them.
+    CSV columns are taken by header name; ``eruption_id`` falls back to the file name without its fixed suffix. CSV values
+    stay text until ``prepare_minutes`` types them. Files whose header differs from the first one's raise, unless
+    ``merge_headers``: then a pass over the lines finds each file's header, files are read in one scan per distinct header,
+    and columns that a file lacks are NULL.
     """
     use_utc(spark)
     if format == "parquet":
@@ -52,9 +69,31 @@ def read_minutes(spark: SparkSession, paths: str | Sequence[str], format: str =
     if format != "csv":
         raise ValueError("format must be 'csv' or 'parquet'")
     files = paths if isinstance(paths, str) else list(paths)
+    if merge_headers:
+        found = None
+        for header, own in _files_by_header(spark, files).items():
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+            part = _named_by_file(spark.read.schema(schema).csv(own, header=True))
+            found = part if found is None else found.unionByName(part, allowMissingColumns=True)
+        return spark.createDataFrame([], MINUTES_TEXT) if found is None else found.select(*[c for c in MINUTE_COLUMNS if c in found.columns])
     first = spark.read.csv(files, header=True)
     # a file whose header differs from the first one's fails instead of giving its values to other columns
-    found = spark.read.schema(first.schema).csv(files, header=True, enforceSchema=False)
+    return _named_by_file(spark.read.schema(first.schema).csv(files, header=True, enforceSchema=False))
+
+
+def _files_by_header(spark: SparkSession, files: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files of each header. A header is the line with names of minute columns; files without one hold nothing."""
+    line = F.regexp_replace("value", "^\ufeff", "")
+    cells = F.transform(F.split(line, ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), cells.alias("header"))
+    named = lines.where(F.arrays_overlap("header", F.array(*[F.lit(c) for c in MINUTE_COLUMNS])))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in named.groupBy("file").agg(F.min("header").alias("header")).orderBy("file").collect():  # a row per file
+        out.setdefault(tuple(row["header"]), []).append(unquote(row["file"]))
+    return out
+
+
+def _named_by_file(found: DataFrame) -> DataFrame:
     stem = F.regexp_extract(F.input_file_name(), "([^/]+)$", 1)
     from_name = F.regexp_replace(F.url_decode(stem), MINUTE_FILE_SUFFIX.replace(".", "\\.") + "$", "")
     given = F.col("eruption_id") if "eruption_id" in found.columns else F.lit(None).cast("string")
@@ -62,17 +101,24 @@ def read_minutes(spark: SparkSession, paths: str | Sequence[str], format: str =
     return found.select(F.coalesce(F.nullif(given, F.lit("")), from_name).alias("eruption_id"), *rest)
 
 
-def write_minutes(minutes: DataFrame, path: str, mode: str = "overwrite", files_per_period: int = 1) -> None:
+def write_minutes(minutes: DataFrame, path: str, mode: str = "overwrite", files_per_period: int | None = None) -> None:
     """Parquet in a folder per period (``eruption_id``), each file sorted by station, channel, time.
 
-    ``files_per_period`` spreads a large period over several tasks and files.
+    Rows are range-partitioned by period, station, channel and time from sampled bounds: tasks and files are even, however
+    large a period is, small ones share a task, and files don't overlap, so that their statistics prune. With
+    ``files_per_period`` rows are spread by a hash of station, channel and day instead.
     """
+    order = ["eruption_id", "station", "channel", "time_min"]
+    if files_per_period is None:
+        ranged = minutes.repartitionByRange(*order).sortWithinPartitions(*order)
+        ranged.write.mode(mode).partitionBy("eruption_id").parquet(path)
+        return
     spread = [F.col("eruption_id")]
     if files_per_period > 1:
         spread.append(F.pmod(F.xxhash64("station", "channel", F.to_date("time_min")), F.lit(files_per_period)))
     (
         minutes.repartition(*spread)
-        .sortWithinPartitions("eruption_id", "station", "channel", "time_min")
+        .sortWithinPartitions(*order)
         .write.mode(mode)
         .partitionBy("eruption_id")
         .parquet(path)
