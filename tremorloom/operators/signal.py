@@ -115,10 +115,12 @@ def fill_gaps(linked: DataFrame, keys: Sequence[str] = TRACE_KEYS) -> DataFrame:
     blocks = linked.where(F.col("_missing") > 0).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
     start = F.col("_block") * _FILL_BLOCK
     steps = F.sequence((start + 1).cast("bigint"), F.least(start + _FILL_BLOCK, F.col("_missing")).cast("bigint"))
+    # a given number, since adaptive execution would join the few bytes that blocks are before they grow
+    tasks = int(linked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     line = F.col("amplitude") + (F.col("_next_amplitude") - F.col("amplitude")) * (F.col("_i") / (F.col("_missing") + 1))
     instant = F.timestamp_micros((F.col("_us") + F.round(F.col("_i") * (F.lit(1e6) / F.col("sampling_rate")))).cast("bigint"))
     made = (
-        blocks.repartition(*keys, "_us", "_block")
+        blocks.repartition(tasks, *keys, "_us", "_block")
         .withColumn("_i", F.explode(steps))
         .select(*keys, instant.alias("ts"), line.alias("amplitude"), "sampling_rate", F.lit(True).alias("filled"))
     )
