@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 
 from pyspark.sql import functions as F
 
 from checks import standins as st
 from checks.standins import HOURS_SQL, ROLLED_SQL
-from checks.support import check, table
+from checks.support import check, scratch, table
 from tremorloom.functions.labels import horizon_label
 from tremorloom.operators import contract, gates, minutes, periods, scaling, sequences
 from tremorloom.operators.ranking import exact_quantiles, global_rank
@@ -592,7 +591,7 @@ def _(spark, sf):
     f"WITH {MATRIX_SQL} SELECT vec_id AS seq_id, split, y, embedding[1] AS first, embedding[64] AS last FROM seqs",
 )
 def _(spark, sf):
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    root = scratch(spark)
     tables.write_sequences(matrices(spark, sf), root)
     last = F.get(F.get("x", F.lit(7)), F.lit(7))
     return tables.read_sequences(spark, root).select("seq_id", "split", "y", F.get(F.get("x", F.lit(0)), F.lit(0)).alias("first"), last.alias("last"))
@@ -600,7 +599,7 @@ def _(spark, sf):
 
 @check("write_params", "idx:i name:s median:d mean:d scale:d", f"WITH {LONG_SQL} SELECT idx, 'f' || idx AS name, median, mean, scale FROM params")
 def _(spark, sf):
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    root = scratch(spark)
     tables.write_params(scaling.fit_params(weights(spark, sf), ["f0", "f1", "f2"]), root)
     names = tables.read_contract(spark, root)
     return contract.contract_table(spark, names).join(tables.read_params(spark, root).drop("idx"), "name")

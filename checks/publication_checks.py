@@ -11,18 +11,13 @@ from checks import standins as st
 from checks.record_checks import PROBS_SQL, _now, _stamped
 from checks.sensor_checks import MINUTE_SPEC
 from checks.standins import ASSIGNED_SQL, HOURS_SQL
-from checks.support import check, table
+from checks.support import check, scratch, table
 from tremorloom.operators import decision, features, minutes, periods, sequences, signal
 from tremorloom.plans import incremental, jobs
-from tremorloom.session import shared_folder
 from tremorloom.sources import inputs, predictions, tables
 from tremorloom.sources.snapshots import Snapshots
 
 
-def scratch(spark) -> str:
-    return f"{shared_folder(spark)}/check-{uuid.uuid4().hex}"
-
-
 def named_files(df, folder: str, stem: str, n: int) -> None:
     """``<folder>/<stem>-<i>.parquet``, ``n`` files, replacing files of these names."""
     spark, draft = df.sparkSession, f"{folder}-drafts/{uuid.uuid4().hex}"

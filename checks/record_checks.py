@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 
 from pyspark.sql import functions as F
 
 from checks import standins as st
 from checks.model_checks import PROBS_SQL, predictions
-from checks.support import check, table
+from checks.support import check, scratch, table
 from tremorloom.functions import times
 from tremorloom.functions.jsonpaths import first_number, first_string
 from tremorloom.functions.labels import infer_period_type, lookup_period_type, normalize_period_type
@@ -369,7 +368,7 @@ def _(spark, sf):
     "SELECT 'run-' || label AS run_id, max(vec_id) AS vec_id, strftime(make_timestamp((1781677800 + max(vec_id)) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS created FROM embeddings GROUP BY 1",
 )
 def _(spark, sf):
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    root = scratch(spark)
     # one history folder per day keeps the number of folders of this check small
     stamped = _stamped(spark, sf).withColumn("created_at", F.date_trunc("day", "created_at"))
     published.publish_predictions(stamped, f"{root}/history", f"{root}/latest", ["run_id"], "vec_id", _now())
@@ -386,7 +385,7 @@ def _(spark, sf):
 def _(spark, sf):
     from tremorloom.operators import minutes
 
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    root = scratch(spark)
     tables.write_minutes(minutes.minute_aggregate(st.assigned(spark, sf), st.HOUR), root, files_per_period=4)
     return tables.read_minutes(spark, root, "parquet")
 
@@ -636,7 +635,7 @@ def _(spark, sf):
     "'a,b' AS stations, CASE WHEN o_orderstatus = 'P' THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS start FROM orders",
 )
 def _(spark, sf):
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    root = scratch(spark)
     order_periods(spark, sf).write.csv(f"{root}/periods", header=True, sep=";")
     return tables.read_periods_csv(spark, f"{root}/periods").withColumnRenamed("period_start_utc", "start")
 
@@ -649,6 +648,6 @@ def _(spark, sf):
 def _(spark, sf):
     from tremorloom.operators import features, minutes
 
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    root = scratch(spark)
     minutes.minute_aggregate(st.assigned(spark, sf), st.HOUR).write.csv(f"{root}/minutes", header=True)
     return features.prepare_minutes(tables.read_minutes(spark, f"{root}/minutes"))

@@ -7,12 +7,13 @@ to 24 bits, which absorbs the last-digit differences of two engines that add in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorloom.session import use_utc
+from tremorloom.session import shared_folder, use_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/check-{uuid.uuid4().hex}"
+
+
 def _fields(spec: str) -> list[tuple[str, str]]:
     return [tuple(part.rsplit(":", 1)) for part in spec.split()]
 

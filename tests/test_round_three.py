@@ -9,9 +9,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tests.test_jobs_and_plans import plan_of
+from tests.test_jobs_and_plans import period_frame, plan_of
 from tests.test_signal import trace
-from tremorloom.operators import decision, drift, signal
+from tremorloom.operators import decision, drift, periods, sequences, signal
 from tremorloom.schemas import MINUTE_COLUMNS, MINUTE_FILE_SUFFIX, MINUTES
 from tremorloom.sources import tables
 
@@ -102,3 +102,51 @@ def test_dry_run_must_be_a_json_boolean(spark):
     df = spark.createDataFrame([(t,) for t in texts], "result string")
     flags = [r["dry_run"] for r in decision.candidate_metrics(df).select("dry_run").collect()]
     assert flags == [False, True, None, None, None, None]
+
+
+@pytest.mark.parametrize("few", [1, 50, 100_000])
+def test_split_finds_its_keys_among_rows_of_one_instant(spark, monkeypatch, few):
+    monkeypatch.setattr(sequences, "_FEW_KEYS", few)
+    monkeypatch.setattr(sequences, "_BINS", 7)
+    rows = [(f"{'é' * (i % 3)}p{i * 7919 % 1000}", "2020-01-01 10:00:00.000001" if i % 4 else f"2020-01-0{1 + i % 3} 11:00:{i % 60:02d}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "period_id string, t string").select("period_id", F.col("t").cast("timestamp").alias("t_end"))
+    got = {(r["period_id"], r["split"]) for r in sequences.split_chronological(df, 0.5, 0.3).collect()}
+    order = sorted(rows, key=lambda r: (r[1], r[0].encode()))
+    want = {(p, "train" if i < 500 else "val" if i < 800 else "test") for i, (p, _) in enumerate(order)}
+    assert got == want
+    assert "SinglePartition" not in plan_of(sequences.split_chronological(df, 0.5, 0.3))
+
+
+def test_split_of_equal_keys(spark, monkeypatch):
+    monkeypatch.setattr(sequences, "_FEW_KEYS", 3)
+    df = spark.createDataFrame([("p",)] * 30, "period_id string").withColumn("t_end", F.lit("2020-01-01").cast("timestamp"))
+    assert {r["split"] for r in sequences.split_chronological(df).collect()} == {"test"}
+
+
+def test_spans_cover_and_stay_few():
+    spans = [(0, 10), (5, 12), (100, 110), (13, 20), (500, 501), (30, 30)]
+    assert periods.covered_spans(spans) == [(0, 12), (13, 20), (100, 110), (500, 501)]
+    assert periods.covered_spans(spans, 2) == [(0, 110), (500, 501)]
+    assert periods.covered_spans([]) == []
+
+
+def test_scattered_periods_and_their_names_reach_the_scan(spark, tmp_path):
+    hours = spark.range(24 * 3650).select(
+        F.lit("N").alias("network"), F.concat(F.lit("S"), (F.col("id") % 5).cast("string")).alias("station"), F.lit("C").alias("channel"),
+        F.timestamp_seconds(F.lit(1_262_304_000) + F.col("id") * 3600).alias("ts"),
+    )
+    hours.repartitionByRange(20, "ts").write.parquet(str(tmp_path / "s"))
+    named = lambda i, year, stations: (f"p{i}", "calm", f"{year}-01-01T00:00:00Z", f"{year}-01-03T00:00:00Z", "", "", "", "N", stations, "")
+    samples = spark.read.parquet(str(tmp_path / "s"))
+    table = lambda rows: periods.typed_periods(periods.tidy_periods(period_frame(spark, rows)))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    joined = periods.assign_periods(samples, table([named(0, 2010, "S1,S2"), named(1, 2019, "S3")]))
+    plan = plan_of(joined)
+    pushed = re.search(r"PushedFilters: \[(.*)", plan).group(1)
+    assert "Or(And(GreaterThanOrEqual(ts" in pushed and "In(station, [S1,S2,S3])" in pushed
+    want = {("p0", "S1"), ("p0", "S2"), ("p1", "S3")}
+    assert {(r["period_id"], r["station"]) for r in joined.select("period_id", "station").distinct().collect()} == want
+    every = periods.assign_periods(samples, table([named(0, 2010, ""), named(1, 2019, "S3")]))
+    assert every.where("period_id = 'p0'").count() == 48 and 8 < every.where("period_id = 'p1'").count() < 12
+    assert "In(station" not in plan_of(every)
+    assert periods.assign_periods(samples, table([])).count() == 0

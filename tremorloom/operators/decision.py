@@ -156,6 +156,7 @@ def compare_candidates(
         present = present & F.col(m).isNotNull() & F.col(f"champion_{m}").isNotNull()
     class_5 = relative("class_5_f1", policy.max_class_5_f1_drop)
     class_5_known = F.col("class_5_f1").isNotNull() & F.col("champion_class_5_f1").isNotNull()
+    # fixed values: the rule names
     rules: list[tuple[str, Column, Column, Column]] = [
         ("candidate_training_success", ok(F.col("status") == "success"), null, null),
         ("candidate_not_dry_run", ok(~F.col("dry_run")), null, null),

@@ -85,14 +85,6 @@ def _minimum(window_rows: int, floor: int = 3) -> int:
     return max(floor, window_rows // 2)
 
 
-def _sorted_median(values: Column) -> Column:
-    """Median of an array without NULLs that is already sorted."""
-    n = F.size(values)
-    low = F.get(values, F.floor((n - 1) / 2).cast("int"))
-    high = F.get(values, F.floor(n / 2).cast("int"))
-    return (low + high) / 2
-
-
 def with_entropy(df: DataFrame, window_rows: int, bins: int) -> DataFrame:
     """Shannon entropy (bits) of an equal-width histogram of each frame; 0 for a constant frame.
 

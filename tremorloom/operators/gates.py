@@ -71,6 +71,7 @@ def expect(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 # --- profiles -------------------------------------------------------------------------------------
 
+# fixed values: the columns of both profiles
 SEQUENCE_PROFILE_COLUMNS = [
     "sequence_index",
     "seq_len",

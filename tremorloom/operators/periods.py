@@ -139,13 +139,60 @@ def select_periods(periods: DataFrame, mode: str, manual_split: bool = False, dr
     return typed_periods(kept)
 
 
+# bounds of a scan: most spans, and most names in a list
+_MAX_SPANS = 48
+_MAX_NAMES = 200
+
+
+def covered_spans(spans: list[tuple[int, int]], most: int = _MAX_SPANS) -> list[tuple[int, int]]:
+    """Disjoint ``[start, end)`` that cover all given ones, ``most`` at most: the shortest gaps are closed first."""
+    merged: list[list[int]] = []
+    for start, end in sorted(s for s in spans if s[0] < s[1]):
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    gaps = sorted((b[0] - a[1], i) for i, (a, b) in enumerate(zip(merged, merged[1:])))
+    closed = {i for _, i in gaps[: max(0, len(merged) - most)]}
+    out: list[tuple[int, int]] = []
+    for i, (start, end) in enumerate(merged):
+        if i and i - 1 in closed:
+            out[-1] = (out[-1][0], end)
+        else:
+            out.append((start, end))
+    return out
+
+
+def _scan_bounds(periods: DataFrame, filters: list[str]) -> list[Column]:
+    """Conditions that every sample of a period meets, simple enough for the scan: row groups between periods are skipped."""
+    rows = periods.where(F.col("period_end_utc") > F.col("period_start_utc"))
+    named = {c: column for c, column in (("network", "network"), ("stations", "station"), ("channels", "channel")) if c in filters}
+    as_list = lambda c: F.array(c) if c == "network" else F.col(c)
+    unnamed = lambda c: F.coalesce(F.col(c) == "", F.lit(True)) if c == "network" else F.col(c).isNull()
+    # a row per day on which a period starts: metadata
+    days = rows.groupBy(F.to_date("period_start_utc")).agg(
+        F.min(F.unix_micros("period_start_utc")).alias("a"),
+        F.max(F.unix_micros("period_end_utc")).alias("b"),
+        *[F.bool_or(unnamed(c)).alias(f"any_{c}") for c in named],
+        *[F.array_distinct(F.flatten(F.collect_set(as_list(c)))).alias(c) for c in named],
+    ).collect()
+    spans = covered_spans([(day["a"], day["b"]) for day in days])
+    instant = lambda us: F.timestamp_micros(F.lit(us))
+    bounds = [reduce(lambda a, b: a | b, [(F.col("ts") >= instant(a)) & (F.col("ts") < instant(b)) for a, b in spans])] if spans else []
+    for c, column in named.items():
+        names = sorted({name for day in days for name in day[c] if name is not None})
+        if names and len(names) <= _MAX_NAMES and not any(day[f"any_{c}"] for day in days):
+            bounds.append(F.col(column).isin(names))
+    return bounds
+
+
 def assign_periods(samples: DataFrame, periods: DataFrame) -> DataFrame:
     """Samples of each period: ``start <= ts < end`` and a requested network, station and channel.
 
     ``periods`` is typed. The range condition is carried by an equality on the day, so a growing period table
     never turns the join into a nested loop; Spark broadcasts the period side while its measured size is
-    below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, splitting skewed days. The first
-    start and the last end of all periods (one aggregate row) bound ``ts`` in the scan of the samples.
+    below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, splitting skewed days. What the periods cover
+    (``covered_spans``), and the networks and stations they name if every period does, bound the scan of the samples.
     """
     last = F.col("period_end_utc") - F.expr("INTERVAL 1 MICROSECOND")
     days = F.sequence(F.to_date("period_start_utc"), F.to_date(last))
@@ -164,11 +211,7 @@ def assign_periods(samples: DataFrame, periods: DataFrame) -> DataFrame:
         if listed in filters:
             listing = F.col(f"_p_{listed}")
             conditions.append(listing.isNull() | F.array_contains(listing, F.col(column)))
-    first, end = spread.agg(
-        F.unix_micros(F.min("period_start_utc")), F.unix_micros(F.max("period_end_utc"))
-    ).first()
-    if first is not None:
-        samples = samples.where((F.col("ts") >= F.timestamp_micros(F.lit(first))) & (F.col("ts") < F.timestamp_micros(F.lit(end))))
+    samples = samples.where(reduce(lambda a, b: a & b, _scan_bounds(periods, filters), F.lit(True)))
     joined = samples.withColumn("_day", F.to_date("ts")).join(spread, "_day")
     dropped = ["_day", "period_start_utc", "period_end_utc", *[f"_p_{c}" for c in filters]]
     return joined.where(reduce(lambda a, b: a & b, conditions)).drop(*dropped)

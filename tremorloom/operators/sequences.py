@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremorloom.functions.labels import horizon_label
-from tremorloom.functions.times import hours_between
+from tremorloom.functions.times import hours_between, micros
 from tremorloom.operators.periods import ContractViolation, require_none
 from tremorloom.operators.ranking import (
     CHUNK,
@@ -96,39 +96,58 @@ def chronological_bounds(n: int, train_ratio: float, val_ratio: float) -> tuple[
     return val_from, test_from
 
 
+# so many keys are simply fetched and sorted; more are counted in bins first
+_FEW_KEYS = 4096
+_BINS = 1024
+
+
+def _bin_of(bins: list, wanted: int) -> tuple:
+    """The bin that holds a 0-based position, and the position inside it; bins are ordered."""
+    for row in bins:
+        if wanted < row["n"]:
+            return row, wanted
+        wanted -= row["n"]
+    raise ValueError("position behind the last row")
+
+
 def _key_at(ends: DataFrame, per_day: list, position: int) -> tuple:
-    """``(t_end, period_id)`` of the 0-based position in (t_end, period_id) order.
+    """``(t_end, period_id)`` of the 0-based position in (t_end, period_id) order, by distributed selection.
 
-    ``per_day`` are the ordered day counts. Inside the day the search goes by the count per instant, then by
-    period id among the sequences that end at that very instant (one per period).
+    ``per_day`` are the ordered day counts. A histogram of instants in the day of the position leads to one bin, whose
+    histogram leads to a narrower one, down to one instant; then the next two bytes of the period ids are counted, again and
+    again. Every step is a grouped count of at most ``_BINS`` or 65 537 bins, until few keys or a single one are left.
     """
-    before = 0
-    for row in per_day:
-        if position < before + row["n"]:
-            break
-        before += row["n"]
-    same_day = ends.where(F.col("_day") == F.lit(row["_day"]))
-    instants = same_day.groupBy("t_end").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("t_end").rowsBetween(Window.unboundedPreceding, 0))
-    wanted = position - before
-    hit = (
-        instants.withColumn("upto", upto)
-        .where((F.col("upto") - F.col("n") <= wanted) & (F.col("upto") > wanted))
-        .first()
-    )
-    at_instant = same_day.where(F.col("t_end") == F.lit(hit["t_end"]))
-    offset = wanted - (hit["upto"] - hit["n"])
-    if offset == 0:
-        return hit["t_end"], at_instant.agg(F.min("period_id").alias("p")).first()["p"]
-    ids = at_instant.orderBy("period_id").offset(offset).limit(1).first()
-    return hit["t_end"], ids["period_id"]
+    day, wanted = _bin_of(per_day, position)
+    n, us = day["n"], micros("t_end")
+    rows = ends.where(F.col("_day") == F.lit(day["_day"])).select(us.alias("_us"), "period_id")
+    span = rows.agg(F.min("_us").alias("low"), F.max("_us").alias("high")).first()
+    while n > _FEW_KEYS and span["low"] < span["high"]:
+        width = -(-(span["high"] - span["low"] + 1) // _BINS)
+        cell = F.floor((F.col("_us") - F.lit(span["low"])) / F.lit(width)).alias("cell")
+        counted = rows.groupBy(cell).agg(F.count(F.lit(1)).alias("n"), F.min("_us").alias("low"), F.max("_us").alias("high"))
+        span, wanted = _bin_of(sorted(counted.collect(), key=lambda r: r["cell"]), wanted)
+        n, rows = span["n"], rows.where(F.col("_us").between(span["low"], span["high"]))
+    known = 0
+    while n > _FEW_KEYS:
+        following = F.substring(F.col("period_id").cast("binary"), known + 1, 2).alias("bytes")
+        counted = rows.groupBy(following).agg(F.count(F.lit(1)).alias("n"), F.min("period_id").alias("low"), F.max("period_id").alias("high"))
+        found, wanted = _bin_of(sorted(counted.collect(), key=lambda r: bytes(r["bytes"])), wanted)
+        n, known, rows = found["n"], known + 2, rows.where(F.col("period_id").between(found["low"], found["high"]))
+        if found["low"] == found["high"]:
+            return _instant(span["low"]), found["low"]
+    keys = sorted(((r["_us"], r["period_id"]) for r in rows.collect()), key=lambda k: (k[0], k[1].encode()))
+    return _instant(keys[wanted][0]), keys[wanted][1]
+
+
+def _instant(us: int) -> Column:
+    return F.timestamp_micros(F.lit(us))
 
 
 def split_chronological(ends: DataFrame, train_ratio: float = 0.70, val_ratio: float = 0.15) -> DataFrame:
     """Adds ``split`` by position in (t_end, period_id) order over all sequences.
 
     No ranking of the whole table: counts per day (a short list) tell the day of each boundary, the boundary
-    key is looked up inside that day, and every row is then compared with the two keys.
+    key is found inside that day by ever finer counts, and every row is then compared with the two keys.
     """
     dated = ends.withColumn("_day", F.to_date("t_end"))
     per_day = dated.groupBy("_day").agg(F.count(F.lit(1)).alias("n")).orderBy("_day").collect()
@@ -137,7 +156,7 @@ def split_chronological(ends: DataFrame, train_ratio: float = 0.70, val_ratio: f
     val_key, test_key = (_key_at(dated, per_day, p) for p in (val_from, test_from))
 
     def precedes(key: tuple) -> Column:
-        t, p = F.lit(key[0]), F.lit(key[1])
+        t, p = key[0], F.lit(key[1])
         return (F.col("t_end") < t) | ((F.col("t_end") == t) & (F.col("period_id") < p))
 
     split = F.when(precedes(val_key), "train").when(precedes(test_key), "val").otherwise("test")
