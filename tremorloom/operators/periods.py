@@ -141,7 +141,7 @@ def select_periods(periods: DataFrame, mode: str, manual_split: bool = False, dr
 
 # bounds of a scan: most spans, and most names in a list
 _MAX_SPANS = 48
-_MAX_NAMES = 200
+_MAX_NAMES = 48
 
 
 def covered_spans(spans: list[tuple[int, int]], most: int = _MAX_SPANS) -> list[tuple[int, int]]:
@@ -182,7 +182,7 @@ def _scan_bounds(periods: DataFrame, filters: list[str]) -> list[Column]:
     for c, column in named.items():
         names = sorted({name for day in days for name in day[c] if name is not None})
         if names and len(names) <= _MAX_NAMES and not any(day[f"any_{c}"] for day in days):
-            bounds.append(F.col(column).isin(names))
+            bounds.append(reduce(lambda a, b: a | b, [F.col(column).eqNullSafe(F.lit(name)) for name in names]))
     return bounds
 
 
