@@ -19,12 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tremorloom.llm.common import id_and_bytes, texts_of
-from tremorloom.llm.token_counts import pretokens, vocabulary_path, worker_cache
+from tremorloom.llm.common import id_and_bytes, slices
+from tremorloom.llm.token_counts import slice_pretokens, vocabulary_path, worker_cache
 
 MAGIC = b"S8B1"
 BLOCK = 512
@@ -194,11 +195,14 @@ def write_token_ids(
             held, lens, doc_ids, n = [], [], [], 0
             return out
 
-        for ids, texts in texts_of(batches):
-            words = [pretokens(t) for t in texts]
-            value = cache.lookup(words).__getitem__
-            for doc, ws in zip(ids.to_pylist(), words):
-                own = b"".join(map(value, ws)) + end
+        for part in (part for batch in batches for part in slices(batch)):
+            words, order, starts = slice_pretokens(part.column("text"))
+            known = cache.lookup([words])
+            values = pa.array([known[w] for w in words], pa.binary())
+            ends = np.concatenate([[0], np.cumsum(pc.binary_length(values).to_numpy().astype(np.int64)[order.to_numpy()])])[starts].tolist()
+            ids = (values.take(order).buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+            for doc, first_byte, last_byte in zip(part.column("id").to_pylist(), ends, ends[1:]):
+                own = ids[first_byte:last_byte] + end
                 held.append(own)
                 doc_ids.append(doc)
                 lens.append(len(own) // 4)

@@ -17,12 +17,14 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorloom.llm.common import id_and_bytes, texts_of
+from tremorloom.llm.common import id_and_bytes, slices
 
 VOCABULARY = "word_bpe_49k.json"
 TABLE_SIZE = 32_768
@@ -58,6 +60,19 @@ def pretokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def slice_pretokens(texts: pa.Array) -> tuple[list[bytes], pa.Array, np.ndarray]:
+    """``pretokens`` of all texts of a slice at once: distinct ones, the number of each in order, and where texts begin in
+    that order (with the end behind). White space at the ends of a text gives an empty pre-token, which has no tokens."""
+    odd = pc.match_substring(texts, b"<|")
+    for lead in (b"\xcc", b"\xcd"):
+        odd = pc.or_(odd, pc.match_substring(texts, lead))
+    text = texts.view(pa.string())
+    lists = pc.ascii_split_whitespace(pc.if_else(odd, text, pc.ascii_lower(text)))
+    coded = lists.flatten().dictionary_encode()
+    starts = lists.offsets.to_numpy().astype(np.int64)
+    return coded.dictionary.view(pa.binary()).to_pylist(), coded.indices, starts - starts[0]
+
+
 def _parts(word: bytes) -> list[bytes]:
     """A word and the punctuation behind it are separate for the splitter if the word ends in a letter."""
     core = word.rstrip(_TAIL)
@@ -152,9 +167,10 @@ def frequent_lengths(rows: DataFrame, path: str, table_size: int = TABLE_SIZE, t
 
     def summary(batches) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        for _, texts in texts_of(batches):
-            for text in texts:
-                seen.update(pretokens(text))
+        for part in (part for batch in batches for part in slices(batch)):
+            words, order, _ = slice_pretokens(part.column("text"))
+            for word, n in zip(words, np.bincount(order.to_numpy(), minlength=len(words)).tolist()):
+                seen[word] += n
             if len(seen) > SUMMARY_ENTRIES:  # bounded memory; what is rare so far can't be frequent here
                 seen = Counter(dict(seen.most_common(SUMMARY_ENTRIES // 4)))
         top = [(w, n) for w, n in seen.most_common(task_top) if len(w) <= MAX_PRETOKEN]
@@ -181,16 +197,17 @@ def token_counts(
 
     def count(batches) -> Iterator[pa.RecordBatch]:
         cache = worker_cache("lengths", path, len, frequent.value)
-        for ids, texts in texts_of(batches):
-            words = [pretokens(t) for t in texts]
-            length = cache.lookup(words).__getitem__
-            n = [sum(map(length, ws)) for ws in words]
+        for part in (part for batch in batches for part in slices(batch)):
+            words, order, starts = slice_pretokens(part.column("text"))
+            known = cache.lookup([words])
+            lengths = np.array([known[w] for w in words], np.int64)
+            n = np.diff(np.concatenate([[0], np.cumsum(lengths[order.to_numpy()])])[starts])
             yield pa.record_batch(
                 {
-                    "doc_id": ids,
-                    "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
+                    "doc_id": part.column("id"),
+                    "n_bytes": pc.binary_length(part.column("text")).cast(pa.int64()),
                     "n_tokens": pa.array(n, pa.int64()),
-                    "over_limit": pa.array([x > limit for x in n], pa.bool_()),
+                    "over_limit": pa.array(n > limit, pa.bool_()),
                 }
             )
 
