@@ -24,7 +24,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorloom.llm.common import id_and_bytes, slices
+from tremorloom.llm.common import id_and_bytes, slices, texts_of
 
 VOCABULARY = "word_bpe_49k.json"
 TABLE_SIZE = 32_768
@@ -167,10 +167,9 @@ def frequent_lengths(rows: DataFrame, path: str, table_size: int = TABLE_SIZE, t
 
     def summary(batches) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        for part in (part for batch in batches for part in slices(batch)):
-            words, order, _ = slice_pretokens(part.column("text"))
-            for word, n in zip(words, np.bincount(order.to_numpy(), minlength=len(words)).tolist()):
-                seen[word] += n
+        for _, texts in texts_of(batches):
+            for text in texts:
+                seen.update(pretokens(text))
             if len(seen) > SUMMARY_ENTRIES:  # bounded memory; what is rare so far can't be frequent here
                 seen = Counter(dict(seen.most_common(SUMMARY_ENTRIES // 4)))
         top = [(w, n) for w, n in seen.most_common(task_top) if len(w) <= MAX_PRETOKEN]
