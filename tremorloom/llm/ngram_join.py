@@ -10,8 +10,10 @@ shingles are called frequent. A set takes part in its own band and, if a partner
 
 Signatures travel packed by hash range. A task first looks among its own: of the sets with one signature only the
 least id goes on, so a signature carried by a third of all rows costs each task one row. Sets that share a
-signature form a group; a group's members are compared with its least id, not with each other, and then
-only those that still lie in different components. Every link is verified on whole shingle sets.
+signature form a group; a group's members are compared with its least id, not with each other. While a group still lies in
+several components, its members outside the largest one are compared with a pivot of that one, a few rounds long and each
+linear in the group. Only sets that are in different components after that are compared with each other, if their sketches
+leave room for a link. Every link is verified on whole shingle sets.
 """
 
 from __future__ import annotations
@@ -37,6 +39,9 @@ SKETCH_WORDS = 16
 #: the largest set with the shortest sketch; each further sketch is four times as long and serves sets four times as large
 SHORT_SET = 96 * SKETCH_WORDS
 FLUSH_SIGNATURES = 4_000_000
+#: rounds with a pivot per mixed group; what they leave is compared in full, so the number decides on speed alone
+PIVOT_ROUNDS = 3
+PIVOT_ORDERS = 8
 #: ids of a semi-join that are broadcast (16 MB); more are shuffled
 BROADCAST_IDS = 1_000_000
 
@@ -305,6 +310,22 @@ def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int, name:
     return stash(linked.select("a", "b"), f"{name}-links")
 
 
+def _xor(p, q):
+    return F.zip_with(p, q, lambda u, v: u.bitwiseXOR(v))
+
+
+def _folded(sketch):
+    """The next shorter sketch."""
+    length = F.floor(F.size(sketch) / 4).cast("int")
+    first, second, third, fourth = (F.slice(sketch, i * length + 1, length) for i in range(4))
+    return _xor(_xor(first, second), _xor(third, fourth))
+
+
+def _differ(p, q):
+    """Bits in which two sketches of equal length differ."""
+    return F.aggregate(_xor(p, q), F.lit(0), lambda total, d: total + F.bit_count(d))
+
+
 def _possible(percent: int):
     """Whether sizes and sketches of ``x`` and ``y`` (structs of n, sketch) leave room for a link."""
     a, b = F.col("x.sketch"), F.col("y.sketch")
@@ -315,27 +336,43 @@ def _possible(percent: int):
     def fits(apart):
         return apart * (100 + percent) <= (100 - percent) * (n + m)
 
-    def xor(p, q):
-        return F.zip_with(p, q, lambda u, v: u.bitwiseXOR(v))
-
-    def folded(sketch):
-        length = F.floor(F.size(sketch) / 4).cast("int")
-        first, second, third, fourth = (F.slice(sketch, i * length + 1, length) for i in range(4))
-        return xor(xor(first, second), xor(third, fourth))
-
-    def differ(p, q):
-        return F.aggregate(xor(p, q), F.lit(0), lambda total, d: total + F.bit_count(d))
-
     # half of a longer sketch first: it turns most pairs down without the slower fold over all words
     room = (
-        F.when(F.size(a) > F.size(b), fits(differ(folded(a), b)))
-        .when(F.size(a) < F.size(b), fits(differ(a, folded(b))))
+        F.when(F.size(a) > F.size(b), fits(_differ(_folded(a), b)))
+        .when(F.size(a) < F.size(b), fits(_differ(a, _folded(b))))
         .when(F.size(a) == SKETCH_WORDS, fits(words_apart(SKETCH_WORDS)))
-        .otherwise(F.when(fits(words_apart(2 * SKETCH_WORDS)), fits(differ(a, b))).otherwise(False))
+        .otherwise(F.when(fits(words_apart(2 * SKETCH_WORDS)), fits(_differ(a, b))).otherwise(False))
     )
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & room
 
 
+def _mixed(placed: DataFrame, name: str) -> DataFrame:
+    """``sign, id, component`` of the groups that lie in several components; of groups with the same members one."""
+    sums = [F.bit_xor(F.xxhash64("id", F.lit(seed))).alias(f"x{seed}") for seed in range(2)]
+    groups = placed.groupBy("sign").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), *sums)
+    mixed = groups.where("lo < hi").groupBy("n", "x0", "x1").agg(F.min("sign").alias("sign")).select("sign")
+    return stash(placed.select("sign", "id", "component").join(mixed, "sign", "left_semi"), name)
+
+
+def _pivot_pairs(placed: DataFrame, about: DataFrame, percent: int, turn: int) -> DataFrame:
+    """``a, b, from, to``: a group's members outside its largest component, each with a pivot of that one.
+
+    The pivot is the member least by a hash, one of ``PIVOT_ORDERS`` in each turn, so that the groups of a member offer a few
+    pivots, not one for each group. Of several in one component it takes the nearest by sketch.
+    """
+    order = F.xxhash64("id", F.lit(turn), F.pmod(F.xxhash64("sign"), F.lit(PIVOT_ORDERS)))
+    parts = placed.groupBy("sign", "component").agg(F.count("*").alias("n"), F.min(F.struct(order.alias("h"), "id")).alias("p"))
+    best = parts.groupBy("sign").agg(F.max(F.struct("n", "component", "p.id")).alias("s"))
+    best = best.select("sign", F.col("s.id").alias("a"), F.col("s.component").alias("from"))
+    pairs = placed.join(best, "sign").where(F.col("component") != F.col("from"))
+    pairs = pairs.select("a", F.col("id").alias("b"), "from", F.col("component").alias("to")).distinct()
+    x, y = (about.select(F.col("id").alias(c), F.col("about").alias(z)) for c, z in ("ax", "by"))
+    near = F.when(F.size("x.sketch") == F.size("y.sketch"), _differ(F.col("x.sketch"), F.col("y.sketch"))).otherwise(F.abs(F.col("x.n") - F.col("y.n")))
+    pairs = pairs.join(x, "a").join(y, "b").where(_possible(percent)).select("a", "b", "from", "to", near.alias("near"))
+    nearest = pairs.groupBy("b", "from", "to").agg(F.min(F.struct("near", "a")).alias("s"))
+    return stash(nearest.select("s.a", "b", "from", "to"), f"pivot-pairs{turn}")
+
+
 def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row: the least id reachable by links of ``percent`` similarity.
 
@@ -363,10 +400,22 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     star = stash(star.join(x, "a").join(y, "b").where(_possible(percent)).select("a", "b"), "star-pairs")
     links = _verified(star, rows, words, percent, "star")
     labels = connected(links, "star")
+    placed = _mixed(members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "mixed")
+    first, tested = links, star
+    for turn in range(PIVOT_ROUNDS):
+        if placed.isEmpty():
+            break
+        tries = _pivot_pairs(placed, about, percent, turn)
+        found = _verified(tries.select("a", "b"), rows, words, percent, f"pivot{turn}")
+        tested = tested.unionByName(tries.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        joined = connected(tries.join(found, ["a", "b"], "left_semi").select(F.col("from").alias("a"), F.col("to").alias("b")), f"pivot{turn}")
+        joined = joined.select(F.col("id").alias("component"), F.col("component").alias("now"))
+        placed = _mixed(placed.join(joined, "component", "left").select("sign", "id", F.coalesce("now", "component").alias("component")), f"mixed{turn}")
     # what a group still has in several components is compared across them, if sizes and sketches leave room for a link
-    placed = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = placed.groupBy("sign").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("sign")
-    placed = stash(placed.join(mixed, "sign", "left_semi").join(about, "id"), "mixed-members")
+    placed = placed.join(about, "id")
     # short sketches travel as plain columns, which are compared at far less cost than nested arrays; only sets that may meet
     # a longer sketch carry theirs as an array too
     def side(name: str, sign: str, id_name: str, component: str) -> DataFrame:
@@ -383,9 +432,9 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     short_fits = F.col("short_x") & F.col("short_y") & (differ * (100 + percent) <= (100 - percent) * (F.col("nx") + F.col("ny")))
     long_fits = ~(F.col("short_x") & F.col("short_y")) & _possible(percent)
     pairs = side("x", "sign", "a", "from").join(side("y", "same", "b", "to"), apart & size_fits & (short_fits | long_fits))
-    cross = pairs.select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
+    cross = pairs.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
     more = _verified(stash(cross, "cross-pairs"), rows, words, percent, "cross")
-    if not more.isEmpty():
+    if links is not first or not more.isEmpty():
         labels = connected(links.unionByName(more), "all")
     reached = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     placed = own.select("id", "digest").join(reached, "digest").select("id", "component_id")
