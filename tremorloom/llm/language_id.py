@@ -6,7 +6,8 @@ compressed with every dictionary, and the language whose sizes add up to least i
 whole. The margin is how much larger the second smallest sum is; where it is narrow the text is
 rejected: under ``margin_share`` of the bytes compared plus ``NOISE`` times their square root, as the difference between two
 languages grows with the text and chance with its root. Equal sums are always too narrow. Without ``margin_share`` only long texts
-with next to no margin are rejected.
+with next to no margin are rejected. ``learn_margins`` fits the narrowest margin of each language on further labelled rows instead, so
+that a stated share of them is rejected.
 """
 
 from __future__ import annotations
@@ -16,11 +17,12 @@ from collections.abc import Iterator
 from math import sqrt
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorloom.llm.common import id_and_bytes, texts_of
+from tremorloom.llm.common import found_by_workers, id_and_bytes, slices, texts_of
 
 UNKNOWN = "und"
 BLOCK = 2048
@@ -29,7 +31,7 @@ LEAST_BYTES = 512
 MARGIN_SHARE = 0.018
 NOISE = 0.5
 LEVEL = 3
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _OTHERS = re.compile(r"[\W\d_]+")
 
 _compressors: dict = {}
@@ -58,6 +60,44 @@ def learn_dictionaries(
     return {lang: " ".join(texts[lang]).encode()[-dictionary_bytes:] for lang in common if lang in texts}
 
 
+def learn_margins(
+    labelled: DataFrame, dictionaries: dict[str, bytes], false_rejection: float = 0.01, sample_docs: int = 512, skip_docs: int = 96, level: int = LEVEL,
+    id_col: str = "doc_id",
+) -> dict[str, float]:
+    """Least margin by language, in bytes for each root of the bytes compared: ``false_rejection`` of its labelled rows lie below.
+
+    Read are the ``sample_docs`` whole texts that follow the ``skip_docs`` of ``learn_dictionaries`` in its order, so no text is compared
+    with itself. A language without such rows has no entry; ``language_id`` then rejects equal sums only.
+    """
+    usable = labelled.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col("text").alias("content"), "lang").where(
+        "lang IS NOT NULL AND text IS NOT NULL AND text <> ''"
+    )
+    order = [F.xxhash64(F.col("id")), F.col("id"), F.xxhash64("content")]
+    ranked = usable.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    chosen = ranked.where(F.col("nth") <= skip_docs + sample_docs).where(F.col("nth") > skip_docs)
+    rows = chosen.select("lang", F.col("content").cast("binary").alias("text"))
+    found_by_workers(rows.sparkSession)
+    held = rows.sparkSession.sparkContext.broadcast(dictionaries)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        made = compressors(held.value, level)
+        for batch in batches:
+            for part in slices(batch):
+                langs, margins = [], []
+                for lang, raw in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+                    text = raw.decode("utf-8", "replace")
+                    if len(made) > 1 and _LETTER.search(text):
+                        ranked, compared = sizes(text, made)
+                        if ranked[0][1] == lang:
+                            langs.append(lang)
+                            margins.append((ranked[1][0] - ranked[0][0]) / sqrt(compared))
+                yield pa.record_batch({"lang": pa.array(langs, pa.string()), "margin": pa.array(margins, pa.float64())})
+
+    margins = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, "lang string, margin double")
+    least = margins.groupBy("lang").agg(F.percentile("margin", F.lit(false_rejection)).alias("least")).collect()
+    return {r["lang"]: r["least"] for r in least}
+
+
 def compressors(dictionaries: dict[str, bytes], level: int) -> dict:
     """A compressor per language, once per worker and set of dictionaries."""
     key = (level, tuple((k, hash(v)) for k, v in dictionaries.items()))
@@ -89,13 +129,14 @@ def sizes(text: str, made: dict, block: int = BLOCK) -> tuple[list[tuple[int, st
 
 def language_id(
     docs: DataFrame, dictionaries: dict[str, bytes], least_margin: float = 0.001, level: int = LEVEL, id_col: str = "doc_id", text_col: str = "text",
-    margin_share: float | None = None,
+    margin_share: float | None = None, margins: dict[str, float] | None = None,
 ) -> DataFrame:
     """``doc_id, lang_pred, score, rejected`` for every row.
 
     ``lang_pred`` is ``und`` and ``score`` 0 for NULL, empty and letterless texts, and where nothing was learned. ``score`` is the
     margin: by how much of it the second best sum is above the best one, 0 to 1. ``rejected``: ``und``, or with
     ``margin_share`` equal sums or too narrow a margin for the bytes compared, without it a margin below ``least_margin`` on ``LEAST_BYTES`` bytes or more.
+    With ``margins`` (of ``learn_margins``) equal sums and margins under the chosen language's are rejected instead.
     Equal sums go to the first of ``dictionaries``. Rows are judged one by one, so repeated rows and
     NULL ids don't matter; an empty table gives no rows.
     """
@@ -116,7 +157,10 @@ def language_id(
                 ranked, compared = sizes(text, made)
                 pred.append(ranked[0][1])
                 score.append(1.0 - ranked[0][0] / ranked[1][0] if len(ranked) > 1 else 1.0)
-                if margin_share is None or len(ranked) < 2:
+                if margins is not None and len(ranked) > 1:
+                    apart = ranked[1][0] - ranked[0][0]
+                    rejected.append(apart <= 0 or apart < margins.get(pred[-1], 0.0) * sqrt(compared))
+                elif margin_share is None or len(ranked) < 2:
                     rejected.append(score[-1] < least_margin and compared >= LEAST_BYTES)
                 else:
                     apart = ranked[1][0] - ranked[0][0]
