@@ -80,3 +80,4 @@ def test_later_batches_meet_a_filled_index_without_moving_it(spark):
 def test_buckets_grow_with_the_input():
     assert exact_dedup.buckets_for(0) == exact_dedup.buckets_for(10**6) == exact_dedup.BUCKETS
     assert exact_dedup.buckets_for(10**10) == 2500
+    assert exact_dedup.buckets_for(10, 300) == 300

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorloom.llm.common import lower_ascii, stash
+from tremorloom.llm.common import lower_ascii, new_path, stash
 
 BUCKETS = 64
 #: digests in a bucket (about 160 MB), by which the number of buckets of a new index is chosen
@@ -27,9 +27,16 @@ BATCHES = 4
 BLOCK = 4096
 
 
-def buckets_for(n: int) -> int:
-    """Buckets of an index for ``n`` texts."""
-    return max(BUCKETS, -(-n // BUCKET_ROWS))
+def buckets_for(n: int, partitions: int = 1) -> int:
+    """Buckets of an index for ``n`` texts; as many as shuffle partitions at least, so that a partition is one bucket's file."""
+    return max(BUCKETS, partitions, -(-n // BUCKET_ROWS))
+
+
+def new_index(docs: DataFrame) -> DigestIndex:
+    """An empty index in the shared folder, sized for ``docs``."""
+    spark = docs.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return DigestIndex(spark, new_path(spark, "digest-index"), buckets_for(docs.count(), partitions))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: Sequence[str] = ()) -> DataFrame:

@@ -13,7 +13,7 @@ from tremorloom.llm import common
 from tremorloom.llm.bpe import bpe_decode, bpe_encode
 from tremorloom.llm.collocations import collocations
 from tremorloom.llm.decontaminate import decontaminate
-from tremorloom.llm.exact_dedup import BATCHES, DigestIndex, buckets_for, exact_dedup
+from tremorloom.llm.exact_dedup import BATCHES, exact_dedup, new_index
 from tremorloom.llm.language_id import MARGIN_SHARE, language_id, learn_dictionaries
 from tremorloom.llm.license_scan import license_scan
 from tremorloom.llm.line_dedup import line_dedup
@@ -86,7 +86,7 @@ def with_crc(ids: DataFrame) -> DataFrame:
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    index = DigestIndex(spark, common.new_path(spark, "digest-index"), buckets_for(docs.count()))
+    index = new_index(docs)
     decided = exact_dedup(docs, index, batches=BATCHES)
     index.close()
     return decided.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
