@@ -205,7 +205,7 @@ def _(spark, sf):
     f"SELECT event_id, {LABEL_CASE} AS y FROM (SELECT event_id, value / 10.25 AS h FROM events)",
 )
 def _(spark, sf):
-    return table(spark, sf, "events").withColumn("y", horizon_label(F.col("value") / 10.25))
+    return table(spark, sf, "events").withColumn("y", horizon_label(F.col("value") / 10.25, strict=False))
 
 
 @check(

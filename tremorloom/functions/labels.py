@@ -35,9 +35,14 @@ def infer_period_type(period_id: ColumnLike, period_type: ColumnLike | None = No
     return F.when(given.isNull(), by_prefix).otherwise(normalize_period_type(given, allow_inference=False))
 
 
-def horizon_label(hours: ColumnLike) -> Column:
-    """Class 5 (at most 6 h before the event) down to 1 (36-48 h); the job fails outside 0..48 h."""
+def horizon_label(hours: ColumnLike, strict: bool = True) -> Column:
+    """Class 5 (at most 6 h before the event) down to 1 (36-48 h); the job fails outside 0..48 h.
+
+    With ``strict=False`` the bounds alone decide: hours after the event count as 0, those beyond the horizon have no class.
+    """
     h = as_column(hours)
+    if not strict:
+        return F.coalesce(*[F.when(h <= bound, F.lit(cls)) for bound, cls in HORIZON_CLASSES])
     label = F.when(h < 0, F.raise_error(F.concat(F.lit("negative hours: "), h.cast("string"))).cast("int"))
     for bound, cls in HORIZON_CLASSES:
         label = label.when(h <= bound, F.lit(cls))
