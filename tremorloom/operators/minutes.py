@@ -13,6 +13,11 @@ from tremorloom.schemas import FILTER_COLUMNS, FREQUENCY_INDEX_EPS, MINUTE_COLUM
 _SENSOR_KEYS = ["period_id", "network", "station", "channel"]
 
 
+def _between(mean, low, high):
+    """``mean`` without the last digits by which sums of many equal values leave their range; NaN stays."""
+    return F.when(F.isnan(mean), mean).otherwise(F.greatest(low, F.least(high, mean)))
+
+
 def minute_aggregate(
     samples: DataFrame, step_seconds: int = 60, eps: float = FREQUENCY_INDEX_EPS
 ) -> DataFrame:
@@ -24,7 +29,7 @@ def minute_aggregate(
     """
     cell = F.window("ts", f"{step_seconds} seconds")
     grouped = samples.groupBy(*_SENSOR_KEYS, cell.alias("_cell")).agg(
-        F.avg("amplitude").alias("amplitude_mean"),
+        _between(F.avg("amplitude"), F.min("amplitude"), F.max("amplitude")).alias("amplitude_mean"),
         F.stddev_samp("amplitude").alias("amplitude_std"),
         F.max("amplitude").alias("amplitude_max"),
         F.min("amplitude").alias("amplitude_min"),
@@ -77,7 +82,7 @@ def merged_minutes(states: DataFrame, eps: float = FREQUENCY_INDEX_EPS) -> DataF
     away = F.col("mean") - F.col("_mean")
     n, m2 = F.sum("n"), F.sum(F.col("m2") + F.col("n") * away * away)
     grouped = states.withColumn("_mean", mean).groupBy(*_CELL).agg(
-        F.first("_mean").alias("amplitude_mean"),
+        _between(F.first("_mean"), F.min("low"), F.max("high")).alias("amplitude_mean"),
         F.when(n > 1, F.sqrt(m2 / (n - 1))).alias("amplitude_std"),
         F.max("high").alias("amplitude_max"),
         F.min("low").alias("amplitude_min"),
