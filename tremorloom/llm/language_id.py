@@ -6,8 +6,8 @@ compressed with every dictionary, and the language whose sizes add up to least i
 whole. The margin is how much larger the second smallest sum is; where it is narrow the text is
 rejected: under ``margin_share`` of the bytes compared plus ``NOISE`` times their square root, as the difference between two
 languages grows with the text and chance with its root. Equal sums are always too narrow. Without ``margin_share`` only long texts
-with next to no margin are rejected. ``learn_margins`` fits the narrowest margin of each language on further labelled rows instead, so
-that a stated share of them is rejected.
+with next to no margin are rejected. ``learn_margins`` fits the narrowest margin of each language on all other labelled rows instead,
+so that a stated share of them is rejected.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tremorloom.llm.common import found_by_workers, id_and_bytes, slices, texts_of
+from tremorloom.llm.common import found_by_workers, id_and_bytes, slices, stash, texts_of
 
 UNKNOWN = "und"
 BLOCK = 2048
@@ -31,51 +31,77 @@ LEAST_BYTES = 512
 MARGIN_SHARE = 0.018
 NOISE = 0.5
 LEVEL = 3
+SAMPLE_DOCS, SAMPLE_CHARS = 96, 8192
+#: margins are counted in cells of this width before the wanted ones are looked at one by one
+CELL = 1 / 256
 _LETTER = regex.compile(r"\p{L}")
 _OTHERS = re.compile(r"[\W\d_]+")
 
 _compressors: dict = {}
 
 
+def _first_rows(labelled: DataFrame, docs: int, chars: int, id_col: str) -> DataFrame:
+    """``id, text, lang, nth`` of the first ``docs`` rows by language that have text, cut to ``chars``."""
+    usable = labelled.select(F.col(f"`{id_col}`").alias("id"), F.substring("text", 1, chars).alias("text"), "lang").where(
+        "lang IS NOT NULL AND text IS NOT NULL AND text <> ''"
+    )
+    order = [F.xxhash64(F.col("id")), F.col("id"), F.col("text")]
+    # top rows are cut in each task before the shuffle
+    return usable.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("nth") <= docs)
+
+
 def learn_dictionaries(
-    labelled: DataFrame, sample_docs: int = 96, sample_chars: int = 8192, dictionary_bytes: int = 1 << 17, id_col: str = "doc_id"
+    labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, dictionary_bytes: int = 1 << 17, id_col: str = "doc_id"
 ) -> dict[str, bytes]:
     """Dictionary content by language from rows of ``doc_id, text, lang``; rows without text or language are passed over.
 
     ``sample_docs`` and ``sample_chars`` bound what reaches the driver per language.
     """
-    usable = labelled.select(F.col(f"`{id_col}`").alias("id"), F.substring("text", 1, sample_chars).alias("text"), "lang").where(
-        "lang IS NOT NULL AND text IS NOT NULL AND text <> ''"
-    )
-    order = [F.xxhash64(F.col("id")), F.col("id"), F.col("text")]
-    # top rows are cut in each task before the shuffle
-    ranked = usable.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("nth") <= sample_docs)
     texts: dict[str, list[str]] = {}
-    for row in ranked.orderBy("lang", "nth").collect():
+    for row in _first_rows(labelled, sample_docs, sample_chars, id_col).orderBy("lang", "nth").collect():
         if _LETTER.search(row["text"]):
             texts.setdefault(row["lang"], []).append(plain(row["text"]))
     # a row per language; the commonest comes first, which decides ties
+    usable = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
     common = [r["lang"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()]
     # the end of a raw dictionary is nearest and cheapest to refer to
     return {lang: " ".join(texts[lang]).encode()[-dictionary_bytes:] for lang in common if lang in texts}
 
 
+def _quantiles(margins: DataFrame, share: float) -> DataFrame:
+    """``lang, least``: the exact quantile of each language's margins, linear between two of them as ``percentile`` has it.
+
+    Only the cells that hold the wanted places are looked at margin by margin, so no task gets a language's margins whole.
+    """
+    margins = stash(margins.withColumn("cell", F.floor(F.col("margin") / CELL)), "margins")
+    counted = margins.groupBy("lang", "cell").agg(F.count("*").alias("n"))
+    upto, place = F.sum("n").over(Window.partitionBy("lang").orderBy("cell")), share * (F.sum("n").over(Window.partitionBy("lang")) - 1)
+    cells = counted.select("lang", "cell", "n", upto.alias("upto"), place.alias("place")).withColumn("before", F.col("upto") - F.col("n"))
+    low, high = F.floor("place"), F.ceil("place")
+    wanted = cells.where((F.col("upto") > low) & (F.col("before") <= high)).select("lang", "cell", "before", "place")
+    single = margins.join(F.broadcast(wanted), ["lang", "cell"]).groupBy("lang", "cell", "before", "place", "margin").agg(F.count("*").alias("n"))
+    reached = F.col("before") + F.sum("n").over(Window.partitionBy("lang", "cell").orderBy("margin"))
+    ends = single.withColumn("upto", reached).groupBy("lang", "place").agg(
+        *[F.min(F.when(F.col("upto") > end, F.col("margin"))).alias(name) for name, end in (("low", low), ("high", high))]
+    )
+    return ends.select("lang", (F.col("low") + (F.col("high") - F.col("low")) * (F.col("place") - low)).alias("least"))
+
+
 def learn_margins(
-    labelled: DataFrame, dictionaries: dict[str, bytes], false_rejection: float = 0.01, sample_docs: int = 512, skip_docs: int = 96, level: int = LEVEL,
-    id_col: str = "doc_id",
+    labelled: DataFrame, dictionaries: dict[str, bytes], false_rejection: float = 0.01, skip_docs: int = SAMPLE_DOCS, level: int = LEVEL, id_col: str = "doc_id"
 ) -> dict[str, float]:
     """Least margin by language, in bytes for each root of the bytes compared: ``false_rejection`` of its labelled rows lie below.
 
-    Read are the ``sample_docs`` whole texts that follow the ``skip_docs`` of ``learn_dictionaries`` in its order, so no text is compared
+    Read are all whole texts but for the ``skip_docs`` of ``learn_dictionaries`` and their equals, so no text is compared
     with itself. A language without such rows has no entry; ``language_id`` then rejects equal sums only.
     """
-    usable = labelled.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col("text").alias("content"), "lang").where(
-        "lang IS NOT NULL AND text IS NOT NULL AND text <> ''"
+    ident, start = F.col(f"`{id_col}`"), F.xxhash64(F.substring("text", 1, SAMPLE_CHARS))
+    usable = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND text <> ''").select(
+        "lang", F.col("text").cast("binary").alias("text"), F.xxhash64(ident, ident.isNull()).alias("id_hash"), start.alias("start")
     )
-    order = [F.xxhash64(F.col("id")), F.col("id"), F.xxhash64("content")]
-    ranked = usable.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-    chosen = ranked.where(F.col("nth") <= skip_docs + sample_docs).where(F.col("nth") > skip_docs)
-    rows = chosen.select("lang", F.col("content").cast("binary").alias("text"))
+    first = _first_rows(labelled, skip_docs, SAMPLE_CHARS, id_col)
+    known = first.select("lang", F.xxhash64("id", F.col("id").isNull()).alias("id_hash"), F.xxhash64("text").alias("start"))
+    rows = usable.join(F.broadcast(known), ["lang", "id_hash", "start"], "left_anti").select("lang", "text")
     found_by_workers(rows.sparkSession)
     held = rows.sparkSession.sparkContext.broadcast(dictionaries)
 
@@ -93,9 +119,8 @@ def learn_margins(
                             margins.append((ranked[1][0] - ranked[0][0]) / sqrt(compared))
                 yield pa.record_batch({"lang": pa.array(langs, pa.string()), "margin": pa.array(margins, pa.float64())})
 
-    margins = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, "lang string, margin double")
-    least = margins.groupBy("lang").agg(F.percentile("margin", F.lit(false_rejection)).alias("least")).collect()
-    return {r["lang"]: r["least"] for r in least}
+    margins = rows.mapInArrow(run, "lang string, margin double")
+    return {r["lang"]: r["least"] for r in _quantiles(margins, false_rejection).collect()}
 
 
 def compressors(dictionaries: dict[str, bytes], level: int) -> dict:
