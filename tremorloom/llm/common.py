@@ -45,6 +45,14 @@ def stash(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``stash`` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def found_by_workers(spark: SparkSession) -> None:
     """On one machine Python workers import this package from where the driver has it (a cluster gets it by --py-files)."""
     root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment

@@ -19,16 +19,18 @@ the other n-grams of a text that the bitmap lets through meet the table by hash
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from math import log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorloom.llm.common import id_and_bytes, space_words, stash, texts_of
+from tremorloom.llm.common import discard, id_and_bytes, space_words, stash, texts_of
 
 END = b""
 DISCOUNT = 0.5
@@ -38,8 +40,9 @@ LEAST = 2
 SHARE = 2e-6
 FLUSH_NGRAMS = 2_000_000
 CACHED_TOKENS = 400_000
-#: log2 of the bits of a bitmap, 32 MB
+#: log2 of the most bits of a bitmap, 32 MB, and the bits of each key below that
 BITMAP = 28
+BITS_PER_KEY = 32
 _BASE = 1 << 21  # above the largest token id of an automaton
 _STEP = 0x9E3779B97F4A7C15
 _BACK = np.uint64(pow(_STEP, -1, 1 << 64))
@@ -77,28 +80,27 @@ def _settled(df: DataFrame, name: str) -> DataFrame:
         conf.set(key, before)
 
 
-class _Hashes:
+class _Hashes(dict):
     """Hashes of tokens, with those met lately at hand."""
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
+    def __missing__(self, token: bytes) -> int:
+        found = self[token] = xxhash.xxh3_64_intdigest(token)
+        return found
 
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all texts' tokens, each text with its end, and the number of tokens by text."""
-        known, out, sizes = self.known, [], []
-        digest = xxhash.xxh3_64_intdigest
-        end = digest(END)
-        for text in texts:
-            words = space_words(text)
-            if len(known) > CACHED_TOKENS:
-                known.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = digest(w)
-            out += [known[w] for w in words]
-            out.append(end)
-            sizes.append(len(words) + 1)
-        return np.array(out, np.uint64), np.array(sizes, np.int64)
+        sizes: list[int] = []
+
+        def tokens() -> Iterator[list[bytes]]:
+            for text in texts:
+                if len(self) > CACHED_TOKENS:
+                    self.clear()
+                words = [*space_words(text), END]
+                sizes.append(len(words))
+                yield words
+
+        hashes = np.fromiter(map(self.__getitem__, chain.from_iterable(tokens())), np.uint64)
+        return hashes, np.array(sizes, np.int64)
 
 
 def _grams(tokens: np.ndarray, sizes: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -111,13 +113,22 @@ def _grams(tokens: np.ndarray, sizes: np.ndarray, order: int) -> Iterator[tuple[
         yield keys, left[: len(keys)] >= n
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on, so that Spark's codec removes the empty ones."""
+    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def _packed(keys: np.ndarray) -> bytes:
-    """Sorted hashes as differences, byte by byte, of which Spark's codec removes the empty ones."""
-    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Sorted hashes as differences, byte by byte."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(_from_planes(data, np.uint64), dtype=np.uint64)
 
 
 def _spans(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
@@ -127,26 +138,28 @@ def _spans(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
     return zip(buckets[at].tolist(), at.tolist(), [*at[1:].tolist(), len(keys)])
 
 
-def _merged(keys: np.ndarray, times: np.ndarray, first: np.ndarray, last: np.ndarray):
-    """Distinct hashes in order, with their sums and their first and last token."""
+def _merged(keys: np.ndarray, times: np.ndarray | None, first: np.ndarray, last: np.ndarray):
+    """Distinct hashes in order, with their sums (without ``times`` each is one) and their first and last token, if any are given."""
     order = np.argsort(keys)
     keys = keys[order]
     at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[at], np.add.reduceat(times[order], at), first[order[at]], last[order[at]]
+    sums = np.diff(at, append=len(keys)) if times is None else np.add.reduceat(times[order], at)
+    return keys[at], sums, *(x[order[at]] if len(x) else x for x in (first, last))
 
 
 def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = keys >> np.uint64(64 - BITMAP)
+    at = keys >> np.uint64(64 - len(bitmap).bit_length() - 5)  # 64 bits a word, a power of two words
     return (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
 
 
 def bitmap_of(table: DataFrame) -> np.ndarray:
-    """A bit for each of ``2 ** BITMAP`` ranges of ``key``: whether the table has one there. Bounded, whatever the table."""
+    """A bit for each range of ``key``: whether the table has one there. ``BITS_PER_KEY`` bits a key, at most ``2 ** BITMAP``."""
+    power = min(BITMAP, max(16, (table.count() * BITS_PER_KEY).bit_length()))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         found: list[np.ndarray] = []
         for batch in batches:
-            found.append(np.unique(batch.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP)))
+            found.append(np.unique(batch.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - power)))
         if not found:
             return
         bits = np.unique(np.concatenate(found))
@@ -157,7 +170,7 @@ def bitmap_of(table: DataFrame) -> np.ndarray:
         masks = np.bitwise_or.reduceat(np.uint64(1) << (bits & np.uint64(63)), at)
         yield pa.record_batch({"words": pa.array([words[at].tobytes()], pa.binary()), "masks": pa.array([masks.tobytes()], pa.binary())})
 
-    out = np.zeros(1 << (BITMAP - 6), np.uint64)
+    out = np.zeros(1 << (power - 6), np.uint64)
     # the table lies by hash range, so each word comes from about one task
     for row in table.select("key").mapInArrow(run, "words binary, masks binary").toLocalIterator():
         words = np.frombuffer(row["words"], np.int32)
@@ -175,7 +188,9 @@ def ngram_counts(train: DataFrame, n: int, least: int, bits: int, lower: np.ndar
         chunks, size = [], 0
 
         def out():
-            keys, times, first, last = _merged(*(np.concatenate(c) for c in zip(*chunks)))
+            columns = [np.concatenate(c) for c in zip(*chunks)]
+            chunks.clear()
+            keys, times, first, last = _merged(columns[0], None, columns[1], columns[-1])
             spans = list(_spans(keys, bits))
             return pa.record_batch(
                 {
@@ -198,11 +213,12 @@ def ngram_counts(train: DataFrame, n: int, least: int, bits: int, lower: np.ndar
                 good = good & may[:-1] & may[1:]
             at = np.flatnonzero(good)
             if len(at):
-                chunks.append((keys[at], np.ones(len(at), np.int64), tokens[at], tokens[at + n - 1]))
+                # what isn't sent isn't held
+                chunks.append((keys[at], tokens[at if n > 2 else at[:0]], tokens[at + n - 1 if n > 1 else at[:0]]))
                 size += len(at)
             if size > FLUSH_NGRAMS:
                 yield out()
-                chunks, size = [], 0
+                size = 0
         if chunks:
             yield out()
 
@@ -221,28 +237,36 @@ def ngram_counts(train: DataFrame, n: int, least: int, bits: int, lower: np.ndar
         return pa.table({"key": keys.view(np.int64), "prefix": ((keys - last) * _BACK).view(np.int64), "suffix": (keys - lead * first).view(np.int64), "n": times})
 
     sent = train.mapInArrow(run, "bucket long, keys binary, times binary, first binary, last binary")
-    return _settled(sent.groupBy("bucket").applyInArrow(total, "key long, prefix long, suffix long, n long"), f"ngrams-{n}")
+    counts = _settled(sent.groupBy("bucket").applyInArrow(total, "key long, prefix long, suffix long, n long"), f"ngrams-{n}")
+    held.destroy()
+    return counts
 
 
 def backoff_values(levels: list[DataFrame], norm: int) -> DataFrame:
-    """``key, n, base, value`` of all kept n-grams from their counts by order.
+    """``key, n, base, value`` of all kept n-grams from their counts by order, whose files go as soon as they are read.
 
     ``base``: log10 of count + 1 for tokens, else 0. ``value``: what the n-gram adds to the score wherever it occurs: its log10
     probability less that of its suffix and the failure weight of its prefix, which it replaces, and its own failure weight,
     which the next token replaces if it has an arc. Keys that many n-grams share are split by the joins.
     """
-    made = None
+    made, steps = None, levels[:1]
     below = levels[0].select("key", "n", ((F.col("n") + 1) / F.lit(float(norm))).alias("p"), F.log10(F.col("n") + 1).alias("base"), F.log10(F.col("n") + 1).alias("value"))
     for level in [*levels[1:], None]:
         if level is None:
-            return made.unionByName(below.select("key", "n", "base", "value")) if made is not None else below.select("key", "n", "base", "value")
+            last = below.select("key", "n", "base", "value")
+            model = _settled(last if made is None else made.unionByName(last), "model")
+            for step in steps:
+                discard(step)
+            return model
         contexts = below.where(F.col("n") >= LEAST)
         with_low = level.join(contexts.select(F.col("key").alias("suffix"), F.col("p").alias("low")), "suffix").select("key", "prefix", "n", "low")
         with_p = with_low.join(contexts.select(F.col("key").alias("prefix"), F.col("n").alias("c")), "prefix")
         with_p = _settled(with_p.select("key", "prefix", "n", "low", ((F.col("n") - DISCOUNT) / F.col("c")).alias("p")), "probabilities")
+        discard(level)
         left = with_p.groupBy("prefix").agg(F.sum("p").alias("own"), F.sum("low").alias("lower"))
         weight = F.log10(F.greatest(F.lit(1e-12), 1 - F.col("own")) / F.greatest(F.lit(1e-12), 1 - F.col("lower")))
         weights = _settled(left.select("prefix", weight.alias("weight")), "weights")
+        steps += [with_p, weights]
         own = below.join(weights.withColumnRenamed("prefix", "key"), "key", "left")
         done = own.select("key", "n", "base", (F.col("value") + F.coalesce("weight", F.lit(0.0))).alias("value"))
         made = done if made is None else made.unionByName(done)
@@ -321,64 +345,62 @@ def lm_scoring(
     total, distinct = (x or 0 for x in levels[0].agg(F.sum("n"), F.count("*")).first())
     norm = total + distinct + 1
     bucket = F.shiftrightunsigned("key", 64 - bits)
-    model = _settled(backoff_values(levels, norm), "model")
+    model = backoff_values(levels, norm)
     least = max(2, -(-int(share * total * 1e9) // 10**9))
     top = model.where(F.col("n") >= least).select("key", "base", "value").toPandas()  # at most 1 / share rows an order
     keys = top["key"].to_numpy(np.int64).view(np.uint64)
     by_key = np.argsort(keys)
     hot = (keys[by_key], top["base"].to_numpy(np.float64)[by_key], top["value"].to_numpy(np.float64)[by_key])
     cold = model.where(F.col("n") < least).select(bucket.alias("bucket"), "key", "base", "value")
-    held = spark.sparkContext.broadcast((hot, bitmap_of(cold)))
+    held = spark.sparkContext.broadcast((hot, bitmap_of(model)))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         (hot_keys, hot_base, hot_value), bitmap = held.value
         hashes, task, at = _Hashes(), TaskContext.get().partitionId() << 40, 0
         for ids, texts in texts_of(batches):
             tokens, sizes = hashes.of(texts)
-            owner = np.repeat(np.arange(len(texts)), sizes)
-            base, value, known = (np.zeros(len(texts)) for _ in range(3))
-            far_keys, far_rows = [], []
+            owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+            keys, of = [], []
             for grams, good in _grams(tokens, sizes, order):
-                grams, of = grams[good], owner[: len(good)][good]
-                rest = np.ones(len(grams), bool)
-                if len(hot_keys):
-                    place = np.minimum(np.searchsorted(hot_keys, grams), len(hot_keys) - 1)
-                    rest = hot_keys[place] != grams
-                    place, met = place[~rest], of[~rest]
-                    base += np.bincount(met, hot_base[place], len(texts))
-                    value += np.bincount(met, hot_value[place], len(texts))
-                    known += np.bincount(met, hot_base[place] > 0, len(texts))
-                grams, of = grams[rest], of[rest]
-                may = _maybe(bitmap, grams)
-                far_keys.append(grams[may])
-                far_rows.append(of[may])
-            keys, of = np.concatenate(far_keys), np.concatenate(far_rows)
+                may = np.flatnonzero(good & _maybe(bitmap, grams))
+                keys.append(grams[may])
+                of.append(owner[may])
+            keys, of = np.concatenate(keys), np.concatenate(of)
             by_key = np.argsort(keys)
-            keys, of = keys[by_key], of[by_key].astype(np.int32)
+            keys, of = keys[by_key], of[by_key]
+            n, own = len(texts), (np.zeros(len(texts)),) * 3
+            if len(hot_keys):
+                place = np.minimum(np.searchsorted(hot_keys, keys), len(hot_keys) - 1)
+                met = hot_keys[place] == keys
+                place, rows_met = place[met], of[met]
+                own = [np.bincount(rows_met, x, n) for x in (hot_base[place] > 0, hot_base[place], hot_value[place])]
+                keys, of = keys[~met], of[~met]
             spans = list(_spans(keys, bits))
-            n, m = len(texts), len(spans)
+            m, mine = len(spans), range(task + at, task + at + n)
             void = [None] * m
             yield pa.record_batch(
                 {
-                    "row": pa.array([*range(task + at, task + at + n), *[task + at] * m], pa.int64()),
+                    "row": pa.array([*mine, *[task + at] * m], pa.int64()),
                     "doc_id": pa.array([*ids.to_pylist(), *void], pa.int64()),
                     "n_tokens": pa.array([*sizes.tolist(), *void], pa.int64()),
-                    "known": pa.array([*known.astype(np.int64).tolist(), *void], pa.int64()),
-                    "base": pa.array([*base.tolist(), *void], pa.float64()),
-                    "value": pa.array([*value.tolist(), *void], pa.float64()),
-                    "bucket": pa.array([*[None] * n, *[b for b, _, _ in spans]], pa.int64()),
+                    "known": pa.array([*own[0].astype(np.int64).tolist(), *void], pa.int64()),
+                    "base": pa.array([*own[1].tolist(), *void], pa.float64()),
+                    "value": pa.array([*own[2].tolist(), *void], pa.float64()),
+                    "bucket": pa.array([*[r & ((1 << bits) - 1) for r in mine], *[b for b, _, _ in spans]], pa.int64()),
                     "keys": pa.array([*[None] * n, *[_packed(keys[i:j]) for _, i, j in spans]], pa.binary()),
-                    "rows": pa.array([*[None] * n, *[of[i:j].tobytes() for _, i, j in spans]], pa.binary()),
+                    "rows": pa.array([*[None] * n, *[_planes(of[i:j]) for _, i, j in spans]], pa.binary()),
                 }
             )
             at += n
 
-    def meet(asked: pa.Table, table: pa.Table) -> pa.Table:
-        names = {"row": pa.int64(), "known": pa.int64(), "base": pa.float64(), "value": pa.float64()}
+    def meet(sent: pa.Table, table: pa.Table) -> pa.Table:
+        """The rows with what they found in the hot part, and the sums of what asked n-grams found here."""
+        asking = pc.is_valid(sent.column("keys"))
+        own, asked = sent.filter(pc.invert(asking)).select(names), sent.filter(asking)
         if not asked.num_rows or not table.num_rows:
-            return pa.table({k: pa.array([], t) for k, t in names.items()})
+            return own
         keys = np.concatenate([_unpacked(x) for x in asked.column("keys").to_pylist()])
-        parts = [np.frombuffer(x, np.int32).astype(np.int64) + r for r, x in zip(asked.column("row").to_pylist(), asked.column("rows").to_pylist())]
+        parts = [_from_planes(x, np.int32).astype(np.int64) + r for r, x in zip(asked.column("row").to_pylist(), asked.column("rows").to_pylist())]
         rows_of = np.concatenate(parts)
         known = table.column("key").to_numpy().view(np.uint64)
         by_key = np.argsort(known)
@@ -388,24 +410,23 @@ def lm_scoring(
         place, (rows_met, of) = by_key[place[met]], np.unique(rows_of[met], return_inverse=True)
         base, value = (table.column(c).to_numpy()[place] for c in ("base", "value"))
         sums = [np.bincount(of, x, len(rows_met)) for x in (base > 0, base, value)]
-        return pa.table({"row": rows_met, "known": sums[0].astype(np.int64), "base": sums[1], "value": sums[2]})
-
-    sent = rows.mapInArrow(run, "row long, doc_id long, n_tokens long, known long, base double, value double, bucket long, keys binary, rows binary")
-    sent = _settled(sent, "scored")
-    asked = sent.where("bucket IS NOT NULL").select("bucket", "row", "keys", "rows")
-    found = asked.groupBy("bucket").cogroup(cold.groupBy("bucket")).applyInArrow(meet, "row long, known long, base double, value double")
-    far = found.groupBy("row").agg(*[F.sum(c).alias(f"far_{c}") for c in ("known", "base", "value")])
-    scored = sent.where("bucket IS NULL").select("row", "doc_id", "n_tokens", "known", "base", "value").join(far, "row", "left")
-
-    def whole(name: str, zero):
-        return F.col(name) + F.coalesce(F.col(f"far_{name}"), F.lit(zero))
-
+        void = pa.nulls(len(rows_met), pa.int64())
+        far = pa.table([pa.array(rows_met), void, void, pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], names)
+        return pa.concat_tables([own, far])
+
+    names = ["row", "doc_id", "n_tokens", "known", "base", "value"]
+    shape = "row long, doc_id long, n_tokens long, known long, base double, value double"
+    sent = rows.mapInArrow(run, f"{shape}, bucket long, keys binary, rows binary")
+    found = _settled(sent.groupBy("bucket").cogroup(cold.groupBy("bucket")).applyInArrow(meet, shape), "found")
+    discard(model)
+    held.destroy()
+    sums = [F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), *[F.sum(c).alias(c) for c in names[3:]]]
     unseen = F.col("n_tokens") * F.lit(-log10(norm))
-    return scored.select(
+    return found.groupBy("row").agg(*sums).select(
         "doc_id",
         "n_tokens",
-        whole("known", 0).cast("long").alias("n_known"),
+        F.col("known").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (unseen + whole("base", 0.0)).alias("base_score"),
-        (unseen + whole("value", 0.0)).alias("score"),
+        (unseen + F.col("base")).alias("base_score"),
+        (unseen + F.col("value")).alias("score"),
     )
