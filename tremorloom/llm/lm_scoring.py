@@ -19,18 +19,18 @@ the other n-grams of a text that the bitmap lets through meet the table by hash
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 from math import log10
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremorloom.llm.common import discard, id_and_bytes, space_words, stash, texts_of
+from tremorloom.llm.common import discard, id_and_bytes, mix, slices, stash
 
 END = b""
 DISCOUNT = 0.5
@@ -39,13 +39,19 @@ LEAST = 2
 #: share of the tokens from which on an entry is broadcast
 SHARE = 2e-6
 FLUSH_NGRAMS = 2_000_000
-CACHED_TOKENS = 400_000
 #: log2 of the most bits of a bitmap, 32 MB, and the bits of each key below that
 BITMAP = 28
 BITS_PER_KEY = 32
 _BASE = 1 << 21  # above the largest token id of an automaton
 _STEP = 0x9E3779B97F4A7C15
 _BACK = np.uint64(pow(_STEP, -1, 1 << 64))
+_COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+SIDE_BY_SIDE = 64
+_END = np.uint64(xxhash.xxh3_64_intdigest(END))
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_BY_SIZE = mix(np.arange(1, SIDE_BY_SIDE + 2, dtype=np.uint64))
 
 
 class Automaton:
@@ -80,27 +86,36 @@ def _settled(df: DataFrame, name: str) -> DataFrame:
         conf.set(key, before)
 
 
-class _Hashes(dict):
-    """Hashes of tokens, with those met lately at hand."""
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of all texts after lower-casing A-Z, an end behind each text, and the number by text.
 
-    def __missing__(self, token: bytes) -> int:
-        found = self[token] = xxhash.xxh3_64_intdigest(token)
-        return found
-
-    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all texts' tokens, each text with its end, and the number of tokens by text."""
-        sizes: list[int] = []
-
-        def tokens() -> Iterator[list[bytes]]:
-            for text in texts:
-                if len(self) > CACHED_TOKENS:
-                    self.clear()
-                words = [*space_words(text), END]
-                sizes.append(len(words))
-                yield words
-
-        hashes = np.fromiter(map(self.__getitem__, chain.from_iterable(tokens())), np.uint64)
-        return hashes, np.array(sizes, np.int64)
+    A word goes eight bytes a time through ``mix``, all words side by side; those of more than ``SIDE_BY_SIDE`` bytes one by one.
+    """
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_binary(texts.type) else np.int32)
+    offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    bounds, n = offsets - offsets[0], len(data)
+    raw = np.zeros(n + 8, np.uint8)
+    raw[:n] = _LOWER[data]
+    inside = ~_SPACE[data]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    full = np.diff(bounds) > 0
+    begins, ends = bounds[:-1][full], bounds[1:][full] - 1
+    first[begins], last[ends] = inside[begins], inside[ends]
+    starts = np.flatnonzero(first)
+    sizes = np.flatnonzero(last) + 1 - starts
+    eights = np.ndarray(n + 1, "<u8", raw, 0, (1,))
+    hashes = mix((eights[starts] & _BYTES[np.minimum(sizes, 8)]) ^ _BY_SIZE[np.minimum(sizes, SIDE_BY_SIDE)])
+    at = np.flatnonzero(sizes > 8)
+    for done in range(8, SIDE_BY_SIDE, 8):
+        hashes[at] = mix(hashes[at] * np.uint64(_STEP) + (eights[starts[at] + done] & _BYTES[np.minimum(sizes[at] - done, 8)]))
+        at = at[sizes[at] > done + 8]
+    for i in at.tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(raw[starts[i] : starts[i] + sizes[i]].tobytes())
+    before = np.searchsorted(starts, bounds)
+    return np.insert(hashes, before[1:], _END), np.diff(before) + 1
 
 
 def _grams(tokens: np.ndarray, sizes: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -114,12 +129,12 @@ def _grams(tokens: np.ndarray, sizes: np.ndarray, order: int) -> Iterator[tuple[
 
 
 def _planes(numbers: np.ndarray) -> bytes:
-    """The first bytes of all numbers, then the second ones and so on, so that Spark's codec removes the empty ones."""
-    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+    """The first bytes of all numbers, then the second ones and so on, compressed, as upper bytes hold few values."""
+    return _COMPRESSOR.compress(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes())
 
 
 def _from_planes(data: bytes, kind: type) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(_DECOMPRESSOR.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -138,10 +153,23 @@ def _spans(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
     return zip(buckets[at].tolist(), at.tolist(), [*at[1:].tolist(), len(keys)])
 
 
+def _order(keys: np.ndarray) -> np.ndarray:
+    """What ``argsort`` gives: places sorted along with the upper bits of the keys, which is faster, then what these bits leave open."""
+    low = np.uint64((1 << (len(keys) - 1).bit_length()) - 1 if len(keys) else 0)
+    order = (np.sort(keys & ~low | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    held = keys[order]
+    if (held[1:] < held[:-1]).any():
+        order = order[np.argsort(held, kind="stable")]
+    return order
+
+
 def _merged(keys: np.ndarray, times: np.ndarray | None, first: np.ndarray, last: np.ndarray):
     """Distinct hashes in order, with their sums (without ``times`` each is one) and their first and last token, if any are given."""
-    order = np.argsort(keys)
-    keys = keys[order]
+    if times is None and not len(last):
+        order, keys = None, np.sort(keys)
+    else:
+        order = _order(keys)
+        keys = keys[order]
     at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sums = np.diff(at, append=len(keys)) if times is None else np.add.reduceat(times[order], at)
     return keys[at], sums, *(x[order[at]] if len(x) else x for x in (first, last))
@@ -184,7 +212,7 @@ def ngram_counts(train: DataFrame, n: int, least: int, bits: int, lower: np.ndar
     lead = np.uint64(pow(_STEP, n - 1, 1 << 64))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        bitmap, hashes = held.value, _Hashes()
+        bitmap = held.value
         chunks, size = [], 0
 
         def out():
@@ -202,8 +230,8 @@ def ngram_counts(train: DataFrame, n: int, least: int, bits: int, lower: np.ndar
                 }
             )
 
-        for _, texts in texts_of(batches):
-            tokens, sizes = hashes.of(texts)
+        for part in (part for batch in batches for part in slices(batch)):
+            tokens, sizes = _tokens(part.column("text"))
             shorter = None
             for m, (keys, good) in enumerate(_grams(tokens, sizes, n), 1):
                 if m == n - 1:
@@ -249,29 +277,38 @@ def backoff_values(levels: list[DataFrame], norm: int) -> DataFrame:
     probability less that of its suffix and the failure weight of its prefix, which it replaces, and its own failure weight,
     which the next token replaces if it has an arc. Keys that many n-grams share are split by the joins.
     """
-    made, steps = None, levels[:1]
-    below = levels[0].select("key", "n", ((F.col("n") + 1) / F.lit(float(norm))).alias("p"), F.log10(F.col("n") + 1).alias("base"), F.log10(F.col("n") + 1).alias("value"))
-    for level in [*levels[1:], None]:
-        if level is None:
-            last = below.select("key", "n", "base", "value")
-            model = _settled(last if made is None else made.unionByName(last), "model")
-            for step in steps:
-                discard(step)
-            return model
-        contexts = below.where(F.col("n") >= LEAST)
-        with_low = level.join(contexts.select(F.col("key").alias("suffix"), F.col("p").alias("low")), "suffix").select("key", "prefix", "n", "low")
-        with_p = with_low.join(contexts.select(F.col("key").alias("prefix"), F.col("n").alias("c")), "prefix")
-        with_p = _settled(with_p.select("key", "prefix", "n", "low", ((F.col("n") - DISCOUNT) / F.col("c")).alias("p")), "probabilities")
+    columns = ["key", "n", "base", "value"]
+    p, base = ((F.col("n") + 1) / F.lit(float(norm))).alias("p"), F.log10(F.col("n") + 1)
+    below, made, steps = levels[0].select("key", "n", p, base.alias("base"), base.alias("value")), [], [levels[0]]
+    for nth, level in enumerate(levels[1:], 2):
+        low = below.where(F.col("n") >= LEAST).select(F.col("key").alias("suffix"), F.col("p").alias("low"))
+        with_low = _settled(level.join(low, "suffix").select("key", "prefix", "n", "low"), "lower")
         discard(level)
-        left = with_p.groupBy("prefix").agg(F.sum("p").alias("own"), F.sum("low").alias("lower"))
-        weight = F.log10(F.greatest(F.lit(1e-12), 1 - F.col("own")) / F.greatest(F.lit(1e-12), 1 - F.col("lower")))
-        weights = _settled(left.select("prefix", weight.alias("weight")), "weights")
-        steps += [with_p, weights]
-        own = below.join(weights.withColumnRenamed("prefix", "key"), "key", "left")
-        done = own.select("key", "n", "base", (F.col("value") + F.coalesce("weight", F.lit(0.0))).alias("value"))
-        made = done if made is None else made.unionByName(done)
-        gain = F.log10("p") - F.log10("low") - F.col("weight")
-        below = with_p.join(weights, "prefix").select("key", "n", "p", F.lit(0.0).alias("base"), gain.alias("value"))
+        left = with_low.groupBy(F.col("prefix").alias("key")).agg(F.sum("n").alias("going"), F.count("*").alias("kinds"), F.sum("low").alias("lower"))
+        # 1 - sum of (n - DISCOUNT) / c over the continuations of a context that occurs c times
+        rest = (F.col("n") - F.col("going") + DISCOUNT * F.col("kinds")) / F.col("n")
+        weight = F.log10(F.greatest(F.lit(1e-12), rest) / F.greatest(F.lit(1e-12), 1 - F.col("lower")))
+        weighted = below.join(left, "key", "left").select("key", "n", "base", "value", weight.alias("weight"))
+        contexts = _settled(weighted, "contexts")
+        made.append(contexts.select("key", "n", "base", (F.col("value") + F.coalesce("weight", F.lit(0.0))).alias("value")))
+        for step in steps:
+            discard(step)
+        to_prefix = contexts.where(F.col("weight").isNotNull()).select(F.col("key").alias("prefix"), F.col("n").alias("c"), "weight")
+        p = (F.col("n") - DISCOUNT) / F.col("c")
+        gain = F.log10(p) - F.log10("low") - F.col("weight")
+        below = with_low.join(to_prefix, "prefix").select("key", "n", p.alias("p"), F.lit(0.0).alias("base"), gain.alias("value"))
+        steps = [with_low]
+        if nth < len(levels):
+            below = _settled(below, "probabilities")
+            discard(with_low)
+            steps = [below]
+    model = below.select(columns)
+    for part in made:
+        model = model.unionByName(part)
+    model = _settled(model, "model")
+    for step in [*steps, *made]:
+        discard(step)
+    return model
 
 
 def build_automaton(frequent: list[tuple[bytes, int]], total: int, distinct: int, orders: list[tuple[np.ndarray, np.ndarray]]) -> Automaton:
@@ -344,31 +381,62 @@ def lm_scoring(
             lower = bitmap_of(levels[-1].where(F.col("n") >= LEAST))
     total, distinct = (x or 0 for x in levels[0].agg(F.sum("n"), F.count("*")).first())
     norm = total + distinct + 1
-    bucket = F.shiftrightunsigned("key", 64 - bits)
     model = backoff_values(levels, norm)
+    bits -= 1  # a text asks in as many ranges at most, and each answers it with a row of sums
     least = max(2, -(-int(share * total * 1e9) // 10**9))
     top = model.where(F.col("n") >= least).select("key", "base", "value").toPandas()  # at most 1 / share rows an order
     keys = top["key"].to_numpy(np.int64).view(np.uint64)
     by_key = np.argsort(keys)
     hot = (keys[by_key], top["base"].to_numpy(np.float64)[by_key], top["value"].to_numpy(np.float64)[by_key])
-    cold = model.where(F.col("n") < least).select(bucket.alias("bucket"), "key", "base", "value")
     held = spark.sparkContext.broadcast((hot, bitmap_of(model)))
 
+    def table_parts(batches) -> Iterator[pa.RecordBatch]:
+        """The model's other part by hash range, as arrays."""
+        chunks, size = [], 0
+
+        def out():
+            keys, base, value = (np.concatenate(c) for c in zip(*chunks))
+            by_key = _order(keys)
+            keys, base, value = keys[by_key], base[by_key], value[by_key]
+            spans = list(_spans(keys, bits))
+            return pa.record_batch(
+                {
+                    "bucket": pa.array([b for b, _, _ in spans], pa.int64()),
+                    "keys": pa.array([_packed(keys[i:j]) for _, i, j in spans], pa.binary()),
+                    "base": pa.array([_planes(base[i:j]) for _, i, j in spans], pa.binary()),
+                    "value": pa.array([_planes(value[i:j]) for _, i, j in spans], pa.binary()),
+                }
+            )
+
+        for batch in batches:
+            chunks.append((batch.column("key").to_numpy().view(np.uint64), batch.column("base").to_numpy(), batch.column("value").to_numpy()))
+            size += batch.num_rows
+            if size > FLUSH_NGRAMS:
+                yield out()
+                chunks, size = [], 0
+        if size:
+            yield out()
+
     def run(batches) -> Iterator[pa.RecordBatch]:
         (hot_keys, hot_base, hot_value), bitmap = held.value
-        hashes, task, at = _Hashes(), TaskContext.get().partitionId() << 40, 0
-        for ids, texts in texts_of(batches):
-            tokens, sizes = hashes.of(texts)
-            owner = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
-            keys, of = [], []
+        task, at = TaskContext.get().partitionId(), 0
+        for part in (part for batch in batches for part in slices(batch)):
+            tokens, sizes = _tokens(part.column("text"))
+            n = part.num_rows
+            owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+            keys, of, shorter = [], [], None
             for grams, good in _grams(tokens, sizes, order):
-                may = np.flatnonzero(good & _maybe(bitmap, grams))
+                may = good & _maybe(bitmap, grams)
+                if shorter is not None:  # in the table only with both n-grams one token shorter
+                    may &= shorter[: len(may)] & shorter[1 : len(may) + 1]
+                shorter = may
+                may = np.flatnonzero(may)
                 keys.append(grams[may])
                 of.append(owner[may])
             keys, of = np.concatenate(keys), np.concatenate(of)
-            by_key = np.argsort(keys)
+            by_key = _order(keys)
             keys, of = keys[by_key], of[by_key]
-            n, own = len(texts), (np.zeros(len(texts)),) * 3
+            own = (np.zeros(n),) * 3
             if len(hot_keys):
                 place = np.minimum(np.searchsorted(hot_keys, keys), len(hot_keys) - 1)
                 met = hot_keys[place] == keys
@@ -376,53 +444,75 @@ def lm_scoring(
                 own = [np.bincount(rows_met, x, n) for x in (hot_base[place] > 0, hot_base[place], hot_value[place])]
                 keys, of = keys[~met], of[~met]
             spans = list(_spans(keys, bits))
-            m, mine = len(spans), range(task + at, task + at + n)
-            void = [None] * m
-            yield pa.record_batch(
-                {
-                    "row": pa.array([*mine, *[task + at] * m], pa.int64()),
-                    "doc_id": pa.array([*ids.to_pylist(), *void], pa.int64()),
-                    "n_tokens": pa.array([*sizes.tolist(), *void], pa.int64()),
-                    "known": pa.array([*own[0].astype(np.int64).tolist(), *void], pa.int64()),
-                    "base": pa.array([*own[1].tolist(), *void], pa.float64()),
-                    "value": pa.array([*own[2].tolist(), *void], pa.float64()),
-                    "bucket": pa.array([*[r & ((1 << bits) - 1) for r in mine], *[b for b, _, _ in spans]], pa.int64()),
-                    "keys": pa.array([*[None] * n, *[_packed(keys[i:j]) for _, i, j in spans]], pa.binary()),
-                    "rows": pa.array([*[None] * n, *[_planes(of[i:j]) for _, i, j in spans]], pa.binary()),
-                }
-            )
+            void = [None] * len(spans)
+            columns = [
+                [task] * (len(spans) + 1),
+                [at] * (len(spans) + 1),
+                [task & ((1 << bits) - 1), *[b for b, _, _ in spans]],
+                [None, *[_packed(keys[i:j]) for _, i, j in spans]],
+                [_planes(np.diff(np.arange(n, dtype=np.int32), prepend=np.int32(0))), *[_planes(of[i:j]) for _, i, j in spans]],
+                [part.column("id").to_pylist(), *void],
+                [sizes.tolist(), *void],
+                [_planes(own[0].astype(np.int32)), *void],
+                *[[_planes(x), *void] for x in own[1:]],
+            ]
+            types = [pa.int64()] * 3 + [pa.binary()] * 2 + [pa.list_(pa.int64())] * 2 + [pa.binary()] * 3
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], ["task", "at", "bucket", "keys", *names[2:]])
             at += n
 
     def meet(sent: pa.Table, table: pa.Table) -> pa.Table:
-        """The rows with what they found in the hot part, and the sums of what asked n-grams found here."""
+        """What texts found in the hot part, as it came, and the sums of what asked n-grams found here, a row for each task that asked."""
         asking = pc.is_valid(sent.column("keys"))
         own, asked = sent.filter(pc.invert(asking)).select(names), sent.filter(asking)
         if not asked.num_rows or not table.num_rows:
             return own
         keys = np.concatenate([_unpacked(x) for x in asked.column("keys").to_pylist()])
-        parts = [_from_planes(x, np.int32).astype(np.int64) + r for r, x in zip(asked.column("row").to_pylist(), asked.column("rows").to_pylist())]
-        rows_of = np.concatenate(parts)
-        known = table.column("key").to_numpy().view(np.uint64)
-        by_key = np.argsort(known)
+        places = [(t << 32) + a for t, a in zip(asked.column("task").to_pylist(), asked.column("at").to_pylist())]
+        rows_of = np.concatenate([_from_planes(x, np.int32) + np.int64(r) for r, x in zip(places, asked.column("rows").to_pylist())])
+        known = np.concatenate([_unpacked(x) for x in table.column("keys").to_pylist()])
+        base, value = (np.concatenate([_from_planes(x, np.float64) for x in table.column(c).to_pylist()]) for c in ("base", "value"))
+        by_key = _order(known)
         known = known[by_key]
         place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        met = known[place] == keys
-        place, (rows_met, of) = by_key[place[met]], np.unique(rows_of[met], return_inverse=True)
-        base, value = (table.column(c).to_numpy()[place] for c in ("base", "value"))
-        sums = [np.bincount(of, x, len(rows_met)) for x in (base > 0, base, value)]
-        void = pa.nulls(len(rows_met), pa.int64())
-        far = pa.table([pa.array(rows_met), void, void, pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], names)
-        return pa.concat_tables([own, far])
-
-    names = ["row", "doc_id", "n_tokens", "known", "base", "value"]
-    shape = "row long, doc_id long, n_tokens long, known long, base double, value double"
-    sent = rows.mapInArrow(run, f"{shape}, bucket long, keys binary, rows binary")
-    found = _settled(sent.groupBy("bucket").cogroup(cold.groupBy("bucket")).applyInArrow(meet, shape), "found")
+        met = np.flatnonzero(known[place] == keys)
+        if not len(met):
+            return own
+        met = met[_order(rows_of[met].view(np.uint64))]
+        place, rows_met = by_key[place[met]], rows_of[met]
+        begin = np.flatnonzero(np.diff(rows_met, prepend=-1))
+        base, value, rows_met = base[place], value[place], rows_met[begin]
+        sums = [np.add.reduceat(x, begin) for x in ((base > 0).astype(np.int32), base, value)]
+        tasks = rows_met >> 32
+        begin = np.flatnonzero(np.diff(tasks, prepend=-1))
+        steps = np.diff(rows_met, prepend=0)
+        steps[begin] = rows_met[begin] & 0x7FFFFFFF  # rows begin anew in each task
+        found = [steps.astype(np.int32), sums[0].astype(np.int32), *sums[1:]]
+        end, void = [*begin[1:].tolist(), len(tasks)], [None] * len(begin)
+        rows, *sums = ([_planes(x[i:j]) for i, j in zip(begin.tolist(), end)] for x in found)
+        columns = [tasks[begin].tolist(), [0] * len(begin), rows, void, void, *sums]
+        return pa.concat_tables([own, pa.table([pa.array(c, own.schema.field(i).type) for i, c in enumerate(columns)], names)])
+
+    def summed(parts: pa.Table) -> pa.Table:
+        """The rows of one task of the texts, each with its sums."""
+        at, rows = parts.column("at").to_pylist(), parts.column("rows").to_pylist()
+        of = np.concatenate([np.cumsum(_from_planes(x, np.int32)) + a for a, x in zip(at, rows)])
+        ids = parts.filter(pc.is_valid(parts.column("doc_id"))).sort_by("at")
+        columns = {c: pc.list_flatten(ids.column(c)) for c in ("doc_id", "n_tokens")}
+        for c, kind in (("known", np.int32), ("base", np.float64), ("value", np.float64)):
+            given = np.concatenate([_from_planes(x, kind) for x in parts.column(c).to_pylist()])
+            columns[c] = pa.array(np.bincount(of, given, len(columns["doc_id"])).astype(np.int64 if c == "known" else np.float64))
+        return pa.table(columns)
+
+    names = ["task", "at", "rows", "doc_id", "n_tokens", "known", "base", "value"]
+    shape = "rows binary, doc_id array<long>, n_tokens array<long>, known binary, base binary, value binary"
+    cold = model.where(F.col("n") < least).select("key", "base", "value").mapInArrow(table_parts, "bucket long, keys binary, base binary, value binary")
+    sent = rows.mapInArrow(run, f"task long, at long, bucket long, keys binary, {shape}")
+    found = _settled(sent.groupBy("bucket").cogroup(cold.groupBy("bucket")).applyInArrow(meet, f"task long, at long, {shape}"), "found")
     discard(model)
     held.destroy()
-    sums = [F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), *[F.sum(c).alias(c) for c in names[3:]]]
+    scored = found.groupBy("task").applyInArrow(summed, "doc_id long, n_tokens long, known long, base double, value double")
     unseen = F.col("n_tokens") * F.lit(-log10(norm))
-    return found.groupBy("row").agg(*sums).select(
+    return scored.select(
         "doc_id",
         "n_tokens",
         F.col("known").alias("n_known"),
