@@ -16,6 +16,7 @@ all at once with numpy.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -177,7 +178,7 @@ def write_token_ids(
     rows = id_and_bytes(docs, id_col, text_col).repartitionByRange(F.col("id")).sortWithinPartitions("id", "text")
 
     def records(batches) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache("ids", path, lambda ids: np.array(ids, "<u4").tobytes())
+        cache = worker_cache("ids", path, lambda ids: pack(f"<{len(ids)}I", *ids))
         shard, record, first = TaskContext.get().partitionId(), 0, 0
         end = np.array([end_id], "<u4").tobytes()
         held, lens, doc_ids, n = [], [], [], 0

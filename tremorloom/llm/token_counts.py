@@ -60,6 +60,14 @@ def pretokens(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def as_bytes(words: pa.Array) -> list[bytes]:
+    """The values of an array of strings without NULLs, cut from one copy of its data (``to_pylist`` makes a scalar of each)."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64 if pa.types.is_large_string(words.type) else np.int32)
+    ends = offsets[words.offset : words.offset + len(words) + 1].tolist()
+    data = (words.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def slice_pretokens(texts: pa.Array) -> tuple[list[bytes], pa.Array, np.ndarray]:
     """``pretokens`` of all texts of a slice at once: distinct ones, the number of each in order, and where texts begin in
     that order (with the end behind). White space at the ends of a text gives an empty pre-token, which has no tokens."""
@@ -70,15 +78,15 @@ def slice_pretokens(texts: pa.Array) -> tuple[list[bytes], pa.Array, np.ndarray]
     lists = pc.ascii_split_whitespace(pc.if_else(odd, text, pc.ascii_lower(text)))
     coded = lists.flatten().dictionary_encode()
     starts = lists.offsets.to_numpy().astype(np.int64)
-    return coded.dictionary.view(pa.binary()).to_pylist(), coded.indices, starts - starts[0]
+    return as_bytes(coded.dictionary), coded.indices, starts - starts[0]
 
 
-def _parts(word: bytes) -> list[bytes]:
-    """A word and the punctuation behind it are separate for the splitter if the word ends in a letter."""
+def _core(word: bytes) -> bytes:
+    """The word without the punctuation behind it, which is separate for the splitter if what remains ends in a letter; else the word."""
     core = word.rstrip(_TAIL)
     if core and core != word and core[-1] in _LETTERS and b"<|" not in word:
-        return [core, word[len(core) :]]
-    return [word]
+        return core
+    return word
 
 
 def _byte_letters() -> dict[int, str]:
@@ -117,7 +125,7 @@ class PretokenCache:
                 continue
             rest.append(i)
         if rest:
-            found = encoder(self.path).encode_batch([words[i].decode("utf-8", "replace") for i in rest], add_special_tokens=False)
+            found = encoder(self.path).encode_batch_fast([words[i].decode("utf-8", "replace") for i in rest], add_special_tokens=False)
             for i, e in zip(rest, found):
                 out[i] = value(e.ids)
         return out
@@ -132,25 +140,27 @@ class PretokenCache:
             self.old = old = known
             self.known = known = dict(self.frequent)
             missing = {w for words in lists for w in words if w not in known}
-        new, cut = [], {}
+        new, cut, pieces = [], {}, set()
         for word in missing:
             if word in old:
                 known[word] = old[word]
                 continue
-            parts = _parts(word)
-            if len(parts) > 1:
-                cut[word] = parts
-            else:
+            core = _core(word)
+            if core is word:
                 new.append(word)
-        pieces = {p for parts in cut.values() for p in parts}.difference(known, new)
+            else:
+                cut[word] = core
+                pieces.add(core)
+                pieces.add(word[len(core) :])
+        pieces.difference_update(known, new)
         for piece in pieces:
             if piece in old:
                 known[piece] = old[piece]
             else:
                 new.append(piece)
         known.update(zip(new, self.encoded(new)))
-        for word, (core, tail) in cut.items():
-            known[word] = known[core] + known[tail]
+        for word, core in cut.items():
+            known[word] = known[core] + known[word[len(core) :]]
         return known
 
 
