@@ -43,6 +43,43 @@ def test_planes_are_compressed():
     assert (lm_scoring._from_planes(data, np.int64) == numbers).all()
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+def test_hashes_come_back_from_their_differences(n):
+    random = np.random.default_rng(n).integers(0, 1 << 64, n, dtype=np.uint64)
+    keys = np.sort(np.concatenate([random, np.array([0, 0, 1, 1 << 32, 1 << 40, (1 << 64) - 1, (1 << 64) - 1][: 3 * n], np.uint64)]))
+    assert (lm_scoring._unpacked(lm_scoring._packed(keys)) == keys).all()
+    assert lm_scoring._packed(random[:1])[4 : 4 + 4 * min(1, n)] == (random[:1] & np.uint64((1 << 32) - 1)).astype("<u4").tobytes()
+
+
+def test_the_model_is_stored_as_arrays_with_its_hot_entries_apart(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "FLUSH_NGRAMS", 50)
+    random = np.random.default_rng(5).integers(-(1 << 63), 1 << 63, 300, dtype=np.int64).tolist()
+    entries = {k: (k, i % 7, float(i), -0.5 * i) for i, k in enumerate(random)}
+    model = spark.createDataFrame(list(entries.values()), "key long, n long, base double, value double").repartition(3)
+    got = []
+    for r in lm_scoring.packed_model(model, 4, 5).collect():
+        keys = lm_scoring._unpacked(r["keys"])
+        assert (np.diff(keys.astype(object)) > 0).all() and (r["bucket"] < 0 or set((keys >> np.uint64(60)).tolist()) == {r["bucket"]})
+        values = (lm_scoring._from_planes(r[c], np.float64).tolist() for c in ("base", "value"))
+        got += [(k, r["bucket"] < 0, *x) for k, *x in zip(keys.view(np.int64).tolist(), *values, strict=True)]
+    assert sorted(got) == sorted((k, n >= 5, base, value) for k, n, base, value in entries.values())
+
+
+def test_the_models_joins_hash_the_side_of_single_keys(spark, monkeypatch):
+    plans, settled = {}, lm_scoring._settled
+
+    def seen(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return settled(df, name)
+
+    monkeypatch.setattr(lm_scoring, "_settled", seen)
+    table = spark.createDataFrame([(i, "a b c d e") for i in range(3)], "doc_id long, text string")
+    assert lm_scoring.lm_scoring(table, F.lit(True)).count() == 3
+    for name in ("lower", "contexts", "probabilities", "model"):
+        assert "ShuffledHashJoin" in plans[name] and "SortMergeJoin" not in plans[name]
+    assert "MapInArrow" in plans["model"]
+
+
 def test_sums_come_back_to_their_rows_whatever_the_slices(spark, monkeypatch):
     """Few bytes a slice and several tasks, NULL ids and repeated rows: each row gets the sums of its own n-grams."""
     texts = ["a b c d", "a b c e", "", None, "q r s", "a b c d", "c d x y z " * 30]

@@ -48,8 +48,6 @@ _BACK = np.uint64(pow(_STEP, -1, 1 << 64))
 _COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 SIDE_BY_SIDE = 64
 _END = np.uint64(xxhash.xxh3_64_intdigest(END))
-_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _BY_SIZE = mix(np.arange(1, SIDE_BY_SIDE + 2, dtype=np.uint64))
 
@@ -96,8 +94,8 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
     bounds, n = offsets - offsets[0], len(data)
     raw = np.zeros(n + 8, np.uint8)
-    raw[:n] = _LOWER[data]
-    inside = ~_SPACE[data]
+    raw[:n] = data | ((data - np.uint8(65) < 26).view(np.uint8) << np.uint8(5))  # bytes below a bound wrap round to large ones
+    inside = (data - np.uint8(9) > 4) & (data != 32)
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -138,12 +136,19 @@ def _from_planes(data: bytes, kind: type) -> np.ndarray:
 
 
 def _packed(keys: np.ndarray) -> bytes:
-    """Sorted hashes as differences, byte by byte."""
-    return _planes(np.diff(keys, prepend=np.uint64(0)))
+    """Sorted hashes as differences: the lower five bytes as they are, as nothing compresses them, then planes of the upper ones."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    upper = _planes((steps >> np.uint64(40)).astype(np.uint32))
+    return b"".join([len(keys).to_bytes(4, "little"), steps.astype(np.uint32), (steps >> np.uint64(32)).astype(np.uint8), upper])
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(_from_planes(data, np.uint64), dtype=np.uint64)
+    n = int.from_bytes(data[:4], "little")
+    steps = _from_planes(data[4 + 5 * n :], np.uint32).astype(np.uint64) << np.uint64(8)
+    steps |= np.frombuffer(data, np.uint8, n, 4 + 4 * n)
+    steps <<= np.uint64(32)
+    steps |= np.frombuffer(data, np.uint32, n, 4)
+    return np.cumsum(steps, dtype=np.uint64)
 
 
 def _spans(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
@@ -153,14 +158,19 @@ def _spans(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
     return zip(buckets[at].tolist(), at.tolist(), [*at[1:].tolist(), len(keys)])
 
 
-def _order(keys: np.ndarray) -> np.ndarray:
-    """What ``argsort`` gives: places sorted along with the upper bits of the keys, which is faster, then what these bits leave open."""
+def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What ``argsort`` gives, and the keys in that order: places sorted along with the upper bits of the keys, which is faster, then what these bits leave open."""
     low = np.uint64((1 << (len(keys) - 1).bit_length()) - 1 if len(keys) else 0)
     order = (np.sort(keys & ~low | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
     held = keys[order]
     if (held[1:] < held[:-1]).any():
-        order = order[np.argsort(held, kind="stable")]
-    return order
+        again = np.argsort(held, kind="stable")
+        order, held = order[again], held[again]
+    return order, held
+
+
+def _order(keys: np.ndarray) -> np.ndarray:
+    return _sorted(keys)[0]
 
 
 def _merged(keys: np.ndarray, times: np.ndarray | None, first: np.ndarray, last: np.ndarray):
@@ -168,8 +178,7 @@ def _merged(keys: np.ndarray, times: np.ndarray | None, first: np.ndarray, last:
     if times is None and not len(last):
         order, keys = None, np.sort(keys)
     else:
-        order = _order(keys)
-        keys = keys[order]
+        order, keys = _sorted(keys)
     at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sums = np.diff(at, append=len(keys)) if times is None else np.add.reduceat(times[order], at)
     return keys[at], sums, *(x[order[at]] if len(x) else x for x in (first, last))
@@ -181,7 +190,10 @@ def _maybe(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def bitmap_of(table: DataFrame) -> np.ndarray:
-    """A bit for each range of ``key``: whether the table has one there. ``BITS_PER_KEY`` bits a key, at most ``2 ** BITMAP``."""
+    """A bit for each range of ``key``: whether the table has one there. ``BITS_PER_KEY`` bits a key, at most ``2 ** BITMAP``.
+
+    Tables that lie by hash range send each word about once.
+    """
     power = min(BITMAP, max(16, (table.count() * BITS_PER_KEY).bit_length()))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -199,7 +211,6 @@ def bitmap_of(table: DataFrame) -> np.ndarray:
         yield pa.record_batch({"words": pa.array([words[at].tobytes()], pa.binary()), "masks": pa.array([masks.tobytes()], pa.binary())})
 
     out = np.zeros(1 << (power - 6), np.uint64)
-    # the table lies by hash range, so each word comes from about one task
     for row in table.select("key").mapInArrow(run, "words binary, masks binary").toLocalIterator():
         words = np.frombuffer(row["words"], np.int32)
         out[words] |= np.frombuffer(row["masks"], np.uint64)
@@ -224,7 +235,7 @@ def ngram_counts(train: DataFrame, n: int, least: int, bits: int, lower: np.ndar
                 {
                     "bucket": pa.array([b for b, _, _ in spans], pa.int64()),
                     "keys": pa.array([_packed(keys[i:j]) for _, i, j in spans], pa.binary()),
-                    "times": pa.array([times[i:j].tobytes() for _, i, j in spans], pa.binary()),
+                    "times": pa.array([times[i:j].astype(np.int32).tobytes() for _, i, j in spans], pa.binary()),
                     "first": pa.array([first[i:j].tobytes() if n > 2 else b"" for _, i, j in spans], pa.binary()),
                     "last": pa.array([last[i:j].tobytes() if n > 1 else b"" for _, i, j in spans], pa.binary()),
                 }
@@ -253,7 +264,7 @@ def ngram_counts(train: DataFrame, n: int, least: int, bits: int, lower: np.ndar
     def total(table: pa.Table) -> pa.Table:
         column = {c: table.column(c).to_pylist() for c in ("keys", "times", "first", "last")}
         keys = np.concatenate([_unpacked(x) for x in column["keys"]])
-        times = np.concatenate([np.frombuffer(x, np.int64) for x in column["times"]])
+        times = np.concatenate([np.frombuffer(x, np.int32) for x in column["times"]]).astype(np.int64)
         last = np.concatenate([np.frombuffer(x, np.uint64) for x in column["last"]]) if n > 1 else keys
         if n > 2:
             first = np.concatenate([np.frombuffer(x, np.uint64) for x in column["first"]])
@@ -270,25 +281,57 @@ def ngram_counts(train: DataFrame, n: int, least: int, bits: int, lower: np.ndar
     return counts
 
 
-def backoff_values(levels: list[DataFrame], norm: int) -> DataFrame:
-    """``key, n, base, value`` of all kept n-grams from their counts by order, whose files go as soon as they are read.
+def packed_model(model: DataFrame, bits: int, least: int) -> DataFrame:
+    """``bucket, keys, base, value``: the model as sorted arrays by hash range; entries with a count of ``least`` are the bucket -1."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        chunks, size = [], 0
+
+        def out():
+            hot, keys, base, value = (np.concatenate(c) for c in zip(*chunks))
+            chunks.clear()
+            by_key, keys = _sorted(keys)
+            hot, base, value = hot[by_key], base[by_key], value[by_key]
+            rows = [(-1, keys[hot], base[hot], value[hot])] if hot.any() else []
+            keys, base, value = keys[~hot], base[~hot], value[~hot]
+            rows += [(b, keys[i:j], base[i:j], value[i:j]) for b, i, j in _spans(keys, bits)]
+            columns = [[r[0] for r in rows], [_packed(r[1]) for r in rows], [_planes(r[2]) for r in rows], [_planes(r[3]) for r in rows]]
+            types = [pa.int64()] + [pa.binary()] * 3
+            return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], ["bucket", "keys", "base", "value"])
+
+        for batch in batches:
+            keys, n, base, value = (batch.column(c).to_numpy() for c in ("key", "n", "base", "value"))
+            chunks.append((n >= least, keys.view(np.uint64), base, value))
+            size += batch.num_rows
+            if size > FLUSH_NGRAMS:
+                yield out()
+                size = 0
+        if size:
+            yield out()
+
+    return model.select("key", "n", "base", "value").mapInArrow(run, "bucket long, keys binary, base binary, value binary")
+
+
+def backoff_values(levels: list[DataFrame], norm: int, bits: int, least: int) -> DataFrame:
+    """``packed_model`` of all kept n-grams, from their counts by order, whose files go as soon as they are read.
 
     ``base``: log10 of count + 1 for tokens, else 0. ``value``: what the n-gram adds to the score wherever it occurs: its log10
     probability less that of its suffix and the failure weight of its prefix, which it replaces, and its own failure weight,
-    which the next token replaces if it has an arc. Keys that many n-grams share are split by the joins.
+    which the next token replaces if it has an arc. The joins hash the side that has each key once, which spares sorts; keys that
+    many n-grams share are on the other side, which they split.
     """
     columns = ["key", "n", "base", "value"]
     p, base = ((F.col("n") + 1) / F.lit(float(norm))).alias("p"), F.log10(F.col("n") + 1)
     below, made, steps = levels[0].select("key", "n", p, base.alias("base"), base.alias("value")), [], [levels[0]]
     for nth, level in enumerate(levels[1:], 2):
         low = below.where(F.col("n") >= LEAST).select(F.col("key").alias("suffix"), F.col("p").alias("low"))
-        with_low = _settled(level.join(low, "suffix").select("key", "prefix", "n", "low"), "lower")
+        with_low = _settled(level.join(low.hint("shuffle_hash"), "suffix").select("key", "prefix", "n", "low"), "lower")
         discard(level)
         left = with_low.groupBy(F.col("prefix").alias("key")).agg(F.sum("n").alias("going"), F.count("*").alias("kinds"), F.sum("low").alias("lower"))
         # 1 - sum of (n - DISCOUNT) / c over the continuations of a context that occurs c times
         rest = (F.col("n") - F.col("going") + DISCOUNT * F.col("kinds")) / F.col("n")
         weight = F.log10(F.greatest(F.lit(1e-12), rest) / F.greatest(F.lit(1e-12), 1 - F.col("lower")))
-        weighted = below.join(left, "key", "left").select("key", "n", "base", "value", weight.alias("weight"))
+        weighted = below.join(left.hint("shuffle_hash"), "key", "left").select("key", "n", "base", "value", weight.alias("weight"))
         contexts = _settled(weighted, "contexts")
         made.append(contexts.select("key", "n", "base", (F.col("value") + F.coalesce("weight", F.lit(0.0))).alias("value")))
         for step in steps:
@@ -296,7 +339,7 @@ def backoff_values(levels: list[DataFrame], norm: int) -> DataFrame:
         to_prefix = contexts.where(F.col("weight").isNotNull()).select(F.col("key").alias("prefix"), F.col("n").alias("c"), "weight")
         p = (F.col("n") - DISCOUNT) / F.col("c")
         gain = F.log10(p) - F.log10("low") - F.col("weight")
-        below = with_low.join(to_prefix, "prefix").select("key", "n", p.alias("p"), F.lit(0.0).alias("base"), gain.alias("value"))
+        below = with_low.join(to_prefix.hint("shuffle_hash"), "prefix").select("key", "n", p.alias("p"), F.lit(0.0).alias("base"), gain.alias("value"))
         steps = [with_low]
         if nth < len(levels):
             below = _settled(below, "probabilities")
@@ -305,7 +348,7 @@ def backoff_values(levels: list[DataFrame], norm: int) -> DataFrame:
     model = below.select(columns)
     for part in made:
         model = model.unionByName(part)
-    model = _settled(model, "model")
+    model = _settled(packed_model(model, bits, least), "model")
     for step in [*steps, *made]:
         discard(step)
     return model
@@ -381,41 +424,18 @@ def lm_scoring(
             lower = bitmap_of(levels[-1].where(F.col("n") >= LEAST))
     total, distinct = (x or 0 for x in levels[0].agg(F.sum("n"), F.count("*")).first())
     norm = total + distinct + 1
-    model = backoff_values(levels, norm)
     bits -= 1  # a text asks in as many ranges at most, and each answers it with a row of sums
     least = max(2, -(-int(share * total * 1e9) // 10**9))
-    top = model.where(F.col("n") >= least).select("key", "base", "value").toPandas()  # at most 1 / share rows an order
-    keys = top["key"].to_numpy(np.int64).view(np.uint64)
-    by_key = np.argsort(keys)
-    hot = (keys[by_key], top["base"].to_numpy(np.float64)[by_key], top["value"].to_numpy(np.float64)[by_key])
-    held = spark.sparkContext.broadcast((hot, bitmap_of(model)))
-
-    def table_parts(batches) -> Iterator[pa.RecordBatch]:
-        """The model's other part by hash range, as arrays."""
-        chunks, size = [], 0
-
-        def out():
-            keys, base, value = (np.concatenate(c) for c in zip(*chunks))
-            by_key = _order(keys)
-            keys, base, value = keys[by_key], base[by_key], value[by_key]
-            spans = list(_spans(keys, bits))
-            return pa.record_batch(
-                {
-                    "bucket": pa.array([b for b, _, _ in spans], pa.int64()),
-                    "keys": pa.array([_packed(keys[i:j]) for _, i, j in spans], pa.binary()),
-                    "base": pa.array([_planes(base[i:j]) for _, i, j in spans], pa.binary()),
-                    "value": pa.array([_planes(value[i:j]) for _, i, j in spans], pa.binary()),
-                }
-            )
-
-        for batch in batches:
-            chunks.append((batch.column("key").to_numpy().view(np.uint64), batch.column("base").to_numpy(), batch.column("value").to_numpy()))
-            size += batch.num_rows
-            if size > FLUSH_NGRAMS:
-                yield out()
-                chunks, size = [], 0
-        if size:
-            yield out()
+    kept = levels[0].select("key")
+    for level in levels[1:]:
+        kept = kept.unionByName(level.select("key"))
+    bitmap = bitmap_of(kept)
+    model = backoff_values(levels, norm, bits, least)
+    top = model.where(F.col("bucket") < 0).toArrow()  # at most 1 / share entries an order
+    hot = [np.concatenate([np.zeros(0, np.uint64), *map(_unpacked, top.column("keys").to_pylist())])]
+    hot += [np.concatenate([np.zeros(0), *(_from_planes(x, np.float64) for x in top.column(c).to_pylist())]) for c in ("base", "value")]
+    by_key = np.argsort(hot[0])
+    held = spark.sparkContext.broadcast((tuple(x[by_key] for x in hot), bitmap))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         (hot_keys, hot_base, hot_value), bitmap = held.value
@@ -426,16 +446,16 @@ def lm_scoring(
             owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
             keys, of, shorter = [], [], None
             for grams, good in _grams(tokens, sizes, order):
-                may = good & _maybe(bitmap, grams)
                 if shorter is not None:  # in the table only with both n-grams one token shorter
-                    may &= shorter[: len(may)] & shorter[1 : len(may) + 1]
-                shorter = may
-                may = np.flatnonzero(may)
+                    good &= shorter[: len(good)] & shorter[1 : len(good) + 1]
+                may = np.flatnonzero(good)
+                may = may[_maybe(bitmap, grams[may])]
+                shorter = np.zeros(len(good), bool)
+                shorter[may] = True
                 keys.append(grams[may])
                 of.append(owner[may])
-            keys, of = np.concatenate(keys), np.concatenate(of)
-            by_key = _order(keys)
-            keys, of = keys[by_key], of[by_key]
+            by_key, keys = _sorted(np.concatenate(keys))
+            of = np.concatenate(of)[by_key]
             own = (np.zeros(n),) * 3
             if len(hot_keys):
                 place = np.minimum(np.searchsorted(hot_keys, keys), len(hot_keys) - 1)
@@ -471,8 +491,7 @@ def lm_scoring(
         rows_of = np.concatenate([_from_planes(x, np.int32) + np.int64(r) for r, x in zip(places, asked.column("rows").to_pylist())])
         known = np.concatenate([_unpacked(x) for x in table.column("keys").to_pylist()])
         base, value = (np.concatenate([_from_planes(x, np.float64) for x in table.column(c).to_pylist()]) for c in ("base", "value"))
-        by_key = _order(known)
-        known = known[by_key]
+        by_key, known = _sorted(known)
         place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
         met = np.flatnonzero(known[place] == keys)
         if not len(met):
@@ -505,7 +524,7 @@ def lm_scoring(
 
     names = ["task", "at", "rows", "doc_id", "n_tokens", "known", "base", "value"]
     shape = "rows binary, doc_id array<long>, n_tokens array<long>, known binary, base binary, value binary"
-    cold = model.where(F.col("n") < least).select("key", "base", "value").mapInArrow(table_parts, "bucket long, keys binary, base binary, value binary")
+    cold = model.where(F.col("bucket") >= 0)
     sent = rows.mapInArrow(run, f"task long, at long, bucket long, keys binary, {shape}")
     found = _settled(sent.groupBy("bucket").cogroup(cold.groupBy("bucket")).applyInArrow(meet, f"task long, at long, {shape}"), "found")
     discard(model)
