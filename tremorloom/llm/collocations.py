@@ -4,13 +4,15 @@
 2. Level by level, phrases are counted by a 64-bit hash of (language, words), only where both shorter phrases inside are
    frequent (a bitmap has every frequent hash, so nothing frequent is lost). Equal hashes can only
    add up, so every phrase with ``min_count`` occurrences is among the hashes with as many: the candidates are safe.
-3. The texts tell which words stand behind those hashes.
-4. Candidates are cut by hash into shards of at most about ``shard_phrases``; each becomes a double-array trie over digits
-   of word numbers, which is broadcast. All text positions of a slice step through it together, word by word and digit by
-   digit; the accepting states are bin-counted and the tasks' counts are summed. These are the exact counts.
+3. From every position the longest phrase of two and more words that the bitmaps have is a run. Every candidate begins the
+   runs from all its positions. Distinct runs of many slices go once, with their count, to a shard that has all runs with
+   the same first two words.
+4. A shard's candidates, what its runs begin with, become a double-array trie over digits of word numbers. All runs step
+   through it together, word by word and digit by digit; the accepting states add up the runs' counts. These are the exact
+   counts.
 5. Scores, the drop rule and the ranking are joins and aggregates in Spark; products are decimals of 38 digits.
 
-Texts are read once for words, once a level, once for the words of candidates, and once for each shard.
+Texts are read once for words, once a level, and once for the runs, however many candidates there are.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from tremorloom.llm.common import found_by_workers, mix, slices, stash
 
 SHARD_PHRASES = 1_000_000
 SLICE = 8 << 20
+#: bytes of runs that a task adds up before they are shuffled, and rows that a shard adds up at once, at least
+BLOCK, SHARD_ROWS = 64 << 20, 1 << 18
 #: the bitmap of frequent hashes: bits for each hash, and the most bits (64 MB); beyond them it only lets more through
 BITS_EACH, MAX_BITS = 32, 1 << 29
 DIGIT = 256
@@ -114,6 +118,36 @@ class Words:
                 at, h = at[keep], h[keep]
             yield k, at, h
 
+    def runs(self, frequent: list[np.ndarray]) -> pa.RecordBatch:
+        """``lang, run, n``: from every position the longest phrase of two and more words that the bitmaps have, distinct
+        ones with their counts. Every phrase that they have begins the runs from all its positions."""
+        length = np.zeros(len(self.index), np.int64)
+        for k, at, _ in self.grams(frequent, len(frequent)):
+            if k > 1:
+                length[at] = k
+        at = np.flatnonzero(length)
+        wide = len(self.distinct) + 1
+        code, most = self.lang[at].astype(np.int64) * wide + self.index[at], len(self.langs) * wide
+        for k in range(2, len(frequent) + 1):
+            if most * wide >= 1 << 63:
+                found, code = np.unique(code, return_inverse=True)
+                most = len(found)
+            there = length[at] >= k
+            code *= wide
+            code[there] += self.index[at[there] + k - 1] + 1
+            most *= wide
+        _, nth, n = np.unique(code, return_index=True, return_counts=True)
+        at = at[nth]
+        lang, runs, times = [], [], []
+        for k in range(2, len(frequent) + 1):
+            of = np.flatnonzero(length[at] == k)
+            lang.append(self.lang[at[of]])
+            runs.append(self.phrases(at[of], k))
+            times.append(n[of])
+        if not runs:
+            lang, runs, times = [np.zeros(0, np.int64)], [pa.array([], pa.string())], [np.zeros(0, np.int64)]
+        return pa.record_batch({"lang": self.langs.take(pa.array(np.concatenate(lang))), "run": pa.concat_arrays(runs), "n": pa.array(np.concatenate(times), pa.int64())})
+
     def phrases(self, at: np.ndarray, k: int) -> pa.Array:
         words = [self.distinct.take(pa.array(self.index[at + i])).cast(pa.string()) for i in range(k)]
         return words[0] if k == 1 else pc.binary_join_element_wise(*words, " ")
@@ -152,8 +186,9 @@ def hash_array(h: np.ndarray) -> pa.Array:
     return pa.array(h.view(np.int64))
 
 
-def candidate_phrases(texts: DataFrame, words: DataFrame, longest: int, min_count: int, max_bits: int = MAX_BITS) -> DataFrame:
-    """``lang, phrase, k``: a set of phrases that has every one of 2 to ``longest`` words with ``min_count`` occurrences."""
+def frequent_bitmaps(texts: DataFrame, words: DataFrame, longest: int, min_count: int, max_bits: int = MAX_BITS) -> tuple[list[np.ndarray], int]:
+    """Bitmaps of 1 to ``longest`` words that have the hash of every phrase with ``min_count`` occurrences, and how many
+    hashes of two and more words they were made from."""
     spark = texts.sparkSession
 
     def of_words(batches) -> Iterator[pa.RecordBatch]:
@@ -162,7 +197,7 @@ def candidate_phrases(texts: DataFrame, words: DataFrame, longest: int, min_coun
             yield pa.record_batch({"h": hash_array(h)})
 
     level = stash(words.select("lang", "word").mapInArrow(of_words, "h long"), "frequent-words")
-    bitmaps, levels = [frequent_bitmap(level, level.count(), max_bits)], []
+    bitmaps, n_phrases = [frequent_bitmap(level, level.count(), max_bits)], 0
     for k in range(2, longest + 1):
         known = spark.sparkContext.broadcast(list(bitmaps))
 
@@ -173,22 +208,10 @@ def candidate_phrases(texts: DataFrame, words: DataFrame, longest: int, min_coun
 
         counted = over_slices(texts, count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
         level = stash(counted.where(F.col("n") >= min_count).select("h"), f"frequent-{k}")
-        levels.append(level.withColumn("k", F.lit(k)))
-        bitmaps.append(frequent_bitmap(level, level.count(), max_bits))
-    known = spark.sparkContext.broadcast(bitmaps)
-
-    def spell(slice_words: Words):
-        for k, at, h in slice_words.grams(known.value, longest):
-            if k > 1:
-                h, nth = np.unique(h, return_index=True)
-                lang = slice_words.langs.take(pa.array(slice_words.lang[at[nth]]))
-                yield pa.record_batch({"h": hash_array(h), "k": pa.array(np.full(len(h), k, np.int32)), "lang": lang, "phrase": slice_words.phrases(at[nth], k)})
-
-    spelled = over_slices(texts, spell, "h long, k int, lang string, phrase string").distinct()
-    wanted = levels[0]
-    for more in levels[1:]:
-        wanted = wanted.unionByName(more)
-    return spelled.join(wanted, ["h", "k"], "left_semi").select("lang", "phrase", "k")
+        n = level.count()
+        n_phrases += n
+        bitmaps.append(frequent_bitmap(level, n, max_bits))
+    return bitmaps, n_phrases
 
 
 class DoubleArray:
@@ -282,88 +305,130 @@ class DoubleArray:
 
 
 class PhraseTrie:
-    """A shard of phrases as a trie: a language's number, then the numbers of the words, each as the same count of digits."""
+    """The beginnings, of two words and more, of distinct runs of words as a trie: a language's number, then the numbers of
+    the words, each as the same count of digits."""
 
-    def __init__(self, langs: pa.Array, phrases: pa.Array):
-        words = pc.split_pattern(phrases, " ")
+    def __init__(self, runs: pa.RecordBatch):
+        words = pc.split_pattern(runs.column("run"), " ")
         flat = words.flatten().dictionary_encode()
-        lengths = np.asarray(pc.list_value_length(words).to_numpy(zero_copy_only=False), np.int64)
+        self.lengths = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         order = np.argsort(-np.bincount(flat.indices.to_numpy(), minlength=len(flat.dictionary)), kind="stable")
         number = np.empty(len(order), np.int64)  # frequent words first: their digits are dense
         number[order] = np.arange(len(order))
-        self.vocabulary = flat.dictionary.take(pa.array(order)).cast(pa.binary())
-        coded = langs.dictionary_encode()
-        self.langs, lang = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        self.vocabulary = flat.dictionary.take(pa.array(order))
+        coded = runs.column("lang").dictionary_encode()
         self.width = 1
-        while DIGIT**self.width < max(len(self.vocabulary), len(self.langs)):
+        while DIGIT**self.width < max(len(order), len(coded.dictionary)):
             self.width += 1
-        most = int(lengths.max(initial=0))
-        numbers = np.zeros((len(phrases), 1 + most), np.int64)
-        numbers[:, 0] = lang
-        row = np.repeat(np.arange(len(phrases)), lengths)
-        column = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1
-        numbers[row, column] = number[flat.indices.to_numpy()]
-        paths = np.stack([d.astype(np.uint8) for i in range(1 + most) for d in self.digits(numbers[:, i])], axis=1)
-        self.n, self.longest = len(phrases), most
-        self.array = DoubleArray(paths, (1 + lengths) * self.width)
+        self.longest = int(self.lengths.max(initial=0))
+        self.numbers = np.zeros((runs.num_rows, 1 + self.longest), np.int64)
+        self.numbers[:, 0] = coded.indices.to_numpy()
+        row = np.repeat(np.arange(runs.num_rows), self.lengths)
+        column = np.arange(len(row)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths) + 1
+        self.numbers[row, column] = number[flat.indices.to_numpy()]
+        known = self.numbers[:, 0] * max(1, len(order)) + self.numbers[:, 1]
+        rows, ks = [], []  # of each candidate: a run that begins with it, its words
+        for k in range(2, self.longest + 1):
+            known = np.unique(known, return_inverse=True)[1] * (len(order) + 1) + np.where(self.lengths >= k, self.numbers[:, k] + 1, 0)
+            _, nth = np.unique(known, return_index=True)
+            nth = nth[self.lengths[nth] >= k]
+            rows.append(nth)
+            ks.append(np.full(len(nth), k, np.int64))
+        self.rows, self.ks = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (rows, ks))
+        paths = np.stack([d.astype(np.uint8) for i in range(1 + self.longest) for d in self.digits(self.numbers[self.rows, i])], axis=1)
+        self.array = DoubleArray(paths, (1 + self.ks) * self.width)
 
     def digits(self, numbers: np.ndarray) -> list[np.ndarray]:
         return [numbers // DIGIT**i % DIGIT for i in range(self.width - 1, -1, -1)]
 
-    def count(self, words: Words) -> np.ndarray:
-        """Occurrences of each phrase: the states of all positions move on together, one word of their phrase a level."""
-        out = np.zeros(self.n, np.int64)
-        known = pc.fill_null(pc.index_in(words.distinct, value_set=self.vocabulary), -1).to_numpy()[words.index]
-        lang = pc.fill_null(pc.index_in(words.langs, value_set=self.langs), -1).to_numpy()[words.lang]
-        at = np.flatnonzero((known >= 0) & (lang >= 0))
-        state = self._through(np.full(len(at), self.array.root, np.int32), lang[at].astype(np.int64))
-        for k in range(self.longest):
-            state = self._through(state, known[at + k].astype(np.int64))
-            alive = state > 0
-            at, state = at[alive], state[alive]
+    def count(self, times: np.ndarray) -> np.ndarray:
+        """Occurrences of each candidate in the runs, each of which occurs so many ``times``: the states of all runs move on
+        together, one word a level."""
+        out = np.zeros(len(self.rows), np.int64)
+        at = np.arange(len(self.numbers))
+        state = self._through(np.full(len(at), self.array.root, np.int32), self.numbers[:, 0])
+        for k in range(1, self.longest + 1):
+            on = self.lengths[at] >= k
+            at = at[on]
+            state = self._through(state[on], self.numbers[at, k])
             ended = self.array.accept[state]
-            out += np.bincount(ended[ended >= 0], minlength=self.n)
-            more = at + k < len(words.goes_on)
-            at, state = at[more], state[more]
-            more = words.goes_on[at + k] & (known[at + k + 1] >= 0)
-            at, state = at[more], state[more]
+            np.add.at(out, ended[ended >= 0], times[at[ended >= 0]])
         return out
 
+    def phrases(self, wanted: np.ndarray) -> Iterator[tuple[int, np.ndarray, pa.Array]]:
+        """``(words, candidates, phrases)`` of the candidates that are ``wanted``."""
+        for k in range(2, self.longest + 1):
+            hit = np.flatnonzero(wanted & (self.ks == k))
+            if len(hit):
+                words = [self.vocabulary.take(pa.array(self.numbers[self.rows[hit], 1 + i])) for i in range(k)]
+                yield k, hit, pc.binary_join_element_wise(*words, " ")
+
     def _through(self, state: np.ndarray, number: np.ndarray) -> np.ndarray:
         for digit in self.digits(number):
             state = self.array.step(state, digit.astype(np.int32))
         return state
 
 
-def count_phrases(texts: DataFrame, candidates: DataFrame, shard_phrases: int = SHARD_PHRASES) -> DataFrame:
-    """``lang, phrase, k, f``: exact occurrences of the given distinct phrases, a trie and a pass over the texts a shard."""
-    spark = texts.sparkSession
-    numbered = stash(candidates.withColumn("number", F.monotonically_increasing_id()), "candidates")
-    n_shards = max(1, -(-numbered.count() // shard_phrases))
-    placed = numbered.withColumn("shard", F.pmod(F.xxhash64("lang", "phrase"), F.lit(n_shards)))
-    counts = None
-    for s in range(n_shards):
-        own = placed.where(F.col("shard") == s).select("lang", "phrase", "number").toArrow().combine_chunks()  # about shard_phrases rows
-        if not own.num_rows:
-            continue
-        lang, phrase = (pa.concat_arrays(own.column(c).chunks).cast(pa.string()) for c in ("lang", "phrase"))
-        trie = spark.sparkContext.broadcast((PhraseTrie(lang, phrase), own.column("number").to_numpy()))
-
-        def run(batches, trie=trie) -> Iterator[pa.RecordBatch]:
-            own, numbers = trie.value
-            found = np.zeros(own.n, np.int64)
-            for batch in batches:
-                for part in slices(batch, limit=SLICE):
-                    found += own.count(Words(part))
-            hit = np.flatnonzero(found)
-            yield pa.record_batch({"number": pa.array(numbers[hit]), "n": pa.array(found[hit])})
-
-        counted = stash(texts.mapInArrow(run, "number long, n long").groupBy("number").agg(F.sum("n").alias("f")), "phrase-counts")
-        counts = counted if counts is None else counts.unionByName(counted)
-        trie.unpersist()
-    if counts is None:
-        return placed.select("lang", "phrase", "k", F.lit(0).cast("long").alias("f"))
-    return placed.join(counts, "number").select("lang", "phrase", "k", "f")
+def added_up(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Distinct ``lang, run`` of the parts with the sums of their ``n``."""
+    table = pa.Table.from_batches(parts).combine_chunks()
+    (langs, lang), (runs, run) = (
+        (coded.dictionary, coded.indices.to_numpy().astype(np.int64))
+        for coded in (pa.concat_arrays(table.column(c).chunks).dictionary_encode() for c in ("lang", "run"))
+    )
+    key, inverse = np.unique(lang * len(runs) + run, return_inverse=True)
+    n = np.zeros(len(key), np.int64)
+    np.add.at(n, inverse, table.column("n").to_numpy())
+    return pa.record_batch({"lang": langs.take(pa.array(key // len(runs))), "run": runs.take(pa.array(key % len(runs))), "n": pa.array(n)})
+
+
+def frequent_runs(texts: DataFrame, bitmaps: list[np.ndarray]) -> DataFrame:
+    """``lang, run, n``: see ``Words.runs``, added up over blocks of slices."""
+    known = texts.sparkSession.sparkContext.broadcast(bitmaps)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            for part in slices(batch, limit=SLICE):
+                held += [rows] if (rows := Words(part).runs(known.value)).num_rows else []
+                if sum(rows.nbytes for rows in held) >= BLOCK:
+                    yield from parted(added_up(held))
+                    held = []
+        if held:
+            yield from parted(added_up(held))
+
+    return texts.mapInArrow(run, "lang string, run string, n long")
+
+
+def parted(rows: pa.RecordBatch, most: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    for first in range(0, rows.num_rows, most):
+        yield rows.slice(first, most)
+
+
+def count_phrases(runs: DataFrame, n_shards: int, min_count: int) -> DataFrame:
+    """``lang, phrase, k, f``: exact occurrences of the phrases of two and more words that begin the runs, a trie a shard.
+
+    Runs that begin with the same two words share a shard, so it has all runs that its phrases begin.
+    """
+
+    def shard(batches) -> Iterator[pa.RecordBatch]:
+        held, rows, distinct = [], 0, 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= 2 * distinct + SHARD_ROWS:
+                held = [added_up(held)]
+                rows = distinct = held[0].num_rows
+        if rows:
+            own = added_up(held)
+            trie = PhraseTrie(own)
+            f = trie.count(own.column("n").to_numpy())
+            for k, hit, phrases in trie.phrases(f >= min_count):
+                lang = own.column("lang").take(pa.array(trie.rows[hit]))
+                yield from parted(pa.record_batch({"lang": lang, "phrase": phrases, "k": pa.array(np.full(len(hit), k, np.int32)), "f": pa.array(f[hit])}))
+
+    dealt = runs.repartition(n_shards, "lang", F.substring_index("run", " ", 2))
+    return dealt.mapInArrow(shard, "lang string, phrase string, k int, f long")
 
 
 def collocations(
@@ -382,6 +447,8 @@ def collocations(
     ``a``, ``l``, ``r`` count the phrase and its two parts at the cut with the lowest floor(1000000*a*a/(l*r)), ``n`` all
     words of the language. Phrases inside a longer candidate with ``inside_percent`` of their count go.
 
+    There are as many shards as shuffle partitions, more if one had over ``shard_phrases`` frequent hashes on average.
+
     NULL texts count as empty, a NULL language is ``und``; repeated rows count as often as they occur; an empty table, or
     one without a phrase of ``min_count`` occurrences, gives no rows; other columns are not looked at, whatever their
     names. Texts are read whole, in slices of bounded size or one text. Ties go by the phrase's bytes.
@@ -396,8 +463,9 @@ def collocations(
         counted.groupBy("lang", "word").agg(F.sum("n").alias("f")).where((F.col("f") >= min_count) | F.col("word").isNull()), "words"
     )
     frequent = words.where(F.col("word").isNotNull())
-    candidates = candidate_phrases(texts, frequent, longest, min_count, max_bits)
-    phrases = stash(count_phrases(texts, candidates, shard_phrases).where(F.col("f") >= min_count), "phrases")
+    bitmaps, n_phrases = frequent_bitmaps(texts, frequent, longest, min_count, max_bits)
+    n_shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_phrases // shard_phrases))
+    phrases = stash(count_phrases(frequent_runs(texts, bitmaps), n_shards, min_count), "phrases")
     return ranked(phrases, frequent, words.where(F.col("word").isNull()).select("lang", F.col("f").alias("n")), longest, top, inside_percent)
 
 
