@@ -1,7 +1,7 @@
 """Phrase collocation mining (operator 13): counts from double-array tries of Apriori-safe candidates.
 
 1. Words are counted per language; all strings, one row a word and slice before the shuffle.
-2. Level by level, phrases are counted by a 64-bit hash of (language, words), only where both shorter phrases inside are
+2. Level by level, phrases are counted by a 64-bit hash of (language, words), by sorting in blocks, only where both shorter phrases inside are
    frequent (a bitmap has every frequent hash, so nothing frequent is lost). Equal hashes can only
    add up, so every phrase with ``min_count`` occurrences is among the hashes with as many: the candidates are safe.
 3. From every position the longest phrase of two and more words that the bitmaps have is a run. Every candidate begins the
@@ -29,18 +29,18 @@ from tremorloom.llm.common import found_by_workers, mix, slices, stash
 
 SHARD_PHRASES = 1_000_000
 SLICE = 8 << 20
-#: bytes of runs that a task adds up before they are shuffled, and rows that a shard adds up at once, at least
+#: hashes that a task counts at once, at least, and ranges of hashes a shuffle partition
+BLOCK_HASHES, RANGES_EACH = 4 << 20, 4
+#: bytes of words or runs that a task adds up before they are shuffled, and rows that a shard adds up at once, at least
 BLOCK, SHARD_ROWS = 64 << 20, 1 << 18
 #: the bitmap of frequent hashes: bits for each hash, and the most bits (64 MB); beyond them it only lets more through
 BITS_EACH, MAX_BITS = 32, 1 << 29
 DIGIT = 256
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
-_KIND = np.zeros(256, np.uint8)  # 0: in a word, 1: between words, 2: between pieces
-_KIND[[0x20, 0x09]] = 1
-_KIND[list(b".,;:!?\x0a\x0b\x0c\x0d")] = 2
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_BETWEEN, _BREAKS = b" \t", b".,;:!?\x0a\x0b\x0c\x0d"
+_KIND = bytes(1 if b in _BETWEEN else 2 if b in _BREAKS else 0 for b in range(256))  # 0: in a word, 1: between words, 2: between pieces
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def hashes(words: pa.Array) -> np.ndarray:
@@ -68,25 +68,32 @@ class Words:
         text = part.column("text")
         offsets = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
         held = text.buffers()[2]
-        raw = np.frombuffer(held, np.uint8)[offsets[0] : offsets[-1]] if held else np.zeros(0, np.uint8)
+        raw = bytes(memoryview(held)[offsets[0] : offsets[-1]]) if held else b""
         starts_at = offsets[:-1] - offsets[0]
-        kind = _KIND[raw]
-        inside = kind == 0
-        first = inside.copy()
-        first[1:] &= ~inside[:-1]
+        kind = np.frombuffer(raw.translate(_KIND), np.uint8)
+        inside = np.zeros(len(raw) + 1, bool)
+        np.equal(kind, 0, out=inside[:-1])
+        first, last = inside[:-1].copy(), inside[:-1].copy()
+        first[1:] &= ~inside[:-2]
+        last &= ~inside[1:]
         begins = starts_at[starts_at < len(raw)]  # no word and no piece goes on in the next text
         first[begins] = inside[begins]
+        begins = begins[begins > 0]
+        last[begins - 1] = inside[begins - 1]
         start = np.flatnonzero(first)
-        data = _LOWER[raw[inside]]
-        ends = np.append((np.cumsum(inside, dtype=np.int32) - 1)[start], len(data)).astype(np.int32)
+        ends = np.zeros(len(start) + 1, np.int32)
+        np.cumsum(np.flatnonzero(last) - start + 1, out=ends[1:])
+        data = raw.translate(_LOWER, _BETWEEN + _BREAKS)
         plain = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(data)])
         coded = plain.dictionary_encode()
         self.distinct, self.index = coded.dictionary, coded.indices.to_numpy()
-        doc = np.searchsorted(starts_at, start, side="right") - 1
+        firsts = np.searchsorted(start, starts_at)  # a text's first word, or the next text's
         langs = part.column("lang").dictionary_encode()
-        self.langs, self.lang = langs.dictionary, langs.indices.to_numpy()[doc]
-        piece = np.cumsum(kind == 2, dtype=np.int32)[start] + doc
-        self.goes_on = piece[1:] == piece[:-1]  # the next word is in the same piece
+        self.langs, self.lang = langs.dictionary, np.repeat(langs.indices.to_numpy(), np.diff(np.append(firsts, len(start))))
+        on = np.ones(len(start) + 1, bool)
+        on[np.searchsorted(start, np.flatnonzero(kind == 2))] = False
+        on[firsts] = False
+        self.goes_on = on[1 : max(1, len(start))]  # the next word is in the same piece
 
     def unigrams(self) -> pa.RecordBatch:
         """``lang, word, n``; the row without a word has the number of words of a language."""
@@ -171,21 +178,83 @@ def frequent_bitmap(rows: DataFrame, count: int, max_bits: int = MAX_BITS) -> np
     return bitmap.view(np.uint8)
 
 
-def over_slices(texts: DataFrame, rows_of, schema: str) -> DataFrame:
-    """``rows_of(words)`` for the words of every slice of bounded size."""
+def added_up(parts: list[pa.RecordBatch], key: str = "run") -> pa.RecordBatch:
+    """Distinct ``lang`` and ``key`` of the parts with the sums of their ``n``."""
+    table = pa.Table.from_batches(parts)
+    (langs, lang), (keys, at) = (
+        (coded.dictionary, coded.indices.to_numpy().astype(np.int64))
+        for coded in (pa.concat_arrays(table.column(c).chunks).dictionary_encode(null_encoding="encode") for c in ("lang", key))
+    )
+    both, inverse = np.unique(lang * len(keys) + at, return_inverse=True)
+    n = np.zeros(len(both), np.int64)
+    np.add.at(n, inverse, table.column("n").to_numpy())
+    return pa.record_batch({"lang": langs.take(pa.array(both // len(keys))), key: keys.take(pa.array(both % len(keys))), "n": pa.array(n)})
+
+
+def parted(rows: pa.RecordBatch, most: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    for first in range(0, rows.num_rows, most):
+        yield rows.slice(first, most)
+
+
+def over_slices(texts: DataFrame, rows_of, key: str) -> DataFrame:
+    """``lang``, ``key``, ``n``: ``rows_of(words)`` for the words of every slice of bounded size, added up over blocks of slices."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
+        held = []
         for batch in batches:
             for part in slices(batch, limit=SLICE):
-                yield from rows_of(Words(part))
+                held += [rows] if (rows := rows_of(Words(part))).num_rows else []
+                if sum(rows.nbytes for rows in held) >= BLOCK:
+                    yield from parted(added_up(held, key))
+                    held = []
+        if held:
+            yield from parted(added_up(held, key))
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(run, f"lang string, {key} string, n long")
 
 
 def hash_array(h: np.ndarray) -> pa.Array:
     return pa.array(h.view(np.int64))
 
 
+def often(texts: DataFrame, of_slice, min_count: int) -> DataFrame:
+    """``h``: the hashes that ``of_slice(words)`` of all slices gives ``min_count`` times. They are counted by sorting, in
+    blocks of slices and then by range of hashes; a block goes to a range as one row."""
+    ranges = RANGES_EACH * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        cuts = np.append(np.searchsorted(h, np.array([(i << 64) // ranges for i in range(ranges)], np.uint64)), len(h))
+        own = np.flatnonzero(np.diff(cuts))
+        binary = lambda x: pa.Array.from_buffers(
+            pa.binary(), len(own), [None, pa.py_buffer((np.append(cuts[own], len(h)) * x.itemsize).astype(np.int32)), pa.py_buffer(x)]
+        )
+        return pa.record_batch({"range": pa.array(own, pa.int32()), "h": binary(h), "n": binary(n.astype(np.int32))})
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            for part in slices(batch, limit=SLICE):
+                held.append(of_slice(Words(part)))
+                if sum(map(len, held)) >= BLOCK_HASHES:
+                    yield packed(held)
+                    held = []
+        if sum(map(len, held)):
+            yield packed(held)
+
+    def flat(column: pa.ChunkedArray, dtype) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), dtype)
+
+    def total(rows: pa.Table) -> pa.Table:
+        h, n = flat(rows.column("h"), np.uint64), flat(rows.column("n"), np.int32)
+        order = np.argsort(h)
+        h = h[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        return pa.table({"h": hash_array(h[first][np.add.reduceat(n[order].astype(np.int64), first) >= min_count])})
+
+    return texts.mapInArrow(run, "range int, h binary, n binary").groupBy("range").applyInArrow(total, "h long")
+
+
 def frequent_bitmaps(texts: DataFrame, words: DataFrame, longest: int, min_count: int, max_bits: int = MAX_BITS) -> tuple[list[np.ndarray], int]:
     """Bitmaps of 1 to ``longest`` words that have the hash of every phrase with ``min_count`` occurrences, and how many
     hashes of two and more words they were made from."""
@@ -201,13 +270,11 @@ def frequent_bitmaps(texts: DataFrame, words: DataFrame, longest: int, min_count
     for k in range(2, longest + 1):
         known = spark.sparkContext.broadcast(list(bitmaps))
 
-        def count(slice_words: Words, k=k, known=known):
+        def of_slice(slice_words: Words, k=k, known=known) -> np.ndarray:
             *_, (_, _, h) = slice_words.grams(known.value, k)
-            h, n = np.unique(h, return_counts=True)
-            yield pa.record_batch({"h": hash_array(h), "n": pa.array(n, pa.int64())})
+            return h
 
-        counted = over_slices(texts, count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-        level = stash(counted.where(F.col("n") >= min_count).select("h"), f"frequent-{k}")
+        level = stash(often(texts, of_slice, min_count), f"frequent-{k}")
         n = level.count()
         n_phrases += n
         bitmaps.append(frequent_bitmap(level, n, max_bits))
@@ -369,42 +436,6 @@ class PhraseTrie:
         return state
 
 
-def added_up(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """Distinct ``lang, run`` of the parts with the sums of their ``n``."""
-    table = pa.Table.from_batches(parts).combine_chunks()
-    (langs, lang), (runs, run) = (
-        (coded.dictionary, coded.indices.to_numpy().astype(np.int64))
-        for coded in (pa.concat_arrays(table.column(c).chunks).dictionary_encode() for c in ("lang", "run"))
-    )
-    key, inverse = np.unique(lang * len(runs) + run, return_inverse=True)
-    n = np.zeros(len(key), np.int64)
-    np.add.at(n, inverse, table.column("n").to_numpy())
-    return pa.record_batch({"lang": langs.take(pa.array(key // len(runs))), "run": runs.take(pa.array(key % len(runs))), "n": pa.array(n)})
-
-
-def frequent_runs(texts: DataFrame, bitmaps: list[np.ndarray]) -> DataFrame:
-    """``lang, run, n``: see ``Words.runs``, added up over blocks of slices."""
-    known = texts.sparkSession.sparkContext.broadcast(bitmaps)
-
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        held = []
-        for batch in batches:
-            for part in slices(batch, limit=SLICE):
-                held += [rows] if (rows := Words(part).runs(known.value)).num_rows else []
-                if sum(rows.nbytes for rows in held) >= BLOCK:
-                    yield from parted(added_up(held))
-                    held = []
-        if held:
-            yield from parted(added_up(held))
-
-    return texts.mapInArrow(run, "lang string, run string, n long")
-
-
-def parted(rows: pa.RecordBatch, most: int = 1 << 16) -> Iterator[pa.RecordBatch]:
-    for first in range(0, rows.num_rows, most):
-        yield rows.slice(first, most)
-
-
 def count_phrases(runs: DataFrame, n_shards: int, min_count: int) -> DataFrame:
     """``lang, phrase, k, f``: exact occurrences of the phrases of two and more words that begin the runs, a trie a shard.
 
@@ -458,14 +489,16 @@ def collocations(
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"),
     )
-    counted = over_slices(texts, lambda words: [words.unigrams()], "lang string, word string, n long")
+    counted = over_slices(texts, Words.unigrams, "word")
     words = stash(
         counted.groupBy("lang", "word").agg(F.sum("n").alias("f")).where((F.col("f") >= min_count) | F.col("word").isNull()), "words"
     )
     frequent = words.where(F.col("word").isNotNull())
     bitmaps, n_phrases = frequent_bitmaps(texts, frequent, longest, min_count, max_bits)
+    known = docs.sparkSession.sparkContext.broadcast(bitmaps)
+    runs = over_slices(texts, lambda words: words.runs(known.value), "run")
     n_shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_phrases // shard_phrases))
-    phrases = stash(count_phrases(frequent_runs(texts, bitmaps), n_shards, min_count), "phrases")
+    phrases = stash(count_phrases(runs, n_shards, min_count), "phrases")
     return ranked(phrases, frequent, words.where(F.col("word").isNull()).select("lang", F.col("f").alias("n")), longest, top, inside_percent)
 
 
