@@ -40,6 +40,9 @@ def test_runs_and_their_tries_are_exact_at_any_length():
         assert Counter(dict(zip(zip(runs.column("lang").to_pylist(), runs.column("run").to_pylist()), runs.column("n").to_pylist()))) == all_runs(pieces, longest)
         twice = collocations.added_up([runs, runs.slice(0, 50)])
         assert twice.num_rows == runs.num_rows and sum(twice.column("n").to_pylist()) == sum(runs.column("n").to_pylist()) + sum(runs.column("n").to_pylist()[:50])
+        ranges = list(collocations.packed_runs(runs, 7))
+        again = collocations.added_up([collocations.unpacked_runs(part) for part in ranges])
+        assert sorted(again.to_pylist(), key=str) == sorted(runs.drop_columns(["pair"]).to_pylist(), key=str)
         trie = collocations.PhraseTrie(runs)
         f = trie.count(runs.column("n").to_numpy())
         found = {(runs.column("lang")[trie.rows[i]].as_py(), phrase): f[i] for _, hit, phrases in trie.phrases(f > 0) for i, phrase in zip(hit, phrases.to_pylist())}

@@ -6,7 +6,7 @@
    add up, so every phrase with ``min_count`` occurrences is among the hashes with as many: the candidates are safe.
 3. From every position the longest phrase of two and more words that the bitmaps have is a run. Every candidate begins the
    runs from all its positions. Distinct runs of many slices go once, with their count, to a shard that has all runs with
-   the same first two words.
+   the same first two words; they are packed as one row a block, language and range of shards' hashes.
 4. A shard's candidates, what its runs begin with, become a double-array trie over digits of word numbers. All runs step
    through it together, word by word and digit by digit; the accepting states add up the runs' counts. These are the exact
    counts.
@@ -29,8 +29,8 @@ from tremorloom.llm.common import found_by_workers, mix, slices, stash
 
 SHARD_PHRASES = 1_000_000
 SLICE = 8 << 20
-#: hashes that a task counts at once, at least, and ranges of hashes a shuffle partition
-BLOCK_HASHES, RANGES_EACH = 4 << 20, 4
+#: hashes that a task counts at once, at least, and ranges of hashes a partition or shard
+BLOCK_HASHES, RANGES_EACH = 4 << 20, 8
 #: bytes of words or runs that a task adds up before they are shuffled, and rows that a shard adds up at once, at least
 BLOCK, SHARD_ROWS = 64 << 20, 1 << 18
 #: the bitmap of frequent hashes: bits for each hash, and the most bits (64 MB); beyond them it only lets more through
@@ -126,12 +126,15 @@ class Words:
             yield k, at, h
 
     def runs(self, frequent: list[np.ndarray]) -> pa.RecordBatch:
-        """``lang, run, n``: from every position the longest phrase of two and more words that the bitmaps have, distinct
-        ones with their counts. Every phrase that they have begins the runs from all its positions."""
+        """``lang, run, n, pair``: from every position the longest phrase of two and more words that the bitmaps have, distinct
+        ones with their counts and the hash of their first two words. Every phrase that they have begins the runs from all
+        its positions."""
         length = np.zeros(len(self.index), np.int64)
-        for k, at, _ in self.grams(frequent, len(frequent)):
+        for k, at, h in self.grams(frequent, len(frequent)):
             if k > 1:
                 length[at] = k
+            if k == 2:
+                pair = h  # from the positions that have a length
         at = np.flatnonzero(length)
         wide = len(self.distinct) + 1
         code, most = self.lang[at].astype(np.int64) * wide + self.index[at], len(self.langs) * wide
@@ -144,16 +147,16 @@ class Words:
             code[there] += self.index[at[there] + k - 1] + 1
             most *= wide
         _, nth, n = np.unique(code, return_index=True, return_counts=True)
-        at = at[nth]
-        lang, runs, times = [], [], []
+        at, pair = at[nth], pair[nth]
+        lang, runs, times, pairs = [], [], [], []
         for k in range(2, len(frequent) + 1):
             of = np.flatnonzero(length[at] == k)
             lang.append(self.lang[at[of]])
             runs.append(self.phrases(at[of], k))
             times.append(n[of])
-        if not runs:
-            lang, runs, times = [np.zeros(0, np.int64)], [pa.array([], pa.string())], [np.zeros(0, np.int64)]
-        return pa.record_batch({"lang": self.langs.take(pa.array(np.concatenate(lang))), "run": pa.concat_arrays(runs), "n": pa.array(np.concatenate(times), pa.int64())})
+            pairs.append(pair[of])
+        lang, n, pair = (np.concatenate(x) for x in (lang, times, pairs))
+        return pa.record_batch({"lang": self.langs.take(pa.array(lang)), "run": pa.concat_arrays(runs), "n": pa.array(n, pa.int64()), "pair": hash_array(pair)})
 
     def phrases(self, at: np.ndarray, k: int) -> pa.Array:
         words = [self.distinct.take(pa.array(self.index[at + i])).cast(pa.string()) for i in range(k)]
@@ -179,7 +182,7 @@ def frequent_bitmap(rows: DataFrame, count: int, max_bits: int = MAX_BITS) -> np
 
 
 def added_up(parts: list[pa.RecordBatch], key: str = "run") -> pa.RecordBatch:
-    """Distinct ``lang`` and ``key`` of the parts with the sums of their ``n``."""
+    """Distinct ``lang`` and ``key`` of the parts with the sums of their ``n``, and ``pair`` if they have it."""
     table = pa.Table.from_batches(parts)
     (langs, lang), (keys, at) = (
         (coded.dictionary, coded.indices.to_numpy().astype(np.int64))
@@ -188,7 +191,12 @@ def added_up(parts: list[pa.RecordBatch], key: str = "run") -> pa.RecordBatch:
     both, inverse = np.unique(lang * len(keys) + at, return_inverse=True)
     n = np.zeros(len(both), np.int64)
     np.add.at(n, inverse, table.column("n").to_numpy())
-    return pa.record_batch({"lang": langs.take(pa.array(both // len(keys))), key: keys.take(pa.array(both % len(keys))), "n": pa.array(n)})
+    out = {"lang": langs.take(pa.array(both // len(keys))), key: keys.take(pa.array(both % len(keys))), "n": pa.array(n)}
+    if "pair" in table.column_names:
+        pair = np.empty(len(both), np.int64)
+        pair[inverse] = table.column("pair").to_numpy()  # a run's own
+        out["pair"] = pa.array(pair)
+    return pa.record_batch(out)
 
 
 def parted(rows: pa.RecordBatch, most: int = 1 << 16) -> Iterator[pa.RecordBatch]:
@@ -196,8 +204,44 @@ def parted(rows: pa.RecordBatch, most: int = 1 << 16) -> Iterator[pa.RecordBatch
         yield rows.slice(first, most)
 
 
-def over_slices(texts: DataFrame, rows_of, key: str) -> DataFrame:
-    """``lang``, ``key``, ``n``: ``rows_of(words)`` for the words of every slice of bounded size, added up over blocks of slices."""
+def cells(x: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of x between each two cuts."""
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * x.itemsize).astype(np.int32)), pa.py_buffer(x)])
+
+
+def joined(column, dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype)
+
+
+def packed_runs(rows: pa.RecordBatch, ranges: int) -> Iterator[pa.RecordBatch]:
+    """``range, lang, runs, lengths, n``: a row for each language and range of ``pair``."""
+    coded = rows.column("lang").dictionary_encode()
+    pair = rows.column("pair").to_numpy().view(np.uint64)
+    code = coded.indices.to_numpy().astype(np.int64) * ranges + ((pair >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    cuts = np.append(np.flatnonzero(np.append(True, code[1:] != code[:-1])), len(code))
+    runs, code = rows.column("run").take(pa.array(order)), code[cuts[:-1]]
+    ends = np.frombuffer(runs.buffers()[1], np.int32)[runs.offset : runs.offset + len(runs) + 1]
+    text = pa.Array.from_buffers(pa.binary(), len(code), [None, pa.py_buffer(ends[cuts]), runs.buffers()[2]])
+    n = rows.column("n").to_numpy()[order].astype(np.int32)  # of a block
+    lang = coded.dictionary.take(pa.array(code // ranges))
+    row = {"range": pa.array(code % ranges, pa.int32()), "lang": lang, "runs": text, "lengths": cells(np.diff(ends), cuts), "n": cells(n, cuts)}
+    yield from parted(pa.record_batch(row), 256)
+
+
+def unpacked_runs(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """``lang, run, n`` again."""
+    lengths, n = joined(rows.column("lengths"), np.int32), joined(rows.column("n"), np.int32).astype(np.int64)
+    ends = np.zeros(len(n) + 1, np.int32)
+    np.cumsum(lengths, out=ends[1:])
+    run = pa.Array.from_buffers(pa.string(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(rows.column("runs").to_pylist()))])
+    lang = np.repeat(np.arange(rows.num_rows), pc.binary_length(rows.column("n")).to_numpy() // 4)
+    return pa.record_batch({"lang": rows.column("lang").take(pa.array(lang)), "run": run, "n": pa.array(n)})
+
+
+def over_slices(texts: DataFrame, rows_of, key: str, sent, schema: str) -> DataFrame:
+    """``rows_of(words)`` for the words of every slice of bounded size, added up over blocks of slices and given on by ``sent``."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         held = []
@@ -205,12 +249,12 @@ def over_slices(texts: DataFrame, rows_of, key: str) -> DataFrame:
             for part in slices(batch, limit=SLICE):
                 held += [rows] if (rows := rows_of(Words(part))).num_rows else []
                 if sum(rows.nbytes for rows in held) >= BLOCK:
-                    yield from parted(added_up(held, key))
+                    yield from sent(added_up(held, key))
                     held = []
         if held:
-            yield from parted(added_up(held, key))
+            yield from sent(added_up(held, key))
 
-    return texts.mapInArrow(run, f"lang string, {key} string, n long")
+    return texts.mapInArrow(run, schema)
 
 
 def hash_array(h: np.ndarray) -> pa.Array:
@@ -226,10 +270,8 @@ def often(texts: DataFrame, of_slice, min_count: int) -> DataFrame:
         h, n = np.unique(np.concatenate(held), return_counts=True)
         cuts = np.append(np.searchsorted(h, np.array([(i << 64) // ranges for i in range(ranges)], np.uint64)), len(h))
         own = np.flatnonzero(np.diff(cuts))
-        binary = lambda x: pa.Array.from_buffers(
-            pa.binary(), len(own), [None, pa.py_buffer((np.append(cuts[own], len(h)) * x.itemsize).astype(np.int32)), pa.py_buffer(x)]
-        )
-        return pa.record_batch({"range": pa.array(own, pa.int32()), "h": binary(h), "n": binary(n.astype(np.int32))})
+        cuts = np.append(cuts[own], len(h))
+        return pa.record_batch({"range": pa.array(own, pa.int32()), "h": cells(h, cuts), "n": cells(n.astype(np.int32), cuts)})
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         held = []
@@ -242,11 +284,8 @@ def often(texts: DataFrame, of_slice, min_count: int) -> DataFrame:
         if sum(map(len, held)):
             yield packed(held)
 
-    def flat(column: pa.ChunkedArray, dtype) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), dtype)
-
     def total(rows: pa.Table) -> pa.Table:
-        h, n = flat(rows.column("h"), np.uint64), flat(rows.column("n"), np.int32)
+        h, n = joined(rows.column("h"), np.uint64), joined(rows.column("n"), np.int32)
         order = np.argsort(h)
         h = h[order]
         first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
@@ -436,17 +475,19 @@ class PhraseTrie:
         return state
 
 
-def count_phrases(runs: DataFrame, n_shards: int, min_count: int) -> DataFrame:
-    """``lang, phrase, k, f``: exact occurrences of the phrases of two and more words that begin the runs, a trie a shard.
+def count_phrases(texts: DataFrame, bitmaps: list[np.ndarray], n_shards: int, min_count: int) -> DataFrame:
+    """``lang, phrase, k, f``: the phrases of two and more words that the bitmaps have and that occur ``min_count`` times, with
+    their exact occurrences, from a trie a shard.
 
     Runs that begin with the same two words share a shard, so it has all runs that its phrases begin.
     """
+    known, ranges = texts.sparkSession.sparkContext.broadcast(bitmaps), RANGES_EACH * n_shards
 
     def shard(batches) -> Iterator[pa.RecordBatch]:
         held, rows, distinct = [], 0, 0
         for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
+            held.append(unpacked_runs(batch))
+            rows += held[-1].num_rows
             if rows >= 2 * distinct + SHARD_ROWS:
                 held = [added_up(held)]
                 rows = distinct = held[0].num_rows
@@ -458,8 +499,9 @@ def count_phrases(runs: DataFrame, n_shards: int, min_count: int) -> DataFrame:
                 lang = own.column("lang").take(pa.array(trie.rows[hit]))
                 yield from parted(pa.record_batch({"lang": lang, "phrase": phrases, "k": pa.array(np.full(len(hit), k, np.int32)), "f": pa.array(f[hit])}))
 
-    dealt = runs.repartition(n_shards, "lang", F.substring_index("run", " ", 2))
-    return dealt.mapInArrow(shard, "lang string, phrase string, k int, f long")
+    packed = "range int, lang string, runs binary, lengths binary, n binary"
+    runs = over_slices(texts, lambda words: words.runs(known.value), "run", lambda rows: packed_runs(rows, ranges), packed)
+    return runs.repartition(n_shards, "range").mapInArrow(shard, "lang string, phrase string, k int, f long")
 
 
 def collocations(
@@ -489,16 +531,14 @@ def collocations(
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"),
     )
-    counted = over_slices(texts, Words.unigrams, "word")
+    counted = over_slices(texts, Words.unigrams, "word", parted, "lang string, word string, n long")
     words = stash(
         counted.groupBy("lang", "word").agg(F.sum("n").alias("f")).where((F.col("f") >= min_count) | F.col("word").isNull()), "words"
     )
     frequent = words.where(F.col("word").isNotNull())
     bitmaps, n_phrases = frequent_bitmaps(texts, frequent, longest, min_count, max_bits)
-    known = docs.sparkSession.sparkContext.broadcast(bitmaps)
-    runs = over_slices(texts, lambda words: words.runs(known.value), "run")
     n_shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_phrases // shard_phrases))
-    phrases = stash(count_phrases(runs, n_shards, min_count), "phrases")
+    phrases = stash(count_phrases(texts, bitmaps, n_shards, min_count), "phrases")
     return ranked(phrases, frequent, words.where(F.col("word").isNull()).select("lang", F.col("f").alias("n")), longest, top, inside_percent)
 
 
