@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 from tremorloom.llm.common import found_by_workers, mix, slices, stash
 
 SHARD_PHRASES = 1_000_000
-SLICE = 8 << 20
+SLICE = 2 << 20
 #: hashes that a task counts at once, at least, and ranges of hashes a partition or shard
-BLOCK_HASHES, RANGES_EACH = 4 << 20, 8
+BLOCK_HASHES, RANGES_EACH = 2 << 20, 8
 #: bytes of words or runs that a task adds up before they are shuffled, and rows that a shard adds up at once, at least
-BLOCK, SHARD_ROWS = 64 << 20, 1 << 18
+BLOCK, SHARD_ROWS = 16 << 20, 1 << 18
 #: the bitmap of frequent hashes: bits for each hash, and the most bits (64 MB); beyond them it only lets more through
 BITS_EACH, MAX_BITS = 32, 1 << 29
 DIGIT = 256
